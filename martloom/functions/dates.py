@@ -23,8 +23,10 @@ def date_parts(c: str | Column, parts: dict[str, str]) -> list[Column]:
 
 
 def month_label(year: str | Column, month: str | Column) -> Column:
-    """``YYYY-MM`` from a year and a month number."""
-    return F.concat_ws("-", as_col(year), F.lpad(as_col(month).cast("string"), 2, "0"))
+    """``YYYY-MM`` from a year and a month number; a missing part is left out."""
+    known = as_col(year).isNotNull() | as_col(month).isNotNull()
+    text = F.concat_ws("-", as_col(year), F.lpad(as_col(month).cast("string"), 2, "0"))
+    return F.when(known, text)
 
 
 def week_label(year: str | Column, week: str | Column) -> Column:
