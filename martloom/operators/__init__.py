@@ -6,7 +6,14 @@ from martloom.operators.aggregates import (
     majority,
     sorted_set,
 )
-from martloom.operators.calendar import CALENDAR_COLUMNS, Period, calendar, calendar_between
+from martloom.operators.calendar import (
+    CALENDAR_COLUMNS,
+    Period,
+    calendar,
+    calendar_between,
+    in_any_period,
+    period_of,
+)
 from martloom.operators.checks import (
     assert_unique,
     distinct_ids,
@@ -37,11 +44,13 @@ __all__ = [
     "duplicate_keys",
     "global_ranks",
     "hot_keys",
+    "in_any_period",
     "late_rows",
     "majority",
     "match_report",
     "open_history",
     "parents_without_children",
+    "period_of",
     "require_rows",
     "salted_join",
     "scd2_apply",
