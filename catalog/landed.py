@@ -17,7 +17,6 @@ from martloom.sources import (
 )
 
 AS_OF = dt.datetime(2024, 3, 15, 12, 0)
-PAGE_SIZE = 50
 TURN_DDL = "conv_id bigint, turn bigint, role string, speaker struct<role: string, long: boolean>, text string"
 
 
@@ -93,21 +92,25 @@ def json_object_as_text(spark, d):
 
 @query(
     "json_explode_pages",
-    "SELECT conv_id, turn, role, md5(text) AS text_hash FROM conversations",
+    """
+    SELECT conv_id, turn, role, md5(text) AS text_hash FROM conversations
+    UNION ALL SELECT conv_id, -turn, 'echo', md5(role || ': ' || text) FROM conversations
+    """,
 )
 def json_explode_pages(spark, d):
-    """Records packed into pages as a paged service returns them, and unpacked again.
-
-    A page takes at most PAGE_SIZE turn numbers of a conversation.
-    """
-    pages = (
-        _turns(spark, d)
-        .groupBy("conv_id", F.floor(F.col("turn") / PAGE_SIZE).alias("page"))
-        .agg(F.array_join(F.collect_list("record"), ",").alias("records"))
-        .select(F.concat(F.lit('{"dados":['), "records", F.lit("]}")).alias("value"))
+    """Every turn becomes a page of two records, which is unpacked again."""
+    turn = table(spark, d, "conversations")
+    record = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    echo = F.to_json(
+        F.struct(
+            "conv_id",
+            (-F.col("turn")).alias("turn"),
+            F.lit("echo").alias("role"),
+            F.concat("role", F.lit(": "), "text").alias("text"),
+        )
     )
-    records = explode_pages(pages)
-    turns = decode_json(records, "raw_payload", TURN_DDL, keep=False)
+    page = F.concat(F.lit('{"dados":['), record, F.lit(","), echo, F.lit("]}"))
+    turns = decode_json(explode_pages(turn.select(page.alias("value"))), "raw_payload", TURN_DDL, False)
     return turns.select("conv_id", "turn", "role", F.md5("text").alias("text_hash"))
 
 

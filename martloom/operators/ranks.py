@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.columns import as_list
 from martloom.operators.placement import place, with_offsets
-from martloom.session import fits_one_task
+from martloom.session import ONE_TASK_ROWS, checkpointed, fits_one_task
 
 
 def top_n_per_group(
@@ -44,15 +44,22 @@ def global_ranks(
 
     ``window`` sorts the table in one task. ``range`` ranks the histogram
     of distinct scores over range partitions and joins the ranks back, so
-    no task sees the whole table. ``auto`` picks by Spark's size estimate.
+    no task sees the whole table. ``auto`` takes the window for a table that
+    Spark estimates to be small, or that is found small once it is stored.
+
+    The table is stored before its scores are read twice: a mean computed
+    again in another order may differ in its last bit and match nothing.
     """
-    if method == "auto":
-        method = "window" if fits_one_task(df) else "range"
     if method == "window":
         return _window_ranks(df, score, dense_desc, percent_asc)
-    if method == "range":
-        return _range_ranks(df, score, dense_desc, percent_asc)
-    raise ValueError(f"unknown method {method!r}")
+    if method == "auto" and fits_one_task(df):
+        return _window_ranks(df, score, dense_desc, percent_asc)
+    if method not in ("auto", "range"):
+        raise ValueError(f"unknown method {method!r}")
+    stored = checkpointed(df)
+    if method == "auto" and stored.count() <= ONE_TASK_ROWS:
+        return _window_ranks(stored, score, dense_desc, percent_asc)
+    return _range_ranks(stored, score, dense_desc, percent_asc)
 
 
 def _window_ranks(df, score, dense_desc, percent_asc):

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A frame Spark estimates below this many bytes may pass through one task.
 ONE_TASK_BYTES = 64 * 1024 * 1024
+# The same limit for a frame whose rows have been counted.
+ONE_TASK_ROWS = 500_000
 
 
 def get_session(app_name: str = "martloom", **conf) -> SparkSession:
