@@ -13,6 +13,7 @@ Neither protects against two writers at once.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,8 +42,6 @@ def save(
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode)
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "static")
     if overwrite_schema:
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
@@ -119,11 +118,8 @@ def upsert_table(
     if not keys_fix_partition:
         merged = checkpointed(merged)
     merged = merged.hint("rebalance", *[F.col(p) for p in parts])
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        merged.write.mode("overwrite").insertInto(table)
     if not keys_fix_partition:
         filled = {tuple(r) for r in merged.select(*parts).distinct().collect()}
         for row in touched_rows:
@@ -131,6 +127,17 @@ def upsert_table(
                 _drop_partition(spark, table, parts, row)
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _drop_partition(spark: SparkSession, table: str, parts: list[str], row) -> None:
     """Remove a partition whose rows have all moved to others."""
     spec = ", ".join(f"{p} = " + ("NULL" if row[p] is None else f"'{row[p]}'") for p in parts)
