@@ -274,7 +274,8 @@ def gold_eventos(spark, d):
 
 
 def frentes_votacoes(spark, d):
-    return G.frentes_votacoes(bridge_frente_deputado(spark, d), dim_frente(spark, d), votos(spark, d))
+    seats = checkpointed(bridge_frente_deputado(spark, d))
+    return G.frentes_votacoes(seats, dim_frente(spark, d), checkpointed(votos(spark, d)))
 
 
 def engajamento(spark, d):

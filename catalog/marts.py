@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from catalog.registry import half_up, query, table
+from martloom.functions import month_label
 from martloom.operators import Dim, Period, calendar, in_any_period, period_of, star_join
 from martloom.plans import marts as M
 
@@ -42,14 +43,12 @@ def top_n_monthly(spark, d):
     ).select(
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
-        F.date_format("l_shipdate", "yyyy-MM").alias("year_month"),
         "nation",
         "o_custkey",
         "l_extendedprice",
     )
-    return M.top_n_monthly(
-        facts, "nation", ["year", "month", "year_month"], "year_month", "l_extendedprice", "o_custkey"
-    )
+    top = M.top_n_monthly(facts, "nation", ["year", "month"], "l_extendedprice", "o_custkey")
+    return top.withColumn("year_month", month_label("year", "month"))
 
 
 _HHI_SQL = """

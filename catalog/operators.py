@@ -15,6 +15,7 @@ from martloom.functions import (
     exact_percent,
     hash_key,
     money,
+    money_sum,
     month_label,
     norm_text,
     parse_date,
@@ -363,7 +364,7 @@ def top_n_orders_per_customer(spark, d):
 )
 def share_of_max_customers(spark, d):
     spent = table(spark, d, "orders").groupBy("o_custkey").agg(
-        F.sum(money("o_totalprice")).cast("double").alias("spent"), F.count("*").alias("orders")
+        money_sum("o_totalprice").cast("double").alias("spent"), F.count("*").alias("orders")
     )
     return share_of_max(spent, {"spent": "spent_share", "orders": "order_share"})
 
@@ -380,6 +381,15 @@ def global_ranks_orders(spark, d):
     return global_ranks(orders, "o_totalprice", "dense", "pct")
 
 
+@query(
+    "global_ranks_histogram_orders",
+    _RANK_SQL.format(key="o_orderkey", score="o_totalprice", table="orders"),
+)
+def global_ranks_histogram_orders(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return global_ranks(orders, "o_totalprice", "dense", "pct", method="histogram")
+
+
 @query(
     "global_ranks_range_orders",
     _RANK_SQL.format(key="o_orderkey", score="o_totalprice", table="orders"),
@@ -465,7 +475,7 @@ def basic_aggregates(spark, d):
         .agg(
             F.count("*").alias("orders"),
             F.count_distinct("o_custkey").alias("customers"),
-            F.sum(money("o_totalprice")).cast("double").alias("total"),
+            money_sum("o_totalprice").cast("double").alias("total"),
             F.round(F.avg("o_totalprice"), 2).alias("mean"),
             F.round(F.stddev_samp("o_totalprice"), 2).alias("spread"),
             F.min("o_totalprice").alias("lowest"),
@@ -606,7 +616,7 @@ def _pull(spark, d):
     lines = (
         table(spark, d, "lineitem")
         .groupBy("l_orderkey")
-        .agg(F.sum(money("l_extendedprice")).cast("double").alias("price"))
+        .agg(money_sum("l_extendedprice").cast("double").alias("price"))
     )
     window = orders.filter(F.col("o_orderdate") >= F.lit(PULLED_FROM))
     corrected = star_join(window, Dim(lines, [("o_orderkey", "l_orderkey")], ["price"], "left"))

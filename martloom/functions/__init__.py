@@ -4,7 +4,7 @@ from martloom.functions.bands import band_at_least, band_at_most, band_below, ye
 from martloom.functions.casts import cast_losses, parse_date, parse_timestamp, typed_select
 from martloom.functions.dates import DATE_PARTS, date_parts, month_label, week_label
 from martloom.functions.hashing import hash_key
-from martloom.functions.numbers import exact_percent, money, percent, ratio
+from martloom.functions.numbers import exact_percent, money, money_sum, percent, ratio
 from martloom.functions.text import (
     blank_to_null,
     digits_only,
@@ -28,6 +28,7 @@ __all__ = [
     "hash_key",
     "id_after",
     "money",
+    "money_sum",
     "month_label",
     "norm_text",
     "parse_date",

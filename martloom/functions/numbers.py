@@ -13,6 +13,21 @@ def money(c: str | Column) -> Column:
     return as_col(c).cast("decimal(18,2)")
 
 
+def money_sum(c: str | Column) -> Column:
+    """Exact sum of two-digit amounts held as doubles, as a two-digit decimal.
+
+    Whole cents are added as longs, which stays fast; high and low parts are
+    added apart, so no total overflows.
+    """
+    cents = F.floor(as_col(c) * 100 + 0.5)
+    base = 1_000_000_000
+    rest = F.pmod(cents, F.lit(base))
+    high, low = F.sum(((cents - rest) / base).cast("bigint")), F.sum(rest)
+    wide = "decimal(28,0)"
+    total = high.cast(wide) * F.lit(base).cast("decimal(10,0)") + low.cast(wide)
+    return (total / F.lit(100).cast("decimal(3,0)")).cast("decimal(38,2)")
+
+
 def ratio(part: str | Column, whole: str | Column, digits: int = 4) -> Column:
     return F.round(F.try_divide(as_col(part), as_col(whole)), digits)
 

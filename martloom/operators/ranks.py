@@ -39,27 +39,41 @@ def global_ranks(
     dense_desc: str | None = None,
     percent_asc: str | None = None,
     method: str = "auto",
+    stored: bool = False,
 ) -> DataFrame:
     """Dense rank by descending score and percent rank by ascending score.
 
-    ``window`` sorts the table in one task. ``range`` ranks the histogram
-    of distinct scores over range partitions and joins the ranks back, so
-    no task sees the whole table. ``auto`` takes the window for a table that
-    Spark estimates to be small, or that is found small once it is stored.
-
-    The table is stored before its scores are read twice: a mean computed
-    again in another order may differ in its last bit and match nothing.
+    - ``window`` sorts the table in one task.
+    - ``histogram`` sorts only the distinct scores in one task and joins
+      their ranks back.
+    - ``range`` ranks the distinct scores over range partitions and joins
+      back, so that no task sees more than its share.
+    - ``auto`` takes the window when Spark estimates the table to be small,
+      else the histogram when the distinct scores are few by count, else
+      the ranges.
+
+    The last two read the scores twice, so the table is checkpointed first
+    unless it is ``stored`` already: a mean computed again in another order
+    may differ in its last bit and match nothing.
     """
-    if method == "window":
-        return _window_ranks(df, score, dense_desc, percent_asc)
-    if method == "auto" and fits_one_task(df):
-        return _window_ranks(df, score, dense_desc, percent_asc)
-    if method not in ("auto", "range"):
+    if method not in ("auto", "window", "histogram", "range"):
         raise ValueError(f"unknown method {method!r}")
-    stored = checkpointed(df)
-    if method == "auto" and stored.count() <= ONE_TASK_ROWS:
-        return _window_ranks(stored, score, dense_desc, percent_asc)
-    return _range_ranks(stored, score, dense_desc, percent_asc)
+    if method == "window" or (method == "auto" and fits_one_task(df)):
+        return _window_ranks(df, score, dense_desc, percent_asc)
+    kept = df if stored else checkpointed(df)
+    histogram = kept.groupBy(F.col(score).alias("_score")).agg(F.count("*").alias("_n"))
+    if method == "auto":
+        method = "histogram" if histogram.count() <= ONE_TASK_ROWS else "range"
+    counted = _in_one_task(histogram) if method == "histogram" else _in_ranges(histogram)
+    out = []
+    if dense_desc:
+        out.append((F.col("_values") - F.col("_nth") + 1).alias(dense_desc))
+    if percent_asc:
+        below = F.col("_upto") - F.col("_n")
+        share = F.try_divide(below.cast("double"), (F.col("_rows") - 1).cast("double"))
+        out.append(F.coalesce(share, F.lit(0.0)).alias(percent_asc))
+    ranks = counted.select("_score", *out)
+    return kept.join(ranks, F.col(score).eqNullSafe(F.col("_score")), "inner").drop("_score")
 
 
 def _window_ranks(df, score, dense_desc, percent_asc):
@@ -72,24 +86,36 @@ def _window_ranks(df, score, dense_desc, percent_asc):
     return df.withColumns(out)
 
 
-def _range_ranks(df, score, dense_desc, percent_asc):
-    histogram = df.groupBy(F.col(score).alias("_score")).agg(F.count("*").alias("_n"))
+def _in_one_task(histogram: DataFrame) -> DataFrame:
+    """Add to each distinct score its place, the rows up to it, and both totals."""
+    ascending = Window.orderBy(F.col("_score").asc_nulls_first())
+    everything = Window.partitionBy()
+    return histogram.select(
+        "_score",
+        "_n",
+        F.row_number().over(ascending).cast("bigint").alias("_nth"),
+        F.sum("_n").over(ascending).alias("_upto"),
+        F.count("*").over(everything).alias("_values"),
+        F.sum("_n").over(everything).alias("_rows"),
+    )
+
+
+def _in_ranges(histogram: DataFrame) -> DataFrame:
+    """The same as ``_in_one_task``, over range partitions."""
     placed = with_offsets(
         place(histogram, [F.col("_score").asc_nulls_first()]),
         {"_values": F.count("*"), "_rows": F.sum("_n")},
     )
-    out = []
-    if dense_desc:
-        nth = F.col("_values_before") + F.col("_row") + 1
-        out.append((F.col("_values_total") - nth + 1).alias(dense_desc))
-    if percent_asc:
-        earlier = (
-            Window.partitionBy("_part")
-            .orderBy("_row")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        below = F.col("_rows_before") + F.sum("_n").over(earlier) - F.col("_n")
-        share = F.try_divide(below.cast("double"), (F.col("_rows_total") - 1).cast("double"))
-        out.append(F.coalesce(share, F.lit(0.0)).alias(percent_asc))
-    ranks = placed.select("_score", *out)
-    return df.join(ranks, F.col(score).eqNullSafe(F.col("_score")), "inner").drop("_score")
+    so_far = (
+        Window.partitionBy("_part")
+        .orderBy("_row")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return placed.select(
+        "_score",
+        "_n",
+        (F.col("_values_before") + F.col("_row") + 1).alias("_nth"),
+        (F.col("_rows_before") + F.sum("_n").over(so_far)).alias("_upto"),
+        F.col("_values_total").alias("_values"),
+        F.col("_rows_total").alias("_rows"),
+    )

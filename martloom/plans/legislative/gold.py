@@ -238,7 +238,6 @@ def top_gastos_partido(fat_despesas: DataFrame, n: int = 10) -> DataFrame:
         fat_despesas,
         "sigla_partido",
         ["ano", "mes", "ano_mes"],
-        "ano_mes",
         "valor_liquido",
         "nk_deputado",
         n,

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from martloom.functions import bands as B
 from martloom.functions.columns import as_col, as_list
 from martloom.functions.dates import iso_year, week_label
-from martloom.functions.numbers import exact_percent, money, percent, ratio
-from martloom.operators.aggregates import conditional_counts, distinct_counts, majority
+from martloom.functions.numbers import exact_percent, money_sum, percent, ratio
+from martloom.operators.aggregates import conditional_counts, distinct_counts, majority, sorted_set
 from martloom.operators.ranks import global_ranks, share_of_max, top_n_per_group
 from martloom.operators.star import Dim, star_join
+from martloom.session import checkpointed, fits_one_task
 
 
 def concentration_index(
@@ -54,14 +55,14 @@ def participation_ranking(
 ) -> DataFrame:
     """Per member: distinct items and the sorted set of their titles.
 
-    (member, item, title) rows are made distinct before arrays are built.
+    Both are counted over distinct pairs and then joined, one row per member.
     """
     member = as_list(member)
-    rows = df.select(*member, item, title).distinct()
-    return rows.groupBy(*member).agg(
-        F.count_distinct(item).alias(count_name),
-        F.array_sort(F.collect_set(title)).alias(titles_name),
-    )
+    counts = distinct_counts(df, member, item, count_name)
+    titles = sorted_set(df, member, title, titles_name)
+    other = titles.select(*[F.col(m).alias(f"_t_{m}") for m in member], titles_name)
+    same = [F.col(m).eqNullSafe(F.col(f"_t_{m}")) for m in member]
+    return counts.join(other, same).select(*member, count_name, titles_name)
 
 
 def future_events(df: DataFrame, date: str, as_of: dt.date | None = None) -> DataFrame:
@@ -187,7 +188,6 @@ def top_n_monthly(
     facts: DataFrame,
     group: str,
     months: list[str],
-    month_label: str,
     amount: str | Column,
     member: str,
     n: int = 10,
@@ -198,16 +198,16 @@ def top_n_monthly(
 ) -> DataFrame:
     """The ``n`` groups with the highest total amount per month.
 
-    ``months`` are the grouping columns of the period, ``month_label`` the
-    one that ranks are made within. Equal totals are ordered by group.
+    ``months`` are the columns that make up the period. Equal totals are
+    ordered by group.
     """
     totals = facts.groupBy(*months, group).agg(
         F.count_distinct(member).alias(members_name),
         F.count("*").alias(rows_name),
-        F.sum(money(amount)).cast("double").alias(total_name),
+        money_sum(amount).cast("double").alias(total_name),
     )
     order = [F.col(total_name).desc_nulls_last(), F.col(group).asc_nulls_first()]
-    return top_n_per_group(totals, month_label, order, n, rank)
+    return top_n_per_group(totals, months, order, n, rank)
 
 
 def zscore_outliers(
@@ -231,6 +231,7 @@ def zscore_outliers(
         df.groupBy(*group)
         .agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
         .filter(F.col("_sd") > 0)
+        .withColumns({mean_name: F.round("_mean", 2), spread_name: F.round("_sd", 2)})
     )
     z = F.round(F.try_divide(F.col(value) - F.col("_mean"), F.col("_sd")), 2)
     return (
@@ -239,8 +240,8 @@ def zscore_outliers(
         .select(
             *dict.fromkeys([*keep, *group]),
             F.round(value, 2).alias(value),
-            F.round("_mean", 2).alias(mean_name),
-            F.round("_sd", 2).alias(spread_name),
+            mean_name,
+            spread_name,
             z.alias("z_score"),
             B.band_below(F.abs(z), B.OUTLIER_BANDS, B.OUTLIER_OTHERWISE).alias(band_name),
         )
@@ -328,11 +329,14 @@ def engagement_score(
         *conditional_counts(F.upper(choice), choice_names),
     )
     counted = members.select(member, *attributes).join(attended, member).join(voted, member)
+    # one row per member, read for the maxima, the ranks and the result
+    if method != "window" and not fits_one_task(counted):
+        counted = checkpointed(counted)
     shares = share_of_max(counted, {events_name: "_events", ballots_name: "_ballots"})
     scored = shares.withColumn(
         score_name, F.col("_events") * F.lit(0.4) + F.col("_ballots") * F.lit(0.6)
     ).drop("_events", "_ballots")
-    return global_ranks(scored, score_name, rank_name, percentile_name, method)
+    return global_ranks(scored, score_name, rank_name, percentile_name, method, stored=True)
 
 
 def engagement_by_group(

@@ -109,3 +109,11 @@ def test_percentages(spark):
     assert got == (33.33, 0.3333, 33.33, None)
     # 12.345 % exactly: half up, in spite of what the nearest double says
     assert one(spark, "a bigint, b bigint", (2469, 20000), M.exact_percent("a", "b")) == (12.35,)
+
+
+def test_money_sums_are_exact_for_any_sign_and_size(spark):
+    df = spark.createDataFrame([(v,) for v in (0.1, 0.2, -0.3, 1e13, 0.01, -5.55, None)], "v double")
+    assert df.select(M.money_sum("v").cast("string")).head()[0] == "9999999999994.46"
+    many = spark.range(2000).select(F.lit(9e15).alias("v"))
+    assert many.select(M.money_sum("v").cast("string")).head()[0] == "18000000000000000000.00"
+    assert spark.createDataFrame([], "v double").select(M.money_sum("v")).head()[0] is None

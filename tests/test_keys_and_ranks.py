@@ -82,9 +82,10 @@ def test_share_of_max(spark):
     [5.0], [1.0, 1.0, 1.0], [3.0, 1.0, 2.0, 2.0, None], [float(i % 17) for i in range(500)],
     [random.Random(3).random() for _ in range(700)],
 ])
-def test_range_ranks_equal_window_ranks(spark, values):
+@pytest.mark.parametrize("method", ["histogram", "range"])
+def test_ranks_of_distinct_scores_equal_window_ranks(spark, values, method):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double").repartition(6)
-    got = rows(global_ranks(df, "v", "dense", "pct", "range"), "id", "dense", "pct")
+    got = rows(global_ranks(df, "v", "dense", "pct", method), "id", "dense", "pct")
     plain = df.select(
         "id",
         F.dense_rank().over(Window.orderBy(F.col("v").desc_nulls_last())).cast("bigint"),

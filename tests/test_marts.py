@@ -166,7 +166,7 @@ def test_engagement_by_group_bands_the_raw_mean(spark):
 def test_top_n_monthly_sums_money_exactly(spark):
     data = [("p", 1, 0.1)] * 10 + [("q", 1, 1.0)]
     df = spark.createDataFrame(data, "g string, m int, v double").withColumn("month", F.lit("2024-01"))
-    got = rows(M.top_n_monthly(df, "g", ["month"], "month", "v", "m"), "g", "rows", "total", "rank")
+    got = rows(M.top_n_monthly(df, "g", ["month"], "v", "m"), "g", "rows", "total", "rank")
     assert got == [("p", 10, 1.0, 1), ("q", 1, 1.0, 2)]
 
 
