@@ -21,7 +21,8 @@ def parents_without_children(
     ``on`` may map parent columns to differently named child columns.
     """
     pairs = on if isinstance(on, dict) else {k: k for k in as_list(on)}
-    seen = child.select(*[F.col(c).alias(f"_child_{p}") for p, c in pairs.items()])
+    seen = distinct_ids(child, list(pairs.values()))  # a busy parent counts once
+    seen = seen.select(*[F.col(c).alias(f"_child_{p}") for p, c in pairs.items()])
     same = [F.col(p) == F.col(f"_child_{p}") for p in pairs]
     return distinct_ids(parent, list(pairs)).join(seen, same, "left_anti")
 

@@ -48,7 +48,18 @@ def upsert(
     small enough to broadcast it is therefore streamed through, not shuffled.
     """
     keys = as_list(keys)
-    source = newest_per_key(source, keys, newest_by, null_safe)
+    newest = newest_per_key(source, keys, newest_by, null_safe)
+    return apply_newest(target, newest, keys, update_map, null_safe)
+
+
+def apply_newest(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update_map: dict[str, str] | None = None,
+    null_safe: bool = False,
+) -> DataFrame:
+    """``upsert`` with a source that ``newest_per_key`` has been applied to."""
     equal = Column.eqNullSafe if null_safe else Column.__eq__
 
     def matches(left: str, right: str) -> list[Column]:

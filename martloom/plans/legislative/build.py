@@ -165,8 +165,9 @@ def build_gold(
     def gold(name: str) -> DataFrame:
         return spark.table(f"{layers.gold}.{name}")
 
-    def rebuild(name: str, df: DataFrame, **source) -> None:
-        replace(stamp(df, version, as_of, **source), f"{layers.gold}.{name}")
+    def rebuild(name: str, df: DataFrame, partition_by: str | tuple = (), **source) -> None:
+        stamped = stamp(df, version, as_of, **source)
+        replace(stamped, f"{layers.gold}.{name}", partition_by=partition_by)
 
     presence = spark.table(f"{layers.bronze}.bronze_eventos_presenca")
     member, caucus = silver("dim_deputado"), silver("dim_frente")
@@ -191,6 +192,7 @@ def build_gold(
         G.fat_despesas(
             silver("despesas"), member, silver("dim_fornecedor"), silver("dim_categoria_despesa")
         ),
+        partition_by="ano_mes",
     )
     rebuild("top_gastos_partido", G.top_gastos_partido(gold("fat_despesas")))
     rebuild(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import as_list
-from martloom.operators.upsert import newest_per_key, upsert
+from martloom.operators.upsert import apply_newest, newest_per_key
 from martloom.session import checkpointed
 
 
@@ -90,10 +90,11 @@ def upsert_table(
     spark = source.sparkSession
     keys = as_list(keys)
     target = spark.table(table)
-    options = dict(update_map=update_map, newest_by=newest_by, null_safe=null_safe)
+    # read several times below, so it is worked out once
+    source = checkpointed(newest_per_key(source, keys, newest_by, null_safe))
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if not parts:
-        replace(upsert(target, source, keys, **options), table, fmt)
+        replace(apply_newest(target, source, keys, update_map, null_safe), table, fmt)
         return
 
     touched = source.select(*parts).distinct()
@@ -114,7 +115,7 @@ def upsert_table(
             for row in touched_rows
         ],
     )
-    merged = upsert(target.filter(here), source, keys, **options)
+    merged = apply_newest(target.filter(here), source, keys, update_map, null_safe)
     if not keys_fix_partition:
         merged = checkpointed(merged)
     merged = merged.hint("rebalance", *[F.col(p) for p in parts])
@@ -155,7 +156,9 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
     )
 
 
-def replace(df: DataFrame, table: str, fmt: str = "parquet") -> None:
+def replace(
+    df: DataFrame, table: str, fmt: str = "parquet", partition_by: str | list[str] = ()
+) -> None:
     """Full rebuild: write a new version, then point the view ``table`` at it.
 
     ``df`` may read the version it replaces.
@@ -163,7 +166,7 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     spark = df.sparkSession
     number = (_versions(spark, table) or [0])[-1] + 1
     version = f"{table}__v{number:06d}"
-    save(df, version, "error", fmt)
+    save(df, version, "error", fmt, partition_by)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
 
 
