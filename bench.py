@@ -109,8 +109,55 @@ def naive(spark, d):
         price = F.col("l_extendedprice")
         return joined.withColumn("z", (price - F.avg(price).over(w)) / F.stddev_samp(price).over(w))
 
+    def sql(text):
+        for name in ("lineitem", "orders", "customer", "nation", "part", "events"):
+            table(spark, d, name).createOrReplaceTempView(name)
+        return spark.sql(text)
+
     order = Window.orderBy("l_shipdate", "l_orderkey")
     return {
+        "top_n_monthly": lambda: sql("""
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ym ORDER BY total DESC) AS rank
+            FROM (SELECT year(l_shipdate) AS y, month(l_shipdate) AS m,
+                         date_format(l_shipdate, 'yyyy-MM') AS ym, n_name,
+                         count(DISTINCT o_custkey) AS members, count(*) AS n,
+                         round(sum(l_extendedprice), 2) AS total
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+                  GROUP BY 1, 2, 3, 4)) WHERE rank <= 10"""),
+        "concentration_suppliers": lambda: sql("""
+            WITH f AS (SELECT l_suppkey, p_brand, count(DISTINCT l_partkey) AS n
+                       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+                 t AS (SELECT l_suppkey, sum(n) AS total, count(DISTINCT p_brand) AS brands FROM f GROUP BY 1)
+            SELECT f.l_suppkey, total, brands, round(sum(power(n / total, 2)), 4) AS hhi
+            FROM f JOIN t ON f.l_suppkey = t.l_suppkey GROUP BY 1, 2, 3"""),
+        "participation": lambda: sql("""
+            SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, collect_set(p_brand) AS brands
+            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"""),
+        "engagement_customers": lambda: sql("""
+            WITH p AS (SELECT c_custkey, c_name, c_nationkey, count(DISTINCT to_date(o_orderdate)) AS events
+                       FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+                 v AS (SELECT p.c_custkey, c_name, c_nationkey, events, count(DISTINCT l_partkey) AS ballots,
+                              sum(CASE WHEN upper(o_orderstatus) = 'F' THEN 1 ELSE 0 END) AS finished,
+                              sum(CASE WHEN upper(o_orderstatus) = 'O' THEN 1 ELSE 0 END) AS open,
+                              sum(CASE WHEN upper(o_orderstatus) = 'P' THEN 1 ELSE 0 END) AS pending
+                       FROM p JOIN orders ON o_custkey = p.c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+                       GROUP BY 1, 2, 3, 4),
+                 s AS (SELECT *, events / max(events) OVER () * 40 + ballots / max(ballots) OVER () * 60 AS score
+                       FROM v)
+            SELECT *, dense_rank() OVER (ORDER BY score DESC) AS rank, percent_rank() OVER (ORDER BY score) AS pct
+            FROM s"""),
+        "weekly_density": lambda: sql("""
+            WITH days AS (SELECT explode(sequence(DATE'1995-01-01', DATE'2002-12-31', INTERVAL 1 DAY)) AS day)
+            SELECT year(day) AS y, weekofyear(day) AS w, count(DISTINCT o_orderkey) AS events
+            FROM days LEFT JOIN orders ON to_date(o_orderdate) = day GROUP BY 1, 2"""),
+        "attendance_rate": lambda: sql("""
+            WITH e AS (SELECT user_id, weekofyear(ts) AS w, event_type,
+                              concat_ws('|', event_type, to_date(ts)) AS meeting FROM events),
+                 t AS (SELECT w, event_type, count(DISTINCT meeting) AS total FROM e GROUP BY 1, 2),
+                 a AS (SELECT user_id, w, event_type, count(DISTINCT meeting) AS attended FROM e GROUP BY 1, 2, 3)
+            SELECT a.*, total, round(attended / total, 4) AS rate, round(attended / total * 100, 2) AS pct
+            FROM a JOIN t ON a.w = t.w AND a.event_type = t.event_type"""),
         "op_share_of_max": lambda: lineitem(spark, d).withColumn(
             "share", F.col("l_extendedprice") / F.max("l_extendedprice").over(everything()) * 100
         ),

@@ -48,9 +48,9 @@ def global_ranks(
       their ranks back.
     - ``range`` ranks the distinct scores over range partitions and joins
       back, so that no task sees more than its share.
-    - ``auto`` takes the window when Spark estimates the table to be small,
-      else the histogram when the distinct scores are few by count, else
-      the ranges.
+    - ``auto`` takes the window when the table is small by Spark's estimate
+      or by count, else the histogram when its distinct scores are few by
+      count, else the ranges.
 
     The last two read the scores twice, so the table is checkpointed first
     unless it is ``stored`` already: a mean computed again in another order
@@ -61,6 +61,8 @@ def global_ranks(
     if method == "window" or (method == "auto" and fits_one_task(df)):
         return _window_ranks(df, score, dense_desc, percent_asc)
     kept = df if stored else checkpointed(df)
+    if method == "auto" and kept.count() <= ONE_TASK_ROWS:
+        return _window_ranks(kept, score, dense_desc, percent_asc)
     histogram = kept.groupBy(F.col(score).alias("_score")).agg(F.count("*").alias("_n"))
     if method == "auto":
         method = "histogram" if histogram.count() <= ONE_TASK_ROWS else "range"
@@ -79,8 +81,8 @@ def global_ranks(
 def _window_ranks(df, score, dense_desc, percent_asc):
     out = {}
     if dense_desc:
-        w = Window.orderBy(F.col(score).desc_nulls_last())
-        out[dense_desc] = F.dense_rank().over(w).cast("bigint")
+        descending = Window.orderBy(F.col(score).desc_nulls_last())
+        out[dense_desc] = F.dense_rank().over(descending).cast("bigint")
     if percent_asc:
         out[percent_asc] = F.percent_rank().over(Window.orderBy(F.col(score).asc_nulls_first()))
     return df.withColumns(out)
