@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from catalog.registry import half_up, query, table
+from catalog.registry import exact_mean, half_up, query, table
 from martloom.operators import Dim, star_join
 from martloom.plans.legislative import gold as G
 from martloom.plans.legislative import silver as L
@@ -484,9 +484,10 @@ STEPS = {
                           nk_categoria_despesa AS tipo_despesa, valor_liquido AS v
                    FROM fat_despesas x JOIN dim_categoria c ON c.sk_categoria_despesa = x.sk_categoria_despesa
                    JOIN dim_deputado d ON d.sk_deputado = x.sk_deputado),
-             e AS (SELECT sk_categoria_despesa, sigla_uf, avg(v) AS m, stddev_samp(v) AS s FROM b GROUP BY ALL),
+             e AS (SELECT sk_categoria_despesa, sigla_uf, avg(v) AS m, """ + exact_mean("v") + """ AS media_grupo,
+                          stddev_samp(v) AS s FROM b GROUP BY ALL),
              z AS (SELECT sk_deputado, nome_deputado, b.sigla_uf, tipo_despesa,
-                          """ + half_up("v", 2) + """ AS valor_liquido, """ + half_up("m", 2) + """ AS media_grupo,
+                          """ + half_up("v", 2) + """ AS valor_liquido, media_grupo,
                           """ + half_up("s", 2) + """ AS desvio_grupo, """ + half_up("(v - m) / s", 2) + """ AS z_score
                    FROM b JOIN e ON e.sk_categoria_despesa = b.sk_categoria_despesa AND e.sigla_uf = b.sigla_uf
                    WHERE s > 0)
@@ -510,7 +511,7 @@ STEPS = {
                        ELSE 'Baixo' END AS faixa_alinhamento FROM p""",
     "frentes_alinhamento": """
         WITH c AS (SELECT nk_frente, titulo_frente, count(*) AS qtd_votacoes,
-                          """ + half_up("avg(percent_alinhamento)", 2) + """ AS media_alinhamento,
+                          """ + exact_mean("percent_alinhamento") + """ AS media_alinhamento,
                           min(percent_alinhamento) AS menor_alinhamento,
                           max(percent_alinhamento) AS maior_alinhamento,
                           stddev_samp(percent_alinhamento) AS sd FROM frentes_votacoes GROUP BY ALL)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.registry import half_up, query, table
+from catalog.registry import exact_mean, half_up, query, table
 from martloom.functions import month_label
 from martloom.operators import Dim, Period, calendar, in_any_period, period_of, star_join
 from martloom.plans import marts as M
@@ -234,10 +234,11 @@ def attendance_rate(spark, d):
 
 
 _Z_SQL = """
-    WITH s AS (SELECT {group}, avg({value}) AS mean, stddev_samp({value}) AS sd FROM {table}
+    WITH s AS (SELECT {group}, avg({value}) AS mean, """ + exact_mean("{value}") + """ AS group_mean,
+                      stddev_samp({value}) AS sd FROM {table}
                GROUP BY ALL HAVING stddev_samp({value}) > 0),
          z AS (SELECT {keep}, {group}, """ + half_up("{value}", 2) + """ AS {value},
-                      """ + half_up("mean", 2) + """ AS group_mean, """ + half_up("sd", 2) + """ AS group_stddev,
+                      group_mean, """ + half_up("sd", 2) + """ AS group_stddev,
                       """ + half_up("({value} - mean) / sd", 2) + """ AS z_score
                FROM {table} JOIN s USING ({group}))
     SELECT *, CASE WHEN abs(z_score) < 1 THEN 'Comportamento esperado'
@@ -252,7 +253,9 @@ _Z_SQL = """
     _Z_SQL.format(group="event_type", value="value", keep="event_id", table="events"),
 )
 def zscore_events(spark, d):
-    return M.zscore_outliers(table(spark, d, "events"), "event_type", "value", ["event_id"])
+    return M.zscore_outliers(
+        table(spark, d, "events"), "event_type", "value", ["event_id"], amounts=True
+    )
 
 
 @query(
@@ -267,7 +270,7 @@ def zscore_events(spark, d):
 def zscore_lines(spark, d):
     lines = _branded_lines(spark, d, "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
     keep = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return M.zscore_outliers(lines, ["p_type", "l_returnflag"], "l_extendedprice", keep)
+    return M.zscore_outliers(lines, ["p_type", "l_returnflag"], "l_extendedprice", keep, amounts=True)
 
 
 _ALIGN_SQL = """
@@ -287,7 +290,7 @@ _ALIGN_OUT = """
                    ELSE 'Baixo' END AS alignment_band FROM p
 """
 _COHESION_OUT = """
-    , c AS (SELECT nation, count(*) AS ballots, """ + half_up("avg(percent_aligned)", 2) + """ AS mean_alignment,
+    , c AS (SELECT nation, count(*) AS ballots, """ + exact_mean("percent_aligned") + """ AS mean_alignment,
                    min(percent_aligned) AS min_alignment, max(percent_aligned) AS max_alignment,
                    stddev_samp(percent_aligned) AS sd FROM p GROUP BY nation)
     SELECT nation, ballots, mean_alignment, min_alignment, max_alignment,

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.registry import half_up, query, table
+from catalog.registry import exact_mean, half_up, query, table
 from martloom.functions import (
     blank_to_null,
     cast_losses,
@@ -21,6 +21,7 @@ from martloom.functions import (
     parse_date,
     parse_timestamp,
     party_kind,
+    rounded_money_mean,
     tax_id_or_name,
     trailing_id,
     typed_select,
@@ -460,7 +461,7 @@ def sorted_brands(spark, d):
     """
     SELECT o_orderpriority, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
-           """ + half_up("avg(o_totalprice)", 2) + """ AS mean,
+           """ + exact_mean("o_totalprice") + """ AS mean,
            """ + half_up("stddev_samp(o_totalprice)", 2) + """ AS spread,
            min(o_totalprice) AS lowest, max(o_totalprice) AS highest,
            CAST(((count(*) FILTER (WHERE o_orderstatus = 'F')) * 20000 + count(*)) // (2 * count(*))
@@ -476,7 +477,7 @@ def basic_aggregates(spark, d):
             F.count("*").alias("orders"),
             F.count_distinct("o_custkey").alias("customers"),
             money_sum("o_totalprice").cast("double").alias("total"),
-            F.round(F.avg("o_totalprice"), 2).alias("mean"),
+            rounded_money_mean("o_totalprice").alias("mean"),
             F.round(F.stddev_samp("o_totalprice"), 2).alias("spread"),
             F.min("o_totalprice").alias("lowest"),
             F.max("o_totalprice").alias("highest"),

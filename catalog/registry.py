@@ -30,3 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def half_up(expr: str, digits: int) -> str:
     """DuckDB text that rounds a double the way Spark does, half away from zero."""
     return f"CAST(round(CAST({expr} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+
+
+def exact_mean(column: str) -> str:
+    """DuckDB text for the mean of two-digit values, rounded half up in whole numbers."""
+    cents = f"CAST(sum(CAST({column} AS DECIMAL(18,2))) * 100 AS HUGEINT)"
+    return f"CAST(({cents} * 2 + count({column})) // (count({column}) * 2) AS DOUBLE) / 100"

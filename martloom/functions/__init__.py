@@ -4,7 +4,16 @@ from martloom.functions.bands import band_at_least, band_at_most, band_below, ye
 from martloom.functions.casts import cast_losses, parse_date, parse_timestamp, typed_select
 from martloom.functions.dates import DATE_PARTS, date_parts, month_label, week_label
 from martloom.functions.hashing import hash_key
-from martloom.functions.numbers import exact_percent, money, money_sum, percent, ratio
+from martloom.functions.numbers import (
+    cents_sum,
+    exact_percent,
+    money,
+    money_mean,
+    money_sum,
+    percent,
+    ratio,
+    rounded_money_mean,
+)
 from martloom.functions.text import (
     blank_to_null,
     digits_only,
@@ -22,12 +31,14 @@ __all__ = [
     "band_below",
     "blank_to_null",
     "cast_losses",
+    "cents_sum",
     "date_parts",
     "digits_only",
     "exact_percent",
     "hash_key",
     "id_after",
     "money",
+    "money_mean",
     "money_sum",
     "month_label",
     "norm_text",
@@ -36,6 +47,7 @@ __all__ = [
     "party_kind",
     "percent",
     "ratio",
+    "rounded_money_mean",
     "tax_id_or_name",
     "trailing_id",
     "typed_select",

@@ -13,19 +13,39 @@ def money(c: str | Column) -> Column:
     return as_col(c).cast("decimal(18,2)")
 
 
-def money_sum(c: str | Column) -> Column:
-    """Exact sum of two-digit amounts held as doubles, as a two-digit decimal.
+def cents_sum(c: str | Column) -> Column:
+    """Exact sum, in whole cents, of two-digit amounts held as doubles.
 
-    Whole cents are added as longs, which stays fast; high and low parts are
-    added apart, so no total overflows.
+    Cents are added as longs, which stays fast; high and low parts are added
+    apart, so no total overflows.
     """
     cents = F.floor(as_col(c) * 100 + 0.5)
     base = 1_000_000_000
     rest = F.pmod(cents, F.lit(base))
     high, low = F.sum(((cents - rest) / base).cast("bigint")), F.sum(rest)
-    wide = "decimal(28,0)"
-    total = high.cast(wide) * F.lit(base).cast("decimal(10,0)") + low.cast(wide)
-    return (total / F.lit(100).cast("decimal(3,0)")).cast("decimal(38,2)")
+    wide = "decimal(27,0)"
+    return high.cast(wide) * F.lit(base).cast("decimal(10,0)") + low.cast(wide)
+
+
+def money_sum(c: str | Column) -> Column:
+    """Exact sum of two-digit amounts held as doubles, as a two-digit decimal."""
+    return (cents_sum(c) / F.lit(100).cast("decimal(3,0)")).cast("decimal(38,2)")
+
+
+def money_mean(c: str | Column) -> Column:
+    """Mean of two-digit amounts as a double that does not depend on the order of the rows."""
+    return F.try_divide(cents_sum(c).cast("double"), F.count(as_col(c)) * F.lit(100.0))
+
+
+def rounded_money_mean(c: str | Column) -> Column:
+    """Mean of two-digit amounts rounded half up to two digits, exactly.
+
+    A mean of doubles that lies on a half cent goes up or down by the order
+    of its rows.
+    """
+    total, n = cents_sum(c), F.count(as_col(c))
+    halves = F.call_function("div", F.abs(total) * 2 + n, F.when(n > 0, n * 2))
+    return F.signum(total.cast("double")) * halves / 100
 
 
 def ratio(part: str | Column, whole: str | Column, digits: int = 4) -> Column:

@@ -264,6 +264,7 @@ def anomalias_despesas(
         "media_grupo",
         "desvio_grupo",
         "classificacao_anomalia",
+        amounts=True,
     )
     category = Dim(
         dim_categoria,

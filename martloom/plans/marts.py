@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from martloom.functions import bands as B
 from martloom.functions.columns import as_col, as_list
 from martloom.functions.dates import iso_year, week_label
-from martloom.functions.numbers import exact_percent, money_sum, percent, ratio
+from martloom.functions.numbers import (
+    exact_percent,
+    money_mean,
+    money_sum,
+    percent,
+    ratio,
+    rounded_money_mean,
+)
 from martloom.operators.aggregates import conditional_counts, distinct_counts, majority, sorted_set
 from martloom.operators.ranks import global_ranks, share_of_max, top_n_per_group
 from martloom.operators.star import Dim, star_join
@@ -218,20 +225,28 @@ def zscore_outliers(
     mean_name: str = "group_mean",
     spread_name: str = "group_stddev",
     band_name: str = "outlier_band",
+    amounts: bool = False,
 ) -> DataFrame:
     """Standard score of each row within its group, with a band on its rounded size.
 
     Groups without spread (one row, or all values equal) are left out. The
     statistics are aggregated, so they combine map-side and a group may be
     of any size; a window would bring each group into one task. They are
-    joined back on a key that is unique on their side.
+    joined back on a key that is unique on their side. ``amounts`` says that
+    the values are two-digit amounts, whose means are then exact.
     """
     group = as_list(group)
+    mean = money_mean(value) if amounts else F.avg(value)
+    shown_mean = rounded_money_mean(value) if amounts else F.round(F.avg(value), 2)
     stats = (
         df.groupBy(*group)
-        .agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
+        .agg(
+            mean.alias("_mean"),
+            shown_mean.alias(mean_name),
+            F.stddev_samp(value).alias("_sd"),
+        )
         .filter(F.col("_sd") > 0)
-        .withColumns({mean_name: F.round("_mean", 2), spread_name: F.round("_sd", 2)})
+        .withColumn(spread_name, F.round("_sd", 2))
     )
     z = F.round(F.try_divide(F.col(value) - F.col("_mean"), F.col("_sd")), 2)
     return (
@@ -283,11 +298,12 @@ def cohesion(
 ) -> DataFrame:
     """Per group over its alignment percentages: count, mean, range, spread, bands.
 
-    The band looks at the rounded mean, the low-spread flag at the unrounded
+    The percentages have two digits, so their mean is exact. The band looks at
+    the rounded mean, the low-spread flag at the unrounded
     deviation; a single ballot has no deviation and no low spread.
     """
     p = F.col(percent_name)
-    mean = F.round(F.avg(p), 2)
+    mean = rounded_money_mean(p)
     return aligned.groupBy(*as_list(group)).agg(
         F.count("*").alias("ballots"),
         mean.alias("mean_alignment"),

@@ -117,3 +117,11 @@ def test_money_sums_are_exact_for_any_sign_and_size(spark):
     many = spark.range(2000).select(F.lit(9e15).alias("v"))
     assert many.select(M.money_sum("v").cast("string")).head()[0] == "18000000000000000000.00"
     assert spark.createDataFrame([], "v double").select(M.money_sum("v")).head()[0] is None
+
+
+def test_money_means_round_half_cents_away_from_zero(spark):
+    for values, want in (((0.01, 0.02), 0.02), ((-0.01, -0.02), -0.02), ((1.0, 2.0, 2.0), 1.67), ((), None)):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        assert df.select(M.rounded_money_mean("v")).head()[0] == want
+    df = spark.createDataFrame([(0.1,), (None,), (0.2,)], "v double")
+    assert df.select(M.rounded_money_mean("v"), F.round(M.money_mean("v"), 6)).head() == (0.15, 0.15)
