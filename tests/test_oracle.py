@@ -23,5 +23,5 @@ def test_query_agrees_with_oracle(spark, duck, name):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["year", "month", "year_month", "nation", "members", "rows", "total", "rank"]
+    assert sorted(df.columns) == sorted("year month year_month nation members rows total rank".split())
     assert df.filter("rank > 10").isEmpty() and not df.isEmpty()
