@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import licences, pii, quality
+from martloom.llm import bpe, licences, pii, quality
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    text = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(text, 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
