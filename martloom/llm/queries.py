@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, licences, pii, quality
+from martloom.llm import bpe, langid, licences, pii, quality
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text, 256).alias("ids_sha256"),
         F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_langid")
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(crc_mod("doc_id", 4) != 2), public_tokenizers.path("piece_bpe_32k.model"))
+    predicted = langid.predict(docs, model)
+    return predicted.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
