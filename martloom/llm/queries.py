@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, langid, licences, pii, quality
+from martloom.llm import bpe, decontaminate, langid, licences, pii, quality
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(crc_mod("doc_id", 4) != 2), public_tokenizers.path("piece_bpe_32k.model"))
     predicted = langid.predict(docs, model)
     return predicted.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
