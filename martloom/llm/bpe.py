@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 # Primes: a pair's two places in the table are its key's remainders. The pairs of a file of 50,000 pieces fill about half.
 _PLACES = (262139, 249989)
 _SPREAD = 1_000_003
