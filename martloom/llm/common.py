@@ -123,3 +123,16 @@ def counts_by_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` in each row."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+# A-Z lower-cased; everything but digits, letters and bytes beyond ASCII becomes a blank.
+_PLAIN = np.array(
+    [c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8
+)
+
+
+def plain_words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Like ``words_of``, for runs of letters, digits and characters beyond ASCII."""
+    raw, offsets = text_bytes(texts)
+    plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(_PLAIN[raw]))
+    return words_of(plain, lower=False)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontaminate, langid, licences, pii, quality
+from martloom.llm import bpe, decontaminate, hmm, langid, licences, pii, quality
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,20 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_decontaminate")
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_lm_score")
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = docs.where(crc_mod("doc_id", 5) != 1)
+    counts = hmm.count_words(learn)
+    scored = hmm.score(docs, counts, hmm.fit(learn, counts))
+    return scored.select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(counts.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
