@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontaminate, hmm, jaccard, langid, licences, pii, quality
+from martloom.llm import bpe, decontaminate, hmm, jaccard, langid, licences, pii, quality, substrings
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,30 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard")
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substrings")
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = substrings.find(docs).select(
+        "doc_id",
+        "text_hash",
+        F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long").alias("removed"),
+        F.size("spans").cast("long").alias("spans"),
+        F.sha2("left", 256).alias("left_sha256"),
+    )
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("text_hash"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("whole_sha256"),
+    )
+    joined = rows.join(found.dropDuplicates(["doc_id", "text_hash"]), ["doc_id", "text_hash"], "left")
+    return joined.select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("left_sha256", "whole_sha256").alias("kept_sha256"),
+    )
