@@ -41,8 +41,8 @@ THRESHOLD = 0.6
 OVERLAP = 0.5
 MIN_WORDS = 6
 RUN = 3
-STRIDE = 64
-BLOCK_ITEMS = 16
+STRIDE = 96
+BLOCK_ITEMS = 4
 BLOCKS_AT_ONCE = 64
 ITEMS_AT_ONCE = 20_000
 K1, B = 1.2, 0.75
@@ -66,6 +66,14 @@ def build_index(items: list[tuple[int, list[str]]]) -> dict | None:
         term += [terms[w] for w in own]
         place += [i] * len(own)
         impact += [x / total for x in own.values()]
+    # terms are numbered by their largest impact, so that sorting by term sorts by impact
+    largest = np.zeros(len(terms))
+    np.maximum.at(largest, term, impact)
+    ranked = np.argsort(largest, kind="stable")
+    number = np.empty(len(terms), np.int64)
+    number[ranked] = np.arange(len(terms))
+    names = list(terms)
+    term = number[term]
     order = np.argsort(term, kind="stable")
     term, place, impact = np.array(term)[order], np.array(place)[order], np.array(impact, np.float64)[order]
     blocks = (len(items) - 1) // BLOCK_ITEMS + 1
@@ -73,7 +81,7 @@ def build_index(items: list[tuple[int, list[str]]]) -> dict | None:
     np.maximum.at(block_max, (term, place // BLOCK_ITEMS), impact.astype(np.float32) * np.float32(1.000001))
     return {
         "ids": [i for i, _ in items],
-        "words": list(terms),
+        "words": [names[i] for i in ranked],
         "starts": np.searchsorted(term, np.arange(len(terms) + 1)),
         "place": place,
         "impact": impact,
@@ -107,14 +115,13 @@ def search(texts: pa.Array, index: dict) -> list[tuple[int, int, float, float, f
     number = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
     start = offsets[:-1][row] + number * STRIDE
     end = np.minimum(start + length, offsets[1:][row])
-    passage = np.repeat(np.arange(len(row)), end - start)
-    at = np.arange(len(passage)) - np.repeat(np.cumsum(end - start) - (end - start), end - start) + np.repeat(start, end - start)
-    known = terms[at] >= 0
-    pairs = np.unique(passage[known] * len(index["words"]) + terms[at[known]])
+    known = np.flatnonzero(terms >= 0)
+    low, high = np.searchsorted(known, start), np.searchsorted(known, end)
+    passage = np.repeat(np.arange(len(row)), high - low)
+    at = np.arange(len(passage)) + np.repeat(low - np.cumsum(high - low) + (high - low), high - low)
+    pairs = np.unique(passage * len(index["words"]) + terms[known[at]])
+    # in order of impact; terms of small impact that cannot reach the threshold together are not essential
     passage, term = pairs // len(index["words"]), pairs % len(index["words"])
-    # terms of small impact that cannot reach the threshold together are not essential
-    order = np.lexsort((index["term_max"][term], passage))
-    passage, term = passage[order], term[order]
     added = np.cumsum(index["term_max"][term])
     first = np.searchsorted(passage, np.arange(len(row) + 1))
     before = np.concatenate([[0.0], added])[first[:-1]]
@@ -122,7 +129,7 @@ def search(texts: pa.Array, index: dict) -> list[tuple[int, int, float, float, f
     live = np.flatnonzero(total >= THRESHOLD)
     if not len(live):
         return []
-    keep = np.isin(passage, live)
+    keep = (total >= THRESHOLD)[passage]
     passage, term, essential = passage[keep], term[keep], (added - before[passage])[keep] >= THRESHOLD
     new = np.searchsorted(live, passage)
     begins = np.searchsorted(new, np.arange(len(live)))
