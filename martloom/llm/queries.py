@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontaminate, hmm, jaccard, langid, licences, pii, quality, substrings
+from martloom.llm import bpe, decontaminate, embeddings, hmm, jaccard, langid, licences, pii, quality, substrings
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,9 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("left_sha256", "whole_sha256").alias("kept_sha256"),
     )
+
+
+@query("op7_embeddings")
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
