@@ -68,9 +68,6 @@ def operators(spark, d):
         "op_ranks_few_values": lambda: global_ranks(lineitem(spark, d), "l_quantity", "dense", "pct"),
         "op_ranks_many_values": lambda: global_ranks(lineitem(spark, d), "l_extendedprice", "dense", "pct"),
         "op_dense_key": lambda: dense_key(lineitem(spark, d), ["l_shipdate", "l_orderkey"], "sk"),
-        "op_dense_key_range": lambda: dense_key(
-            lineitem(spark, d), ["l_shipdate", "l_orderkey"], "sk", "range"
-        ),
         "op_dedupe": lambda: dedupe(lineitem(spark, d), ["l_orderkey", "l_linenumber"], "l_shipdate"),
     }
 

@@ -317,7 +317,7 @@ def dense_key_range_lineitem(spark, d):
     rows = table(spark, d, "lineitem").select(
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     )
-    return dense_key(rows, ["l_shipdate", "l_orderkey", "l_linenumber"], "sk", method="range")
+    return dense_key(rows, ["l_shipdate", "l_orderkey", "l_linenumber"], "sk")
 
 
 @query(
@@ -388,7 +388,7 @@ def global_ranks_orders(spark, d):
 )
 def global_ranks_histogram_orders(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return global_ranks(orders, "o_totalprice", "dense", "pct", method="histogram")
+    return global_ranks(orders, "o_totalprice", "dense", "pct")
 
 
 @query(
@@ -397,7 +397,7 @@ def global_ranks_histogram_orders(spark, d):
 )
 def global_ranks_range_orders(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return global_ranks(orders, "o_totalprice", "dense", "pct", method="range")
+    return global_ranks(orders, "o_totalprice", "dense", "pct")
 
 
 @query(
@@ -410,7 +410,7 @@ def global_ranks_range_quantity(spark, d):
     lines = table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     )
-    return global_ranks(lines, "l_quantity", "dense", "pct", method="range")
+    return global_ranks(lines, "l_quantity", "dense", "pct")
 
 
 # --- aggregates ---------------------------------------------------------------

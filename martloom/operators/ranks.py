@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.columns import as_list
 from martloom.operators.placement import place, with_offsets
-from martloom.session import ONE_TASK_ROWS, checkpointed, fits_one_task
+from martloom.session import checkpointed
 
 
 def top_n_per_group(
@@ -38,35 +38,20 @@ def global_ranks(
     score: str,
     dense_desc: str | None = None,
     percent_asc: str | None = None,
-    method: str = "auto",
     stored: bool = False,
 ) -> DataFrame:
     """Dense rank by descending score and percent rank by ascending score.
 
-    - ``window`` sorts the table in one task.
-    - ``histogram`` sorts only the distinct scores in one task and joins
-      their ranks back.
-    - ``range`` ranks the distinct scores over range partitions and joins
-      back, so that no task sees more than its share.
-    - ``auto`` takes the window when the table is small by Spark's estimate
-      or by count, else the histogram when its distinct scores are few by
-      count, else the ranges.
+    The distinct scores are ranked over range partitions and joined back, so
+    no task sees more than its share, however few or many scores there are.
 
-    The last two read the scores twice, so the table is checkpointed first
+    The scores are read twice, so the table is checkpointed first
     unless it is ``stored`` already: a mean computed again in another order
     may differ in its last bit and match nothing.
     """
-    if method not in ("auto", "window", "histogram", "range"):
-        raise ValueError(f"unknown method {method!r}")
-    if method == "window" or (method == "auto" and fits_one_task(df)):
-        return _window_ranks(df, score, dense_desc, percent_asc)
     kept = df if stored else checkpointed(df)
-    if method == "auto" and kept.count() <= ONE_TASK_ROWS:
-        return _window_ranks(kept, score, dense_desc, percent_asc)
     histogram = kept.groupBy(F.col(score).alias("_score")).agg(F.count("*").alias("_n"))
-    if method == "auto":
-        method = "histogram" if histogram.count() <= ONE_TASK_ROWS else "range"
-    counted = _in_one_task(histogram) if method == "histogram" else _in_ranges(histogram)
+    counted = _in_ranges(histogram)
     out = []
     if dense_desc:
         out.append((F.col("_values") - F.col("_nth") + 1).alias(dense_desc))
@@ -78,32 +63,8 @@ def global_ranks(
     return kept.join(ranks, F.col(score).eqNullSafe(F.col("_score")), "inner").drop("_score")
 
 
-def _window_ranks(df, score, dense_desc, percent_asc):
-    out = {}
-    if dense_desc:
-        descending = Window.orderBy(F.col(score).desc_nulls_last())
-        out[dense_desc] = F.dense_rank().over(descending).cast("bigint")
-    if percent_asc:
-        out[percent_asc] = F.percent_rank().over(Window.orderBy(F.col(score).asc_nulls_first()))
-    return df.withColumns(out)
-
-
-def _in_one_task(histogram: DataFrame) -> DataFrame:
-    """Add to each distinct score its place, the rows up to it, and both totals."""
-    ascending = Window.orderBy(F.col("_score").asc_nulls_first())
-    everything = Window.partitionBy()
-    return histogram.select(
-        "_score",
-        "_n",
-        F.row_number().over(ascending).cast("bigint").alias("_nth"),
-        F.sum("_n").over(ascending).alias("_upto"),
-        F.count("*").over(everything).alias("_values"),
-        F.sum("_n").over(everything).alias("_rows"),
-    )
-
-
 def _in_ranges(histogram: DataFrame) -> DataFrame:
-    """The same as ``_in_one_task``, over range partitions."""
+    """Add to each distinct score its place, the rows up to it, and both totals."""
     placed = with_offsets(
         place(histogram, [F.col("_score").asc_nulls_first()]),
         {"_values": F.count("*"), "_rows": F.sum("_n")},

@@ -21,7 +21,7 @@ from martloom.functions.numbers import (
 from martloom.operators.aggregates import conditional_counts, distinct_counts, majority, sorted_set
 from martloom.operators.ranks import global_ranks, share_of_max, top_n_per_group
 from martloom.operators.star import Dim, star_join
-from martloom.session import checkpointed, fits_one_task
+from martloom.session import checkpointed
 
 
 def concentration_index(
@@ -330,7 +330,6 @@ def engagement_score(
     score_name: str = "score",
     rank_name: str = "rank",
     percentile_name: str = "percentile",
-    method: str = "auto",
 ) -> DataFrame:
     """Score members by 40 % events attended and 60 % ballots taken part in.
 
@@ -346,13 +345,12 @@ def engagement_score(
     )
     counted = members.select(member, *attributes).join(attended, member).join(voted, member)
     # one row per member, read for the maxima, the ranks and the result
-    if method != "window" and not fits_one_task(counted):
-        counted = checkpointed(counted)
+    counted = checkpointed(counted)
     shares = share_of_max(counted, {events_name: "_events", ballots_name: "_ballots"})
     scored = shares.withColumn(
         score_name, F.col("_events") * F.lit(0.4) + F.col("_ballots") * F.lit(0.6)
     ).drop("_events", "_ballots")
-    return global_ranks(scored, score_name, rank_name, percentile_name, method, stored=True)
+    return global_ranks(scored, score_name, rank_name, percentile_name, stored=True)
 
 
 def engagement_by_group(
@@ -360,7 +358,6 @@ def engagement_by_group(
     group: str,
     score: str = "score",
     rank_name: str = "rank",
-    method: str = "auto",
 ) -> DataFrame:
     """Members, mean, best and worst score per group; rank and band by the unrounded mean."""
     base = scores.groupBy(group).agg(
@@ -369,7 +366,7 @@ def engagement_by_group(
         F.max(score).alias("_max"),
         F.min(score).alias("_min"),
     )
-    ranked = global_ranks(base, "_mean", dense_desc=rank_name, method=method)
+    ranked = global_ranks(base, "_mean", dense_desc=rank_name)
     return ranked.select(
         group,
         "members",

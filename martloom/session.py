@@ -1,19 +1,15 @@
-"""Session defaults, and the two facts operators ask a session for.
+"""Session defaults, and the shared folder operators store steps in.
 
 Operators take DataFrames and never build a session themselves.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A frame Spark estimates below this many bytes may pass through one task.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-# The same limit for a frame whose rows have been counted.
-ONE_TASK_ROWS = 500_000
-
 
 def get_session(app_name: str = "martloom", **conf) -> SparkSession:
     """A session with the settings the library is tested with.
@@ -45,17 +41,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="martloom-checkpoint-")
         sc.setCheckpointDir(shared)
     return df.checkpoint()
-
-
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    """True if Spark's own size estimate of ``df`` is at most ``limit`` bytes.
-
-    It is the estimate Spark uses to choose broadcast joins: file sizes
-    at the leaves, products at joins, and a huge default when unknown.
-    """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit

@@ -32,12 +32,11 @@ def test_dedupe_does_not_depend_on_input_order(spark):
         assert rows(dedupe(df, "k", "at")) == want
 
 
-@pytest.mark.parametrize("method", ["window", "range", "auto"])
-def test_dense_key(spark, method):
+def test_dense_key(spark):
     rng = random.Random(1)
     names = [f"n{rng.randrange(10**6)}" for _ in range(3000)] + [None]
     df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, id int").repartition(7)
-    got = dense_key(df, "name", "sk", method)
+    got = dense_key(df, "name", "sk")
     assert got.columns == ["sk", "name", "id"]
     ordered = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] or "", i))
     assert {r.id: r.sk for r in got.collect()} == {i: n + 1 for n, i in enumerate(ordered)}
@@ -45,19 +44,18 @@ def test_dense_key(spark, method):
 
 def test_dense_key_of_nothing(spark):
     df = spark.createDataFrame([], "name string")
-    assert dense_key(df, "name", "sk", "range").count() == 0
+    assert dense_key(df, "name", "sk").count() == 0
 
 
-@pytest.mark.parametrize("method", ["window", "range"])
-def test_stable_key_keeps_numbers(spark, method):
+def test_stable_key_keeps_numbers(spark):
     first = spark.createDataFrame([("b",), ("d",), (None,)], "nk string")
-    held = stable_key(first, None, "nk", "sk", method)
+    held = stable_key(first, None, "nk", "sk")
     assert rows(held, "nk", "sk") == [(None, 1), ("b", 2), ("d", 3)]
     second = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "nk string")
-    got = stable_key(second, held, "nk", "sk", method)
+    got = stable_key(second, held, "nk", "sk")
     assert rows(got, "nk", "sk") == [(None, 1), ("a", 4), ("b", 2), ("c", 5)]
     # a key that left does not free its number
-    again = stable_key(spark.createDataFrame([("d",), ("e",)], "nk string"), held, "nk", "sk", method)
+    again = stable_key(spark.createDataFrame([("d",), ("e",)], "nk string"), held, "nk", "sk")
     assert rows(again, "nk", "sk") == [("d", 3), ("e", 4)]
 
 
@@ -82,10 +80,9 @@ def test_share_of_max(spark):
     [5.0], [1.0, 1.0, 1.0], [3.0, 1.0, 2.0, 2.0, None], [float(i % 17) for i in range(500)],
     [random.Random(3).random() for _ in range(700)],
 ])
-@pytest.mark.parametrize("method", ["histogram", "range"])
-def test_ranks_of_distinct_scores_equal_window_ranks(spark, values, method):
+def test_ranks_of_distinct_scores_equal_window_ranks(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double").repartition(6)
-    got = rows(global_ranks(df, "v", "dense", "pct", method), "id", "dense", "pct")
+    got = rows(global_ranks(df, "v", "dense", "pct"), "id", "dense", "pct")
     plain = df.select(
         "id",
         F.dense_rank().over(Window.orderBy(F.col("v").desc_nulls_last())).cast("bigint"),
@@ -100,4 +97,4 @@ def test_ranks_of_averages_match_themselves(spark):
     data = [(i % 40, rng.random() * 10 ** rng.randrange(-8, 8)) for i in range(4000)]
     df = spark.createDataFrame(data, "g int, v double").repartition(16)
     means = df.groupBy("g").agg(F.avg("v").alias("m"))
-    assert global_ranks(means, "m", "dense", method="range").count() == 40
+    assert global_ranks(means, "m", "dense").count() == 40
