@@ -11,21 +11,40 @@ from martloom.functions.columns import as_list
 from martloom.operators.dedupe import dedupe
 
 
+# True, False, or the key columns in which NULL equals NULL.
+NullSafe = bool | list[str]
+
+
+def _is_safe(key: str, null_safe: NullSafe) -> bool:
+    return null_safe if isinstance(null_safe, bool) else key in null_safe
+
+
+def key_matches(left: str, right: str, keys: list[str], null_safe: NullSafe) -> list[Column]:
+    """Equality of the keys under two aliases."""
+    return [
+        (Column.eqNullSafe if _is_safe(k, null_safe) else Column.__eq__)(
+            F.col(f"{left}.{k}"), F.col(f"{right}.{k}")
+        )
+        for k in keys
+    ]
+
+
 def _all(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
 def newest_per_key(
-    source: DataFrame, keys: list[str], newest_by: str | list[str] | None, null_safe: bool
+    source: DataFrame, keys: list[str], newest_by: str | list[str] | None, null_safe: NullSafe
 ) -> DataFrame:
     """The source rows an upsert may apply.
 
-    Without ``null_safe`` a row with a NULL in its key equals no other row,
-    so all such rows stay.
+    A row with a NULL in a key column that is not compared ``null_safe``
+    equals no other row, so all such rows stay.
     """
-    if null_safe:
+    strict = [k for k in keys if not _is_safe(k, null_safe)]
+    if not strict:
         return dedupe(source, keys, newest_by)
-    complete = _all([F.col(k).isNotNull() for k in keys])
+    complete = _all([F.col(k).isNotNull() for k in strict])
     return dedupe(source.filter(complete), keys, newest_by).unionByName(source.filter(~complete))
 
 
@@ -35,56 +54,67 @@ def upsert(
     keys: str | list[str],
     update_map: dict[str, str] | None = None,
     newest_by: str | list[str] | None = None,
-    null_safe: bool = False,
+    null_safe: NullSafe = False,
 ) -> DataFrame:
     """Rows of ``target`` after matched updates and unmatched inserts from ``source``.
 
     Matched rows take all non-key columns of the source, or only those in
     ``update_map`` ({target column: source column}). The source is reduced
     to its newest row per key first. Keys are compared with ``=``, under
-    which NULL matches nothing; ``null_safe`` compares NULLs as equal.
+    which NULL matches nothing; ``null_safe`` (or the columns it lists) compares NULLs as equal.
+    Without ``update_map`` a source column the target lacks, other than ``newest_by``, is
+    an error.
 
     The target is only ever joined against the source's keys. With a batch
     small enough to broadcast it is therefore streamed through, not shuffled.
     """
     keys = as_list(keys)
+    if update_map is None:
+        require_known_columns(target, source, newest_by)
     newest = newest_per_key(source, keys, newest_by, null_safe)
     return apply_newest(target, newest, keys, update_map, null_safe)
 
 
+def require_known_columns(
+    target: DataFrame, source: DataFrame, newest_by: str | list[str] | None
+) -> None:
+    extra = [c for c in source.columns if c not in target.columns and c not in as_list(newest_by or [])]
+    if extra:
+        raise ValueError(f"the target lacks the source columns {extra}")
+
+
 def apply_newest(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
     update_map: dict[str, str] | None = None,
-    null_safe: bool = False,
+    null_safe: NullSafe = False,
 ) -> DataFrame:
     """``upsert`` with a source that ``newest_per_key`` has been applied to."""
-    equal = Column.eqNullSafe if null_safe else Column.__eq__
-
     def matches(left: str, right: str) -> list[Column]:
-        return [equal(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys]
+        return key_matches(left, right, keys, null_safe)
 
     t, s = target.alias("t"), source.alias("s")
     if update_map is None:
         kept = t.join(source.select(*keys).alias("s"), matches("t", "s"), "left_anti")
         return kept.unionByName(source.select(*target.columns))
 
-    hit = F.col("s._hit")
-    updated = t.join(source.withColumn("_hit", F.lit(True)).alias("s"), matches("t", "s"), "left")
-    updated = updated.select(
-        *[
-            F.when(hit, F.col(f"s.{update_map[c]}")).otherwise(F.col(f"t.{c}")).alias(c)
-            if c in update_map
-            else F.col(f"t.{c}")
-            for c in target.columns
-        ]
+    # one full join: matched rows are updated, the others pass from their side
+    joined = (
+        target.withColumn("_in_target", F.lit(True))
+        .alias("t")
+        .join(source.withColumn("_in_source", F.lit(True)).alias("s"), matches("t", "s"), "full")
     )
-    held = target.select(*keys).alias("t").join(
-        source.select(*keys).alias("s"), matches("t", "s"), "left_semi"
-    )
-    inserted = s.join(held.alias("h"), matches("s", "h"), "left_anti")
-    return updated.unionByName(inserted, allowMissingColumns=True).select(*target.columns)
+    old, new = F.col("t._in_target").isNotNull(), F.col("s._in_source").isNotNull()
+
+    def value(c: str) -> Column:
+        kept = F.col(f"t.{c}")
+        if c in update_map:
+            kept = F.when(new, F.col(f"s.{update_map[c]}")).otherwise(kept)
+        inserted = F.col(f"s.{c}") if c in source.columns else F.lit(None)
+        return F.when(old, kept).otherwise(inserted).alias(c)
+
+    return joined.select(*[value(c) for c in target.columns])
 
 
 def upsert_where(
@@ -96,20 +126,28 @@ def upsert_where(
     """Upsert on a free condition over the aliases ``dest`` and ``orig``.
 
     A matched target row becomes the source row, an unmatched source row is
-    inserted. ``target_key`` identifies a target row; the job fails when two
-    source rows match the same one, as no order between them is defined.
-    The condition should contain an equality, or Spark has to compare all
-    pairs.
+    inserted. ``target_key`` identifies a target row, NULLs in it equal to nothing; the
+    job fails when two source rows match the same one, as no order between them is
+    defined. Without an equality in the condition Spark would compare all pairs.
     """
     condition = F.expr(condition) if isinstance(condition, str) else condition
     target_key = as_list(target_key)
-    d, o = target.alias("dest"), source.alias("orig")
-    kept = d.join(o, condition, "left_anti")
-    inserted = o.join(d, condition, "left_anti")
-    per_row = Window.partitionBy(*[F.col(f"dest.{k}") for k in target_key])
-    matched = d.join(o, condition, "inner").withColumn("_matches", F.count("*").over(per_row))
+    joined = (
+        target.withColumn("_in_target", F.lit(True))
+        .alias("dest")
+        .join(source.withColumn("_in_source", F.lit(True)).alias("orig"), condition, "full")
+    )
+    old, new = F.col("dest._in_target").isNotNull(), F.col("orig._in_source").isNotNull()
+    complete = _all([F.col(f"dest.{k}").isNotNull() for k in target_key])
+    matched = old & new & complete
+    per_row = Window.partitionBy(matched, *[F.col(f"dest.{k}") for k in target_key])
+    # only matched rows with a whole key can be matched twice; the others go past the count
+    counted = joined.filter(matched).withColumn("_matches", F.count("*").over(per_row))
     once = F.when(F.col("_matches") == 1, F.lit(True)).otherwise(
         F.raise_error(F.lit("several source rows match one target row"))
     )
-    replaced = matched.filter(once).select(*[F.col(f"orig.{c}") for c in target.columns])
-    return kept.unionByName(replaced).unionByName(inserted.select(*target.columns))
+    replaced = counted.filter(once).select(*[F.col(f"orig.{c}") for c in target.columns])
+    others = joined.filter(~matched).select(
+        *[F.when(new, F.col(f"orig.{c}")).otherwise(F.col(f"dest.{c}")).alias(c) for c in target.columns]
+    )
+    return others.unionByName(replaced)

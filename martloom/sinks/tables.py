@@ -14,13 +14,18 @@ Neither protects against two writers at once.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.columns import as_list
-from martloom.operators.upsert import apply_newest, newest_per_key
+from martloom.operators.upsert import (
+    NullSafe,
+    apply_newest,
+    key_matches,
+    newest_per_key,
+    require_known_columns,
+)
 from martloom.session import checkpointed
 
 
@@ -77,7 +82,7 @@ def upsert_table(
     keys: str | list[str],
     update_map: dict[str, str] | None = None,
     newest_by: str | list[str] | None = None,
-    null_safe: bool = False,
+    null_safe: NullSafe = False,
     keys_fix_partition: bool = False,
     fmt: str = "parquet",
 ) -> None:
@@ -91,41 +96,37 @@ def upsert_table(
     keys = as_list(keys)
     target = spark.table(table)
     # read several times below, so it is worked out once
-    source = checkpointed(newest_per_key(source, keys, newest_by, null_safe))
+    if update_map is None:
+        require_known_columns(target, source, newest_by)
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    # a catalog keeps the empty text as the NULL partition
+    texts = [p for p in parts if isinstance(target.schema[p].dataType, T.StringType)]
+    source = source.withColumns({p: F.when(F.col(p) != "", F.col(p)) for p in texts})
+    source = checkpointed(newest_per_key(source, keys, newest_by, null_safe))
     if not parts:
         replace(apply_newest(target, source, keys, update_map, null_safe), table, fmt)
         return
 
     touched = source.select(*parts).distinct()
     if not keys_fix_partition:
-        equal = Column.eqNullSafe if null_safe else Column.__eq__
-        s = source.select(*keys).alias("s")
-        same = [equal(F.col(f"t.{k}"), F.col(f"s.{k}")) for k in keys]
-        old = target.alias("t").join(s, same, "left_semi").select(*parts)
-        touched = touched.union(old).distinct()
-    # one row per rewritten partition, the list a catalog holds as well
-    touched_rows = touched.collect()
-    if not touched_rows:
+        sought = source.select(*keys).alias("s")
+        old = target.alias("t").join(sought, key_matches("t", "s", keys, null_safe), "left_semi")
+        touched = checkpointed(touched.union(old.select(*parts)).distinct())
+    if touched.isEmpty():
         return
-    here = reduce(
-        lambda a, b: a | b,
-        [
-            reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in parts])
-            for row in touched_rows
-        ],
-    )
-    merged = apply_newest(target.filter(here), source, keys, update_map, null_safe)
+    here = [F.col(f"t.{p}").eqNullSafe(F.col(f"p.{p}")) for p in parts]
+    read = target.alias("t").join(touched.alias("p"), here, "left_semi")
+    merged = apply_newest(read, source, keys, update_map, null_safe).select(*target.columns)
     if not keys_fix_partition:
         merged = checkpointed(merged)
-    merged = merged.hint("rebalance", *[F.col(p) for p in parts])
+    rebalanced = merged.hint("rebalance", *[F.col(p) for p in parts])
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        merged.write.mode("overwrite").insertInto(table)
+        rebalanced.write.mode("overwrite").insertInto(table)
     if not keys_fix_partition:
-        filled = {tuple(r) for r in merged.select(*parts).distinct().collect()}
-        for row in touched_rows:
-            if tuple(row) not in filled:
-                _drop_partition(spark, table, parts, row)
+        left = merged.select(*parts).distinct()
+        empty = touched.alias("t").join(left.alias("p"), here, "left_anti")
+        for row in empty.collect():  # partitions all of whose rows moved away
+            _drop_partition(spark, table, parts, row)
 
 
 @contextmanager
@@ -141,10 +142,15 @@ def _setting(spark: SparkSession, key: str, value: str):
 
 def _drop_partition(spark: SparkSession, table: str, parts: list[str], row) -> None:
     """Remove a partition whose rows have all moved to others."""
-    spec = ", ".join(f"{p} = " + ("NULL" if row[p] is None else f"'{row[p]}'") for p in parts)
+    spec = ", ".join(f"{p} = " + ("NULL" if row[p] is None else _quoted(row[p])) for p in parts)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def _quoted(value) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def _versions(spark: SparkSession, table: str) -> list[int]:
     db, _, name = table.rpartition(".")
     prefix = f"{name}__v".lower()
