@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.hashing import amount_text, hash_key
@@ -18,8 +18,10 @@ from martloom.sources.landed import decode_json
 class BronzeTable:
     """How one kind of landed record becomes a bronze table.
 
-    ``path_keys`` are parent ids found in the path of a landed file,
-    ``keys`` the upsert key; no key means each load replaces the table.
+    ``path_keys`` are parent ids found in the path of a landed file and must be
+    there, ``keys`` the upsert key; no key means each load replaces the table. NULL equals NULL
+    only in the ``optional`` ones. Records without ``unkeyed`` have no key of their own and
+    get one, ``id_registro``, from their file and place in it.
     """
 
     ddl: str
@@ -27,6 +29,8 @@ class BronzeTable:
     path_keys: dict[str, tuple[str, str]] = field(default_factory=dict)
     required: list[str] = field(default_factory=list)
     derived: dict[str, Column] = field(default_factory=dict)
+    optional: list[str] = field(default_factory=list)
+    unkeyed: str | None = None
 
 
 def expense_key() -> Column:
@@ -50,6 +54,7 @@ def tables() -> dict[str, BronzeTable]:
             ["id_frente", "id", "dataInicio"],
             {"id_frente": (r"/frentes/(\d+)", "bigint")},
             ["id"],
+            optional=["dataInicio"],
         ),
         "bronze_eventos": BronzeTable(S.EVENTOS, ["id"], required=["id"]),
         "bronze_eventos_presenca": BronzeTable(
@@ -61,12 +66,13 @@ def tables() -> dict[str, BronzeTable]:
         "bronze_tipo_evento": BronzeTable(S.TIPO_EVENTO, required=["cod"]),
         "bronze_despesas": BronzeTable(
             S.DESPESAS,
-            ["sk_despesa"],
+            ["sk_despesa", "parcela"],
             {
                 "nk_deputado": (r"/deputados/(\d+)", "bigint"),
                 "ano_referencia": (r"/despesas/(\d{4})", "int"),
             },
             derived={"sk_despesa": expense_key()},
+            optional=["parcela"],
         ),
         "bronze_orgaos": BronzeTable(S.ORGAOS, required=["id"]),
         "bronze_orgaos_detalhe": BronzeTable(
@@ -75,9 +81,11 @@ def tables() -> dict[str, BronzeTable]:
         "bronze_votacoes": BronzeTable(S.VOTACOES, ["id"], required=["id"]),
         "bronze_votacoes_votos": BronzeTable(
             S.VOTOS,
-            ["id_votacao", "id_deputado"],
+            ["id_votacao", "id_deputado", "id_registro"],
             {"id_votacao": (r"/votacoes/([^/]+)", "string")},
             derived={"id_deputado": F.col("deputado_.id")},
+            optional=["id_deputado", "id_registro"],
+            unkeyed="id_deputado",
         ),
     }
 
@@ -94,4 +102,16 @@ def bronze(
     rows = rows.withColumnRenamed("source_file", "source_endpoint_detail")
     if table.derived:
         rows = rows.withColumns(table.derived)
+    if table.unkeyed:
+        rows = _keyed_by_place(rows, table.unkeyed)
     return add_audit(rows, F.col("source_endpoint_detail"), batch_id, version, as_of)
+
+
+def _keyed_by_place(rows: DataFrame, part: str) -> DataFrame:
+    """``id_registro`` for records without ``part``: equal ones in a file are told apart by number."""
+    file = F.col("source_endpoint_detail")
+    place = Window.partitionBy(file).orderBy("raw_payload")
+    loose = rows.filter(F.col(part).isNull()).withColumn("_nth", F.row_number().over(place))
+    named = F.sha2(F.concat_ws("|", file, F.col("_nth").cast("string")), 256)
+    keyed = rows.filter(F.col(part).isNotNull()).withColumn("id_registro", F.lit(None).cast("string"))
+    return keyed.unionByName(loose.withColumn("id_registro", named).drop("_nth"))

@@ -12,7 +12,8 @@ from martloom.plans.legislative import bronze as B
 from martloom.plans.legislative import gold as G
 from martloom.plans.legislative import silver as L
 from martloom.sinks import error_rows, future_view, load, quarantine, replace, stamp
-from martloom.sources import read_landed_pages, split_malformed
+from martloom.session import checkpointed
+from martloom.sources import judge, read_landed_pages
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,12 @@ def build_bronze(
     for name, path in landing.items():
         table = known[name]
         records = read_landed_pages(spark, path, table.path_keys)
-        good, bad = split_malformed(records, "raw_payload", table.ddl, table.required)
+        # the landing is read and judged once, and split from there
+        judged = checkpointed(
+            judge(records, "raw_payload", table.ddl, table.required, list(table.path_keys))
+        )
+        good = judged.filter("tipo_erro IS NULL").drop("tipo_erro")
+        bad = judged.filter("tipo_erro IS NOT NULL")
         quarantine(
             error_rows(
                 bad, "source_file", "source_file", "raw_payload", name, batch_id, version, as_of
@@ -63,7 +69,7 @@ def build_bronze(
                 table.keys,
                 partition_by=["ano_ingestao", "mes_ingestao"],
                 newest_by="ingested_at",
-                null_safe=True,
+                null_safe=table.optional,
             )
         else:
             replace(rows, target)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import (
@@ -27,6 +27,8 @@ from martloom.functions import (
     typed_select,
 )
 from martloom.operators import Dim, calendar, dedupe, open_history, scd2_apply, stable_key, star_join
+from martloom.operators.dedupe import tie_break
+from martloom.operators.upsert import newest_per_key
 from martloom.plans.legislative import schemas as S
 from martloom.plans.marts import open_status
 
@@ -405,7 +407,12 @@ def dim_votos_votacoes(bronze_votos: DataFrame, bronze_votacoes: DataFrame) -> D
             INGESTED,
         ],
     )
-    votes = dedupe(votes, ["id_votacao", "nk_deputado"], "bronze_ingested_at")
+    # a vote without voter equals no other; its key counts it within its ballot
+    votes = newest_per_key(votes, ["id_votacao", "nk_deputado"], "bronze_ingested_at", False)
+    place = Window.partitionBy("id_votacao").orderBy(*tie_break(votes, ["id_votacao", "nk_deputado"]))
+    loose = votes.filter(F.col("nk_deputado").isNull()).withColumn("_nth", F.row_number().over(place))
+    known = votes.filter(F.col("nk_deputado").isNotNull()).withColumn("_nth", F.lit(None).cast("int"))
+    votes = known.unionByName(loose)
     ballots = bronze_votacoes.select(
         F.col("id").alias("_id"),
         trailing_id("uriEvento").alias("id_evento"),
@@ -418,7 +425,9 @@ def dim_votos_votacoes(bronze_votos: DataFrame, bronze_votacoes: DataFrame) -> D
     attributes = ["id_evento", "resultado_votacao", "descricao_votacao", "sigla_orgao"]
     joined = star_join(votes, Dim(ballots, [("id_votacao", "_id")], attributes, "left"))
     return joined.select(
-        hash_key("id_votacao", "nk_deputado").alias("nk_voto"),
+        F.when(F.col("_nth").isNull(), hash_key("id_votacao", "nk_deputado"))
+        .otherwise(hash_key("id_votacao", "nk_deputado", "_nth"))
+        .alias("nk_voto"),
         "id_votacao",
         "id_evento",
         "nk_deputado",

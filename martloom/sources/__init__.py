@@ -3,6 +3,7 @@
 from martloom.sources.landed import (
     decode_json,
     explode_pages,
+    judge,
     keep_raw_payload,
     read_landed_pages,
     read_table,
@@ -13,6 +14,7 @@ from martloom.sources.landed import (
 __all__ = [
     "decode_json",
     "explode_pages",
+    "judge",
     "keep_raw_payload",
     "read_landed_pages",
     "read_table",
