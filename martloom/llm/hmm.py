@@ -39,8 +39,8 @@ STATES = 12
 RUN = 128
 END = "\n"
 SLICE = 4 << 20
-# Tokens of the unigram distribution each state's emissions are smoothed with.
-_PRIOR = 50.0
+# Emissions are mixed with the unigram distribution: this share of a state's tokens, and so many more.
+_SHARE, _PRIOR = 0.15, 500.0
 
 
 @dataclass
@@ -215,7 +215,8 @@ def _round(docs: DataFrame, text_col: str, head, unigram: np.ndarray, model: Mod
     if added.num_rows:
         total[added["symbol"].to_numpy()] = np.column_stack([added[n].to_numpy() for n in names])
     plain.destroy()
-    emissions = total[:size] + _PRIOR * (unigram / unigram.sum())[:, None]
+    mixed = _SHARE * total[:size].sum(axis=0) + _PRIOR
+    emissions = total[:size] + mixed * (unigram / unigram.sum())[:, None]
     moves = total[size : size + k] + 0.1
     start, middle = total[size + k] + 0.1, total[size + k + 1] + 0.1
     return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / emissions.sum(axis=0))
