@@ -5,7 +5,7 @@ from martloom.functions.casts import cast_losses, parse_date, parse_timestamp, t
 from martloom.functions.dates import DATE_PARTS, date_parts, month_label, week_label
 from martloom.functions.hashing import hash_key
 from martloom.functions.numbers import (
-    cents_sum,
+    exact_sum,
     exact_percent,
     money,
     money_mean,
@@ -31,7 +31,7 @@ __all__ = [
     "band_below",
     "blank_to_null",
     "cast_losses",
-    "cents_sum",
+    "exact_sum",
     "date_parts",
     "digits_only",
     "exact_percent",

@@ -13,38 +13,39 @@ def money(c: str | Column) -> Column:
     return as_col(c).cast("decimal(18,2)")
 
 
-def cents_sum(c: str | Column) -> Column:
-    """Exact sum, in whole cents, of two-digit amounts held as doubles.
+def exact_sum(c: str | Column) -> Column:
+    """Sum of amounts held as doubles, unrounded to the eighth digit, as ``decimal(38,8)``.
 
-    Cents are added as longs, which stays fast; high and low parts are added
-    apart, so no total overflows.
+    Decimal sums do not depend on the order of the rows. NaN, infinity and amounts of 10^20 and
+    more are errors, not other numbers.
     """
-    cents = F.floor(as_col(c) * 100 + 0.5)
-    base = 1_000_000_000
-    rest = F.pmod(cents, F.lit(base))
-    high, low = F.sum(((cents - rest) / base).cast("bigint")), F.sum(rest)
-    wide = "decimal(27,0)"
-    return high.cast(wide) * F.lit(base).cast("decimal(10,0)") + low.cast(wide)
+    value = as_col(c).cast("double")
+    odd = F.isnan(value) | (F.abs(value) >= 1e20)
+    checked = F.when(odd, F.raise_error(F.lit("amount is not a finite number below 10^20"))).otherwise(value)
+    return F.sum(checked.cast("decimal(28,8)")).cast("decimal(38,8)")
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of two-digit amounts held as doubles, as a two-digit decimal."""
-    return (cents_sum(c) / F.lit(100).cast("decimal(3,0)")).cast("decimal(38,2)")
+    """Exact sum of amounts, rounded once, half up, to a two-digit decimal."""
+    return F.round(exact_sum(c), 2).cast("decimal(38,2)")
 
 
 def money_mean(c: str | Column) -> Column:
-    """Mean of two-digit amounts as a double that does not depend on the order of the rows."""
-    return F.try_divide(cents_sum(c).cast("double"), F.count(as_col(c)) * F.lit(100.0))
+    """Mean of amounts as a double that does not depend on the order of the rows."""
+    return F.try_divide(exact_sum(c).cast("double"), F.count(as_col(c)).cast("double"))
 
 
 def rounded_money_mean(c: str | Column) -> Column:
-    """Mean of two-digit amounts rounded half up to two digits, exactly.
+    """Mean of amounts rounded half up to two digits, exactly.
 
     A mean of doubles that lies on a half cent goes up or down by the order
     of its rows.
     """
-    total, n = cents_sum(c), F.count(as_col(c))
-    halves = F.call_function("div", F.abs(total) * 2 + n, F.when(n > 0, n * 2))
+    total, n = exact_sum(c), F.count(as_col(c))
+    # in units of 10^-8, so that the division is one of whole numbers
+    units = (F.abs(total) * F.lit(10**8).cast("decimal(9,0)")).cast("decimal(38,0)")
+    cent = n.cast("decimal(20,0)") * F.lit(10**6).cast("decimal(7,0)")
+    halves = F.call_function("div", units * 2 + cent, F.when(n > 0, cent * 2))
     return F.signum(total.cast("double")) * halves / 100
 
 

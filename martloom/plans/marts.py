@@ -62,14 +62,13 @@ def participation_ranking(
 ) -> DataFrame:
     """Per member: distinct items and the sorted set of their titles.
 
-    Both are counted over distinct pairs and then joined, one row per member.
+    Both come from the distinct (member, item, title) rows, so the facts are read once.
     """
     member = as_list(member)
-    counts = distinct_counts(df, member, item, count_name)
-    titles = sorted_set(df, member, title, titles_name)
-    other = titles.select(*[F.col(m).alias(f"_t_{m}") for m in member], titles_name)
-    same = [F.col(m).eqNullSafe(F.col(f"_t_{m}")) for m in member]
-    return counts.join(other, same).select(*member, count_name, titles_name)
+    pairs = df.select(*member, item, title).distinct()
+    return pairs.groupBy(*member).agg(
+        F.count_distinct(item).alias(count_name), F.sort_array(F.collect_set(title)).alias(titles_name)
+    )
 
 
 def future_events(df: DataFrame, date: str, as_of: dt.date | None = None) -> DataFrame:
@@ -89,19 +88,14 @@ def weekly_density(
     """Distinct events per week of the calendar; weeks without one appear with 0.
 
     Weeks are (calendar year, ISO week number), so 1 January may carry week
-    52 or 53 of its own calendar year; ``iso_years`` uses the ISO year. The
-    events are counted per week first and only the counts meet the calendar.
+    52 or 53 of its own calendar year; ``iso_years`` uses the ISO year. Only
+    events on a day the calendar has are counted.
     """
     year_of = iso_year if iso_years else F.year
+    days = calendar.select(F.col("date").cast("date").alias("_day")).distinct()
     weeks = calendar.select(year_of("date").alias("year"), "iso_week").distinct()
-    day = F.to_date(as_col(date))
-    span = calendar.agg(
-        F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    ).scalar()
-    inside = events.select(day.alias("_day"), F.col(event).alias("_event")).filter(
-        (F.col("_day") >= span["lo"]) & (F.col("_day") <= span["hi"])
-    )
-    dated = inside.select(
+    daily = events.select(F.to_date(as_col(date)).alias("_day"), F.col(event).alias("_event"))
+    dated = daily.distinct().join(days, "_day", "left_semi").select(
         year_of("_day").alias("year"), F.weekofyear("_day").alias("iso_week"), "_event"
     )
     counted = distinct_counts(dated, ["year", "iso_week"], "_event", "_n")
@@ -176,18 +170,21 @@ def period_comparison(
 ) -> DataFrame:
     """Per key: distinct events, events per week that had any, distinct units.
 
-    ISO week numbers fit into the bits of one long, so distinct weeks are a
-    bitwise OR that is combined map-side. That leaves two distinct counts
-    for Spark to expand instead of three.
+    ``week`` may be any key that tells weeks apart. Events and weeks are counted over
+    their distinct pairs, units over theirs, so no count expands the events' rows.
     """
-    weeks = F.bit_count(F.bit_or(F.expr(f"shiftleft(1L, {week})")))
-    n = F.count_distinct(event)
-    return (
-        events.groupBy(*keys)
-        .agg(n.alias(events_name), weeks.alias("_weeks"), F.count_distinct(unit).alias(units_name))
-        .select(
-            *keys, events_name, ratio(events_name, "_weeks", 2).alias(mean_name), units_name
-        )
+    pairs = events.select(*keys, event, week).distinct()
+    counted = pairs.groupBy(*keys).agg(
+        F.count_distinct(event).alias(events_name), F.count_distinct(week).alias("_weeks")
+    )
+    units = distinct_counts(events, keys, unit, "_units")
+    units = units.select(*[F.col(k).alias(f"_u_{k}") for k in keys], "_units")
+    same = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in keys]
+    return counted.join(units, same).select(
+        *keys,
+        events_name,
+        ratio(events_name, "_weeks", 2).alias(mean_name),
+        F.col("_units").alias(units_name),
     )
 
 

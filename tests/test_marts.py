@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.functions import money_sum
 from martloom.operators import (
     Dim,
     assert_unique,
@@ -213,3 +214,22 @@ def test_calendar_has_one_row_per_day(spark):
         (20261031, "Saturday", True, True, "Período eleitoral 2026"),
         (20261101, "Sunday", True, False, "Fora do período eleitoral"),
     ]
+
+
+def test_sums_are_rounded_once_and_refuse_odd_numbers(spark):
+    df = spark.createDataFrame([(0.005,), (0.005,), (0.005,), (0.004,)], "v double")
+    assert float(df.agg(money_sum("v")).first()[0]) == 0.02
+    for odd in (float("nan"), float("inf"), 1e20):
+        with pytest.raises(Exception, match="finite number"):
+            df.union(spark.createDataFrame([(odd,)], "v double")).agg(money_sum("v")).collect()
+
+
+def test_events_per_week_with_year_and_week_keys(spark):
+    df = spark.createDataFrame([("g", i, 202300 + i, "u") for i in range(104)], "g string, e int, w int, u string")
+    assert M.period_comparison(df, ["g"], "e", "w", "u").first()[:] == ("g", 104, 1.0, 1)
+
+
+def test_weekly_density_counts_only_days_of_the_calendar(spark):
+    days = spark.sql("SELECT d AS date, weekofyear(d) AS iso_week FROM VALUES (DATE '2024-01-01'), (DATE '2024-01-05') AS t(d)")
+    events = spark.sql("SELECT * FROM VALUES (1, DATE '2024-01-01'), (2, DATE '2024-01-03') AS t(e, d)")
+    assert [r.events for r in M.weekly_density(days, events, "d", "e").collect()] == [1]
