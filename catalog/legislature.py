@@ -17,6 +17,7 @@ from catalog.registry import exact_mean, half_up, query, table
 from martloom.operators import Dim, star_join
 from martloom.plans.legislative import gold as G
 from martloom.plans.legislative import silver as L
+from martloom.operators.calendar import Period
 from martloom.session import checkpointed
 
 AS_OF = dt.date(2001, 10, 15)
@@ -237,9 +238,12 @@ def stored_events(spark, d):
     return events, committees, L.bridge_evento_orgao(events, committees)
 
 
-def dim_data(spark):
-    """The calendar over the years of the stand-in tables."""
-    return L.dim_data(spark, dt.date(1995, 1, 1), dt.date(2002, 12, 31))
+PERIODS = [Period(dt.date(1998, 8, 1), dt.date(1998, 10, 31), "Período eleitoral 1998")]
+
+
+def dim_data(spark, d):
+    """The calendar over the days of the stand-in events."""
+    return L.dim_data(table(spark, d, "orders"), "o_orderdate", PERIODS)
 
 
 def despesas(spark, d):
@@ -270,7 +274,7 @@ def roster(spark, d):
 
 def gold_eventos(spark, d):
     events, committees, bridge = stored_events(spark, d)
-    return G.eventos(events, bridge, committees, dim_tipo_evento(spark, d), dim_data(spark))
+    return G.eventos(events, bridge, committees, dim_tipo_evento(spark, d), dim_data(spark, d))
 
 
 def frentes_votacoes(spark, d):
@@ -349,12 +353,12 @@ STEPS = {
         SELECT data, CAST(strftime(data, '%Y%m%d') AS INTEGER) AS sk_data,
                CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS mes,
                CAST(week(data) AS INTEGER) AS semana_ano,
-               data BETWEEN DATE '2026-08-01' AND DATE '2026-10-31' AS periodo_eleitoral,
-               CASE WHEN data BETWEEN DATE '2026-08-01' AND DATE '2026-10-31'
-                    THEN 'Período eleitoral 2026' ELSE 'Fora do período eleitoral' END
+               data BETWEEN DATE '1998-08-01' AND DATE '1998-10-31' AS periodo_eleitoral,
+               CASE WHEN data BETWEEN DATE '1998-08-01' AND DATE '1998-10-31'
+                    THEN 'Período eleitoral 1998' ELSE 'Fora do período eleitoral' END
                  AS descricao_periodo_eleitoral
-        FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31',
-                                                 INTERVAL 1 DAY)) AS DATE) AS data) t""",
+        FROM (SELECT CAST(unnest(generate_series(date_trunc('day', min(o_orderdate)), max(o_orderdate),
+                                                 INTERVAL 1 DAY)) AS DATE) AS data FROM orders) t""",
     "despesas": """
         SELECT sha256(concat_ws('|', nk_deputado, coalesce(cnpj_cpf_fornecedor, ''), data_documento,
                       CAST(valor_liquido AS DECIMAL(18,2)), cod_documento, num_documento, cod_lote))
@@ -661,7 +665,7 @@ def gold_eventos_futuros(spark, d):
 
 @query("gold_densidade_eventos_semana", oracle("densidade"))
 def gold_densidade(spark, d):
-    return G.densidade_eventos_semana(dim_data(spark), dim_evento(spark, d))
+    return G.densidade_eventos_semana(dim_data(spark, d), dim_evento(spark, d))
 
 
 @query("gold_taxa_presenca_evento", oracle("taxa"))
@@ -673,7 +677,7 @@ def gold_taxa_presenca(spark, d):
 
 @query("gold_comparativo_periodo", oracle("comparativo"))
 def gold_comparativo(spark, d):
-    return G.comparativo_periodo_eleitoral(gold_eventos(spark, d), dim_data(spark))
+    return G.comparativo_periodo_eleitoral(gold_eventos(spark, d), dim_data(spark, d))
 
 
 @query("gold_fat_despesas", oracle("fat_despesas"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import exact_mean, half_up, query, table
 from martloom.functions import month_label
-from martloom.operators import Dim, Period, calendar, in_any_period, period_of, star_join
+from martloom.operators import Dim, Period, calendar_between, in_any_period, period_of, star_join
 from martloom.plans import marts as M
 
 AS_OF = dt.date(2000, 6, 30)
@@ -114,7 +114,6 @@ def participation(spark, d):
            CAST(month(o_orderdate) AS INTEGER) AS month, CAST(week(o_orderdate) AS INTEGER) AS iso_week
     FROM orders JOIN bridge ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
     JOIN nation ON s_nationkey = n_nationkey
-    WHERE o_orderdate BETWEEN DATE '1995-01-01' AND DATE '2002-12-31'
     """,
 )
 def event_star(spark, d):
@@ -129,7 +128,7 @@ def _event_star(spark, d):
     return star_join(
         orders,
         Dim(
-            calendar(spark, dt.date(1995, 1, 1), dt.date(2002, 12, 31)),
+            calendar_between(orders, "order_day"),
             [("order_day", "date")],
             ["date_key", "year", "month", "iso_week"],
         ),
@@ -154,8 +153,8 @@ def future_orders(spark, d):
 
 
 _WEEK_SQL = """
-    WITH days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31',
-                         INTERVAL 1 DAY)) AS DATE) AS date)
+    WITH days AS (SELECT CAST(unnest(generate_series(date_trunc('day', min(o_orderdate)), max(o_orderdate),
+                         INTERVAL 1 DAY)) AS DATE) AS date FROM orders)
     SELECT CAST({year}(date) AS INTEGER) AS year, CAST(week(date) AS INTEGER) AS iso_week,
            CAST({year}(date) AS VARCHAR) || '-' || lpad(CAST(week(date) AS VARCHAR), 2, '0') AS year_week,
            count(DISTINCT o_orderkey) AS events, count(DISTINCT o_orderkey) > 0 AS has_events
@@ -164,8 +163,8 @@ _WEEK_SQL = """
 
 
 def _density(spark, d, iso_years):
-    days = calendar(spark, dt.date(1995, 1, 1), dt.date(2002, 12, 31))
-    return M.weekly_density(days, table(spark, d, "orders"), "o_orderdate", "o_orderkey", iso_years)
+    orders = table(spark, d, "orders")
+    return M.weekly_density(calendar_between(orders, "o_orderdate"), orders, "o_orderdate", "o_orderkey", iso_years)
 
 
 @query("weekly_density", _WEEK_SQL.format(year="year"))

@@ -8,8 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.operators.calendar import Period
 from martloom.plans.legislative import bronze as B
 from martloom.plans.legislative import gold as G
+from martloom.plans.legislative import schemas as S
 from martloom.plans.legislative import silver as L
 from martloom.sinks import error_rows, future_view, load, quarantine, replace, stamp
 from martloom.session import checkpointed
@@ -80,8 +82,12 @@ def build_silver(
     as_of: dt.datetime,
     layers: Layers = Layers(),
     version: str = "1.0",
+    periods: list[Period] = S.ELECTION_PERIODS,
 ) -> None:
-    """Dimensions first, then the bridges and facts that need their keys."""
+    """Dimensions first, then the bridges and facts that need their keys.
+
+    The calendar spans the days of the events, so no event falls outside it.
+    """
     day = as_of.date()
 
     def bronze(name: str) -> DataFrame:
@@ -130,7 +136,7 @@ def build_silver(
             bronze("bronze_frentes_membros"), silver("dim_frente"), silver("dim_deputado")
         ),
     )
-    rebuild("dim_data", L.dim_data(spark))
+    rebuild("dim_data", L.dim_data(silver("dim_evento"), "data_evento", periods))
     keep(
         "despesas",
         L.despesas(bronze("bronze_despesas")),

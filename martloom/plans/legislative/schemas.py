@@ -56,9 +56,7 @@ EVENT_COMMITTEES = (
 )
 EVENT_PLACE = "struct<nome: string, predio: string, sala: string, andar: string>"
 
-# Calendar span, election period, committee type, kinds of vote.
-CALENDAR_START = dt.date(2023, 1, 1)
-CALENDAR_END = dt.date(2027, 12, 31)
+# Election period, committee type, kinds of vote.
 ELECTION_PERIODS = [
     Period(dt.date(2026, 8, 1), dt.date(2026, 10, 31), "Período eleitoral 2026")
 ]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import (
@@ -26,7 +26,8 @@ from martloom.functions import (
     trailing_id,
     typed_select,
 )
-from martloom.operators import Dim, calendar, dedupe, open_history, scd2_apply, stable_key, star_join
+from martloom.operators import Dim, calendar_between, dedupe, open_history, scd2_apply, stable_key, star_join
+from martloom.operators.calendar import Period
 from martloom.operators.dedupe import tie_break
 from martloom.operators.upsert import newest_per_key
 from martloom.plans.legislative import schemas as S
@@ -246,11 +247,9 @@ def bridge_evento_orgao(dim_evento: DataFrame, dim_orgao: DataFrame) -> DataFram
     return star_join(pairs, committee).select("sk_evento", "sk_orgao", "nk_evento", "nk_orgao")
 
 
-def dim_data(
-    spark: SparkSession, start: dt.date = S.CALENDAR_START, end: dt.date = S.CALENDAR_END
-) -> DataFrame:
-    """The calendar with the election period flag."""
-    days = calendar(spark, start, end, S.ELECTION_PERIODS, S.OUTSIDE_PERIODS)
+def dim_data(dates: DataFrame, date: str, periods: list[Period]) -> DataFrame:
+    """The calendar from the first to the last of ``dates``, with the election period flag."""
+    days = calendar_between(dates, date, periods, S.OUTSIDE_PERIODS)
     names = {
         "date_key": "sk_data",
         "date": "data",

@@ -17,6 +17,7 @@ from martloom.operators import (
     star_join,
 )
 from martloom.plans import marts as M
+from martloom.plans.legislative import schemas as S
 from martloom.plans.legislative import silver as L
 from tests.conftest import rows
 
@@ -206,7 +207,8 @@ def test_checks(spark):
 
 
 def test_calendar_has_one_row_per_day(spark):
-    days = L.dim_data(spark)
+    span = spark.sql("SELECT * FROM VALUES (DATE '2027-12-31'), (DATE '2023-01-01'), (NULL) AS t(day)")
+    days = L.dim_data(span, "day", S.ELECTION_PERIODS)
     assert days.count() == 1826
     got = rows(days.filter("data IN (DATE '2026-10-31', DATE '2026-11-01')"), "sk_data", "nome_dia_semana",
                "is_fim_semana", "periodo_eleitoral", "descricao_periodo_eleitoral")
