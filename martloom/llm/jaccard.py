@@ -7,9 +7,12 @@
    set of n goes to the join with its first n - ceil(0.75 n) + need(n) shingles, need(n) = 1 + n // 20:
    two sets that link share at least need(smaller n) of these. They are packed by hash range
    and shuffled, and only shingles that several sets share stay.
-3. Every set is compared with the one leader (least key of a shared shingle) it has
-   most shingles in common with. That finds the groups of copies with one comparison a set.
-4. Pairs of different groups that share enough prefix shingles and pass the length and positional
+3. Prefix shingles no other set has are private: a set has at most size - private in common with any
+   other. Sets that cannot link by that are dropped, which takes linear time.
+4. Every set is compared with one leader, the one it shares most prefix shingles with; the leader of a
+   shingle is its set with the smallest private part, the least edited of copies. That
+   finds the groups of copies with one comparison a set.
+5. Pairs of different groups that pass the length, private and positional
    filters are counted up, and each is verified once. Pairs inside a group need no look: they
    are connected already, so the components are those of all links.
 
@@ -196,10 +199,21 @@ def _shared_entries(source: DataFrame, classes: np.ndarray, tasks: int) -> DataF
     return staged(packed.repartition(tasks, "bucket").mapInArrow(share, "shingle bigint, key bigint, size int, place int"))
 
 
+def _able(entries: DataFrame) -> DataFrame:
+    """Entries of sets that can link at all, with ``private``, their prefix shingles no other set has."""
+    n = F.col("size")
+    length = n - F.floor((n * PERCENT + 99) / 100) + 1 + F.floor(n / 20)
+    held = entries.groupBy("key", "size").agg(F.count("*").alias("shared"))
+    private = held.select("key", (length - F.col("shared")).cast("int").alias("private"), "size")
+    able = private.where((n - F.col("private")) * 100 >= n * PERCENT)
+    return staged(entries.join(able.select("key", "private"), "key"))
+
+
 def _leader_pairs(entries: DataFrame) -> DataFrame:
-    """Each set with the leader it shares most prefix shingles with: the least key of a shingle's sets."""
-    leaders = entries.groupBy("shingle").agg(F.min("key").alias("leader"))
-    votes = entries.join(leaders, "shingle").where(F.col("key") != F.col("leader")).groupBy("key", "leader").count()
+    """Each set with the leader it shares most prefix shingles with: a shingle's set with the least private part."""
+    rank = F.struct((F.col("private") * 1_000_000 / F.col("size")).cast("bigint").alias("rate"), "key")
+    leaders = entries.groupBy("shingle").agg(F.min(rank).alias("best"))
+    votes = entries.join(leaders.select("shingle", F.col("best.key").alias("leader")), "shingle").where(F.col("key") != F.col("leader")).groupBy("key", "leader").count()
     # of leaders with equal votes the largest key wins; any would do
     best = votes.groupBy("key").agg(F.max(F.struct("count", "leader")).alias("best"))
     return best.select(F.col("key").alias("a"), F.col("best.leader").alias("b"))
@@ -208,7 +222,7 @@ def _leader_pairs(entries: DataFrame) -> DataFrame:
 def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
     """Pairs of sets in different groups that share enough prefix shingles to link."""
     labelled = entries.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
-    labelled = labelled.select("shingle", "key", "size", "place", F.coalesce("root", "key").alias("root"))
+    labelled = labelled.select("shingle", "key", "size", "place", "private", F.coalesce("root", "key").alias("root"))
     # only shingles whose sets are of several groups can say anything new
     spread = labelled.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     open_entries = labelled.join(spread.select("shingle"), "shingle", "left_semi")
@@ -218,9 +232,10 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
         if not frames:
             return
         rows = pa.concat_tables(frames)
-        shingle, key, size, place, root = (rows[c].to_numpy() for c in ("shingle", "key", "size", "place", "root"))
-        order = np.lexsort((size, shingle))
-        shingle, key, size, place, root = (x[order] for x in (shingle, key, size, place, root))
+        columns = [rows[c].to_numpy() for c in ("shingle", "key", "size", "place", "private", "root")]
+        order = np.lexsort((columns[2], columns[0]))
+        shingle, key, size, place, private, root = (x[order] for x in columns)
+        common = size - private
         ends = np.searchsorted(shingle, shingle, side="right")
         reach = np.minimum(ends, _last_of_size(shingle, size, ends))
         held_a, held_b, held = [], [], 0
@@ -230,9 +245,12 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
             i, j = live, live + step
             t = -(-PERCENT * (size[i].astype(np.int64) + size[j]) // (100 + PERCENT))
             most = np.minimum(place[i], place[j]) + np.minimum(size[i] - place[i], size[j] - place[j])
-            good = (root[i] != root[j]) & (most >= t)
-            held_a.append(np.minimum(key[i], key[j])[good])
-            held_b.append(np.maximum(key[i], key[j])[good])
+            good = (root[i] != root[j]) & (np.minimum(most, np.minimum(common[i], common[j])) >= t)
+            i, j = i[good], j[good]
+            rest = np.minimum(size[i] - place[i], size[j] - place[j]) - 1
+            low = key[i] < key[j]
+            held_a.append(np.column_stack([np.where(low, key[i], key[j]), np.where(low, key[j], key[i])]))
+            held_b.append(rest)
             held += int(good.sum())
             if held > 500_000:
                 yield _pair_counts(held_a, held_b)
@@ -242,12 +260,16 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
         yield _pair_counts(held_a, held_b)
 
     dealt = open_entries.repartition(tasks, "shingle")
-    counted = dealt.mapInArrow(pairs, "a bigint, b bigint, shared bigint").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    counted = dealt.mapInArrow(pairs, "a bigint, b bigint, shared bigint, rest bigint")
+    counted = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("rest").alias("rest"))
     sizes = open_entries.select("key", "size").distinct()
     counted = counted.join(sizes.select(F.col("key").alias("a"), F.col("size").alias("size_a")), "a")
     counted = counted.join(sizes.select(F.col("key").alias("b"), F.col("size").alias("size_b")), "b")
-    smaller = F.least("size_a", "size_b")
-    return counted.where(F.col("shared") >= 1 + F.floor(smaller / 20)).select("a", "b")
+    smaller, both = F.least("size_a", "size_b"), F.col("size_a") + F.col("size_b")
+    enough = F.col("shared") >= 1 + F.floor(smaller / 20)
+    # what is shared up to the last shared prefix shingle, and at most all behind it
+    reaches = (F.col("shared") + F.col("rest")) * (100 + PERCENT) >= both * PERCENT
+    return counted.where(enough & reaches).select("a", "b")
 
 
 def _last_of_size(shingle: np.ndarray, size: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -261,10 +283,15 @@ def _last_of_size(shingle: np.ndarray, size: np.ndarray, ends: np.ndarray) -> np
     return out
 
 
-def _pair_counts(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.column_stack([np.concatenate(a), np.concatenate(b)]) if a else np.zeros((0, 2), np.int64)
-    found, times = np.unique(pairs, axis=0, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), pa.array(times.astype(np.int64))], names=["a", "b", "shared"])
+def _pair_counts(pairs: list[np.ndarray], rest: list[np.ndarray]) -> pa.RecordBatch:
+    """Each pair once, with its shared shingles and the least that is behind one of them."""
+    names = ["a", "b", "shared", "rest"]
+    if not pairs:
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, names=names)
+    found, at, times = np.unique(np.concatenate(pairs), axis=0, return_inverse=True, return_counts=True)
+    least = np.full(len(found), np.iinfo(np.int64).max)
+    np.minimum.at(least, at.ravel(), np.concatenate(rest).astype(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (found[:, 0], found[:, 1], times, least)], names=names)
 
 
 def suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = 3) -> int:
@@ -326,7 +353,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sets = counted.where(F.col("part").isNull()).select("doc_id", "key", "size")
     n = sets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     tasks = max(16, int(0.3 * n / ENTRIES))
-    entries = _shared_entries(source, _frequency_classes(counted), tasks)
+    entries = _able(_shared_entries(source, _frequency_classes(counted), tasks))
     links = _verified(staged(_leader_pairs(entries)), source)
     more = _verified(staged(_cross_pairs(entries, components(links), tasks)), source)
     roots = components(links.union(more))
