@@ -1,6 +1,6 @@
 """Language-model scores: a hidden Markov model over words, trained by Baum-Welch.
 
-Symbols. The ``HEAD`` most frequent words and the end of a text are symbols of
+Symbols. The most frequent words, up to ``HEAD``, and the end of a text are symbols of
 their own. All other words fall into ``CLASSES`` classes by their last two
 characters; within its class a word w has the share b(w) / b(class), with b the add-half unigram
 probability, and each class holds one unknown word. So the model is a proper
@@ -86,7 +86,7 @@ def count_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> Co
     table = staged(counts)
     tokens, types = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     words = table.where(F.col("word") != END)
-    most = words.orderBy(F.desc("n"), "word").limit(head).collect()  # bounded by ``head``
+    most = _most_frequent(words, head)
     places = {r.word: i for i, r in enumerate(most)}
     ends = table.where(F.col("word") == END).first()
     head_counts = np.array([r.n for r in most] + [ends.n if ends else 0], float)
@@ -98,6 +98,21 @@ def count_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> Co
     return Counts(table, int(tokens), int(types), places, head_counts, np.maximum(mass, 0.5))
 
 
+def _most_frequent(words: DataFrame, head: int) -> list:
+    """At most ``head`` rows (word, n), the most frequent first: all words from some count on.
+
+    A top-k would send k rows from every task to the driver.
+    """
+    step = F.floor(F.log2("n") * 8)
+    least, taken = None, 0
+    for r in sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True):  # 8 steps a doubling
+        if taken + r["count"] > head:
+            break
+        least, taken = r.step, taken + r["count"]
+    rows = words.where(step >= least).collect() if taken else []
+    return sorted(rows, key=lambda r: (-r.n, r.word))
+
+
 @dataclass
 class Model:
     start: np.ndarray
