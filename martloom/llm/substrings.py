@@ -35,6 +35,8 @@ GRAM = 20
 HOT = 2000
 # Documents a task of the anchor shuffle takes, on average, at this much text each.
 TASK_BYTES = 8 << 20
+# Text hashed at once; the hashes take eight bytes a byte, several times.
+SLICE = 2 << 20
 _MARKS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -137,7 +139,7 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 raw, offsets = text_bytes(piece.column(1))
                 row, place, gram, context = anchors(raw, offsets)
                 doc = piece.column(0).to_numpy()[row]
