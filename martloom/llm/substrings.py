@@ -32,7 +32,7 @@ from martloom.llm.common import slices, staged, text_bytes
 
 LENGTH = 50
 GRAM = 20
-HOT = 2000
+HOT = 10_000
 # Documents a task of the anchor shuffle takes, on average, at this much text each.
 TASK_BYTES = 8 << 20
 # Text hashed at once; the hashes take eight bytes a byte, several times.
