@@ -9,9 +9,9 @@
    and shuffled, and only shingles that several sets share stay.
 3. Prefix shingles no other set has are private: a set has at most size - private in common with any
    other. Sets that cannot link by that are dropped, which takes linear time.
-4. Every set is compared with one leader, the one it shares most prefix shingles with; the leader of a
+4. Every set is compared with few leaders, those it shares most prefix shingles with; the leader of a
    shingle is its set with the smallest private part, the least edited of copies. That
-   finds the groups of copies with one comparison a set.
+   finds the groups of copies with ``LEADERS`` comparisons a set.
 5. Pairs of different groups that pass the length, private and positional
    filters are counted up, and each is verified once. Pairs inside a group need no look: they
    are connected already, so the components are those of all links.
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import coded, map_texts, rows_of, slices, staged, words_of
@@ -44,6 +44,8 @@ SHINGLE = 5
 PERCENT = 75
 COUNTERS = 1 << 22
 _PARTS = 64
+# Leaders each set is compared with before pairs of different groups are looked for.
+LEADERS = 3
 # Prefix entries a task of the join takes, on average.
 ENTRIES = 250_000
 _MARKS = 1 << 20
@@ -210,17 +212,19 @@ def _able(entries: DataFrame) -> DataFrame:
 
 
 def _leader_pairs(entries: DataFrame) -> DataFrame:
-    """Each set with the leader it shares most prefix shingles with: a shingle's set with the least private part."""
+    """Each set with the leaders it shares most prefix shingles with: a shingle's set with the least private part."""
     rank = F.struct((F.col("private") * 1_000_000 / F.col("size")).cast("bigint").alias("rate"), "key")
     leaders = entries.groupBy("shingle").agg(F.min(rank).alias("best"))
-    votes = entries.join(leaders.select("shingle", F.col("best.key").alias("leader")), "shingle").where(F.col("key") != F.col("leader")).groupBy("key", "leader").count()
-    # of leaders with equal votes the largest key wins; any would do
-    best = votes.groupBy("key").agg(F.max(F.struct("count", "leader")).alias("best"))
-    return best.select(F.col("key").alias("a"), F.col("best.leader").alias("b"))
+    votes = entries.join(leaders.select("shingle", F.col("best.key").alias("leader")), "shingle")
+    votes = votes.where(F.col("key") != F.col("leader")).groupBy("key", "leader").count()
+    # of leaders with equal votes the largest key goes first; any would do
+    first = Window.partitionBy("key").orderBy(F.desc("count"), F.desc("leader"))
+    best = votes.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= LEADERS)
+    return best.select(F.col("key").alias("a"), F.col("leader").alias("b"))
 
 
 def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
-    """Pairs of sets in different groups that share enough prefix shingles to link."""
+    """Pairs of sets in different groups that share an early prefix shingle and may link."""
     labelled = entries.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     labelled = labelled.select("shingle", "key", "size", "place", "private", F.coalesce("root", "key").alias("root"))
     # only shingles whose sets are of several groups can say anything new
@@ -246,6 +250,8 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
             t = -(-PERCENT * (size[i].astype(np.int64) + size[j]) // (100 + PERCENT))
             most = np.minimum(place[i], place[j]) + np.minimum(size[i] - place[i], size[j] - place[j])
             good = (root[i] != root[j]) & (np.minimum(most, np.minimum(common[i], common[j])) >= t)
+            # the first shingle of a linking pair stands this early in both sets
+            good &= (place[i] <= size[i] - t) & (place[j] <= size[j] - t)
             i, j = i[good], j[good]
             rest = np.minimum(size[i] - place[i], size[j] - place[j]) - 1
             low = key[i] < key[j]
@@ -265,11 +271,10 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
     sizes = open_entries.select("key", "size").distinct()
     counted = counted.join(sizes.select(F.col("key").alias("a"), F.col("size").alias("size_a")), "a")
     counted = counted.join(sizes.select(F.col("key").alias("b"), F.col("size").alias("size_b")), "b")
-    smaller, both = F.least("size_a", "size_b"), F.col("size_a") + F.col("size_b")
-    enough = F.col("shared") >= 1 + F.floor(smaller / 20)
-    # what is shared up to the last shared prefix shingle, and at most all behind it
+    both = F.col("size_a") + F.col("size_b")
+    # what is shared up to the last shingle counted, and at most all behind it
     reaches = (F.col("shared") + F.col("rest")) * (100 + PERCENT) >= both * PERCENT
-    return counted.where(enough & reaches).select("a", "b")
+    return counted.where(reaches).select("a", "b")
 
 
 def _last_of_size(shingle: np.ndarray, size: np.ndarray, ends: np.ndarray) -> np.ndarray:
