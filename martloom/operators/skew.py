@@ -46,8 +46,8 @@ def salted_join(
         raise ValueError(f"salting the left side does not allow a {how} join")
     on = as_list(on)
     spread = list(spread_by) or [c for c in left.columns if c not in on]
-    # bounded: one row per rows_per_task rows of the left side at most
-    hot = F.broadcast(hot_keys(left, on, rows_per_task))
+    # grows with the left side, so Spark decides by its size whether to broadcast it
+    hot = hot_keys(left, on, rows_per_task)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     salted_left = (
         left.join(hot, on, "left")
