@@ -1,19 +1,22 @@
 """Language-model scores: a hidden Markov model over words, trained by Baum-Welch.
 
-Symbols. The most frequent words, up to ``HEAD``, and the end of a text are symbols of
-their own. All other words fall into ``CLASSES`` classes by their last two
-characters; within its class a word w has the share b(w) / b(class), with b the add-half unigram
-probability, and each class holds one unknown word. So the model is a proper
-distribution over texts of known words and one unknown word per class.
+Symbols. Every word of the learning documents, the end of a text, and one unknown word in each of
+``CLASSES`` classes of words by their last two characters. A state emits a word with its expected count
+there, mixed with b, the add-half unigram probability; unknown words have only the latter. So the
+model is a proper distribution over texts of known words and one unknown word per class.
+
+Where they are. The most frequent words, up to ``HEAD``, and the end are in the broadcast model. The
+others' expected counts stay distributed: texts are encoded once in slices; each round, the counts
+of a slice's words go to the words' buckets, are added up per word, and come back as emissions to
+the slices of the next round (packed, as float32). The model has only their sum per class.
 
 Training. Word counts cover all learning documents. Baum-Welch starts with
 ``start_rounds`` rounds on about ``sample`` documents, to find the states, and
-ends with ``rounds`` rounds over all learning documents; expected counts are added
-up per symbol across tasks. For training, and only there, texts are cut into runs of ``RUN`` tokens.
+ends with ``rounds`` rounds over all learning documents. For training, and only there, texts are cut
+into runs of ``RUN`` tokens.
 
-Scoring. The scaled forward recursion runs along each whole text. What it does not
-know are the counts of rarer words: those are joined from the table of counts, which stays
-distributed; only the head and the model (states x symbols) are broadcast.
+Scoring. The scaled forward recursion runs along each whole text, with emissions and counts of the
+words outside the head brought to its slice in the same way.
 
 Edge cases: a NULL or empty text is the end alone. Without learning documents all words are
 unknown and states stay at their start. Repeated rows are scored row by row. Extra columns are
@@ -23,10 +26,13 @@ ignored. Words tied in count are ordered by their text.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
@@ -39,6 +45,8 @@ STATES = 12
 RUN = 128
 END = "\n"
 SLICE = 4 << 20
+# Learning tokens for each bucket of words and each task of a round.
+TASK_TOKENS = 2_000_000
 # Emissions are mixed with the unigram distribution: this share of a state's tokens, and so many more.
 _SHARE, _PRIOR = 0.15, 500.0
 
@@ -58,6 +66,10 @@ class Counts:
     def total(self) -> float:
         return self.tokens + 0.5 * (self.types + 1)
 
+    @property
+    def tasks(self) -> int:
+        return max(16, self.tokens // TASK_TOKENS)
+
     @property
     def unigram(self) -> np.ndarray:
         """b of each symbol: head words, the end, classes."""
@@ -99,18 +111,33 @@ def count_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> Co
 
 
 def _most_frequent(words: DataFrame, head: int) -> list:
-    """At most ``head`` rows (word, n), the most frequent first: all words from some count on.
+    """The ``head`` rows (word, n) with the greatest counts, words of one count by their text.
 
-    A top-k would send k rows from every task to the driver.
+    A top-k would send k rows from every task to the driver; this takes whole counts, then whole
+    first characters of the count that does not fit, and so on, never over ``head`` rows at once.
     """
-    step = F.floor(F.log2("n") * 8)
-    least, taken = None, 0
-    for r in sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True):  # 8 steps a doubling
+    least, taken, ties, n_ties = None, 0, None, 0
+    for r in sorted(words.groupBy("n").count().collect(), reverse=True):
         if taken + r["count"] > head:
+            ties, n_ties = words.where(F.col("n") == r.n), r["count"]
             break
-        least, taken = r.step, taken + r["count"]
-    rows = words.where(step >= least).collect() if taken else []
-    return sorted(rows, key=lambda r: (-r.n, r.word))
+        least, taken = r.n, taken + r["count"]
+    found = words.where(F.col("n") >= least).collect() if taken else []
+    size = 1
+    while ties is not None and len(found) < head:
+        if n_ties <= head:
+            found += sorted(ties.collect(), key=lambda r: r.word)[: head - len(found)]
+            break
+        start, room, whole = F.left("word", F.lit(size)), head - len(found), None
+        for r in sorted(ties.groupBy(start.alias("start")).count().collect()):
+            if r["count"] > room:
+                split, n_ties = r.start, r["count"]
+                break
+            whole, room = r.start, room - r["count"]
+        if whole is not None:
+            found += ties.where(start <= whole).collect()
+        ties, size = ties.where(start == split), size + 1
+    return sorted(found, key=lambda r: (-r.n, r.word))
 
 
 @dataclass
@@ -118,7 +145,10 @@ class Model:
     start: np.ndarray
     middle: np.ndarray  # states in the middle of a text, where a training run may begin
     moves: np.ndarray
-    emissions: np.ndarray  # symbols x states
+    emissions: np.ndarray  # head, end and classes x states
+    scale: np.ndarray | None = None  # a word outside the head has the emission count / scale + prior x b
+    prior: np.ndarray | None = None
+    counts: DataFrame | None = None  # its expected counts: rows of kind _ADDED and _OWN
 
 
 def symbols(texts: pa.Array, head: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -197,119 +227,269 @@ def likelihood(offsets: np.ndarray, seen: np.ndarray, model: Model) -> np.ndarra
 
 def _start(unigram: np.ndarray, states: int) -> Model:
     noise = np.random.default_rng(7).uniform(0.5, 1.5, (len(unigram), states))
+    noise[-CLASSES:] = 1
     emissions = unigram[:, None] * noise
     even = np.full(states, 1 / states)
     moves = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    return Model(even, even, moves, emissions / emissions.sum(axis=0))
+    scale = emissions.sum(axis=0)
+    return Model(even, even, moves, emissions / scale, np.ones(states), 1 / scale)
 
 
-def _round(docs: DataFrame, text_col: str, head, unigram: np.ndarray, model: Model) -> Model:
-    """One round of Baum-Welch: counts per task, added up per symbol, then the new model."""
-    k, size = len(model.start), len(unigram)
-    sc = docs.sparkSession.sparkContext
+# Rows of the encoded texts: a slice's sequence, and per slice and bucket its words outside the head.
+_TEXTS, _ASKED = -1, 1
+# Rows a bucket gets besides: its words' counts, the words of slices with expected counts, and these.
+_COUNTS, _OWN, _ADDED = 0, 2, 3
+_PACKED = "share int, slice bigint, bucket int, ids array<{}>, words array<string>, offsets binary, seen binary, classes binary, buckets binary, sizes binary"
+
+
+def _bucket_of(names: list[str], tasks: int) -> np.ndarray:
+    return np.array([zlib.crc32(w.encode()) % tasks for w in names], np.int64)
+
+
+def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
+    """Slices of the frame (doc_id, share, text), each in a row of its own (bucket -1) and one per bucket of its words.
+
+    ``seen`` has places in the head, then the end, then places in the slice's other words, which are in
+    order of their buckets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            share = batch.column(1).to_numpy()
+            for own in np.unique(share):
+                for part in slices(batch.filter(pa.array(share == own)), "text", SLICE):
+                    yield pack(part, int(own), number)
+                    number += 1
+
+    def pack(part: pa.RecordBatch, share: int, number: int) -> pa.RecordBatch:
+        offsets, seen, places, distinct = symbols(part.column(2), head.value)
+        rare = np.flatnonzero(seen > len(head.value))
+        used, local = np.unique(places[rare], return_inverse=True)
+        words = distinct.take(pa.array(used)).cast(pa.string())
+        names = words.to_pylist()
+        bucket = _bucket_of(names, tasks)
+        order = np.argsort(bucket, kind="stable")
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        seen[rare] = len(head.value) + 1 + back[local]
+        classes = np.array([class_of(w) for w in names], np.uint8)[order]
+        buckets, first, sizes = np.unique(bucket[order], return_index=True, return_counts=True)
+        n = len(buckets)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], first, [len(order)]]).astype(np.int32)), words.take(pa.array(order)))
+        one = lambda x, kind: pa.array([x.astype(kind).tobytes()] + [None] * n, pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([share] * (n + 1), pa.int32()),
+                pa.array([number] * (n + 1), pa.int64()),
+                pa.array([_TEXTS, *buckets.tolist()], pa.int32()),
+                pa.array([part.column(0).to_pylist()] + [None] * n, pa.list_(part.column(0).type)),
+                lists,
+                one(offsets, np.int64),
+                one(seen, np.int32),
+                one(classes, np.uint8),
+                one(buckets, np.int32),
+                one(sizes, np.int32),
+            ],
+            names=["share", "slice", "bucket", "ids", "words", "offsets", "seen", "classes", "buckets", "sizes"],
+        )
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return staged(source.mapInArrow(run, _PACKED.format(kind)))
+
+
+_BUCKET_ROW = "bucket int, kind int, slice bigint, words array<string>, data binary"
+
+
+def _asked(encoded: DataFrame, kind: int) -> DataFrame:
+    chosen = encoded.where(F.col("bucket") != _TEXTS)
+    return chosen.select("bucket", F.lit(kind).alias("kind"), "slice", "words", F.lit(None).cast("binary").alias("data"))
+
+
+def _vocabulary(counts: Counts, tasks: int) -> DataFrame:
+    """The table of counts in rows of a bucket."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            order = np.argsort(bucket, kind="stable")
+            ids, first = np.unique(bucket[order], return_index=True)
+            n = batch.column(2).to_numpy().astype("<i8")[order]
+            ends = np.append(first, len(order))
+            data = [n[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+            words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), batch.column(1).take(pa.array(order)))
+            size = len(ids)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int32()), pa.array([_COUNTS] * size, pa.int32()), pa.array([None] * size, pa.int64()), words, pa.array(data, pa.binary())],
+                names=["bucket", "kind", "slice", "words", "data"],
+            )
+
+    bucket = (F.crc32(F.col("word").cast("binary")) % tasks).cast("int")
+    rows = counts.table.where(F.col("word") != END).select(bucket.alias("bucket"), "word", "n")
+    return staged(rows.repartition(tasks, "bucket").mapInArrow(pack, _BUCKET_ROW))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
+
+
+def _replies(vocabulary: DataFrame, asked: DataFrame, counts: Counts, model: Model) -> DataFrame:
+    """(slice, bucket, data, n): emissions (float32, words x states) and counts of the words each slice asks for."""
+    tasks, k, total, whole = counts.tasks, len(model.start), counts.total, counts.unigram.sum()
+    scale, prior = model.scale, model.prior
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in groupby(_rows(batches), key=lambda r: r["bucket"].as_py()):
+            rows = list(rows)
+            lists = [r["words"].values if r["words"].is_valid else pa.array([], pa.string()) for r in rows]
+            codes, distinct = coded(pa.concat_arrays(lists))
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+            n, c, own, added, wanted = np.zeros(len(distinct), np.int64), np.zeros((len(distinct), k)), {}, [], []
+            for row, a, b in zip(rows, ends, ends[1:]):
+                kind, number = row["kind"].as_py(), row["slice"].as_py()
+                if kind == _COUNTS:
+                    n[codes[a:b]] = np.frombuffer(row["data"].as_py(), "<i8")
+                elif kind == _OWN:
+                    own[number] = codes[a:b]
+                elif kind == _ADDED:
+                    added.append((number, row["data"].as_py()))
+                else:
+                    wanted.append((number, codes[a:b]))
+            for number, data in sorted(added):
+                c[own[number]] += np.frombuffer(data, np.float32).reshape(-1, k)  # words of a slice are distinct
+            emissions = (c / scale + prior * ((n + 0.5) / total / whole)[:, None]).astype(np.float32)
+            for number, at in wanted:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.array([bucket], pa.int32()), pa.array([emissions[at].tobytes()], pa.binary()), pa.array([n[at].tobytes()], pa.binary())],
+                    names=["slice", "bucket", "data", "n"],
+                )
+
+    rows = vocabulary.unionByName(asked)
+    if model.counts is not None:
+        rows = rows.unionByName(model.counts)
+    dealt = rows.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(settle, "slice bigint, bucket int, data binary, n binary")
+
+
+_SLICE_COLUMNS = ("ids", "offsets", "seen", "classes", "buckets", "sizes")
+
+
+def _with_replies(encoded: DataFrame, replies: DataFrame | None, tasks: int, columns=_SLICE_COLUMNS) -> DataFrame:
+    """Sequences and replies of each slice, together and in order of their buckets."""
+    texts = encoded.where(F.col("bucket") == _TEXTS).select("slice", "bucket", *columns)
+    if replies is None:
+        return texts
+    rows = texts.unionByName(replies, allowMissingColumns=True)
+    return rows.repartition(tasks, "slice").sortWithinPartitions("slice", "bucket")
+
+
+def _read(row: dict, name: str, kind) -> np.ndarray:
+    return np.frombuffer(row[name].as_py(), kind)
+
+
+def _round(encoded: DataFrame, replies: DataFrame | None, counts: Counts, model: Model) -> Model:
+    """One round of Baum-Welch over slices: the model from the counts added up per symbol."""
+    k, unigram, head = len(model.start), counts.unigram, len(counts.head)
+    size = len(unigram)
+    sc = encoded.sparkSession.sparkContext
     plain = sc.broadcast((model.start, model.middle, model.moves, model.emissions))
+    names, answered = [f"s{i}" for i in range(k)], replies is not None
 
-    def run(batches):
-        own = Model(*plain.value)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, middle, moved, emissions = plain.value
         total = np.zeros((size + k + 2, k))
-        for batch in batches:
-            offsets, seen, _, _ = symbols(batch.column(0), head.value)
-            emitted, moves, starts = expected(offsets, seen, own)
-            for s in range(k):
-                total[:size, s] += np.bincount(seen, emitted[:, s], minlength=size)
+        for number, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
+            row = next(rows)
+            offsets, seen, classes = _read(row, "offsets", np.int64), _read(row, "seen", np.int32), _read(row, "classes", np.uint8)
+            own = emissions[head + 1 + classes.astype(np.int64)]
+            if answered:
+                own = np.frombuffer(b"".join(r["data"].as_py() for r in rows), np.float32).reshape(-1, k)
+            emitted, moves, starts = expected(offsets, seen, Model(start, middle, moved, np.concatenate([emissions[: head + 1], own])))
+            per = np.column_stack([np.bincount(seen, emitted[:, s], minlength=head + 1 + len(classes)) for s in range(k)])
+            total[: head + 1] += per[: head + 1]
+            per = per[head + 1 :]
+            np.add.at(total, head + 1 + classes.astype(np.int64), per)
             total[size : size + k] += moves
             total[size + k] += starts
             total[size + k + 1] += emitted.sum(axis=0)
+            buckets, ends = _read(row, "buckets", np.int32), np.concatenate([[0], np.cumsum(_read(row, "sizes", np.int32))])
+            data = [per[a:b].astype(np.float32).tobytes() for a, b in zip(ends, ends[1:])]
+            n = len(buckets)
+            yield _added(pa.array(buckets), pa.array([number] * n, pa.int64()), pa.array(data, pa.binary()), pa.array([None] * n, pa.int32()), pa.nulls(n, pa.list_(pa.float64())))
         at = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(total[at, s]) for s in range(k))], names=["symbol", *names])
+        n = len(at)
+        yield _added(pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at].tolist(), pa.list_(pa.float64())))
 
-    names = [f"s{i}" for i in range(k)]
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_sliced(run), "symbol int, " + ", ".join(f"{n} double" for n in names))
-    added = counted.groupBy("symbol").agg(*(F.sum(n).alias(n) for n in names)).toArrow()  # at most symbols + states rows
+    columns = ("offsets", "seen", "classes", "buckets", "sizes")
+    rows = _with_replies(encoded, replies, counts.tasks, columns)
+    done = staged(rows.mapInArrow(run, "bucket int, slice bigint, data binary, symbol int, total array<double>"))
+    plain.destroy()
+    sums = [F.sum(F.col("total")[i]).alias(n) for i, n in enumerate(names)]
+    added = done.where("symbol is not null").groupBy("symbol").agg(*sums).toArrow()  # at most symbols + states rows
     total = np.zeros((size + k + 2, k))
     if added.num_rows:
         total[added["symbol"].to_numpy()] = np.column_stack([added[n].to_numpy() for n in names])
-    plain.destroy()
     mixed = _SHARE * total[:size].sum(axis=0) + _PRIOR
     emissions = total[:size] + mixed * (unigram / unigram.sum())[:, None]
     moves = total[size : size + k] + 0.1
     start, middle = total[size + k] + 0.1, total[size + k + 1] + 0.1
-    return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / emissions.sum(axis=0))
-
+    scale = emissions.sum(axis=0)
+    per_word = done.where("symbol is null").select("bucket", F.lit(_ADDED).alias("kind"), "slice", F.lit(None).cast("array<string>").alias("words"), "data")
+    held = per_word.unionByName(_asked(encoded, _OWN))
+    return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / scale, scale, mixed / scale, held)
 
-def _sliced(run):
-    def over(batches):
-        return run(part for batch in batches for part in slices(batch, "text", SLICE))
 
-    return over
+def _added(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=["bucket", "slice", "data", "symbol", "total"])
 
 
 def fit(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, sample: int = 3000, start_rounds: int = 10, rounds: int = 2) -> Model:
-    unigram = counts.unigram
+    model = _start(counts.unigram, states)
     head = docs.sparkSession.sparkContext.broadcast(counts.head)
-    model = _start(unigram, states)
     n = max(1, int(counts.head_counts[-1]))
     place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000))
-    part = docs.where(place < min(1_000_000, sample * 1_000_000 // n + 1))
-    for _ in range(start_rounds):
-        model = _round(part, text_col, head, unigram, model)
-    for _ in range(rounds):
-        model = _round(docs, text_col, head, unigram, model)
+    share = F.when(place < min(1_000_000, sample * 1_000_000 // n + 1), 0).otherwise(1)
+    encoded = _encoded(docs.select(F.col(id_col).alias("doc_id"), share.alias("share"), F.col(text_col).alias("text")), head, counts.tasks)
+    vocabulary = _vocabulary(counts, counts.tasks)
+    for part in [encoded.where("share = 0")] * start_rounds + [encoded] * rounds:
+        replies = _replies(vocabulary, _asked(part, _ASKED), counts, model) if model.counts is not None else None
+        model = _round(part, replies, counts, model)
     return model
 
 
 def score(docs: DataFrame, counts: Counts, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every document."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).alias("share"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    unigram = counts.unigram
-    plain = (counts.head, np.log10(unigram), model.start, model.middle, model.moves, model.emissions)
-    shared = docs.sparkSession.sparkContext.broadcast(plain)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        head, logs, *parts = shared.value
-        offsets, seen, places, distinct = symbols(batch.column(1), head)
-        n = len(offsets) - 1
-        row = rows_of(offsets)
-        whole = likelihood(offsets, seen, Model(*parts)) / np.log(10)
-        own = seen <= len(head)
-        base = np.bincount(row[own], logs[seen[own]], minlength=n)
-        counted = own if end_known else seen < len(head)
-        known = np.bincount(row[counted], minlength=n)
-        rare = ~own
-        whole -= np.bincount(row[rare], logs[seen[rare]], minlength=n)
-        pairs, times = np.unique(row[rare] * max(1, len(distinct)) + places[rare], return_counts=True)
-        pair_rows = pairs // max(1, len(distinct))
-        ends = np.searchsorted(pair_rows, np.arange(n + 1)).astype(np.int32)
-        words = distinct.take(pa.array(pairs % max(1, len(distinct)))).cast(pa.string())
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(np.diff(offsets)),
-                pa.array(known),
-                pa.array(base),
-                pa.array(whole),
-                pa.ListArray.from_arrays(pa.array(ends), words),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(times.astype(np.int64))),
-            ],
-            names=["doc_id", "n_tokens", "n_known", "base_score", "score", "words", "times"],
-        )
-
-    end_known = bool(counts.head_counts[-1] > 0)
-    schema = f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, words array<string>, times array<bigint>"
-    rows = staged(map_texts(source, "text", run, schema, SLICE)).withColumn("row", F.monotonically_increasing_id())
-    rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    joined = rare.join(counts.table, "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    sums = joined.groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.col("times") * F.log10((n + F.lit(0.5)) / F.lit(counts.total))).alias("logs"),
-    )
-    none = F.lit(0.0)
-    return rows.drop("words", "times").join(sums, "row", "left").select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + F.coalesce("logs", none)).alias("base_score"),
-        (F.col("score") + F.coalesce("logs", none)).alias("score"),
-    )
+    sc = docs.sparkSession.sparkContext
+    encoded = _encoded(source, sc.broadcast(counts.head), counts.tasks)
+    replies = _replies(_vocabulary(counts, counts.tasks), _asked(encoded, _ASKED), counts, model)
+    k, head, total, end_known = len(model.start), len(counts.head), counts.total, bool(counts.head_counts[-1] > 0)
+    shared = sc.broadcast((np.log10(counts.unigram[: head + 1]), model.start, model.middle, model.moves, model.emissions[: head + 1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs, start, middle, moves, emissions = shared.value
+        for _, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
+            row, *more = rows
+            offsets, seen = _read(row, "offsets", np.int64), _read(row, "seen", np.int32)
+            own = np.frombuffer(b"".join(r["data"].as_py() for r in more), np.float32).reshape(-1, k)
+            n = np.frombuffer(b"".join(r["n"].as_py() for r in more), np.int64)
+            whole = likelihood(offsets, seen, Model(start, middle, moves, np.concatenate([emissions, own]))) / np.log(10)
+            known = np.concatenate([np.full(head, True), [end_known], n > 0])
+            base = np.concatenate([logs, np.log10((n + 0.5) / total)])
+            of, size = rows_of(offsets), len(offsets) - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    row["ids"].values,
+                    pa.array(np.diff(offsets)),
+                    pa.array(np.bincount(of[known[seen]], minlength=size)),
+                    pa.array(np.bincount(of, base[seen], minlength=size)),
+                    pa.array(whole),
+                ],
+                names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
+            )
+
+    rows = _with_replies(encoded, replies, counts.tasks, ("ids", "offsets", "seen"))
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")

@@ -243,6 +243,24 @@ def test_language_model_of_odd_frames(spark):
     assert hmm.score(docs.where("false"), nothing, model).count() == 0
 
 
+def test_words_outside_the_head_have_emissions_of_their_own(spark):
+    texts = ["a a a a a kzz", "b b b b b mzz"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counts = hmm.count_words(docs, head=2)
+    assert set(counts.head) == {"a", "b"} and hmm.class_of("kzz") == hmm.class_of("mzz")
+    model = hmm.fit(docs, counts, states=2, start_rounds=3, rounds=3)
+    odd = spark.createDataFrame([(1, "a a a a a kzz"), (2, "a a a a a mzz")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in hmm.score(odd, counts, model).collect()}
+    assert math.isclose(got[1].base_score, got[2].base_score) and got[1].score > got[2].score + 0.01
+
+
+def test_head_is_filled_among_words_of_one_count(spark):
+    words = [a + b for a in "dacb" for b in "yxz"]
+    docs = spark.createDataFrame([(1, " ".join(words + ["more", "more"]))], "doc_id bigint, text string")
+    for head in (1, 2, 5, 8, 12, 13, 20):
+        assert list(hmm.count_words(docs, head=head).head) == ["more", *sorted(words)][:head]
+
+
 # --- the whole
 
 def test_pipeline_keeps_what_its_stages_decide(spark):
