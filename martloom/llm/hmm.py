@@ -11,8 +11,9 @@ of a slice's words go to the words' buckets, are added up per word, and come bac
 the slices of the next round (packed, as float32). The model has only their sum per class.
 
 Training. Word counts cover all learning documents. Baum-Welch starts with
-``start_rounds`` rounds on about ``sample`` documents, to find the states, and
-ends with ``rounds`` rounds over all learning documents. For training, and only there, texts are cut
+``start_rounds`` rounds, to find the states, each over one of up to ``start_rounds`` hash shares of the
+learning documents, in turn; a share has about ``sample`` documents at least, and all shares
+get their rounds. It ends with ``rounds`` rounds over all learning documents. For training, and only there, texts are cut
 into runs of ``RUN`` tokens.
 
 Scoring. The scaled forward recursion runs along each whole text, with emissions and counts of the
@@ -449,11 +450,12 @@ def fit(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str =
     model = _start(counts.unigram, states)
     head = docs.sparkSession.sparkContext.broadcast(counts.head)
     n = max(1, int(counts.head_counts[-1]))
-    place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000))
-    share = F.when(place < min(1_000_000, sample * 1_000_000 // n + 1), 0).otherwise(1)
+    shares = max(1, min(start_rounds, n // sample))
+    share = F.pmod(F.xxhash64(F.col(id_col)), F.lit(shares)).cast("int")
     encoded = _encoded(docs.select(F.col(id_col).alias("doc_id"), share.alias("share"), F.col(text_col).alias("text")), head, counts.tasks)
     vocabulary = _vocabulary(counts, counts.tasks)
-    for part in [encoded.where("share = 0")] * start_rounds + [encoded] * rounds:
+    starts = [encoded.where(F.col("share") == i % shares) for i in range(start_rounds)]
+    for part in starts + [encoded] * rounds:
         replies = _replies(vocabulary, _asked(part, _ASKED), counts, model) if model.counts is not None else None
         model = _round(part, replies, counts, model)
     return model

@@ -261,6 +261,20 @@ def test_head_is_filled_among_words_of_one_count(spark):
         assert list(hmm.count_words(docs, head=head).head) == ["more", *sorted(words)][:head]
 
 
+def test_start_rounds_cover_all_learning_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "word%d and more" % i) for i in range(60)], "doc_id bigint, text string")
+    seen, plain = [], hmm._round
+
+    def spied(part, *others):
+        seen.append({i for r in part.where("bucket = -1").collect() for i in r.ids})
+        return plain(part, *others)
+
+    monkeypatch.setattr(hmm, "_round", spied)
+    hmm.fit(docs, hmm.count_words(docs), states=2, sample=20, start_rounds=4, rounds=0)
+    assert set().union(*seen) == set(range(60)) and len(seen) == 4
+    assert max(len(x) for x in seen) < 60
+
+
 # --- the whole
 
 def test_pipeline_keeps_what_its_stages_decide(spark):
