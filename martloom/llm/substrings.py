@@ -4,7 +4,8 @@
    its anchor, so equal windows have equal anchors at equal places. All windows of an
    anchor lie in its context, the LENGTH - GRAM bytes before it and LENGTH bytes from it on.
 2. An anchor whose whole context also has a smaller document is covered at once; copies within a slice
-   are settled there, so a gram sends at most one record per slice and context.
+   are settled there, so a gram sends at most one record per slice and context. Contexts of a gram are
+   equal if all 64 bits of their hash are.
 3. Contexts that share a gram but differ are searched for common windows. Each task
    sorts the suffixes of its contexts, takes the Burrows-Wheeler order, and extends
    intervals backward, breadth first: suffixes that share l + 1 bytes are those with the same first byte whose
@@ -43,7 +44,7 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ODD = np.uint64(0xBF58476D1CE4E5B9)
 _VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BEFORE = LENGTH - GRAM
-_RECORD = (("gram", "<u8"), ("context", "<u4"), ("doc", "<i8"), ("place", "<i4"))
+_RECORD = (("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("place", "<i4"))
 _REQUEST = np.dtype([("gram", "<u8"), ("place", "<i4")])
 _SPANS, _WANTED, _WANTED_HOT = 1, 2, 3
 
@@ -86,7 +87,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n, width = len(raw), LENGTH - GRAM + 1
     none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none, none, none.astype(np.uint64), none.astype(np.uint32)
+        return none, none, none.astype(np.uint64), none.astype(np.uint64)
     end_of = np.repeat(offsets[1:], np.diff(offsets))
     hashes = _Hashes(raw)
     at = np.arange(n - GRAM + 1)
@@ -101,7 +102,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     row = np.searchsorted(offsets, found, side="right") - 1
     low, high = np.maximum(offsets[row], found - _BEFORE), np.minimum(offsets[row + 1], found + LENGTH)
     context = hashes.of(low, high) ^ _mixed((found - low).astype(np.uint64))
-    return row, found - offsets[row], grams[found], (context >> np.uint64(32)).astype(np.uint32)
+    return row, found - offsets[row], grams[found], context
 
 
 def _packed(kind: int, doc: np.ndarray, values: np.ndarray) -> list[tuple[int, int, bytes]]:
@@ -143,10 +144,10 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
                 raw, offsets = text_bytes(piece.column(1))
                 row, place, gram, context = anchors(raw, offsets)
                 doc = piece.column(0).to_numpy()[row]
-                same = _mixed(gram + context.astype(np.uint64) * _ODD)
+                same = _mixed(gram + context * _ODD)  # for the order only
                 order = np.lexsort((doc, same))
-                doc, place, gram, context, same = (x[order] for x in (doc, place, gram, context, same))
-                new = np.append(True, same[1:] != same[:-1]) if len(same) else np.zeros(0, bool)
+                doc, place, gram, context = (x[order] for x in (doc, place, gram, context))
+                new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])) if len(same) else np.zeros(0, bool)
                 first = doc[new][np.cumsum(new) - 1] if len(doc) else doc
                 local = doc != first
                 found = []

@@ -159,6 +159,16 @@ def test_substrings_of_odd_frames(spark):
     assert substrings.find(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_contexts_that_agree_in_32_bits_of_their_hash_are_no_copies(spark):
+    texts = [
+        "nkmzonsppnzdqojbpkkxanqtbqcskzmgvaiahnsdakgzoyzoxzvftgdjnmyvetyubvcwrlyhwgmypkle",
+        "vkobyfkusrzxnszvnaewijsakbyxtimgvaiahnsdakgzoyzoxzwwrmkbzkonqvbglikritsikpjwolku",
+        "eailpnclnnwtzsycewltpmbvgfzmuamgvaiahnsdakgzoyzoxzwoftkkylxoiueywmilbnkzyrnyfbpq",
+        "vmzadtrrmdrtjtgrebnnxlfqzhwomnmgvaiahnsdakgzoyzoxzsflagyfdjfwlwjkhrtmacchnbzbrwt",
+    ]
+    assert substrings.find(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).count() == 0
+
+
 def test_embeddings_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "TILE", 40)
     rng = np.random.default_rng(5)
