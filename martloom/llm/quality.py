@@ -6,7 +6,8 @@ the score is the difference of the two Mahalanobis log densities, taken with
 Cholesky factors computed once, and put on a 0 to 1 scale by a logistic fit.
 
 The fit sums (count, vector, outer product) per class in the tasks and adds
-the sums up, so it takes every labelled row at any size. Scoring is a map.
+the sums up, then sums gradient and Hessian of each Newton step of the logistic
+fit, so it takes every labelled row at any size. Scoring is a map.
 
 Edge cases: NULL and empty texts have the statistics of a text of no words
 and get a score like any other. Repeated doc_ids keep their rows. Labels
@@ -26,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import coded, counts_by_row, map_texts, rows_of, text_bytes, words_of
+from martloom.llm.common import coded, counts_by_row, map_texts, rows_of, staged, text_bytes, words_of
 
 STATISTICS = (
     "words",
@@ -145,12 +146,11 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return map_texts(source, "text", run, f"doc_id {kind}, x array<double>")
 
 
-def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", shrink: float = 0.1, sample: int = 20_000) -> Model:
+def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", shrink: float = 0.1) -> Model:
     """Fit on frames (doc_id, x) and (doc_id, label), both with only the rows to learn from.
 
-    ``shrink`` is the weight of the pooled and diagonal covariance. ``sample``
-    bounds the rows taken to the driver for the two numbers of the logistic scale; means and
-    covariances take all rows.
+    ``shrink`` is the weight of the pooled and diagonal covariance. Means, covariances
+    and the logistic scale take all rows.
     """
     label = F.col(label_col).cast("int")
     marks = labels.where(label.isin(0, 1)).select("doc_id", label.alias("y"))
@@ -186,23 +186,35 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", shrink:
     factors = np.array([np.linalg.cholesky(c) for c in covariances])
     log_dets = np.array([2 * np.log(np.diag(f)).sum() for f in factors])
     model = Model(means, factors, log_dets, 1.0, 0.0)
-    part = min(1.0, sample / n.sum())
-    chosen = rows.where(F.xxhash64("x") % 1_000_000 < F.lit(int(part * 1_000_000))) if part < 1 else rows
-    held = chosen.limit(2 * sample).collect()
-    x, y = np.array([r.x for r in held]).reshape(-1, d), np.array([r.y for r in held], float)
-    model.slope, model.offset = _logistic(model.differences(x), y)
+    model.slope, model.offset = _logistic(rows, model)
     return model
 
 
-def _logistic(z: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic regression of y on z, by Newton steps with a small ridge."""
-    design = np.column_stack([z, np.ones_like(z)])
+def _logistic(rows: DataFrame, model: Model, rounds: int = 50) -> tuple[float, float]:
+    """Slope and offset of a logistic regression of y on the differences, by Newton steps with a small ridge.
+
+    Gradient and Hessian are added up over all rows (y, x), whose differences are stored once.
+    """
+
+    def differ(batches):
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.differences(x))], names=["y", "z"])
+
+    held = staged(rows.mapInArrow(differ, "y int, z double"))
     w = np.zeros(2)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (p - y) + 1e-3 * w
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        w = w - np.clip(np.linalg.solve(hessian, gradient), -2, 2)
+        t = F.lit(float(w[0])) * F.col("z") + F.lit(float(w[1]))
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), t))))
+        miss, spread = p - F.col("y"), p * (1 - p)
+        z = F.col("z")
+        g0, g1, h00, h01, h11 = held.agg(F.sum(miss * z), F.sum(miss), F.sum(spread * z * z), F.sum(spread * z), F.sum(spread)).first()
+        gradient = np.array([g0, g1]) + 1e-3 * w
+        hessian = np.array([[h00, h01], [h01, h11]]) + 1e-3 * np.eye(2)
+        step = np.clip(np.linalg.solve(hessian, gradient), -2, 2)
+        w = w - step
+        if np.abs(step).max() < 1e-10:
+            break
     return float(w[0]), float(w[1])
 
 

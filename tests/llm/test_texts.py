@@ -69,6 +69,16 @@ def test_discriminant_is_the_difference_of_gaussian_log_densities():
     assert np.allclose(np.sinh(model.differences(x)), np.array(logs[1]) - logs[0])
 
 
+def test_logistic_scale_takes_all_labelled_rows_in_any_order(spark):
+    n = 120_000
+    ids = spark.range(0, n, 1, 8)
+    y = (F.col("id") >= 90_000).cast("int")  # stored by class
+    x = F.array(*(F.randn(i) + (y if i < 2 else 0) for i in range(len(quality.STATISTICS))))
+    stats = ids.select(F.col("id").alias("doc_id"), x.alias("x"))
+    model = quality.fit(stats, ids.select(F.col("id").alias("doc_id"), y.alias("quality")))
+    assert math.isclose(quality.score(stats, model).agg(F.avg("score")).first()[0], 0.25, abs_tol=1e-4)
+
+
 def test_quality_of_held_out_documents(spark):
     rows = queries.QUERIES["op10_quality"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
