@@ -26,6 +26,7 @@ ignored. Words tied in count are ordered by their text.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from martloom.llm.common import coded, map_texts, rows_of, slices, staged, words_of
+from martloom.llm.common import coded, map_texts, rows_of, slices, staged, text_bytes, words_of
 
 HEAD = 65_536
 CLASSES = 256
@@ -150,6 +151,7 @@ class Model:
     scale: np.ndarray | None = None  # a word outside the head has the emission count / scale + prior x b
     prior: np.ndarray | None = None
     counts: DataFrame | None = None  # its expected counts: rows of kind _ADDED and _OWN
+    stored: DataFrame | None = None  # where the former are
 
 
 def symbols(texts: pa.Array, head: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -256,12 +258,20 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        held: dict[int, list[pa.RecordBatch]] = {}
+        sizes: dict[int, int] = {}
         for batch in batches:
             share = batch.column(1).to_numpy()
-            for own in np.unique(share):
+            for own in np.unique(share).tolist():
                 for part in slices(batch.filter(pa.array(share == own)), "text", SLICE):
-                    yield pack(part, int(own), number)
-                    number += 1
+                    held.setdefault(own, []).append(part)
+                    sizes[own] = sizes.get(own, 0) + len(text_bytes(part.column(2))[0])
+                    if sizes[own] >= SLICE:
+                        yield pack(pa.Table.from_batches(held.pop(own)).combine_chunks().to_batches()[0], own, number)
+                        number, sizes[own] = number + 1, 0
+        for own, parts in held.items():
+            yield pack(pa.Table.from_batches(parts).combine_chunks().to_batches()[0], own, number)
+            number += 1
 
     def pack(part: pa.RecordBatch, share: int, number: int) -> pa.RecordBatch:
         offsets, seen, places, distinct = symbols(part.column(2), head.value)
@@ -439,7 +449,7 @@ def _round(encoded: DataFrame, replies: DataFrame | None, counts: Counts, model:
     scale = emissions.sum(axis=0)
     per_word = done.where("symbol is null").select("bucket", F.lit(_ADDED).alias("kind"), "slice", F.lit(None).cast("array<string>").alias("words"), "data")
     held = per_word.unionByName(_asked(encoded, _OWN))
-    return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / scale, scale, mixed / scale, held)
+    return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / scale, scale, mixed / scale, held, done)
 
 
 def _added(*columns: pa.Array) -> pa.RecordBatch:
@@ -457,10 +467,23 @@ def fit(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str =
     starts = [encoded.where(F.col("share") == i % shares) for i in range(start_rounds)]
     for part in starts + [encoded] * rounds:
         replies = _replies(vocabulary, _asked(part, _ASKED), counts, model) if model.counts is not None else None
-        model = _round(part, replies, counts, model)
+        last, model = model, _round(part, replies, counts, model)
+        if last.stored is not None:
+            _drop(last.stored)
+        del replies, last
+        gc.collect()
+        docs.sparkSession._jvm.System.gc()  # Spark removes the shuffle files of frames that are gone
     return model
 
 
+def _drop(df: DataFrame) -> None:
+    """Delete the files of a staged frame that is not read again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def score(docs: DataFrame, counts: Counts, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every document."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).alias("share"), F.col(text_col).alias("text"))
