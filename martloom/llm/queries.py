@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontaminate, embeddings, hmm, jaccard, langid, licences, pii, quality, substrings
+from martloom.llm import bpe, decontaminate, embeddings, hmm, jaccard, langid, licences, merkle, pii, quality, substrings
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,97 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+# crc32 as DuckDB text: the table from its rule (0xEDB88320), then a fold over the bytes of a short ASCII text.
+_CRC_TABLE = """(SELECT list(v ORDER BY i) FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(i)))"""
+
+
+@query(
+    "op13_merkle",
+    """
+    WITH RECURSIVE
+    crc AS MATERIALIZED (SELECT """
+    + _CRC_TABLE
+    + """ AS v),
+    fields AS (
+      SELECT doc_id, source, d.text AS text,
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+        replace(d.text, chr(10), '') AS cut,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+          lambda c, x: xor(c >> 8, v[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 2 = 0 AS even
+      FROM documents d, crc
+    ),
+    leaves AS (
+      SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        sha256(head || CASE WHEN text IS NULL THEN '-' WHEN even THEN strlen(cut) || ':' || cut ELSE strlen(text) || ':' || text END) AS seen
+      FROM fields
+    ),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+      FROM leaves
+    ),
+    nodes AS (
+      SELECT source, 0 AS level, i, n, leaf AS h FROM placed
+      UNION ALL
+      SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+      FROM nodes WHERE n > 1 GROUP BY source, level, i // 3, n
+    ),
+    tops AS (
+      SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+    ),
+    upper AS (
+      SELECT 0 AS level, i, n, subroot AS h FROM tops
+      UNION ALL
+      SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM upper WHERE n > 1 GROUP BY level, i // 3, n
+    ),
+    steps AS (
+      SELECT a.source, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+        coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+      FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.i // 3 = b.i // 3
+      WHERE a.n > 1 GROUP BY ALL
+    ),
+    upper_steps AS (
+      SELECT a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+        coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+      FROM upper a JOIN upper b ON a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL
+    ),
+    paths AS (
+      SELECT source, i AS of, 0 AS level, i, '' AS proof, seen AS f FROM placed
+      UNION ALL
+      SELECT p.source, p.of, p.level + 1, p.i // 3, proof || l || r, sha256(l || f || r)
+      FROM paths p JOIN steps s ON p.source IS NOT DISTINCT FROM s.source AND p.level = s.level AND p.i = s.i
+    ),
+    ends AS (
+      SELECT * FROM paths QUALIFY row_number() OVER (PARTITION BY source, of ORDER BY level DESC) = 1
+    ),
+    more AS (
+      SELECT e.source, e.of, 0 AS level, t.i, e.proof, e.f FROM ends e JOIN tops t ON e.source IS NOT DISTINCT FROM t.source
+      UNION ALL
+      SELECT m.source, m.of, m.level + 1, m.i // 3, proof || l || r, sha256(l || f || r)
+      FROM more m JOIN upper_steps s ON m.level = s.level AND m.i = s.i
+    ),
+    done AS (
+      SELECT * FROM more QUALIFY row_number() OVER (PARTITION BY source, of ORDER BY level DESC) = 1
+    )
+    SELECT p.doc_id, p.leaf, t.subroot, u.h AS root, sha256(d.proof) AS proof_sha256, d.f AS folded_root, d.f = u.h AS verified
+    FROM placed p JOIN done d ON p.source IS NOT DISTINCT FROM d.source AND p.i = d.of
+    JOIN tops t ON p.source IS NOT DISTINCT FROM t.source JOIN upper u ON u.n = 1
+    """,
+)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(
+        F.col("doc_id").isNotNull() & (crc_mod("doc_id", 2) == 0), F.replace("text", F.lit("\n"), F.lit(""))
+    ).otherwise(F.col("text"))
+    seen = merkle.leaf_of("doc_id", "source", "lang", "n_chars", tampered)
+    found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"seen": F.unhex(seen)})
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.folded(merkle.hex_text(F.col("seen")), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
