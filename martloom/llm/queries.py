@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontaminate, embeddings, hmm, jaccard, langid, licences, merkle, pii, quality, substrings
+from martloom.llm import bpe, conversations, decontaminate, digests, embeddings, hmm, jaccard, langid, licences, merkle, pii, quality, substrings
 from martloom.llm.common import crc_mod, staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,3 +246,132 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
         merkle.folded(merkle.hex_text(F.col("seen")), F.col("proof")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_fingerprints")
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return digests.with_next(docs, digests.rarity(docs))
+
+
+# The repair as a recursion over rows: for each state the least key, the cost in eight digits and the audit. NULL: no way there.
+
+
+def _grown(key: str, cost: str, letter: str) -> str:
+    return f"lpad(CAST(CAST(left({key}, 8) AS INT) + {cost} AS VARCHAR), 8, '0') || substr({key}, 9) || '{letter}'"
+
+
+def _with_insertions(keys: list[str]) -> list[str]:
+    """Keys of the four states when turns may be added: from 0, 1, 3 to 2, and from 2 to 3, twice round at most."""
+    zero, one, two, three = keys
+    user = f"least({two}, {_grown(zero, '2', 'I')}, {_grown(one, '2', 'I')}, {_grown(three, '2', 'I')})"
+    assistant = f"least({three}, {_grown(two, '2', 'I')}, {_grown(_grown(zero, '2', 'I'), '2', 'I')}, {_grown(_grown(one, '2', 'I'), '2', 'I')})"
+    return [zero, one, user, assistant]
+
+
+def _repair_sql() -> str:
+    keys = [f"k{q}" for q in range(4)]
+    grown = _with_insertions(keys)
+    deleted = [_grown(f"i{q}", "3", "D") for q in range(4)]
+    keep = lambda q, to: f"CASE WHEN initial = '{to}' THEN {_grown(f'i{q}', 'late', 'K')} END"
+    role = lambda q: _grown(f"i{q}", "2 + late", "R")
+    user = ", ".join(f"{keep(q, 'u')}, {role(q)}" for q in (0, 1, 3))
+    steps = [
+        deleted[0],
+        f"CASE WHEN forced THEN {deleted[1]} ELSE least({deleted[1]}, {keep(0, 's')}) END",
+        f"CASE WHEN forced THEN {deleted[2]} ELSE least({deleted[2]}, {user}) END",
+        f"CASE WHEN forced THEN {deleted[3]} ELSE least({deleted[3]}, {keep(2, 'a')}, {role(2)}) END",
+    ]
+    inserted = ", ".join(f"{g} AS i{q}" for q, g in enumerate(grown))
+    return f"""
+    WITH RECURSIVE
+    crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS v),
+    hit AS (
+      SELECT c.*, xor(list_reduce(list_prepend(4294967295, list_transform(
+          string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT))),
+          lambda c, x: xor(c >> 8, v[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 20 AS kind
+      FROM conversations c, crc
+    ),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+      FROM hit, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+    ),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i, left(role, 1) AS initial,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut
+      FROM damaged
+    ),
+    judged AS (
+      SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal,
+        CASE WHEN cut = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+          WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+      FROM placed
+    ),
+    edits AS (
+      SELECT conv_id, i, initial, coalesce(fault IN ('blank', 'duplicate'), FALSE) AS forced, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS late FROM judged
+    ),
+    walk AS (
+      SELECT conv_id, 0 AS i, {", ".join(("'00000000'" if q == 0 else "CAST(NULL AS VARCHAR)") + f" AS k{q}" for q in range(4))}
+      FROM (SELECT DISTINCT conv_id FROM conversations)
+      UNION ALL
+      SELECT conv_id, i, {", ".join(f"{s} AS k{q}" for q, s in enumerate(steps))}
+      FROM (SELECT w.conv_id, e.i, initial, forced, late, {inserted}
+            FROM walk w JOIN edits e ON w.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = w.i + 1)
+    ),
+    goals AS (
+      SELECT conv_id, least(i0, i3) AS k FROM (SELECT conv_id, {inserted} FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)
+    ),
+    letters AS (
+      SELECT conv_id, j, substr(k, 8 + j, 1) AS letter FROM (SELECT conv_id, k, unnest(range(1, length(k) - 7)) AS j FROM goals)
+    ),
+    kept AS (
+      SELECT conv_id, letter, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS total, of
+      FROM (SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS of, j AS place FROM letters)
+      WHERE letter <> 'D' WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+    ),
+    outcome AS (
+      SELECT t.conv_id, string_agg(
+        CASE WHEN letter = 'K' THEN role WHEN (n + total) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY n) AS whole
+      FROM kept t LEFT JOIN placed p ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.of = p.i AND letter <> 'I' GROUP BY 1
+    ),
+    counted AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+      FROM judged GROUP BY 1
+    )
+    SELECT g.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(k, 8) AS BIGINT) AS cost, substr(k, 9) AS audit,
+      sha256(coalesce(whole, '')) AS repaired_sha256
+    FROM goals g LEFT JOIN counted c ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN outcome o ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+    """
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """The faults that the contract plants, by the checksum of conversation and turn."""
+    names = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    text, kind = F.coalesce("text", F.lit(" ")), F.col("_kind")
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    hit = rows.select("conv_id", "turn", F.col("role"), text.alias("text"), (F.crc32(names) % 20).alias("_kind"))
+    hit = hit.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    return hit.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+    )
+
+
+@query("op11_conversations", _repair_sql())
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.repair(_damaged(rows)).withColumnRenamed("conv_id", "_conv")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    text = F.coalesce(conversations.repaired_text(F.col("repaired")), F.lit(""))
+    return every.select(
+        "conv_id",
+        *numbers,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(text, 256)).alias("repaired_sha256"),
+    )
