@@ -27,12 +27,13 @@ from martloom.operators.keys import dense_key, stable_key
 from martloom.operators.ranks import global_ranks, share_of_max, top_n_per_group
 from martloom.operators.skew import hot_keys, salted_join
 from martloom.operators.star import Dim, match_report, star_join
-from martloom.operators.upsert import upsert, upsert_where
+from martloom.operators.upsert import Within, upsert, upsert_where
 
 __all__ = [
     "CALENDAR_COLUMNS",
     "Dim",
     "Period",
+    "Within",
     "assert_unique",
     "calendar",
     "calendar_between",

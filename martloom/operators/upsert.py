@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.columns import as_list
 from martloom.operators.dedupe import dedupe
+from martloom.session import checkpointed
 
 
 # True, False, or the key columns in which NULL equals NULL.
@@ -117,26 +120,44 @@ def apply_newest(
     return joined.select(*[value(c) for c in target.columns])
 
 
+@dataclass(frozen=True)
+class Within:
+    """The part of a condition that says ``dest.<point> BETWEEN orig.<low> AND orig.<high>``, for numbers or dates."""
+
+    point: str
+    low: str
+    high: str
+
+
 def upsert_where(
     target: DataFrame,
     source: DataFrame,
     condition: str | Column,
     target_key: str | list[str],
+    within: Within | None = None,
 ) -> DataFrame:
     """Upsert on a free condition over the aliases ``dest`` and ``orig``.
 
     A matched target row becomes the source row, an unmatched source row is
     inserted. ``target_key`` identifies a target row, NULLs in it equal to nothing; the
     job fails when two source rows match the same one, as no order between them is
-    defined. Without an equality in the condition Spark would compare all pairs.
+    defined.
+
+    A condition needs an equality to be joined by. One that has none, but requires a target
+    column to lie in an interval of the source, names it in ``within``: both sides are then joined by bins.
+    Without either, every row would be compared with every other, and the call is refused.
     """
     condition = F.expr(condition) if isinstance(condition, str) else condition
     target_key = as_list(target_key)
-    joined = (
-        target.withColumn("_in_target", F.lit(True))
-        .alias("dest")
-        .join(source.withColumn("_in_source", F.lit(True)).alias("orig"), condition, "full")
-    )
+    if within is None:
+        joined = (
+            target.withColumn("_in_target", F.lit(True))
+            .alias("dest")
+            .join(source.withColumn("_in_source", F.lit(True)).alias("orig"), condition, "full")
+        )
+        _require_no_loop(joined)
+    else:
+        joined, inserted = _joined_by_bins(target, source, condition, within)
     old, new = F.col("dest._in_target").isNotNull(), F.col("orig._in_source").isNotNull()
     complete = _all([F.col(f"dest.{k}").isNotNull() for k in target_key])
     matched = old & new & complete
@@ -150,4 +171,43 @@ def upsert_where(
     others = joined.filter(~matched).select(
         *[F.when(new, F.col(f"orig.{c}")).otherwise(F.col(f"dest.{c}")).alias(c) for c in target.columns]
     )
-    return others.unionByName(replaced)
+    rows = others.unionByName(replaced)
+    return rows if within is None else rows.unionByName(inserted.select(*target.columns))
+
+
+def _require_no_loop(joined: DataFrame) -> None:
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
+        raise ValueError("the condition has no equality to join by; give `within`, or add one")
+
+
+def _number(c: Column, kind: T.DataType) -> Column:
+    """Days and times as seconds, so that they compare with each other; all else as it is."""
+    moment = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return (c.cast("timestamp") if moment else c).cast("double")
+
+
+def _joined_by_bins(target: DataFrame, source: DataFrame, condition: Column, within: Within) -> tuple[DataFrame, DataFrame]:
+    """(target left-joined with its matches, source rows without a match).
+
+    Bins are as wide as the mean interval, so the source rows are repeated at most three times on average; a target
+    row is in one bin, and meets each match once.
+    """
+    low, high = (_number(F.col(c), source.schema[c].dataType) for c in (within.low, within.high))
+    batch = checkpointed(source.withColumn("_in_source", F.monotonically_increasing_id()))
+    real = batch.where((low <= high) & (F.abs(low) < _FAR) & (F.abs(high) < _FAR))
+    mean = real.agg(F.avg(high - low)).first()[0]
+    width = mean or 1.0
+    bins = F.sequence(F.floor(low / width), F.floor(high / width))
+    orig = real.withColumn("_bin", F.explode(bins)).alias("orig")
+    point = _number(F.col(within.point), target.schema[within.point].dataType)
+    dest = target.withColumn("_in_target", F.lit(True)).withColumn("_bin", F.when(F.abs(point) < _FAR, F.floor(point / width)))
+    inside = F.col(f"dest.{within.point}").between(F.col(f"orig.{within.low}"), F.col(f"orig.{within.high}"))
+    # stored, as the matches decide both what is replaced and what is inserted
+    joined = dest.alias("dest").join(orig, (F.col("dest._bin") == F.col("orig._bin")) & inside & condition, "left")
+    met = joined.where(F.col("orig._in_source").isNotNull()).select(F.col("orig._in_source").alias("_met")).distinct()
+    return joined, batch.join(met, F.col("_in_source") == F.col("_met"), "left_anti")
+
+
+# Bounds beyond this are not binned: NaN and infinity lie in no interval.
+_FAR = 1e15

@@ -14,17 +14,19 @@ Neither protects against two writers at once.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.columns import as_list
+from martloom.functions.columns import as_col, as_list
 from martloom.operators.upsert import (
     NullSafe,
+    Within,
     apply_newest,
     key_matches,
     newest_per_key,
     require_known_columns,
+    upsert_where,
 )
 from martloom.session import checkpointed
 
@@ -36,15 +38,22 @@ def save(
     fmt: str = "parquet",
     partition_by: str | list[str] = (),
     overwrite_schema: bool = False,
+    order_by: str | Column | list[str | Column] = (),
 ) -> None:
     """``saveAsTable`` with modes append, overwrite, ignore and error.
 
     Partitioned writes are rebalanced on the partition columns first: one
     file set per partition, with AQE splitting partitions that are too big.
+    ``order_by`` stores the rows in that order, within each partition: they are dealt out by ranges
+    and sorted, so files do not overlap and readers skip those whose least and greatest values rule them out.
     ``overwrite_schema`` passes the option on to formats that know it.
     """
     partition_by = as_list(partition_by)
-    if partition_by:
+    order = [as_col(c) for c in ([order_by] if isinstance(order_by, (str, Column)) else order_by)]
+    if order:
+        bounds = [*[F.col(c) for c in partition_by], *order]
+        df = df.repartitionByRange(*bounds).sortWithinPartitions(*bounds)
+    elif partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode)
     if overwrite_schema:
@@ -129,6 +138,22 @@ def upsert_table(
             _drop_partition(spark, table, parts, row)
 
 
+def load_where(
+    source: DataFrame,
+    table: str,
+    condition: str | Column,
+    target_key: str | list[str],
+    within: Within | None = None,
+    fmt: str = "parquet",
+) -> None:
+    """First load creates the table, later loads ``upsert_where`` into it; a new version each time."""
+    spark = source.sparkSession
+    if not spark.catalog.tableExists(table):
+        replace(source, table, fmt)
+        return
+    replace(upsert_where(spark.table(table), source, condition, target_key, within), table, fmt)
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str):
     """A session setting for the length of a block."""
@@ -163,7 +188,11 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
 
 
 def replace(
-    df: DataFrame, table: str, fmt: str = "parquet", partition_by: str | list[str] = ()
+    df: DataFrame,
+    table: str,
+    fmt: str = "parquet",
+    partition_by: str | list[str] = (),
+    order_by: str | Column | list[str | Column] = (),
 ) -> None:
     """Full rebuild: write a new version, then point the view ``table`` at it.
 
@@ -172,7 +201,7 @@ def replace(
     spark = df.sparkSession
     number = (_versions(spark, table) or [0])[-1] + 1
     version = f"{table}__v{number:06d}"
-    save(df, version, "error", fmt, partition_by)
+    save(df, version, "error", fmt, partition_by, order_by=order_by)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
 
 
