@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import as_col
@@ -11,8 +11,24 @@ from martloom.functions.columns import as_col
 CastSpec = list[tuple[str | Column, str, str]]
 
 
-def typed_select(df: DataFrame, spec: CastSpec) -> DataFrame:
-    """Rename and cast in one projection; a value that does not fit becomes NULL."""
+def typed_select(
+    df: DataFrame,
+    spec: CastSpec,
+    losses: Observation | None = None,
+    parsed: dict[str, str | Column] | None = None,
+) -> DataFrame:
+    """Rename and cast in one projection; a value that does not fit becomes NULL.
+
+    ``losses`` collects, while the result is written or otherwise used once, the number of ``rows`` and per target
+    column how many non-NULL inputs became NULL. Where a source is an expression that parses a
+    column, ``parsed`` names the column it came from (target name -> source).
+    """
+    if losses is not None:
+        raw = {name: as_col((parsed or {}).get(name, src)) for src, name, _ in spec}
+        counts = [
+            F.count_if(raw[name].isNotNull() & as_col(src).try_cast(kind).isNull()).alias(name) for src, name, kind in spec
+        ]
+        df = df.observe(losses, F.count(F.lit(1)).alias("rows"), *counts)
     return df.select(*[as_col(src).try_cast(kind).alias(name) for src, name, kind in spec])
 
 

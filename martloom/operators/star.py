@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import as_col
@@ -37,19 +38,31 @@ class Dim:
         ), keys
 
 
-def star_join(fact: DataFrame, *dims: Dim) -> DataFrame:
+def star_join(fact: DataFrame, *dims: Dim, losses: Observation | None = None) -> DataFrame:
     """Attach dimensions in the given order; put the ones that filter most first.
 
     No hint is given: Spark broadcasts a dimension below
     ``spark.sql.autoBroadcastJoinThreshold`` and AQE splits hot fact keys
     in the joins that do shuffle.
+
+    ``losses`` collects, while the result is used once, the fact's ``rows``, those ``kept``, and for the inner dimension i
+    ``lost_i``, how many rows it has no partner for. Dimensions must then be unique on their keys.
     """
-    out = fact
+    out, hits = fact, {}
     for i, dim in enumerate(dims):
         right, keys = dim.trimmed(f"_dim{i}_")
         same = [as_col(left) == F.col(k) for (left, _), k in zip(dim.on, keys)]
-        out = out.join(right, same, dim.how).drop(*keys)
-    return out
+        if losses is None or dim.how != "inner":
+            out = out.join(right, same, dim.how).drop(*keys)
+            continue
+        hits[i] = f"_hit{i}"  # an inner join drops rows before they can be counted
+        out = out.join(right.withColumn(hits[i], F.lit(True)), same, "left").drop(*keys)
+    if not hits:
+        return out
+    whole = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hits.values()])
+    missed = [F.count_if(F.col(h).isNull()).alias(f"lost_{i}") for i, h in hits.items()]
+    out = out.observe(losses, F.count(F.lit(1)).alias("rows"), F.count_if(whole).alias("kept"), *missed)
+    return out.where(whole).drop(*hits.values())
 
 
 def match_report(fact: DataFrame, dims: dict[str, Dim]) -> DataFrame:

@@ -21,7 +21,7 @@ class BronzeTable:
     ``path_keys`` are parent ids found in the path of a landed file and must be
     there, ``keys`` the upsert key; no key means each load replaces the table. NULL equals NULL
     only in the ``optional`` ones. Records without ``unkeyed`` have no key of their own and
-    get one, ``id_registro``, from their file and place in it.
+    get one, ``id_registro``, from their file and place in it. ``business_date`` are columns that facts are partitioned by.
     """
 
     ddl: str
@@ -31,6 +31,7 @@ class BronzeTable:
     derived: dict[str, Column] = field(default_factory=dict)
     optional: list[str] = field(default_factory=list)
     unkeyed: str | None = None
+    business_date: list[str] = field(default_factory=list)
 
 
 def expense_key() -> Column:
@@ -73,6 +74,7 @@ def tables() -> dict[str, BronzeTable]:
             },
             derived={"sk_despesa": expense_key()},
             optional=["parcela"],
+            business_date=["ano", "mes"],
         ),
         "bronze_orgaos": BronzeTable(S.ORGAOS, required=["id"]),
         "bronze_orgaos_detalhe": BronzeTable(

@@ -5,17 +5,21 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators.calendar import Period
+from martloom.operators.history import VALIDITY
 from martloom.plans.legislative import bronze as B
 from martloom.plans.legislative import gold as G
 from martloom.plans.legislative import schemas as S
 from martloom.plans.legislative import silver as L
-from martloom.sinks import error_rows, future_view, load, quarantine, replace, stamp
 from martloom.session import checkpointed
+from martloom.sinks import error_rows, future_view, load, load_bucketed, load_history, load_indexed
+from martloom.sinks import quarantine, replace, split_once, stamp
+from martloom.sinks.keyed import BUCKETS
 from martloom.sources import judge, read_landed_pages
+from martloom.sources.ledger import landed_files, paths_of, record, unread
 
 
 @dataclass(frozen=True)
@@ -39,23 +43,31 @@ def build_bronze(
     as_of: dt.datetime | None = None,
     layers: Layers = Layers(),
     version: str = "1.0",
-) -> None:
-    """Load the landed files of each bronze table (name -> path) in one write per table.
+    buckets: int = BUCKETS,
+) -> dict[str, dict[str, int]]:
+    """Load the new landed files of each bronze table (name -> path).
 
     Records that cannot be decoded or lack their key go to the audit table
-    before the others are loaded.
+    before the others are loaded. Returns per table the files opened, their records, and how many were rejected.
+    ``buckets`` is the number of partitions by key of tables that have no business date.
     """
     known = B.tables()
-    errors = f"{layers.audit}.erros_api"
+    errors, ledger = f"{layers.audit}.erros_api", f"{layers.audit}.arquivos_lidos"
+    report = {}
     for name, path in landing.items():
         table = known[name]
-        records = read_landed_pages(spark, path, table.path_keys)
-        # the landing is read and judged once, and split from there
-        judged = checkpointed(
-            judge(records, "raw_payload", table.ddl, table.required, list(table.path_keys))
-        )
-        good = judged.filter("tipo_erro IS NULL").drop("tipo_erro")
-        bad = judged.filter("tipo_erro IS NOT NULL")
+        target = f"{layers.bronze}.{name}"
+        files = landed_files(spark, path)
+        # a table without key is replaced by all that is landed, the others by what is new
+        new = unread(files, ledger, name) if table.keys and spark.catalog.tableExists(target) else checkpointed(files)
+        if new.isEmpty() and spark.catalog.tableExists(target):
+            report[name] = {"files": 0, "rows": 0, "rejected": 0}
+            continue
+        paths = paths_of(new)
+        records = read_landed_pages(spark, paths or path, table.path_keys)
+        seen = Observation()
+        judged = judge(records, "raw_payload", table.ddl, table.required, list(table.path_keys))
+        good, bad = split_once(judged, seen)
         quarantine(
             error_rows(
                 bad, "source_file", "source_file", "raw_payload", name, batch_id, version, as_of
@@ -63,18 +75,16 @@ def build_bronze(
             errors,
         )
         rows = B.bronze(good, table, batch_id, version, as_of)
-        target = f"{layers.bronze}.{name}"
-        if table.keys:
-            load(
-                rows,
-                target,
-                table.keys,
-                partition_by=["ano_ingestao", "mes_ingestao"],
-                newest_by="ingested_at",
-                null_safe=table.optional,
-            )
-        else:
+        options = {"newest_by": "ingested_at", "null_safe": table.optional, "buckets": buckets}
+        if not table.keys:
             replace(rows, target)
+        elif table.business_date:
+            load_indexed(rows, target, table.keys, table.business_date, **options)
+        else:
+            load_bucketed(rows, target, table.keys, **options)
+        record(new, ledger, name, batch_id)
+        report[name] = {"files": len(paths), **seen.get}
+    return report
 
 
 def build_silver(
@@ -83,12 +93,15 @@ def build_silver(
     layers: Layers = Layers(),
     version: str = "1.0",
     periods: list[Period] = S.ELECTION_PERIODS,
-) -> None:
+    buckets: int = BUCKETS,
+) -> dict[str, dict[str, int]]:
     """Dimensions first, then the bridges and facts that need their keys.
 
-    The calendar spans the days of the events, so no event falls outside it.
+    The calendar spans the days of the events, so no event falls outside it. Returns the values that the typed
+    expenses lost, by column, and the parents whose children were never landed.
     """
     day = as_of.date()
+    lost = Observation()
 
     def bronze(name: str) -> DataFrame:
         return spark.table(f"{layers.bronze}.{name}")
@@ -101,13 +114,11 @@ def build_silver(
         return spark.table(full) if spark.catalog.tableExists(full) else None
 
     def keep(name: str, df: DataFrame, keys: list[str], partition_by: list[str] = ()) -> None:
-        load(
-            stamp(df, version, as_of),
-            f"{layers.silver}.{name}",
-            keys,
-            partition_by=partition_by,
-            null_safe=True,
-        )
+        stamped, full = stamp(df, version, as_of), f"{layers.silver}.{name}"
+        if partition_by:
+            load(stamped, full, keys, partition_by=partition_by, null_safe=True)
+        else:
+            load_bucketed(stamped, full, keys, buckets, null_safe=True)
 
     def rebuild(name: str, df: DataFrame) -> None:
         replace(stamp(df, version, as_of), f"{layers.silver}.{name}")
@@ -117,6 +128,13 @@ def build_silver(
         L.dim_deputado(bronze("bronze_deputados"), day, existing("dim_deputado")),
         ["nk_deputado"],
     )
+    load_history(
+        silver("dim_deputado").drop(*VALIDITY),
+        f"{layers.silver}.dim_deputado_history",
+        "nk_deputado",
+        ["sigla_partido", "sigla_uf", "id_legislatura"],
+        day,
+    )
     keep("dim_frente", L.dim_frente(bronze("bronze_frentes"), existing("dim_frente")), ["nk_frente"])
     keep(
         "dim_tipo_evento",
@@ -139,7 +157,7 @@ def build_silver(
     rebuild("dim_data", L.dim_data(silver("dim_evento"), "data_evento", periods))
     keep(
         "despesas",
-        L.despesas(bronze("bronze_despesas")),
+        L.despesas(bronze("bronze_despesas"), lost),
         ["nk_despesa", "parcela"],
         partition_by=["ano_mes"],
     )
@@ -160,6 +178,8 @@ def build_silver(
         ["nk_voto"],
         partition_by=["ano_voto", "mes_voto"],
     )
+    gaps = sources_without_children(spark, layers).groupBy("parent").count().collect()  # five parents
+    return {"despesas": lost.get, "without_children": {r["parent"]: r["count"] for r in gaps}}
 
 
 def build_gold(
@@ -168,8 +188,13 @@ def build_gold(
     layers: Layers = Layers(),
     version: str = "1.0",
     source_system: str = "landed_json",
-) -> None:
-    """Every mart is rebuilt from silver and from marts built before it."""
+) -> dict[str, dict[str, int]]:
+    """Every mart is rebuilt from silver and from marts built before it.
+
+    Marts that readers rank or scan by a column are stored in its order. Returns the expenses that found no
+    member, category or supplier and are not in their fact.
+    """
+    lost = Observation()
 
     def silver(name: str) -> DataFrame:
         return spark.table(f"{layers.silver}.{name}")
@@ -177,9 +202,11 @@ def build_gold(
     def gold(name: str) -> DataFrame:
         return spark.table(f"{layers.gold}.{name}")
 
-    def rebuild(name: str, df: DataFrame, partition_by: str | tuple = (), **source) -> None:
+    def rebuild(
+        name: str, df: DataFrame, partition_by: str | tuple = (), order_by: str | Column | list = (), **source
+    ) -> None:
         stamped = stamp(df, version, as_of, **source)
-        replace(stamped, f"{layers.gold}.{name}", partition_by=partition_by)
+        replace(stamped, f"{layers.gold}.{name}", partition_by=partition_by, order_by=order_by)
 
     presence = spark.table(f"{layers.bronze}.bronze_eventos_presenca")
     member, caucus = silver("dim_deputado"), silver("dim_frente")
@@ -187,7 +214,7 @@ def build_gold(
     seats, votes = silver("bridge_frente_deputado"), silver("dim_votos_votacoes")
 
     rebuild("gold_frentes_membros", G.frentes_membros(seats, caucus, member))
-    rebuild("gold_ihh_frentes", G.ihh_frentes(gold("gold_frentes_membros"), caucus))
+    rebuild("gold_ihh_frentes", G.ihh_frentes(gold("gold_frentes_membros"), caucus), order_by="ihh")
     rebuild("gold_ranking_deputados", G.ranking_deputados(gold("gold_frentes_membros")))
     rebuild(
         "eventos",
@@ -195,21 +222,32 @@ def build_gold(
     )
     future_view(spark, f"{layers.gold}.vw_eventos_futuros", f"{layers.gold}.eventos", "data_evento")
     rebuild("densidade_eventos_semana", G.densidade_eventos_semana(days, event))
-    rebuild("taxa_presenca_evento", G.taxa_presenca_evento(presence, event, kind, member))
     rebuild(
-        "comparativo_periodo_eleitoral", G.comparativo_periodo_eleitoral(gold("eventos"), days)
+        "taxa_presenca_evento",
+        G.taxa_presenca_evento(presence, event, kind, member),
+        order_by=F.col("taxa_participacao").desc(),
+    )
+    rebuild(
+        "comparativo_periodo_eleitoral",
+        G.comparativo_periodo_eleitoral(gold("eventos"), days),
+        order_by=["ano", "descricao_tipo_evento", "periodo_eleitoral"],
     )
     rebuild(
         "fat_despesas",
         G.fat_despesas(
-            silver("despesas"), member, silver("dim_fornecedor"), silver("dim_categoria_despesa")
+            silver("despesas"), member, silver("dim_fornecedor"), silver("dim_categoria_despesa"), lost
         ),
         partition_by="ano_mes",
     )
-    rebuild("top_gastos_partido", G.top_gastos_partido(gold("fat_despesas")))
+    rebuild(
+        "top_gastos_partido",
+        G.top_gastos_partido(gold("fat_despesas")),
+        order_by=["ano_mes", "ranking_gasto_partido"],
+    )
     rebuild(
         "anomalias_despesas",
         G.anomalias_despesas(gold("fat_despesas"), silver("dim_categoria_despesa"), member),
+        order_by=F.col("z_score").desc(),
     )
     rebuild(
         "gold_frentes_votacoes",
@@ -221,6 +259,9 @@ def build_gold(
     rebuild("gold_engajamento_deputado", G.engajamento_deputado(member, presence, votes))
     rebuild("gold_engajamento_partido", G.engajamento_partido(gold("gold_engajamento_deputado")))
     rebuild("gold_cpis", G.cpis(silver("dim_cpi")))
+    found = lost.get
+    names = ("deputado", "categoria", "fornecedor")
+    return {"fat_despesas": {"rows": found["rows"], "kept": found["kept"], **{n: found[f"lost_{i}"] for i, n in enumerate(names)}}}
 
 
 def sources_without_children(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martloom.functions import blank_to_null
@@ -208,10 +208,11 @@ def fat_despesas(
     dim_deputado: DataFrame,
     dim_fornecedor: DataFrame,
     dim_categoria: DataFrame,
+    losses: Observation | None = None,
 ) -> DataFrame:
-    """Expense fact with the keys of member, supplier and category."""
+    """Expense fact with the keys of member, supplier and category; ``losses`` as in ``star_join``."""
     dims = _expense_dims(dim_deputado, dim_fornecedor, dim_categoria)
-    return star_join(despesas, *dims.values()).select(
+    return star_join(despesas, *dims.values(), losses=losses).select(
         "sk_deputado",
         "sigla_partido",
         "sk_fornecedor",

@@ -269,10 +269,10 @@ def dim_data(dates: DataFrame, date: str, periods: list[Period]) -> DataFrame:
     return days.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
-def despesas(bronze: DataFrame) -> DataFrame:
+def despesas(bronze: DataFrame, losses: Observation | None = None) -> DataFrame:
     """Typed expenses with month label, cleaned tax id, date parts and hash key.
 
-    Instalments of one document share the hash; (nk_despesa, parcela) is unique.
+    Instalments of one document share the hash; (nk_despesa, parcela) is unique. ``losses`` as in ``typed_select``.
     """
     typed = typed_select(
         bronze,
@@ -298,6 +298,8 @@ def despesas(bronze: DataFrame) -> DataFrame:
             ("parcela", "parcela", "int"),
             ("ingested_at", "_ingested_at", "timestamp"),
         ],
+        losses,
+        {"data_documento": "dataDocumento"},
     )
     newest = dedupe(
         typed, ["nk_deputado", "cod_documento", "cod_lote", "parcela"], "_ingested_at"

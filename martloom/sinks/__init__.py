@@ -2,7 +2,7 @@
 
 from martloom.sinks.audit import add_audit, stamp
 from martloom.sinks.keyed import files_of, load_bucketed, load_history, load_indexed, old_partitions
-from martloom.sinks.quarantine import error_rows, quarantine
+from martloom.sinks.quarantine import error_rows, quarantine, split_once
 from martloom.sinks.tables import drop_old_versions, future_view, load, load_where, replace, save, upsert_table
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "quarantine",
     "replace",
     "save",
+    "split_once",
     "stamp",
     "upsert_table",
 ]

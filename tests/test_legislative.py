@@ -113,9 +113,11 @@ def land(root, members, seed=1):
 
 
 def run(spark, box, batch, as_of):
-    build_bronze(spark, box.paths(), batch, as_of, LAYERS)
-    build_silver(spark, as_of, LAYERS)
-    build_gold(spark, as_of, LAYERS)
+    return (
+        build_bronze(spark, box.paths(), batch, as_of, LAYERS, buckets=3),
+        build_silver(spark, as_of, LAYERS, buckets=3),
+        build_gold(spark, as_of, LAYERS),
+    )
 
 
 @pytest.fixture(scope="module")
