@@ -18,7 +18,7 @@ from martloom.sources.landed import decode_json
 class BronzeTable:
     """How one kind of landed record becomes a bronze table.
 
-    ``path_keys`` are parent ids found in the path of a landed file and must be
+    ``path_keys`` are parent ids found in the path of a landed file (``/votacoes/7/`` or ``/votacoes=7/``) and must be
     there, ``keys`` the upsert key; no key means each load replaces the table. NULL equals NULL
     only in the ``optional`` ones. Records without ``unkeyed`` have no key of their own and
     get one, ``id_registro``, from their file and place in it. ``business_date`` are columns that facts are partitioned by.
@@ -53,7 +53,7 @@ def tables() -> dict[str, BronzeTable]:
         "bronze_frentes_membros": BronzeTable(
             S.FRENTES_MEMBROS,
             ["id_frente", "id", "dataInicio"],
-            {"id_frente": (r"/frentes/(\d+)", "bigint")},
+            {"id_frente": (r"/frentes[/=](\d+)", "bigint")},
             ["id"],
             optional=["dataInicio"],
         ),
@@ -61,7 +61,7 @@ def tables() -> dict[str, BronzeTable]:
         "bronze_eventos_presenca": BronzeTable(
             S.EVENTOS_PRESENCA,
             ["id_evento", "id"],
-            {"id_evento": (r"/eventos/(\d+)", "bigint")},
+            {"id_evento": (r"/eventos[/=](\d+)", "bigint")},
             ["id"],
         ),
         "bronze_tipo_evento": BronzeTable(S.TIPO_EVENTO, required=["cod"]),
@@ -69,8 +69,8 @@ def tables() -> dict[str, BronzeTable]:
             S.DESPESAS,
             ["sk_despesa", "parcela"],
             {
-                "nk_deputado": (r"/deputados/(\d+)", "bigint"),
-                "ano_referencia": (r"/despesas/(\d{4})", "int"),
+                "nk_deputado": (r"/deputados[/=](\d+)", "bigint"),
+                "ano_referencia": (r"/despesas[/=](\d{4})", "int"),
             },
             derived={"sk_despesa": expense_key()},
             optional=["parcela"],
@@ -78,13 +78,13 @@ def tables() -> dict[str, BronzeTable]:
         ),
         "bronze_orgaos": BronzeTable(S.ORGAOS, required=["id"]),
         "bronze_orgaos_detalhe": BronzeTable(
-            S.ORGAOS_DETALHE, path_keys={"id_orgao": (r"/orgaos/(\d+)", "string")}
+            S.ORGAOS_DETALHE, path_keys={"id_orgao": (r"/orgaos[/=](\d+)", "string")}
         ),
         "bronze_votacoes": BronzeTable(S.VOTACOES, ["id"], required=["id"]),
         "bronze_votacoes_votos": BronzeTable(
             S.VOTOS,
             ["id_votacao", "id_deputado", "id_registro"],
-            {"id_votacao": (r"/votacoes/([^/]+)", "string")},
+            {"id_votacao": (r"/votacoes[/=]([^/]+)", "string")},
             derived={"id_deputado": F.col("deputado_.id")},
             optional=["id_deputado", "id_registro"],
             unkeyed="id_deputado",

@@ -138,9 +138,9 @@ def built(spark, tmp_path_factory):
     first.put("frentes.json", json.dumps({"dados": [
         {"id": f, "titulo": f"Caucus {f}", "idLegislatura": 57, "uri": f"/f/{f}"} for f in (1, 2, 3)
     ] + [{"titulo": "no id"}]}))
-    run(spark, first, "b1", FIRST)
+    state["report", "first"] = run(spark, first, "b1", FIRST)
     remember("first")
-    run(spark, first, "b2", FIRST)
+    state["report", "again"] = run(spark, first, "b2", FIRST)
     remember("again")
     # member 1 is gone, member 2 changed party, member 0 is new and sorts first
     changed = {0: "AA", 2: "AA", **{i: PARTIES[i % 3] for i in range(3, 9)}}
@@ -166,6 +166,23 @@ def test_rerun_changes_nothing(built):
         assert canonical(table(built, "first", name)) == canonical(table(built, "again", name)), name
 
 
+def test_reports_count_what_was_read_and_lost(built):
+    bronze, silver, gold = built["report", "first"]
+    assert bronze["bronze_frentes"] == {"files": 1, "rows": 4, "rejected": 1}
+    assert bronze["bronze_despesas"]["rows"] == 48 and bronze["bronze_despesas"]["rejected"] == 0
+    assert silver["despesas"]["rows"] == 48 and silver["despesas"]["data_documento"] == 0
+    assert silver["without_children"]["bronze_votacoes"] == 1
+    assert gold["fat_despesas"] == {"rows": 48, "kept": 48, "deputado": 0, "categoria": 0, "fornecedor": 0}
+    again = built["report", "again"][0]
+    assert again["bronze_despesas"] == {"files": 0, "rows": 0, "rejected": 0}
+    assert again["bronze_orgaos"]["files"] == 1  # no key, so it is replaced as a whole
+
+
+def test_history_follows_members(built):
+    parties = {(r["nk_deputado"], r["sigla_partido"], r["is_current"]) for r in table(built, "second", "dim_deputado_history")}
+    assert {(2, "CC", False), (2, "AA", True), (0, "AA", True), (1, "BB", True)} <= parties
+
+
 def test_surrogate_keys_survive_changes(built):
     before = {r["nk_deputado"]: r["sk_deputado"] for r in table(built, "first", "dim_deputado")}
     after = {r["nk_deputado"]: r["sk_deputado"] for r in table(built, "second", "dim_deputado")}
