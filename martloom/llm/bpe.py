@@ -1,34 +1,47 @@
 """Byte-level BPE: higher-order functions fold ranked merges over the bytes of distinct words.
 
-Documents are taken in blocks. Each block is split into the matches of the
-tokenizer's pattern and reduced to its distinct words, as arrays of byte tokens.
-Spark's ``aggregate`` folds every word: the adjacent pair of lowest rank is
-merged until no pair is in the rank map, which is a literal in the plan (two hash
-positions per pair, so a look-up is two array reads). The words' ids are then put
-back in the order of the texts. Decoding looks every id up in a literal array of pieces
-and concatenates them.
+1. Documents are split into the matches of the tokenizer's pattern, in blocks of about ``BLOCK_BYTES`` of text (or one
+   longer text). A match that is a piece itself has that piece's id; a block's other distinct words are sent to
+   the buckets of their hashes.
+2. A bucket has each of its words once for the whole corpus. Spark's ``aggregate`` folds it: the adjacent pair of lowest
+   rank is merged until no pair is in the rank map, which is a literal in the plan (two hash positions per pair, so a
+   look-up is two array reads). Words of ``LONG`` bytes and more are folded as strings of one character a token, in which all
+   places of the pair of lowest rank are replaced at once.
+3. The ids go back to the blocks that asked, packed, and meet the block's matches, as numbers of its words. For these the texts
+   are split a second time, which costs less than storing all numbers.
 
-Nothing is shuffled: a block is a row, its size bounded by ``BLOCK_BYTES`` of
-text (or one longer text). The rank map has the size of the vocabulary file.
+Decoding looks every id up in a literal array of pieces and concatenates them. The rank map has the size of the vocabulary file.
+
+``docs`` is read twice and must give its rows in the same order each time, as a stored table does; a block whose words
+differ the second time is an error.
 
 Edge cases: NULL and empty texts have no ids and decode to no bytes. Strings that look
 like special tokens are ordinary text. Repeated rows and ids are encoded row by
-row. NULL ids decode to NULL. Extra columns are ignored by ``encode``.
+row; ids may be of any type and NULL. Matches of any length are folded; the work grows with their length times the kinds
+of merges in them. NULL ids decode to NULL. An empty table has no rows. Extra columns are ignored by ``encode``.
 """
 
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-BLOCK_BYTES = 8 << 20
+from martloom.llm.common import coded, slices, text_bytes
+
+BLOCK_BYTES = 12 << 20
+# Text for each bucket of words and each task.
+TASK_BYTES = 4 << 20
+LONG = 256
 # Primes: a pair's two places in the table are its key's remainders. The pairs of a file of 50,000 pieces fill about half.
 _PLACES = (262139, 249989)
 _SPREAD = 1_000_003
@@ -75,13 +88,18 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _rank(a: Column, b: Column, keys: Column, values: Column) -> Column:
+    """The rank of the piece that two neighbours make; NULL if none."""
+    key = a * F.lit(_SPREAD).cast("bigint") + b
+    first, second = ((key % F.lit(p).cast("bigint")).cast("int") for p in _PLACES)
+    return F.when(F.get(keys, first) == key, F.get(values, first)).when(F.get(keys, second) == key, F.get(values, second))
+
+
 def merged(tokens: Column, keys: Column, values: Column) -> Column:
     """The ids of one word, from its array of byte tokens."""
 
     def rank(a: Column, b: Column) -> Column:
-        key = a * F.lit(_SPREAD).cast("bigint") + b
-        first, second = ((key % F.lit(p).cast("bigint")).cast("int") for p in _PLACES)
-        return F.when(F.get(keys, first) == key, F.get(values, first)).when(F.get(keys, second) == key, F.get(values, second))
+        return _rank(a, b, keys, values)
 
     def step(state: Column, _: Column) -> Column:
         ids, next_ranks = state["ids"], state["ranks"]
@@ -107,90 +125,213 @@ def merged(tokens: Column, keys: Column, values: Column) -> Column:
     return F.when(F.size(tokens) < 2, tokens).otherwise(folded)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def merged_long(tokens: Column, keys: Column, values: Column) -> Column:
+    """The ids of one long word. A token is a character, its code the id, moved past the surrogates.
+
+    A pair that contains a merged token ranks after the merge that made it, so all places of one pair are merged together.
+    """
+    gap = 0xE000 - 0xD800
+
+    def letter(i: Column) -> Column:
+        code = F.when(i < 0xD800, i).otherwise(i + gap)
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+    def numbers(text: Column) -> Column:
+        code = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("int"))
+        return F.transform(code, lambda i: F.when(i < 0xD800, i).otherwise(i - gap))
+
+    def step(state: Column, _: Column) -> Column:
+        def best(ids: Column) -> Column:
+            pairs = F.transform(ids, lambda a, i: F.struct(_rank(a, F.get(ids, i + 1), keys, values).alias("rank"), a.alias("a"), F.get(ids, i + 1).alias("b")))
+            return F.array_min(F.filter(pairs, lambda p: p["rank"].isNotNull()))
+
+        def join(found: Column) -> Column:
+            text = F.replace(state["text"], F.concat(letter(found["a"]), letter(found["b"])), letter(found["rank"]))
+            return F.struct(F.coalesce(text, state["text"]).alias("text"), found.isNull().alias("done"))
+
+        return F.when(state["done"], state).otherwise(_bound(_bound(numbers(state["text"]), best), join))
+
+    start = F.struct(F.array_join(F.transform(tokens, letter), "").alias("text"), F.lit(False).alias("done"))
+    return F.aggregate(tokens, start, step, lambda state: numbers(state["text"]))
+
+
+_ASK = "bucket int, block bigint, words array<string>"
+_NAMED = "bucket int, blocks binary, ends binary, codes binary, words array<binary>"
+_BLOCK = "block bigint, bucket int, doc_ids array<{}>, ends binary, sizes binary, data binary"
+
+
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """doc_id and ids, the token ids of its text."""
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
     keys, values = pair_table(ranks)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    first_tokens = {bytes([i]): ranks[bytes([i])] for i in range(256)}
+    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    tasks = max(8, size // TASK_BYTES)
     shared = spark.sparkContext.broadcast(ranks)  # bounded: the vocabulary file
 
-    def block(doc_ids: list, places: dict[str, int], codes: list[np.ndarray]) -> pa.RecordBatch:
-        whole = shared.value
-        byte_id = np.array([first_tokens[bytes([i])] for i in range(256)], np.int32)
-        words = [w.encode() for w in places]
-        # a match that is a piece itself is one token, as in the tokenizer's library
-        known = [whole.get(w) for w in words]
-        sizes = np.array([len(w) if k is None else 1 for w, k in zip(words, known)], np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        tokens = np.zeros(offsets[-1], np.int32)
-        split = np.repeat(np.array([k is None for k in known], bool), sizes)
-        tokens[split] = byte_id[np.frombuffer(b"".join(w for w, k in zip(words, known) if k is None), np.uint8)]
-        tokens[~split] = np.array([k for k in known if k is not None], np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(tokens))
-        ends = np.cumsum([len(c) for c in codes]).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), pa.concat_arrays(doc_ids_arrays(doc_ids))),
-                pa.array([ends.tobytes()], pa.binary()),
-                pa.array([np.concatenate(codes).astype(np.int32).tobytes() if codes else b""], pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), lists),
-            ],
-            names=["doc_ids", "ends", "codes", "words"],
-        )
-
-    def doc_ids_arrays(parts: list) -> list[pa.Array]:
-        return [pa.array([p], id_type) for p in parts] if not parts or not isinstance(parts[0], pa.Array) else parts
-
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind, pa.int64())
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]):
+        """(block number, doc ids, ends of the documents, numbers of their matches, distinct matches)."""
         split = regex.compile(pattern)
-        doc_ids, places, codes, size = [], {}, [], 0
-        for batch in batches:
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                text = text or ""
-                if doc_ids and size + len(text) > BLOCK_BYTES:
-                    yield block(doc_ids, places, codes)
-                    doc_ids, places, codes, size = [], {}, [], 0
+        number = TaskContext.get().partitionId() << 32
+        doc_ids, places, codes, held = [], {}, [], 0
+        for part in (p for batch in batches for p in slices(batch, "text", 1 << 20)):
+            sizes = np.diff(text_bytes(part.column(1))[1]).tolist()
+            names = part.column(0).take(pa.array(range(part.num_rows)))  # a copy that does not hold the batch's texts
+            for i, size in enumerate(sizes):
+                if doc_ids and held + size > block_bytes:
+                    yield number, doc_ids, codes, places
+                    number, doc_ids, places, codes, held = number + 1, [], {}, [], 0
+                    pa.default_memory_pool().release_unused()
+                found = split.findall(part.column(1)[i].as_py() or "")
                 # the default is evaluated before a new word is stored, so it is the word's place
-                codes.append(np.array([places.setdefault(w, len(places)) for w in split.findall(text)], np.int32))
-                doc_ids.append(batch.column(0)[i].as_py())
-                size += len(text)
+                codes.append(np.array([places.setdefault(w, len(places)) for w in found], np.int32))
+                doc_ids.append(names.slice(i, 1))
+                held += size
         if doc_ids:
-            yield block(doc_ids, places, codes)
-
-    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield number, doc_ids, codes, places
+
+    def unknown(places: dict[str, int]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Buckets, words and places of the words that are no pieces, by bucket."""
+        words = [w for w in places if w.encode() not in shared.value]
+        bucket = np.fromiter((zlib.crc32(w.encode()) % tasks for w in words), np.int32, len(words))
+        order = np.argsort(bucket, kind="stable")
+        at = np.fromiter((places[w] for w in words), np.int32, len(words))
+        return bucket[order], [words[i] for i in order], at[order]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, _, _, places in blocks(batches):
+            bucket, words, _ = unknown(places)
+            ids, first = np.unique(bucket, return_index=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(words)).astype(np.int32)), pa.array(words, pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([number] * len(ids), pa.int64()), lists], names=["bucket", "block", "words"])
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per bucket: its distinct words, and of which of them each block's words are."""
+        for bucket, rows in groupby(((b.column(0)[i].as_py(), b, i) for b in batches for i in range(b.num_rows)), key=lambda r: r[0]):
+            numbers, lists = zip(*[(b.column(1)[i].as_py(), b.column(2)[i].values) for _, b, i in rows])
+            codes, words = coded(pa.concat_arrays(list(lists)))
+            ends = np.cumsum([len(x) for x in lists])
+            columns = [np.array(numbers, np.int64), ends.astype(np.int64), codes.astype(np.int32)]
+            packed = [pa.array([c.tobytes()], pa.binary()) for c in columns]
+            one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string()).cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *packed, one], names=["bucket", "blocks", "ends", "codes", "words"])
+
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids = batch.column(3)[row].values
-                flat = ids.values.slice(ids.offsets[0].as_py(), ids.offsets[-1].as_py() - ids.offsets[0].as_py()).to_numpy()
-                word_offsets = ids.offsets.to_numpy().astype(np.int64)
-                word_offsets = word_offsets - word_offsets[0]
-                ends = np.frombuffer(batch.column(1)[row].as_py(), np.int64)
-                codes = np.frombuffer(batch.column(2)[row].as_py(), np.int32)
-                names = batch.column(0)[row].values
-                start = 0
-                while start < len(ends):  # as many documents as have about a million words
-                    base = ends[start - 1] if start else 0
-                    end = max(start + 1, int(np.searchsorted(ends, base + 1_000_000, side="right")))
-                    own = codes[base : ends[end - 1]]
-                    sizes = (word_offsets[1:] - word_offsets[:-1])[own]
-                    done = np.concatenate([[0], np.cumsum(sizes)])
-                    places = np.arange(done[-1]) - np.repeat(done[:-1] - word_offsets[:-1][own], sizes)
-                    offsets = done[np.concatenate([[base], ends[start:end]]) - base]
-                    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat[places].astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays([names.slice(start, end - start), lists], names=["doc_id", "ids"])
-                    start = end
-
-    rows = source.mapInArrow(blocks, f"doc_ids array<{kind}>, ends binary, codes binary, words array<array<int>>")
-    # bound once a block, so that the plan holds the literal once
-    rank_map = F.struct(_literal(keys, "bigint").alias("keys"), _literal(values, "int").alias("values"))
-    ids = _bound(rank_map, lambda m: F.transform("words", lambda w: merged(w, m["keys"], m["values"])))
-    folded = rows.select("doc_ids", "ends", "codes", ids.alias("ids"))
-    return folded.mapInArrow(in_order, f"doc_id {kind}, ids array<int>")
+                bucket = batch.column(0)[row].as_py()
+                numbers, ends = (np.frombuffer(batch.column(j)[row].as_py(), np.int64) for j in (1, 2))
+                codes = np.frombuffer(batch.column(3)[row].as_py(), np.int32)
+                sizes, flat = _lists(batch.column(4)[row].values)
+                for number, a, b in zip(numbers.tolist(), np.append(0, ends[:-1]), ends):
+                    own = codes[a:b]
+                    data = flat[_runs(sizes, own)].astype(np.uint32 if len(shared.value) > 65_536 else np.uint16)
+                    yield _block_row(number, bucket, None, kind_of_id, b"", _small(sizes[own]), data.tobytes())
+
+    kind_of_id = _arrow_type(source)
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row (bucket -2) of a block's documents, ids of pieces and places of other words, and one (-1) of its matches."""
+        for number, doc_ids, codes, places in blocks(batches):
+            ends = np.cumsum([len(c) for c in codes]).astype(np.int64)
+            numbers = np.concatenate(codes).astype(np.uint32)
+            low, high = (numbers & 0xFFFF).astype(np.uint16).tobytes(), (numbers >> 16).astype(np.uint16).tobytes()
+            _, _, at = unknown(places)
+            own = np.full(len(places), -1, np.int32)
+            for word, i in places.items():
+                own[i] = shared.value.get(word.encode(), -1)
+            yield _block_row(number, -2, pa.concat_arrays(doc_ids), kind_of_id, ends.tobytes(), own.tobytes(), at.tobytes())
+            yield _block_row(number, -1, None, kind_of_id, len(numbers).to_bytes(8, "little"), b"", pa.compress(low + high, codec="zstd", asbytes=True))
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ({n: b.column(j)[i] for j, n in enumerate(b.schema.names)} for b in batches for i in range(b.num_rows))
+        for _, (head, body, *replies) in ((k, list(g)) for k, g in groupby(rows, key=lambda r: r["block"].as_py())):
+            names = head["doc_ids"].values
+            ends = np.frombuffer(head["ends"].as_py(), np.int64)
+            own, at = np.frombuffer(head["sizes"].as_py(), np.int32), np.frombuffer(head["data"].as_py(), np.int32)
+            n = int.from_bytes(body["ends"].as_py(), "little")
+            raw = pa.decompress(body["data"].as_py(), 4 * n, codec="zstd", asbytes=True)
+            codes = np.frombuffer(raw[: 2 * n], np.uint16).astype(np.int64) | (np.frombuffer(raw[2 * n :], np.uint16).astype(np.int64) << 16)
+            told = np.concatenate([np.zeros(0, np.int64), *[_sizes(r["sizes"].as_py()) for r in replies]])
+            if len(told) != len(at):
+                raise ValueError("the documents were not read in the same order twice; store them before they are encoded")
+            width = np.uint32 if len(shared.value) > 65_536 else np.uint16
+            flat = np.concatenate([np.zeros(0, width), *[np.frombuffer(r["data"].as_py(), width) for r in replies]]).astype(np.int32)
+            # the ids of all distinct words: pieces first, then the others in the order of the replies
+            sizes, begin = np.ones(len(own), np.int64), np.zeros(len(own), np.int64)
+            whole = np.flatnonzero(own >= 0)
+            begin[whole] = np.arange(len(whole))
+            sizes[at], begin[at] = told, len(whole) + np.cumsum(told) - told
+            pool = np.concatenate([own[whole], flat])
+            start = 0
+            while start < len(ends):  # as many documents as have about a million words
+                base = ends[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(ends, base + 1_000_000, side="right")))
+                mine = codes[base : ends[end - 1]]
+                done = np.concatenate([[0], np.cumsum(sizes[mine])])
+                places = np.arange(done[-1]) - np.repeat(done[:-1] - begin[mine], sizes[mine])
+                offsets = done[np.concatenate([[base], ends[start:end]]) - base]
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(pool[places]))
+                yield pa.RecordBatch.from_arrays([names.slice(start, end - start), lists], names=["doc_id", "ids"])
+                start = end
+
+    asked = source.mapInArrow(ask, _ASK).repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
+    named = asked.mapInArrow(distinct, _NAMED)
+    first = F.from_json(F.lit("[" + ",".join(str(ranks[bytes([i])]) for i in range(256)) + "]"), "array<int>")
+    # bound once a bucket, so that the plan holds the literals once
+    literals = F.struct(_literal(keys, "bigint").alias("keys"), _literal(values, "int").alias("values"), first.alias("first"))
+
+    def folded(m: Column) -> Column:
+        def one(word: Column) -> Column:
+            byte = lambda i: F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")
+            tokens = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.get(m["first"], byte(i)))
+            return _bound(tokens, lambda t: F.when(F.size(t) < LONG, merged(t, m["keys"], m["values"])).otherwise(merged_long(t, m["keys"], m["values"])))
+
+        return F.transform("words", one)
+
+    ids = named.select("bucket", "blocks", "ends", "codes", _bound(literals, folded).alias("ids"))
+    schema = _BLOCK.format(kind)
+    met = source.mapInArrow(texts, schema).union(ids.mapInArrow(reply, schema))
+    return met.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(in_order, f"doc_id {kind}, ids array<int>")
+
+
+def _arrow_type(source: DataFrame) -> pa.DataType:
+    return source.select("doc_id").limit(0).toArrow().schema.field(0).type
+
+
+def _block_row(number: int, bucket: int, doc_ids, kind: pa.DataType, ends: bytes, sizes: bytes, data: bytes) -> pa.RecordBatch:
+    lists = pa.nulls(1, pa.list_(kind)) if doc_ids is None else pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids.cast(kind))
+    rest = [pa.array([x], pa.binary()) for x in (ends, sizes, data)]
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([bucket], pa.int32()), lists, *rest], names=["block", "bucket", "doc_ids", "ends", "sizes", "data"])
+
+
+def _lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and values of an array of lists."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return np.diff(offsets), lists.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
+
+
+def _runs(sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places of the values of the chosen lists, one after another."""
+    begin, own = np.cumsum(sizes) - sizes, sizes[chosen]
+    return np.arange(own.sum()) + np.repeat(begin[chosen] - (np.cumsum(own) - own), own)
+
+
+def _small(sizes: np.ndarray) -> bytes:
+    """Sizes as bytes; those of 255 and more after them, as longs."""
+    large = sizes >= 255
+    return np.minimum(sizes, 255).astype(np.uint8).tobytes() + sizes[large].astype(np.int64).tobytes() + int(large.sum()).to_bytes(8, "little")
+
+
+def _sizes(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[-8:], "little")
+    small = np.frombuffer(data[: len(data) - 8 - 8 * n], np.uint8).astype(np.int64)
+    small[small == 255] = np.frombuffer(data[len(data) - 8 - 8 * n : -8], np.int64)
+    return small
 
 
 def decoded(ids: Column, ranks_path: str) -> Column:

@@ -263,12 +263,21 @@ def test_decontamination_on_odd_and_empty_frames(spark, odd, empty):
 def test_bpe_equals_the_tokenizer_library(spark, odd, empty):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").union(odd.where("doc_id <> 8").select(F.col("doc_id") + 10_000, "text"))
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").union(odd.select(F.col("doc_id") + 10_000, "text"))
+    rng = random.Random(2)
+    long = ["".join(rng.choices("etaoin shrdlu"[:n], k=1500)) for n in (3, 5)] + ["日本語" * 300, "ab" * 130, "q" * 255, "q" * 256]
+    docs = docs.union(spark.createDataFrame([(20_000 + i, t) for i, t in enumerate(long)], "doc_id bigint, text string"))
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, block_bytes=150_000)
     rows = encoded.select("doc_id", "ids", bpe.decoded(F.col("ids"), RANKS).alias("bytes")).collect()
     assert len(rows) == docs.count()
     for r in rows:
         assert list(r.ids) == library.encode_ordinary(texts[r.doc_id])
         assert bytes(r.bytes) == texts[r.doc_id].encode()
     assert bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_bpe_keeps_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "Hello unfoldableword"), (None, "x"), ("a", None)], "doc_id string, text string")
+    rows = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id or "", len(r.ids) > 0) for r in rows) == [("", True), ("a", False), ("a", True)]
