@@ -156,7 +156,7 @@ def merged_long(tokens: Column, keys: Column, values: Column) -> Column:
 
 
 _ASK = "bucket int, block bigint, words array<string>"
-_NAMED = "bucket int, blocks binary, ends binary, codes binary, words array<binary>"
+_NAMED = "bucket int, blocks binary, ends binary, codes binary, words array<array<int>>"
 _BLOCK = "block bigint, bucket int, doc_ids array<{}>, ends binary, sizes binary, data binary"
 
 
@@ -172,23 +172,26 @@ def encode(
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     tasks = max(8, size // TASK_BYTES)
     shared = spark.sparkContext.broadcast(ranks)  # bounded: the vocabulary file
+    byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
-    def blocks(batches: Iterator[pa.RecordBatch]):
-        """(block number, doc ids, ends of the documents, numbers of their matches, distinct matches)."""
+    def blocks(batches: Iterator[pa.RecordBatch], numbered: bool = True):
+        """(block number, doc ids, numbers of each document's matches, if wanted, and distinct matches with theirs)."""
         split = regex.compile(pattern)
         number = TaskContext.get().partitionId() << 32
-        doc_ids, places, codes, held = [], {}, [], 0
+        doc_ids, places, codes, held = [], _Places(), [], 0
         for part in (p for batch in batches for p in slices(batch, "text", 1 << 20)):
             sizes = np.diff(text_bytes(part.column(1))[1]).tolist()
             names = part.column(0).take(pa.array(range(part.num_rows)))  # a copy that does not hold the batch's texts
             for i, size in enumerate(sizes):
                 if doc_ids and held + size > block_bytes:
                     yield number, doc_ids, codes, places
-                    number, doc_ids, places, codes, held = number + 1, [], {}, [], 0
+                    number, doc_ids, places, codes, held = number + 1, [], _Places(), [], 0
                     pa.default_memory_pool().release_unused()
                 found = split.findall(part.column(1)[i].as_py() or "")
-                # the default is evaluated before a new word is stored, so it is the word's place
-                codes.append(np.array([places.setdefault(w, len(places)) for w in found], np.int32))
+                if numbered:
+                    codes.append(np.fromiter(map(places.__getitem__, found), np.int32, len(found)))
+                else:
+                    places.update(dict.fromkeys(found))
                 doc_ids.append(names.slice(i, 1))
                 held += size
         if doc_ids:
@@ -203,8 +206,8 @@ def encode(
         return bucket[order], [words[i] for i in order], at[order]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, _, places in blocks(batches):
-            bucket, words, _ = unknown(places)
+        for number, _, _, places in blocks(batches, False):
+            bucket, words, _ = unknown(dict.fromkeys(places, 0))
             ids, first = np.unique(bucket, return_index=True)
             lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(words)).astype(np.int32)), pa.array(words, pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([number] * len(ids), pa.int64()), lists], names=["bucket", "block", "words"])
@@ -217,7 +220,9 @@ def encode(
             ends = np.cumsum([len(x) for x in lists])
             columns = [np.array(numbers, np.int64), ends.astype(np.int64), codes.astype(np.int32)]
             packed = [pa.array([c.tobytes()], pa.binary()) for c in columns]
-            one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string()).cast(pa.binary()))
+            raw, offsets = text_bytes(words.cast(pa.string()))
+            tokens = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(byte_ids[raw]))
+            one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), tokens)
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *packed, one], names=["bucket", "blocks", "ends", "codes", "words"])
 
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,17 +286,12 @@ def encode(
 
     asked = source.mapInArrow(ask, _ASK).repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
     named = asked.mapInArrow(distinct, _NAMED)
-    first = F.from_json(F.lit("[" + ",".join(str(ranks[bytes([i])]) for i in range(256)) + "]"), "array<int>")
     # bound once a bucket, so that the plan holds the literals once
-    literals = F.struct(_literal(keys, "bigint").alias("keys"), _literal(values, "int").alias("values"), first.alias("first"))
+    literals = F.struct(_literal(keys, "bigint").alias("keys"), _literal(values, "int").alias("values"))
 
     def folded(m: Column) -> Column:
-        def one(word: Column) -> Column:
-            byte = lambda i: F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")
-            tokens = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.get(m["first"], byte(i)))
-            return _bound(tokens, lambda t: F.when(F.size(t) < LONG, merged(t, m["keys"], m["values"])).otherwise(merged_long(t, m["keys"], m["values"])))
-
-        return F.transform("words", one)
+        short, long = (lambda t: merged(t, m["keys"], m["values"])), (lambda t: merged_long(t, m["keys"], m["values"]))
+        return F.transform("words", lambda t: F.when(F.size(t) < LONG, short(t)).otherwise(long(t)))
 
     ids = named.select("bucket", "blocks", "ends", "codes", _bound(literals, folded).alias("ids"))
     schema = _BLOCK.format(kind)
@@ -299,6 +299,14 @@ def encode(
     return met.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(in_order, f"doc_id {kind}, ids array<int>")
 
 
+class _Places(dict):
+    """Words in order of their first look-up."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
+
+
 def _arrow_type(source: DataFrame) -> pa.DataType:
     return source.select("doc_id").limit(0).toArrow().schema.field(0).type
 
