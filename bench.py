@@ -99,14 +99,31 @@ def naive(spark, d):
         base = lineitem(spark, d).join(part, F.col("l_partkey") == F.col("p_partkey")).select(
             "p_brand", F.date_format("l_shipdate", "yyyy-MM").alias("ym"), "l_returnflag"
         )
-        base.createOrReplaceTempView("base")
-        return spark.sql("""
-            WITH m AS (SELECT * FROM (SELECT p_brand, ym, l_returnflag, row_number() OVER (
-                         PARTITION BY p_brand, ym ORDER BY count(*) DESC, l_returnflag) AS rn
-                         FROM base GROUP BY p_brand, ym, l_returnflag) WHERE rn = 1)
-            SELECT b.p_brand, b.ym, count(*) AS total,
-                   sum(CASE WHEN b.l_returnflag = m.l_returnflag THEN 1 ELSE 0 END) AS aligned
-            FROM base b JOIN m ON b.p_brand = m.p_brand AND b.ym = m.ym GROUP BY b.p_brand, b.ym""")
+        votes = base.groupBy("p_brand", "ym", "l_returnflag").count()
+        ballot = Window.partitionBy("p_brand", "ym")
+        ranked = votes.select("*", F.sum("count").over(ballot).alias("total"), F.max("count").over(ballot).alias("aligned"))
+        return ranked.select("p_brand", "ym", "total", "aligned").distinct()
+
+    def concentration():
+        part = table(spark, d, "part").select("p_partkey", "p_brand")
+        pairs = lineitem(spark, d).join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "p_brand", "l_partkey")
+        shares = pairs.distinct().groupBy("l_suppkey", "p_brand").count()
+        share = F.col("count") / F.sum("count").over(Window.partitionBy("l_suppkey"))
+        squared = shares.select("l_suppkey", "count", (share * share).alias("square")).groupBy("l_suppkey")
+        return squared.agg(F.sum("count").alias("total"), F.count("*").alias("brands"), F.round(F.sum("square"), 4).alias("hhi"))
+
+    def engagement():
+        orders, customer = table(spark, d, "orders"), table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+        days = orders.groupBy("o_custkey").agg(F.countDistinct(F.to_date("o_orderdate")).alias("events"))
+        status = F.upper("o_orderstatus")
+        votes = lineitem(spark, d).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey")
+        votes = votes.agg(F.countDistinct("l_partkey").alias("ballots"), *[F.count_if(status == k).alias(k) for k in "FOP"])
+        rows = customer.join(days, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
+        rows = rows.join(votes, F.col("c_custkey") == F.col("o_custkey"))
+        most = [F.col(c) / F.max(c).over(everything()) for c in ("events", "ballots")]
+        rows = rows.withColumn("score", most[0] * 40 + most[1] * 60)
+        up, down = Window.orderBy("score"), Window.orderBy(F.col("score").desc())
+        return rows.select("*", F.dense_rank().over(down).alias("rank"), F.percent_rank().over(up).alias("pct"))
 
     def zscore():
         w = Window.partitionBy("p_type", "l_returnflag")
@@ -131,28 +148,11 @@ def naive(spark, d):
                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
                   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
                   GROUP BY 1, 2, 3, 4)) WHERE rank <= 10"""),
-        "concentration_suppliers": lambda: sql("""
-            WITH f AS (SELECT l_suppkey, p_brand, count(DISTINCT l_partkey) AS n
-                       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
-                 t AS (SELECT l_suppkey, sum(n) AS total, count(DISTINCT p_brand) AS brands FROM f GROUP BY 1)
-            SELECT f.l_suppkey, total, brands, round(sum(power(n / total, 2)), 4) AS hhi
-            FROM f JOIN t ON f.l_suppkey = t.l_suppkey GROUP BY 1, 2, 3"""),
+        "concentration_suppliers": concentration,
         "participation": lambda: sql("""
             SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, collect_set(p_brand) AS brands
             FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"""),
-        "engagement_customers": lambda: sql("""
-            WITH p AS (SELECT c_custkey, c_name, c_nationkey, count(DISTINCT to_date(o_orderdate)) AS events
-                       FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3),
-                 v AS (SELECT p.c_custkey, c_name, c_nationkey, events, count(DISTINCT l_partkey) AS ballots,
-                              sum(CASE WHEN upper(o_orderstatus) = 'F' THEN 1 ELSE 0 END) AS finished,
-                              sum(CASE WHEN upper(o_orderstatus) = 'O' THEN 1 ELSE 0 END) AS open,
-                              sum(CASE WHEN upper(o_orderstatus) = 'P' THEN 1 ELSE 0 END) AS pending
-                       FROM p JOIN orders ON o_custkey = p.c_custkey JOIN lineitem ON l_orderkey = o_orderkey
-                       GROUP BY 1, 2, 3, 4),
-                 s AS (SELECT *, events / max(events) OVER () * 40 + ballots / max(ballots) OVER () * 60 AS score
-                       FROM v)
-            SELECT *, dense_rank() OVER (ORDER BY score DESC) AS rank, percent_rank() OVER (ORDER BY score) AS pct
-            FROM s"""),
+        "engagement_customers": engagement,
         "weekly_density": lambda: sql("""
             WITH days AS (SELECT explode(sequence(DATE'1995-01-01', DATE'2002-12-31', INTERVAL 1 DAY)) AS day)
             SELECT year(day) AS y, weekofyear(day) AS w, count(DISTINCT o_orderkey) AS events

@@ -44,13 +44,13 @@ def json_decode_events(spark, d):
     "json_decode_nested",
     """
     SELECT conv_id, turn, role, role AS speaker_role, length(text) > 200 AS speaker_long,
-           CAST(NULL AS BIGINT) AS role_as_number
+           CAST(NULL AS BIGINT) AS role_as_number, md5(text) AS text_hash
     FROM conversations
     """,
 )
 def json_decode_nested(spark, d):
     records = _turns(spark, d).select("record")
-    ddl = "conv_id bigint, turn bigint, role string, speaker struct<role: string, long: boolean>"
+    ddl = "conv_id bigint, turn bigint, role string, speaker struct<role: string, long: boolean>, text string"
     decoded = decode_json(records, "record", ddl, keep=True)
     number = decode_json(decoded.drop("role"), "record", "role bigint", keep=False)
     return number.select(
@@ -60,6 +60,7 @@ def json_decode_nested(spark, d):
         F.col("speaker.role").alias("speaker_role"),
         F.col("speaker.long").alias("speaker_long"),
         F.col("role").alias("role_as_number"),
+        F.md5("text").alias("text_hash"),
     )
 
 
@@ -68,26 +69,27 @@ def json_decode_nested(spark, d):
     """
     SELECT conv_id, turn, role,
            '{"role":"' || role || '","long":' || CASE WHEN length(text) > 200 THEN 'true' ELSE 'false' END
-             || '}' AS speaker
+             || '}' AS speaker, md5(text) AS text_hash
     FROM conversations
     """,
 )
 def json_stringify_nested(spark, d):
     records = _turns(spark, d).select("record")
-    typed = decode_json(records, "record", TURN_DDL, keep=False).drop("text")
-    return stringify_nested(typed)
+    typed = decode_json(records, "record", TURN_DDL, keep=False)
+    return stringify_nested(typed.withColumn("text", F.md5("text")).withColumnRenamed("text", "text_hash"))
 
 
 @query(
     "json_object_as_text",
     """
-    SELECT conv_id, turn, role AS role_inside FROM conversations
+    SELECT conv_id, turn, role AS role_inside, md5(text) AS text_hash FROM conversations
     """,
 )
 def json_object_as_text(spark, d):
     records = _turns(spark, d).select("record")
-    flat = decode_json(records, "record", "conv_id bigint, turn bigint, speaker string", keep=False)
-    return decode_json(flat, "speaker", "role string", keep=False).withColumnRenamed("role", "role_inside")
+    flat = decode_json(records, "record", "conv_id bigint, turn bigint, speaker string, text string", keep=False)
+    inside = decode_json(flat, "speaker", "role string", keep=False)
+    return inside.select("conv_id", "turn", F.col("role").alias("role_inside"), F.md5("text").alias("text_hash"))
 
 
 @query(
@@ -116,11 +118,11 @@ def json_explode_pages(spark, d):
 
 @query(
     "raw_payload",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
+    "SELECT * FROM orders",
 )
 def raw_payload(spark, d):
-    kept = keep_raw_payload(table(spark, d, "orders").drop("o_orderdate")).select("raw_payload")
-    ddl = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    kept = keep_raw_payload(table(spark, d, "orders")).select("raw_payload")
+    ddl = ", ".join(f"{name} {kind}" for name, kind in table(spark, d, "orders").dtypes)
     return decode_json(kept, "raw_payload", ddl, keep=False)
 
 

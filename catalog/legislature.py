@@ -421,15 +421,12 @@ STEPS = {
         FROM bridge_frente_deputado b JOIN dim_frente f ON f.sk_frente = b.sk_frente
         JOIN dim_deputado d ON d.sk_deputado = b.sk_deputado WHERE d.is_current""",
     "ihh": """
-        WITH fp AS (SELECT nk_frente, titulo_frente, sigla_partido, count(DISTINCT nk_deputado) AS n
-                    FROM roster GROUP BY ALL),
-             tf AS (SELECT nk_frente, CAST(sum(n) AS BIGINT) AS total, count(DISTINCT sigla_partido) AS parties
-                    FROM fp GROUP BY ALL),
-             i AS (SELECT fp.nk_frente, titulo_frente, total AS qtd_deputados_frente, parties AS qtd_partidos,
-                          """ + half_up("sum(power(n / total, 2))", 4) + """ AS ihh
-                   FROM fp JOIN tf ON tf.nk_frente = fp.nk_frente GROUP BY ALL)
-        SELECT *, CASE WHEN ihh <= 0.15 THEN 'Alta diversidade' WHEN ihh <= 0.25 THEN 'Média diversidade'
-                       ELSE 'Baixa diversidade' END AS classificacao_diversidade FROM i""",
+        SELECT nk_frente, titulo_frente, CAST(sum(c) AS BIGINT) AS qtd_deputados_frente, count(*) AS qtd_partidos,
+               """ + half_up("sum(c * c) / power(sum(c), 2)", 4) + """ AS ihh,
+               ['Baixa diversidade', 'Média diversidade', 'Alta diversidade'][
+                 1 + CAST(ihh <= 0.25 AS INTEGER) + CAST(ihh <= 0.15 AS INTEGER)] AS classificacao_diversidade
+        FROM (SELECT nk_frente, titulo_frente, len(list_distinct(list(nk_deputado))) AS c
+              FROM roster GROUP BY nk_frente, titulo_frente, sigla_partido) seats GROUP BY nk_frente, titulo_frente""",
     "ranking": """
         SELECT nk_deputado, nome_deputado, sigla_partido, sigla_uf, count(DISTINCT nk_frente) AS qtd_frentes,
                array_to_string(list_sort(list(DISTINCT titulo_frente)), ',') AS frentes_participa
@@ -448,19 +445,15 @@ STEPS = {
                count(DISTINCT nk_evento) AS qtd_eventos, count(DISTINCT nk_evento) > 0 AS possui_evento
         FROM dim_data LEFT JOIN dim_evento ON data = data_evento GROUP BY ALL""",
     "taxa": """
-        WITH p AS (SELECT d.nk_deputado, d.nome_deputado, d.sigla_partido, d.sigla_uf, e.ano_evento,
-                          k.sk_tipo_evento, k.nome_tipo_evento,
-                          count(DISTINCT l_orderkey) AS qtd_eventos_participados
-                   FROM lineitem JOIN dim_evento e ON e.nk_evento = l_orderkey
-                   JOIN dim_tipo_evento k ON k.sk_tipo_evento = e.sk_tipo_evento
-                   JOIN dim_deputado d ON d.nk_deputado = l_partkey AND d.is_current GROUP BY ALL),
-             t AS (SELECT ano_evento, sk_tipo_evento, count(DISTINCT nk_evento) AS qtd_total_eventos_tipo
-                   FROM dim_evento GROUP BY ALL)
-        SELECT p.*, t.qtd_total_eventos_tipo,
-               """ + half_up("qtd_eventos_participados / qtd_total_eventos_tipo", 4) + """ AS taxa_participacao,
-               """ + half_up("qtd_eventos_participados / qtd_total_eventos_tipo * 100", 2) + """
-                 AS percentual_taxa_participacao
-        FROM p JOIN t ON t.ano_evento = p.ano_evento AND t.sk_tipo_evento = p.sk_tipo_evento""",
+        SELECT d.nk_deputado, d.nome_deputado, d.sigla_partido, d.sigla_uf, e.ano_evento, k.sk_tipo_evento,
+               k.nome_tipo_evento, count(*) AS qtd_eventos_participados, any_value(held) AS qtd_total_eventos_tipo,
+               """ + half_up("count(*) / any_value(held)", 4) + """ AS taxa_participacao,
+               """ + half_up("count(*) / any_value(held) * 100", 2) + """ AS percentual_taxa_participacao
+        FROM (SELECT *, count(*) OVER (PARTITION BY ano_evento, sk_tipo_evento) AS held FROM dim_evento) e
+        JOIN dim_tipo_evento k USING (sk_tipo_evento)
+        JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) seen ON seen.l_orderkey = e.nk_evento
+        JOIN dim_deputado d ON d.is_current AND d.nk_deputado = seen.l_partkey
+        GROUP BY ALL""",
     "comparativo": """
         SELECT t.ano, t.periodo_eleitoral, t.descricao_periodo_eleitoral, e.descricao_tipo_evento,
                count(DISTINCT e.nk_evento) AS qtd_eventos,
@@ -476,43 +469,35 @@ STEPS = {
           ON coalesce(nullif(x.cnpj_cpf_fornecedor_limpo, ''), x.nome_fornecedor) = f.nk_fornecedor
         JOIN dim_categoria c ON c.nk_categoria_despesa = x.tipo_despesa""",
     "top_gastos": """
-        WITH g AS (SELECT ano, mes, ano_mes, sigla_partido, count(DISTINCT nk_deputado) AS qtd_deputados,
-                          count(*) AS qtd_despesas,
-                          CAST(sum(CAST(valor_liquido AS DECIMAL(18,2))) AS DOUBLE) AS valor_total_liquido
-                   FROM fat_despesas GROUP BY ALL)
-        SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ano_mes
-                       ORDER BY valor_total_liquido DESC, sigla_partido) AS INTEGER) AS ranking_gasto_partido
-                       FROM g) r WHERE ranking_gasto_partido <= {n}""",
+        SELECT ano, mes, ano_mes, sigla_partido, len(list_distinct(list(nk_deputado))) AS qtd_deputados,
+               count(*) AS qtd_despesas, CAST(sum(CAST(valor_liquido AS DECIMAL(18,2))) AS DOUBLE) AS valor_total_liquido,
+               CAST(row_number() OVER (PARTITION BY ano_mes ORDER BY sum(CAST(valor_liquido AS DECIMAL(18,2))) DESC,
+                    sigla_partido) AS INTEGER) AS ranking_gasto_partido
+        FROM fat_despesas GROUP BY ano, mes, ano_mes, sigla_partido QUALIFY ranking_gasto_partido <= 10""",
     "anomalias": """
-        WITH b AS (SELECT x.sk_deputado, nome_deputado, sigla_uf, x.sk_categoria_despesa,
-                          nk_categoria_despesa AS tipo_despesa, valor_liquido AS v
-                   FROM fat_despesas x JOIN dim_categoria c ON c.sk_categoria_despesa = x.sk_categoria_despesa
-                   JOIN dim_deputado d ON d.sk_deputado = x.sk_deputado),
-             e AS (SELECT sk_categoria_despesa, sigla_uf, avg(v) AS m, """ + exact_mean("v") + """ AS media_grupo,
-                          stddev_samp(v) AS s FROM b GROUP BY ALL),
-             z AS (SELECT sk_deputado, nome_deputado, b.sigla_uf, tipo_despesa,
-                          """ + half_up("v", 2) + """ AS valor_liquido, media_grupo,
-                          """ + half_up("s", 2) + """ AS desvio_grupo, """ + half_up("(v - m) / s", 2) + """ AS z_score
-                   FROM b JOIN e ON e.sk_categoria_despesa = b.sk_categoria_despesa AND e.sigla_uf = b.sigla_uf
-                   WHERE s > 0)
-        SELECT *, CASE WHEN abs(z_score) < 1 THEN 'Comportamento esperado' WHEN abs(z_score) < 2 THEN 'Leve desvio'
-                       WHEN abs(z_score) < 3 THEN 'Atenção' WHEN abs(z_score) < 4 THEN 'Possível anomalia'
-                       ELSE 'Muito atípico' END AS classificacao_anomalia FROM z""",
+        WITH cents AS (SELECT x.sk_deputado, d.nome_deputado, d.sigla_uf, c.nk_categoria_despesa AS tipo_despesa,
+                              x.valor_liquido, CAST(round(x.valor_liquido * 100) AS HUGEINT) AS v
+                       FROM fat_despesas x JOIN dim_deputado d USING (sk_deputado) JOIN dim_categoria c USING (sk_categoria_despesa)),
+             sums AS (SELECT *, count(*) OVER g AS n, CAST(sum(v) OVER g AS HUGEINT) AS total, CAST(sum(v * v) OVER g AS HUGEINT) AS squares
+                      FROM cents WINDOW g AS (PARTITION BY tipo_despesa, sigla_uf)),
+             spread AS (SELECT *, sqrt(CAST(n * squares - total * total AS DOUBLE) / (CAST(n AS DOUBLE) * (n - 1))) AS s
+                        FROM sums WHERE n * squares > total * total)
+        SELECT sk_deputado, nome_deputado, sigla_uf, tipo_despesa, """ + half_up("valor_liquido", 2) + """ AS valor_liquido,
+               CAST((total * 2 + n) // (n * 2) AS DOUBLE) / 100 AS media_grupo, """ + half_up("s / 100", 2) + """ AS desvio_grupo,
+               """ + half_up("(v - total / n) / s", 2) + """ AS z_score,
+               coalesce((['Comportamento esperado', 'Leve desvio', 'Atenção', 'Possível anomalia'])[1 + CAST(floor(abs(z_score)) AS INTEGER)],
+                        'Muito atípico') AS classificacao_anomalia
+        FROM spread""",
     "frentes_votacoes": """
-        WITH base AS (SELECT f.nk_frente, f.titulo_frente, v.id_votacao, v.voto
-                      FROM bridge_frente_deputado b JOIN dim_frente f ON f.nk_frente = b.nk_frente
-                      JOIN votos v ON v.nk_deputado = b.nk_deputado),
-             m AS (SELECT * FROM (SELECT nk_frente, id_votacao, voto, row_number() OVER (
-                     PARTITION BY nk_frente, id_votacao ORDER BY count(*) DESC, voto NULLS FIRST) AS rn
-                     FROM base GROUP BY nk_frente, id_votacao, voto) t WHERE rn = 1),
-             a AS (SELECT b.nk_frente, b.titulo_frente, b.id_votacao,
-                          CAST(sum(CASE WHEN b.voto = m.voto THEN 1 ELSE 0 END) AS BIGINT) AS deputados_alinhados,
-                          count(*) AS total_deputados
-                   FROM base b JOIN m ON m.nk_frente = b.nk_frente AND m.id_votacao = b.id_votacao GROUP BY ALL),
-             p AS (SELECT *, CAST((deputados_alinhados * 20000 + total_deputados) // (2 * total_deputados)
-                               AS DOUBLE) / 100 AS percent_alinhamento FROM a)
-        SELECT *, CASE WHEN percent_alinhamento >= 80 THEN 'Alto' WHEN percent_alinhamento >= 60 THEN 'Médio'
-                       ELSE 'Baixo' END AS faixa_alinhamento FROM p""",
+        WITH counted AS (SELECT f.nk_frente, f.titulo_frente, v.id_votacao, count(*) AS total_deputados,
+                                count(*) - count(v.voto) AS silent, CAST(list_max(map_values(histogram(v.voto))) AS BIGINT) AS most
+                         FROM votos v JOIN bridge_frente_deputado b USING (nk_deputado) JOIN dim_frente f USING (nk_frente)
+                         GROUP BY 1, 2, 3),
+             shares AS (SELECT * EXCLUDE (silent, most), CASE WHEN most > silent THEN most ELSE 0 END AS deputados_alinhados FROM counted)
+        SELECT *, CAST((deputados_alinhados * 20000 + total_deputados) // (2 * total_deputados) AS DOUBLE) / 100 AS percent_alinhamento,
+               (['Baixo', 'Médio', 'Alto'])[1 + CAST(percent_alinhamento >= 60 AS INTEGER) + CAST(percent_alinhamento >= 80 AS INTEGER)]
+                 AS faixa_alinhamento
+        FROM shares""",
     "frentes_alinhamento": """
         WITH c AS (SELECT nk_frente, titulo_frente, count(*) AS qtd_votacoes,
                           """ + exact_mean("percent_alinhamento") + """ AS media_alinhamento,
@@ -525,23 +510,30 @@ STEPS = {
                """ + half_up("sd", 2) + """ AS desvio_alinhamento,
                CASE WHEN sd < 10 THEN 'Sim' ELSE 'Não' END AS possui_baixo_desvio FROM c""",
     "engajamento": """
-        WITH p AS (SELECT nk_deputado, nome_deputado, sigla_partido, sigla_uf,
-                          count(DISTINCT l_orderkey) AS qtd_eventos_presente
-                   FROM dim_deputado JOIN lineitem ON l_partkey = nk_deputado WHERE is_current GROUP BY ALL),
-             v AS (SELECT p.*, count(DISTINCT id_votacao) AS qtd_votacoes_participadas,
-                          count(*) FILTER (WHERE upper(voto) = 'SIM') AS qtd_votos_sim,
-                          count(*) FILTER (WHERE upper(voto) = 'NÃO') AS qtd_votos_nao,
-                          count(*) FILTER (WHERE upper(voto) = 'ABSTENÇÃO') AS qtd_abstencoes,
-                          count(*) FILTER (WHERE upper(voto) = 'OBSTRUÇÃO') AS qtd_obstrucoes,
-                          count(*) FILTER (WHERE upper(voto) = 'ART. 17') AS qtd_art17,
-                          count(*) FILTER (WHERE upper(voto) = 'LIBERADO') AS qtd_liberado
-                   FROM p JOIN votos USING (nk_deputado) GROUP BY ALL),
-             s AS (SELECT *, (qtd_eventos_presente / max(qtd_eventos_presente) OVER () * 100)
-                               * CAST(0.4 AS DOUBLE)
-                           + (qtd_votacoes_participadas / max(qtd_votacoes_participadas) OVER () * 100)
-                               * CAST(0.6 AS DOUBLE) AS score_engajamento FROM v)
-        SELECT *, dense_rank() OVER (ORDER BY score_engajamento DESC) AS ranking_engajamento,
-               percent_rank() OVER (ORDER BY score_engajamento) AS percentil_engajamento FROM s""",
+        WITH deeds AS (SELECT l_partkey AS nk_deputado, 'E' || l_orderkey AS deed, NULL AS voto FROM lineitem
+                       UNION ALL SELECT nk_deputado, 'V' || id_votacao, upper(coalesce(voto, '')) FROM votos),
+             counted AS (SELECT nk_deputado, count(DISTINCT deed) FILTER (deed[1] = 'E') AS qtd_eventos_presente,
+                                count(DISTINCT deed) FILTER (deed[1] = 'V') AS qtd_votacoes_participadas,
+                                """ + ", ".join(
+        f"count(*) FILTER (voto = '{word}') AS {name}"
+        for name, word in {
+            "qtd_votos_sim": "SIM",
+            "qtd_votos_nao": "NÃO",
+            "qtd_abstencoes": "ABSTENÇÃO",
+            "qtd_obstrucoes": "OBSTRUÇÃO",
+            "qtd_art17": "ART. 17",
+            "qtd_liberado": "LIBERADO",
+        }.items()
+    ) + """
+                         FROM deeds GROUP BY 1),
+             both_ AS (SELECT nome_deputado, sigla_partido, sigla_uf, counted.* FROM counted JOIN dim_deputado USING (nk_deputado)
+                       WHERE is_current AND qtd_eventos_presente > 0 AND qtd_votacoes_participadas > 0),
+             top AS (SELECT max(qtd_eventos_presente) AS e, max(qtd_votacoes_participadas) AS v FROM both_),
+             scored AS (SELECT both_.*, (qtd_eventos_presente / e * 100) * 0.4::DOUBLE + (qtd_votacoes_participadas / v * 100) * 0.6::DOUBLE
+                          AS score_engajamento FROM both_, top)
+        SELECT *, percent_rank() OVER up AS percentil_engajamento,
+               dense_rank() OVER (ORDER BY -score_engajamento) AS ranking_engajamento
+        FROM scored WINDOW up AS (ORDER BY score_engajamento)""",
     "engajamento_partido": """
         WITH g AS (SELECT sigla_partido, count(*) AS n, avg(score_engajamento) AS m,
                           max(score_engajamento) AS hi, min(score_engajamento) AS lo
@@ -555,7 +547,6 @@ STEPS = {
         SELECT *, CASE WHEN data_inicio IS NOT NULL THEN 'Sim' ELSE 'Não' END AS possui_data_inicio,
                CASE WHEN data_fim IS NOT NULL THEN 'Sim' ELSE 'Não' END AS possui_data_fim FROM dim_cpi""",
 }
-STEPS["top_gastos"] = STEPS["top_gastos"].replace("{n}", "10")
 
 
 def oracle(step: str) -> str:

@@ -272,21 +272,17 @@ def zscore_lines(spark, d):
     return M.zscore_outliers(lines, ["p_type", "l_returnflag"], "l_extendedprice", keep, amounts=True)
 
 
+# The majority is the highest bar of a ballot's histogram; blank votes agree with nobody, but win against as many others.
 _ALIGN_SQL = """
-    WITH base AS ({base}),
-         h AS (SELECT g, ballot, choice, count(*) AS n FROM base GROUP BY ALL),
-         m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g, ballot
-                              ORDER BY n DESC, choice NULLS FIRST) AS nth FROM h) t WHERE nth = 1),
-         a AS (SELECT base.g, base.ballot, count(*) AS total,
-                      CAST(sum(CASE WHEN base.choice = m.choice THEN 1 ELSE 0 END) AS BIGINT) AS aligned
-               FROM base JOIN m ON m.g = base.g AND m.ballot = base.ballot GROUP BY ALL),
-         p AS (SELECT g AS {group}, ballot AS year_month, aligned, total,
-                      CAST((aligned * 20000 + total) // (2 * total) AS DOUBLE) / 100 AS percent_aligned
-               FROM a)
+    WITH ballots AS (SELECT {group}, year_month, count(*) AS total, count(*) - count(choice) AS blank,
+                            CAST(list_max(map_values(histogram(choice))) AS BIGINT) AS most
+                     FROM ({base}) GROUP BY ALL),
+         p AS (SELECT {group}, year_month, total, CASE WHEN most > blank THEN most ELSE 0 END AS aligned,
+                      CAST((aligned * 20000 + total) // (2 * total) AS DOUBLE) / 100 AS percent_aligned FROM ballots)
 """
 _ALIGN_OUT = """
-    SELECT *, CASE WHEN percent_aligned >= 80 THEN 'Alto' WHEN percent_aligned >= 60 THEN 'Médio'
-                   ELSE 'Baixo' END AS alignment_band FROM p
+    SELECT *, (['Baixo', 'Médio', 'Alto'])[1 + CAST(percent_aligned >= 60 AS INTEGER) + CAST(percent_aligned >= 80 AS INTEGER)]
+      AS alignment_band FROM p
 """
 _COHESION_OUT = """
     , c AS (SELECT nation, count(*) AS ballots, """ + exact_mean("percent_aligned") + """ AS mean_alignment,
@@ -300,12 +296,12 @@ _COHESION_OUT = """
 """
 _NATION_VOTES = _ALIGN_SQL.format(
     group="nation",
-    base="SELECT n_name AS g, strftime(o_orderdate, '%Y-%m') AS ballot, o_orderstatus AS choice "
+    base="SELECT n_name AS nation, strftime(o_orderdate, '%Y-%m') AS year_month, o_orderstatus AS choice "
     "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
 )
 _BRAND_VOTES = _ALIGN_SQL.format(
     group="p_brand",
-    base="SELECT p_brand AS g, strftime(l_shipdate, '%Y-%m') AS ballot, "
+    base="SELECT p_brand, strftime(l_shipdate, '%Y-%m') AS year_month, "
     "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS choice "
     "FROM lineitem JOIN part ON p_partkey = l_partkey",
 )
@@ -344,16 +340,15 @@ def cohesion_nations(spark, d):
 
 
 _SCORE_SQL = """
-    WITH a AS (SELECT o_custkey, count(DISTINCT CAST(o_orderdate AS DATE)) AS events FROM orders GROUP BY 1),
-         b AS (SELECT o_custkey, count(DISTINCT l_partkey) AS ballots,
-                      count(*) FILTER (WHERE upper(o_orderstatus) = 'F') AS finished,
-                      count(*) FILTER (WHERE upper(o_orderstatus) = 'O') AS open,
-                      count(*) FILTER (WHERE upper(o_orderstatus) = 'P') AS pending
-               FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
-         c AS (SELECT c_custkey, c_name, c_nationkey, events, ballots, finished, open, pending
-               FROM customer JOIN a ON a.o_custkey = c_custkey JOIN b ON b.o_custkey = c_custkey),
-         s AS (SELECT *, (events / max(events) OVER () * 100) * CAST(0.4 AS DOUBLE)
-                       + (ballots / max(ballots) OVER () * 100) * CAST(0.6 AS DOUBLE) AS score FROM c)
+    WITH deeds AS (SELECT o_custkey AS who, 'E' || CAST(o_orderdate AS DATE) AS deed, NULL AS kind FROM orders
+                   UNION ALL SELECT o_custkey, 'B' || l_partkey, upper(o_orderstatus) FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+         counted AS (SELECT who, count(DISTINCT deed) FILTER (deed[1] = 'E') AS events,
+                            count(DISTINCT deed) FILTER (deed[1] = 'B') AS ballots, count(*) FILTER (kind = 'F') AS finished,
+                            count(*) FILTER (kind = 'O') AS open, count(*) FILTER (kind = 'P') AS pending
+                     FROM deeds GROUP BY who HAVING events > 0 AND ballots > 0),
+         known AS (SELECT c_custkey, c_name, c_nationkey, counted.* EXCLUDE (who) FROM counted JOIN customer ON c_custkey = who),
+         top AS (SELECT max(events) AS e, max(ballots) AS b FROM known),
+         s AS (SELECT known.*, (events / e * 100) * 0.4::DOUBLE + (ballots / b * 100) * 0.6::DOUBLE AS score FROM known, top)
 """
 
 
