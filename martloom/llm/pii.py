@@ -1,9 +1,10 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust the score.
 
-Six kinds. E-mail, network, card and phone spans are decided by their
+Seven kinds. E-mail, network, card and phone spans are decided by their
 pattern and checksum alone and always stay, whatever their score. IBANs
-(mod-97) and national ids (no checksum) are added when their score, raised or
-lowered by words close to them, reaches ``MIN_SCORE``.
+(mod-97), national ids (no checksum) and secrets (long runs that look drawn at random, by their
+entropy) are added when their score, raised or
+lowered by words close to them, reaches ``MIN_SCORE``. Context words are English, German, French and Spanish.
 
 Offsets are code points, ends exclusive. Matches of one kind do not overlap;
 spans of different kinds may.
@@ -16,7 +17,9 @@ scanned whole, in time linear in their length. Extra columns are ignored by
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,30 +27,35 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import map_texts
 
-KINDS = ("email", "ip", "card", "phone", "iban", "national_id")
+KINDS = ("email", "ip", "card", "phone", "iban", "national_id", "secret")
 BASE_KINDS = KINDS[:4]
 MIN_SCORE = 0.5
 # Characters before and after a span in which its context words are looked for.
 CONTEXT = 40
 # kind: score without context, words that raise it by 0.3
 SCORES = {
-    "email": (0.9, ("mail", "contact", "write")),
-    "ip": (0.6, ("ip", "address", "host", "server")),
-    "card": (0.8, ("card", "credit", "visa", "payment")),
-    "phone": (0.6, ("phone", "call", "tel", "mobile", "fax")),
-    "iban": (0.8, ("iban", "bank", "account", "konto")),
+    "email": (0.9, ("mail", "contact", "write", "kontakt", "courriel", "correo", "contacto")),
+    "ip": (0.6, ("ip", "address", "host", "server", "adresse", "dirección", "serveur", "servidor")),
+    "card": (0.8, ("card", "credit", "visa", "payment", "karte", "zahlung", "carte", "tarjeta", "pago")),
+    "phone": (0.6, ("phone", "call", "tel", "mobile", "fax", "anruf", "handy", "appel", "móvil", "llama")),
+    "iban": (0.8, ("iban", "bank", "account", "konto", "compte", "cuenta", "banque", "banco")),
     "national_id": (0.3, ("ssn", "social security", "national id")),
+    "secret": (0.3, ("token", "secret", "password", "passwd", "api.?key", "access.?key", "bearer", "passwort", "mot de passe", "contraseña")),
 }
 # Words that lower a score by 0.3.
 DOUBT = ("example", "sample", "order no", "serial", "version", "isbn")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The first part must reach to the end of its digits, so it is tried from their begin only, and never shortened.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_-]{16,256}(?![A-Za-z0-9_/+-])")
+# Bits a character that a secret has at least; it also has letters and digits.
+_RANDOM = 3.0
 _HINT = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -65,6 +73,12 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def looks_random(word: str) -> bool:
+    n = len(word)
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(word).values())
+    return entropy >= _RANDOM and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
 def _emails(text: str):
     """Leftmost matches, found from each @: the local part is the run of its characters before it."""
     done = 0
@@ -111,6 +125,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
             number = m[0].replace(" ", "")
             if 15 <= len(number) <= 34 and mod97(number):
                 found.append(("iban", m.start(), m.end()))
+        found += [("secret", m.start(), m.end()) for m in _SECRET.finditer(text) if looks_random(m[0])]
         found += [("national_id", m.start(), m.end()) for m in _NATIONAL.finditer(text)]
     scored = [(kind, s, e, _score(kind, text, s, e)) for kind, s, e in found]
     kept = [x for x in scored if x[0] in BASE_KINDS or x[3] >= MIN_SCORE]

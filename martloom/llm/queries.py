@@ -34,6 +34,16 @@ def _count_of(kind: str):
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
 
+# A-Z to a-z, as the contracts lower-case.
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Every node's least reachable node, over links (a, b) in both directions.
+_REACHED = """
+    reach AS (SELECT id, id AS root FROM nodes UNION SELECT l.a, r.root FROM links l JOIN reach r ON r.id = l.b),
+    components AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
+"""
+
+
 @query("op4_licences")
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.find(table(spark, sf_dir, "documents"))
@@ -116,12 +126,61 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_jaccard")
+@query(
+    "op8_jaccard",
+    """
+    WITH RECURSIVE
+    words AS (SELECT doc_id AS id, list_filter(regexp_split_to_array("""
+    + _LOWERED
+    + """, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+    nodes AS (
+      SELECT id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM words
+    ),
+    shingles AS (SELECT id, len(s) AS n, unnest(s) AS s FROM nodes),
+    links AS (
+      SELECT x.id AS a, y.id AS b FROM shingles x JOIN shingles y ON x.s = y.s AND x.id <> y.id
+      GROUP BY x.id, y.id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+    ),
+    """
+    + _REACHED
+    + """
+    SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM nodes JOIN components USING (id)
+    """,
+)
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
-@query("op5_substrings")
+@query(
+    "op5_substrings",
+    """
+    WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    parts AS (
+      SELECT doc_id, k * 1000 AS base, substr(h, k * 2000 + 1, 2098) AS part
+      FROM (SELECT doc_id, h, unnest(range(CAST(ceil(length(h) / 2000) AS BIGINT))) AS k FROM bytes)
+    ),
+    starts AS (
+      SELECT doc_id, base + j AS i, substr(part, 2 * j + 1, 100) AS seen
+      FROM (SELECT doc_id, base, part, unnest(range(greatest(0, least(1000, length(part) // 2 - 49)))) AS j FROM parts)
+    ),
+    covered AS (SELECT doc_id, i FROM starts QUALIFY doc_id > min(doc_id) OVER (PARTITION BY seen)),
+    runs AS (
+      SELECT doc_id, min(i) AS s, max(i) + 50 AS e
+      FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+            FROM (SELECT doc_id, i, CASE WHEN i - lag(i, 1, -100) OVER (PARTITION BY doc_id ORDER BY i) > 50 THEN 1 ELSE 0 END AS new FROM covered))
+      GROUP BY doc_id, run
+    ),
+    edges AS (
+      SELECT doc_id, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS a, s AS b FROM runs
+      UNION ALL SELECT b.doc_id, coalesce(max(e), 0), any_value(length(h)) // 2 FROM bytes b LEFT JOIN runs r USING (doc_id) GROUP BY b.doc_id
+    ),
+    kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM edges JOIN bytes USING (doc_id) GROUP BY doc_id)
+    SELECT b.doc_id, CAST(length(b.h) // 2 AS BIGINT) AS n_bytes, CAST((length(b.h) - length(k.h)) // 2 AS BIGINT) AS n_removed,
+      (SELECT count(*) FROM runs r WHERE r.doc_id = b.doc_id) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+    FROM bytes b JOIN kept k USING (doc_id)
+    """,
+)
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = substrings.find(docs).select(
@@ -148,7 +207,23 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_embeddings")
+@query(
+    "op7_embeddings",
+    """
+    WITH RECURSIVE
+    nodes AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    sound AS (
+      SELECT id, v, sqrt(list_dot_product(v, v)) AS norm FROM nodes
+      WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0
+    ),
+    links AS (SELECT a.id AS a, b.id AS b FROM sound a JOIN sound b ON a.id <> b.id AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9),
+    """
+    + _REACHED
+    + """
+    SELECT id AS vec_id, (SELECT count(DISTINCT b) FROM links WHERE a = n.id) AS n_links, component_id, id = component_id AS kept
+    FROM nodes n JOIN components USING (id)
+    """,
+)
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -18,7 +18,7 @@ from tests.oracle import connect, difference  # noqa: E402
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op11_conversations", "op13_merkle"])
+@pytest.mark.parametrize("name", ["op5_substrings", "op7_embeddings", "op8_jaccard", "op11_conversations", "op13_merkle"])
 def test_query_agrees_with_sql(spark, name):
     con = connect(SMALL)
     assert difference(queries.QUERIES[name](spark, SMALL), con, queries.ORACLE[name]) is None

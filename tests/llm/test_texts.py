@@ -281,3 +281,31 @@ def test_bpe_keeps_ids_of_any_type(spark):
     docs = spark.createDataFrame([("a", "Hello unfoldableword"), (None, "x"), ("a", None)], "doc_id string, text string")
     rows = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()
     assert sorted((r.doc_id or "", len(r.ids) > 0) for r in rows) == [("", True), ("a", False), ("a", True)]
+
+
+# --- personal data: long digits and secrets
+
+def test_a_million_digits_take_linear_time():
+    import time
+
+    start = time.time()
+    assert pii.spans_of("1" * 1_000_000) == [] and pii.spans_of("12." * 300_000) is not None
+    assert time.time() - start < 10
+
+
+def test_addresses_are_those_of_the_plain_pattern():
+    import re
+
+    plain = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices("12.34. x", k=30))
+        assert [m.span() for m in plain.finditer(text)] == [m.span() for m in pii._IP.finditer(text)], text
+
+
+def test_secrets_need_randomness_and_context():
+    value = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e"
+    found = [s[:3] for s in pii.spans_of(f'say token = "{value}" here')]
+    assert found == [("secret", 13, 13 + len(value))]
+    assert pii.spans_of(f"commit {value} fixed it") == [] and pii.spans_of("token = " + "1a" * 20) == []
+    assert pii.masked(f"token = {value} mine") == "token = [SECRET] mine" and pii.masked(f"password:{value}") == "password:[SECRET]"
