@@ -6,12 +6,14 @@
 2. An anchor whose whole context also has a smaller document is covered at once; copies within a slice
    are settled there, so a gram sends at most one record per slice and context. Contexts of a gram are
    equal if all 64 bits of their hash are.
-3. Contexts that share a gram but differ are searched for common windows. Each task
-   sorts the suffixes of its contexts, takes the Burrows-Wheeler order, and extends
+3. Contexts that share a gram but differ may have windows in common. Such a window has ``SIDE`` bytes before
+   or ``SIDE`` bytes after the gram, so only contexts that agree there with one of another document (by hash; a
+   false agreement costs only time) are searched. Each task sorts the suffixes of its contexts, takes the Burrows-Wheeler order, and extends
    intervals backward, breadth first: suffixes that share l + 1 bytes are those with the same first byte whose
    successors share l. Boundaries come out by increasing common prefix, and the
    search stops at LENGTH; what is still together then is one window, with the least document it is in.
-   Grams with over ``HOT`` contexts are dealt out by the hash of each window instead, and reduced map-side.
+   Grams with over ``HOT`` such contexts are split by the bytes of either side and searched in these
+   groups; groups of over ``HOT`` are dealt out by the hash of each window instead, and reduced map-side.
 4. Only documents with findings are shuffled with their text; a bitmap of fixed size tells which may be.
 
 Edge cases: NULL texts are empty, have nothing removed, and the hash of no bytes. Rows with a
@@ -34,6 +36,7 @@ from martloom.llm.common import slices, staged, text_bytes
 LENGTH = 50
 GRAM = 20
 HOT = 10_000
+SIDE = (LENGTH - GRAM) // 2
 # Documents a task of the anchor shuffle takes, on average, at this much text each.
 TASK_BYTES = 8 << 20
 # Text hashed at once; the hashes take eight bytes a byte, several times.
@@ -44,8 +47,8 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ODD = np.uint64(0xBF58476D1CE4E5B9)
 _VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BEFORE = LENGTH - GRAM
-_RECORD = (("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("place", "<i4"))
-_REQUEST = np.dtype([("gram", "<u8"), ("place", "<i4")])
+_RECORD = (("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("left", "<u4"), ("right", "<u4"))
+_REQUEST = np.dtype([("key", "<u8"), ("place", "<i4")])
 _SPANS, _WANTED, _WANTED_HOT = 1, 2, 3
 
 
@@ -82,12 +85,15 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, place in the text, gram hash, context hash) of every anchor of texts laid end to end."""
+def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, place in the text, gram hash, context hash, hashes of SIDE bytes left and right) of every anchor of texts laid end to end.
+
+    A side with fewer bytes has the hash 0, which no other side has.
+    """
     n, width = len(raw), LENGTH - GRAM + 1
     none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, *[none.astype(np.uint64)] * 2, *[none.astype(np.uint32)] * 2
     end_of = np.repeat(offsets[1:], np.diff(offsets))
     hashes = _Hashes(raw)
     at = np.arange(n - GRAM + 1)
@@ -102,7 +108,29 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     row = np.searchsorted(offsets, found, side="right") - 1
     low, high = np.maximum(offsets[row], found - _BEFORE), np.minimum(offsets[row + 1], found + LENGTH)
     context = hashes.of(low, high) ^ _mixed((found - low).astype(np.uint64))
-    return row, found - offsets[row], grams[found], context
+
+    def side(start: np.ndarray) -> np.ndarray:
+        whole = (start >= offsets[row]) & (start + SIDE <= offsets[row + 1])
+        out = np.zeros(len(found), np.uint32)
+        out[whole] = np.maximum(hashes.of(start[whole], start[whole] + SIDE) >> np.uint64(32), np.uint64(1))
+        return out
+
+    return row, found - offsets[row], grams[found], context, side(found - SIDE), side(found + GRAM)
+
+
+def _agreeing(gram: np.ndarray, side: np.ndarray, doc: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which open records agree in gram and side with one of another document, a key of the two, and how many have it."""
+    key = _mixed(gram + side * _ODD)
+    size = np.zeros(len(gram), np.int64)
+    at = np.flatnonzero(open_ & (side > 0))
+    if not len(at):
+        return size > 0, key, size
+    at = at[np.argsort(key[at], kind="stable")]
+    new = np.append(True, key[at[1:]] != key[at[:-1]])
+    begins, group = np.flatnonzero(new), np.cumsum(new) - 1
+    differ = np.minimum.reduceat(doc[at], begins) != np.maximum.reduceat(doc[at], begins)
+    size[at] = np.where(differ, np.diff(np.append(begins, len(at))), 0)[group]
+    return size > 0, key, size
 
 
 def _packed(kind: int, doc: np.ndarray, values: np.ndarray) -> list[tuple[int, int, bytes]]:
@@ -142,11 +170,11 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
                 raw, offsets = text_bytes(piece.column(1))
-                row, place, gram, context = anchors(raw, offsets)
+                row, place, gram, context, left, right = anchors(raw, offsets)
                 doc = piece.column(0).to_numpy()[row]
                 same = _mixed(gram + context * _ODD)  # for the order only
                 order = np.lexsort((doc, same))
-                doc, place, gram, context = (x[order] for x in (doc, place, gram, context))
+                doc, place, gram, context, left, right = (x[order] for x in (doc, place, gram, context, left, right))
                 new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])) if len(same) else np.zeros(0, bool)
                 first = doc[new][np.cumsum(new) - 1] if len(doc) else doc
                 local = doc != first
@@ -154,10 +182,10 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
                 if local.any():
                     for d, kind, data in _packed(_SPANS, doc[local], _span_values(place[local])):
                         found.append((d % tasks, d, _merged(np.frombuffer(data, "<i4").reshape(-1, 2)).tobytes()))
-                doc, place, gram, context = (x[~local] for x in (doc, place, gram, context))
+                doc, place, gram, context, left, right = (x[~local] for x in (doc, place, gram, context, left, right))
                 bucket = (gram >> np.uint64(40)).astype(np.int64) % tasks
                 by = np.lexsort((doc, bucket))
-                bucket, columns = bucket[by], [x[by] for x in (gram, context, doc, place)]
+                bucket, columns = bucket[by], [x[by] for x in (gram, context, doc, place, left, right)]
                 ids, starts = np.unique(bucket, return_index=True)
                 for b, a, e in zip(ids, starts, np.append(starts[1:], len(bucket))):
                     data = b"".join(c[a:e].astype(t).tobytes() for c, (_, t) in zip(columns, _RECORD))
@@ -184,23 +212,27 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
                 yield _rows(passed)
         if not parts[0]:
             return
-        gram, context, doc, place = (np.concatenate(p) for p in parts)
-        order = np.lexsort((doc, context, gram))
-        gram, context, doc, place = gram[order], context[order], doc[order], place[order]
+        columns = [np.concatenate(p) for p in parts]
+        parts.clear()
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        gram, context, doc, place, left, right = (c[order] for c in columns)
+        del columns
         new_gram = np.append(True, gram[1:] != gram[:-1])
         new = new_gram | np.append(True, context[1:] != context[:-1])
         copy = doc != doc[new][np.cumsum(new) - 1]
-        group = np.cumsum(new_gram) - 1
-        begins = np.flatnonzero(new_gram)
-        several = np.add.reduceat(new.astype(np.int64), begins)
-        docs_differ = np.minimum.reduceat(doc, begins) != np.maximum.reduceat(doc, begins)
-        want = ~copy & (several > 1)[group] & docs_differ[group]
-        requests = np.empty(len(doc), _REQUEST)
-        requests["gram"], requests["place"] = gram, place
-        hot = (several > HOT)[group]
-        for chosen, kind, values in ((copy, _SPANS, None), (want & ~hot, _WANTED, requests), (want & hot, _WANTED_HOT, requests)):
-            values = _span_values(place[chosen]) if values is None else values[chosen]
-            found = _packed(kind, doc[chosen], values)
+        sides = [_agreeing(gram, side, doc, ~copy) for side in (left, right)]
+        want = sides[0][0] | sides[1][0]
+        hot = (np.add.reduceat(want.astype(np.int64), np.flatnonzero(new_gram)) > HOT)[np.cumsum(new_gram) - 1]
+        chosen = [(copy, _SPANS, None), (want & ~hot, _WANTED, gram)]
+        for agree, key, size in sides:
+            chosen += [(agree & hot & (size <= HOT), _WANTED, key), (agree & hot & (size > HOT), _WANTED_HOT, key)]
+        for rows, kind, key in chosen:
+            if key is None:
+                values = _span_values(place[rows])
+            else:
+                values = np.empty(np.count_nonzero(rows), _REQUEST)
+                values["key"], values["place"] = key[rows], place[rows]
+            found = _packed(kind, doc[rows], values)
             for a in range(0, len(found), 10_000):
                 yield _rows(found[a : a + 10_000])
 
@@ -208,10 +240,11 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
     return staged(sent.repartition(tasks, "bucket").mapInArrow(settle, "doc bigint, kind int, data binary"))
 
 
-def suffix_order(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def suffix_order(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, order, rank, piece) of all suffixes of pieces, each ended by a symbol of its own.
 
-    Prefix doubling, from seven bytes packed into one number.
+    Prefix doubling, from seven bytes packed into one number, until ``length`` bytes are in order; suffixes that
+    share so many stand together, in any order.
     """
     n, pieces = len(raw) + len(offsets) - 1, len(offsets) - 1
     piece = np.repeat(np.arange(pieces), np.diff(offsets) + 1)
@@ -230,7 +263,8 @@ def suffix_order(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.append(False, ranked[1:] != ranked[:-1]))
-        if not n or rank[order[-1]] == n - 1:
+        if not n or h >= length or rank[order[-1]] == n - 1:
+            rank[order] = np.arange(n)
             return symbols, order, rank, piece
         second = np.where(at + h <= last, rank[np.minimum(at + h, n - 1)] + pieces, piece)
         key = rank * (n + pieces + 1) + second
@@ -239,7 +273,7 @@ def suffix_order(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def common_windows(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(piece, place in it, group) of the suffixes that share their first ``length`` bytes with another one."""
-    symbols, order, rank, piece = suffix_order(raw, offsets)
+    symbols, order, rank, piece = suffix_order(raw, offsets, length)
     n = len(order)
     first = symbols[order]
     boundary = np.append(True, (first[1:] != first[:-1]) | (first[1:] == 0))[:n]
@@ -276,8 +310,8 @@ def _searched(held: DataFrame, tasks: int) -> DataFrame:
                 raw = (text or "").encode()
                 for data in wanted:
                     requests = np.frombuffer(data, _REQUEST)
-                    for gram, (low, context) in zip(requests["gram"].tolist(), _contexts(raw, requests["place"])):
-                        route.append(gram >> 34)
+                    for key, (low, context) in zip(requests["key"].tolist(), _contexts(raw, requests["place"])):
+                        route.append(key >> 34)
                         docs.append(doc)
                         lows.append(low)
                         contexts.append(context)

@@ -139,6 +139,20 @@ def test_removed_substrings_by_brute_force(corpus, monkeypatch, hot):
     assert lost > 50
 
 
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_short_windows_in_unlike_surroundings(spark, monkeypatch, hot):
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [letters(n) for n in (49, 50, 50, 51, 55, 64, 70)]
+    texts = {i: letters(rng.randrange(0, 40)) + rng.choice(shared) + letters(rng.randrange(0, 40)) for i in range(160)}
+    texts[160] = shared[1]
+    monkeypatch.setattr(substrings, "HOT", hot)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: bytes(r.left) for r in substrings.find(frame).collect()}
+    want = {i: bytes(b for b, c in zip(raw, covered) if not c) for i, (raw, covered) in plain_repeats(texts).items() if any(covered)}
+    assert len(want) > 100 and got == want
+
+
 def test_common_windows_are_those_of_the_plain_search():
     rng = random.Random(8)
     pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 40))) for _ in range(30)]
