@@ -48,7 +48,8 @@ _ODD = np.uint64(0xBF58476D1CE4E5B9)
 _VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BEFORE = LENGTH - GRAM
 _RECORD = (("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("left", "<u4"), ("right", "<u4"))
-_REQUEST = np.dtype([("key", "<u8"), ("place", "<i4")])
+_REQUEST = np.dtype([("key", "<u8"), ("place", "<i4"), ("sides", "u1")])
+_LEFT, _RIGHT = 1, 2
 _SPANS, _WANTED, _WANTED_HOT = 1, 2, 3
 
 
@@ -173,10 +174,10 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
                 row, place, gram, context, left, right = anchors(raw, offsets)
                 doc = piece.column(0).to_numpy()[row]
                 same = _mixed(gram + context * _ODD)  # for the order only
-                order = np.lexsort((doc, same))
+                order = np.argsort(same)
                 doc, place, gram, context, left, right = (x[order] for x in (doc, place, gram, context, left, right))
                 new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])) if len(same) else np.zeros(0, bool)
-                first = doc[new][np.cumsum(new) - 1] if len(doc) else doc
+                first = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1] if len(doc) else doc
                 local = doc != first
                 found = []
                 if local.any():
@@ -223,15 +224,17 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
         sides = [_agreeing(gram, side, doc, ~copy) for side in (left, right)]
         want = sides[0][0] | sides[1][0]
         hot = (np.add.reduceat(want.astype(np.int64), np.flatnonzero(new_gram)) > HOT)[np.cumsum(new_gram) - 1]
-        chosen = [(copy, _SPANS, None), (want & ~hot, _WANTED, gram)]
-        for agree, key, size in sides:
-            chosen += [(agree & hot & (size <= HOT), _WANTED, key), (agree & hot & (size > HOT), _WANTED_HOT, key)]
-        for rows, kind, key in chosen:
+        both = sides[0][0] * _LEFT + sides[1][0] * _RIGHT
+        chosen = [(copy, _SPANS, None, both), (want & ~hot, _WANTED, gram, both)]
+        for (agree, key, size), flag in zip(sides, (_LEFT, _RIGHT)):
+            one = np.full(len(doc), flag)
+            chosen += [(agree & hot & (size <= HOT), _WANTED, key, one), (agree & hot & (size > HOT), _WANTED_HOT, key, one)]
+        for rows, kind, key, flags in chosen:
             if key is None:
                 values = _span_values(place[rows])
             else:
                 values = np.empty(np.count_nonzero(rows), _REQUEST)
-                values["key"], values["place"] = key[rows], place[rows]
+                values["key"], values["place"], values["sides"] = key[rows], place[rows], flags[rows]
             found = _packed(kind, doc[rows], values)
             for a in range(0, len(found), 10_000):
                 yield _rows(found[a : a + 10_000])
@@ -259,7 +262,7 @@ def suffix_order(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
         key = key * 257 + np.where(at + j <= last, symbols[np.minimum(at + j, n - 1)], 0)
     h = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.append(False, ranked[1:] != ranked[:-1]))
@@ -277,15 +280,16 @@ def common_windows(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[n
     n = len(order)
     first = symbols[order]
     boundary = np.append(True, (first[1:] != first[:-1]) | (first[1:] == 0))[:n]
-    after = rank[np.minimum(order + 1, n - 1)]  # where the suffix without its first byte stands
+    after = rank[np.minimum(order + 1, n - 1)].astype(np.int32)  # where the suffix without its first byte stands
     open_at = np.flatnonzero(~boundary)
+    one, other = after[open_at], after[open_at - 1]
     for _ in range(1, length):
-        if not len(open_at):
+        interval = np.cumsum(boundary, dtype=np.int32)
+        split = interval[one] != interval[other]
+        if not split.any():  # so longer prefixes split no interval either
             break
-        interval = np.cumsum(boundary)
-        split = interval[after[open_at]] != interval[after[open_at - 1]]
         boundary[open_at[split]] = True
-        open_at = open_at[~split]
+        open_at, one, other = open_at[~split], one[~split], other[~split]
     group = np.cumsum(boundary)
     shared = np.zeros(n, bool)
     shared[open_at] = True
@@ -294,10 +298,13 @@ def common_windows(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[n
     return piece[chosen], chosen - (offsets[:-1] + np.arange(len(offsets) - 1))[piece[chosen]], group[shared]
 
 
-def _contexts(text: bytes, places: np.ndarray):
-    for p in places.tolist():
-        low = max(0, p - _BEFORE)
-        yield low, text[low : p + LENGTH]
+def _contexts(text: bytes, requests: np.ndarray):
+    """Start and bytes of each context, as far as windows that hold a side that agrees can reach."""
+    before = np.where(requests["sides"] & _LEFT, _BEFORE, _BEFORE - SIDE)
+    lows = np.maximum(0, requests["place"] - before).tolist()
+    highs = (requests["place"] + np.where(requests["sides"] & _RIGHT, LENGTH, GRAM + SIDE)).tolist()
+    for low, high in zip(lows, highs):
+        yield low, text[low:high]
 
 
 def _searched(held: DataFrame, tasks: int) -> DataFrame:
@@ -310,7 +317,7 @@ def _searched(held: DataFrame, tasks: int) -> DataFrame:
                 raw = (text or "").encode()
                 for data in wanted:
                     requests = np.frombuffer(data, _REQUEST)
-                    for key, (low, context) in zip(requests["key"].tolist(), _contexts(raw, requests["place"])):
+                    for key, (low, context) in zip(requests["key"].tolist(), _contexts(raw, requests)):
                         route.append(key >> 34)
                         docs.append(doc)
                         lows.append(low)
