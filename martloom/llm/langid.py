@@ -2,7 +2,7 @@
 
 The pieces are those of a fixed public vocabulary. Every language has a
 probability for each piece; the probability of a word is the sum over all ways to
-cut it into pieces, by a forward recursion along its characters. A text's
+cut it into pieces of any length, by a forward recursion along its characters. A text's
 log probability is the sum over its words (between white space, lower-cased, with
 a start mark), and the languages' posterior under equal priors gives the score.
 
@@ -14,12 +14,11 @@ Edge cases: a NULL text or one without letters is ``und`` with score 0, as is
 every text if nothing could be learned. Characters outside the vocabulary have
 a small probability, the same in all languages. Ties go to the name that sorts
 first. Repeated rows and ids are scored row by row; NULL ids are kept. Extra
-columns are ignored. Words over ``FIT_CHARS`` are left out of the fit, never of the scoring.
+columns are ignored. Words over ``FIT_RUN`` characters are cut into runs of so many for the fit, never for the scoring.
 """
 
 from __future__ import annotations
 
-import re
 from collections import deque
 from dataclasses import dataclass
 
@@ -33,14 +32,13 @@ from martloom.llm.common import coded, map_texts, rows_of, staged, words_of
 
 UNDETERMINED = "und"
 START = "▁"
-MAX_PIECE = 8
-FIT_CHARS = 64
+FIT_RUN = 1024
+# Characters whose segmentations the fit holds at once.
+FIT_CELLS = 400_000
 _UNKNOWN = 1e-7
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD1342543DE82EF95)
 _BITS = np.uint64(44)
-# Probabilities in the fit are scaled up by this much a character, to stay in range.
-_UP = 1000.0
 
 
 @dataclass
@@ -50,6 +48,7 @@ class Pieces:
     hashes: np.ndarray
     first: np.ndarray
     second: np.ndarray
+    longest: int
 
     @classmethod
     def of(cls, pieces: list[str]) -> Pieces:
@@ -65,7 +64,7 @@ class Pieces:
                 if second[at] >= 0:
                     raise ValueError("two pieces share both places")
                 second[at] = i
-        return cls(hashes, first, second)
+        return cls(hashes, first, second, max(map(len, pieces), default=1))
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The piece with each hash, or -1."""
@@ -101,7 +100,7 @@ class Model:
         n = len(points)
         out = np.zeros((n, len(self.languages)))
         scale = np.zeros(n)
-        alphas = deque([np.ones((len(self.languages), n))], maxlen=MAX_PIECE)
+        alphas = deque([np.ones((len(self.languages), n))], maxlen=self.pieces.longest)
         for t, ids in enumerate(_piece_ids(points, self.pieces), 1):
             alpha = np.zeros((len(self.languages), n))
             for k, found in enumerate(ids, 1):
@@ -125,7 +124,7 @@ class Model:
         return out
 
 
-def _by_length(words: list[str], rows: int = 20_000):
+def _by_length(words: list[str], rows: int = 20_000, cells: int = 4_000_000):
     """(places, code points, lengths) of words in groups of like length, each with the start mark."""
     sizes = np.array([len(w) + 1 for w in words])
     padded = np.where(sizes <= 32, sizes, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(int))
@@ -133,7 +132,7 @@ def _by_length(words: list[str], rows: int = 20_000):
     start = 0
     while start < len(order):
         length = padded[order[start]]
-        limit = max(1, min(rows, 4_000_000 // int(length)))
+        limit = max(1, min(rows, cells // int(length)))
         end = start + min(limit, int(np.searchsorted(padded[order[start:]], length, side="right")))
         chosen = order[start:end]
         text = "".join((START + words[i]).ljust(length, "\0") for i in chosen)
@@ -146,17 +145,17 @@ def _piece_ids(points: np.ndarray, pieces: Pieces):
     hashes: list[np.ndarray] = []
     for t in range(points.shape[1]):
         c = points[:, t].astype(np.uint64) * _ODD + np.uint64(1)
-        hashes = [c, *(h * _BASE + c for h in hashes[: MAX_PIECE - 1])]
+        hashes = [c, *(h * _BASE + c for h in hashes[: pieces.longest - 1])]
         yield [pieces.find(h) for h in hashes]
 
 
 def vocabulary(model_path: str) -> list[str]:
-    """The lower-case pieces of a sentencepiece model, up to MAX_PIECE characters."""
+    """The lower-case pieces of a sentencepiece model."""
     import sentencepiece
 
     processor = sentencepiece.SentencePieceProcessor(model_file=model_path)
     pieces = (processor.id_to_piece(i) for i in range(processor.get_piece_size()) if not _special(processor, i))
-    return sorted({p for p in pieces if p == p.lower() and len(p) <= MAX_PIECE})
+    return sorted({p for p in pieces if p == p.lower()})
 
 
 def _special(processor, i: int) -> bool:
@@ -166,26 +165,24 @@ def _special(processor, i: int) -> bool:
 def expected_counts(words: list[str], weights: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in weighted words of one language, over all their segmentations."""
     counts = np.zeros(len(p))
-    up = _UP ** np.arange(MAX_PIECE + 1)
-    for chosen, points, sizes in _by_length(words):
+    for chosen, points, sizes in _by_length(words, cells=FIT_CELLS):
         for length in np.unique(sizes):
             own = np.flatnonzero(sizes == length)
-            ids = list(_piece_ids(points[own][:, :length], pieces))
-            step = [[np.where(f >= 0, p[f] * up[k], _UNKNOWN * up[1] if k == 1 else 0.0) for k, f in enumerate(x, 1)] for x in ids]
-            alpha = [np.ones(len(own))]
-            for t in range(length):
-                alpha.append(sum(alpha[t + 1 - k] * q for k, q in enumerate(step[t], 1)))
-            beta = [np.zeros(len(own)) for _ in range(length)] + [np.ones(len(own))]
-            for t in range(length - 1, -1, -1):
-                for k, q in enumerate(step[t], 1):
-                    beta[t + 1 - k] = beta[t + 1 - k] + q * beta[t + 1]
-            total = np.where(alpha[-1] > 0, alpha[-1], np.inf)
-            share = weights[chosen[own]] / total
-            for t in range(length):
-                for k, (q, f) in enumerate(zip(step[t], ids[t]), 1):
+            back = [np.ones(len(own))]  # the forward sum up to k characters back, over that up to one back
+            ids, shares = [], []
+            for found in _piece_ids(points[own][:, :length], pieces):
+                use = [np.where(f >= 0, p[f], _UNKNOWN if k == 0 else 0.0) * back[k] for k, f in enumerate(found)]
+                step = sum(use)
+                ids.append(found)
+                shares.append([u / step for u in use])  # of the ways to get here, by the length of the last piece
+                back = [np.ones(len(own)), *(b / step for b in back[: pieces.longest - 1])]
+            reached = [np.zeros(len(own)) for _ in range(length)] + [weights[chosen[own]].astype(float)]
+            for t in range(length, 0, -1):
+                for k, (f, share) in enumerate(zip(ids[t - 1], shares[t - 1]), 1):
+                    use = share * reached[t]
+                    reached[t - k] += use
                     at = np.flatnonzero(f >= 0)
-                    use = alpha[t + 1 - k][at] * q[at] * beta[t + 1][at] * share[at]
-                    counts += np.bincount(f[at], use, minlength=len(p))
+                    np.add.at(counts, f[at], use[at])
     return counts
 
 
@@ -211,7 +208,7 @@ def fit(docs: DataFrame, model_path: str, lang_col: str = "lang", text_col: str
             names=["lang", "word", "n"],
         )
 
-    tallies = map_texts(picked, "text", tally, "lang string, word string, n bigint").where(F.length("word") < FIT_CHARS)
+    tallies = map_texts(picked, "text", tally, "lang string, word string, n bigint")
     tallies = staged(tallies.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     sizes_of = np.array([len(x) for x in names])
     p = np.tile(0.02 ** np.minimum(sizes_of, 3) * 2.0 ** -np.maximum(sizes_of - 3, 0), (len(languages), 1))
@@ -233,7 +230,8 @@ def _counting(languages: list[str], pieces: Pieces, p: np.ndarray):
             words, weights = batch.column(1).to_pylist(), batch.column(2).to_numpy().astype(float)
             for i in np.unique(lang):
                 own = np.flatnonzero(lang == i)
-                total[i] += expected_counts([words[j] for j in own], weights[own], pieces, p[i])
+                runs = [(words[j][a : a + FIT_RUN], weights[j]) for j in own for a in range(0, len(words[j]), FIT_RUN)]
+                total[i] += expected_counts([r[0] for r in runs], np.array([r[1] for r in runs]), pieces, p[i])
         at, piece = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(total[at, piece])],
@@ -243,22 +241,19 @@ def _counting(languages: list[str], pieces: Pieces, p: np.ndarray):
     return run
 
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score and log10 probability of the best language; a map."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     table = model.pieces
-    plain = (model.languages, table.hashes, table.first, table.second, model.probabilities)
+    plain = (model.languages, table.hashes, table.first, table.second, table.longest, model.probabilities)
     shared = docs.sparkSession.sparkContext.broadcast(plain)  # languages x vocabulary
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        languages, hashes, first, second, probabilities = shared.value
-        own, texts = Model(languages, Pieces(hashes, first, second), probabilities), batch.column(1)
+        languages, hashes, first, second, longest, probabilities = shared.value
+        own, texts = Model(languages, Pieces(hashes, first, second, longest), probabilities), batch.column(1)
         n = len(own.languages)
-        letters = np.array([t is not None and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+        letters = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
         names, scores, logs = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts)), np.zeros(len(texts))
         if n and letters.any():
             offsets, words = words_of(pc.utf8_lower(texts), lower=False)
