@@ -16,7 +16,8 @@ A retrieved pair counts only if enough three-word runs of the item's question
 (its words but the last quarter) and of its answer (the last quarter) occur in the passage.
 
 The index is broadcast in parts of ``ITEMS_AT_ONCE`` items, so its size is
-bounded; documents are scanned once per part, and nothing is shuffled.
+bounded; documents are scanned once per part, and nothing of them is shuffled. Document frequencies, the mean length and
+the length of passages are those of all items, so results don't depend on the parts.
 
 Edge cases: items that are NULL or have fewer than ``MIN_WORDS`` words are no
 evidence and match nothing; repeated items match under each id. NULL and empty
@@ -27,6 +28,7 @@ Extra columns are ignored by ``matches`` and kept by ``clean``.
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -35,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import coded, map_texts, plain_words_of
+from martloom.llm.common import coded, map_texts, plain_words_of, staged
 
 THRESHOLD = 0.6
 OVERLAP = 0.5
@@ -49,18 +51,34 @@ K1, B = 1.2, 0.75
 SLICE = 2 << 20
 
 
-def build_index(items: list[tuple[int, list[str]]]) -> dict | None:
-    """Postings with normalised impacts, term and block maxima, and the items' runs of words."""
+@dataclass
+class Statistics:
+    """Of all items, whatever part of them an index has."""
+
+    items: int
+    mean: float
+    longest: int
+
+    @classmethod
+    def of(cls, sizes: list[int]) -> Statistics:
+        return cls(len(sizes), sum(sizes) / len(sizes), max(sizes))
+
+
+def build_index(items: list[tuple[int, list[str]]], used: dict[str, int] | None = None, whole: Statistics | None = None) -> dict | None:
+    """Postings with normalised impacts, term and block maxima, and the items' runs of words.
+
+    ``used`` says how many of all items have each word; without it and ``whole`` these items are all.
+    """
     items = sorted((i for i in items if len(i[1]) >= MIN_WORDS), key=lambda i: i[0])
     if not items:
         return None
-    used = Counter(w for _, words in items for w in set(words))
+    used = Counter(w for _, words in items for w in set(words)) if used is None else used
+    whole = whole or Statistics.of([len(words) for _, words in items])
     terms = {w: i for i, w in enumerate(sorted(used))}
-    idf = {w: np.log(1 + (len(items) - n + 0.5) / (n + 0.5)) for w, n in used.items()}
-    mean = sum(len(words) for _, words in items) / len(items)
+    idf = {w: np.log(1 + (whole.items - n + 0.5) / (n + 0.5)) for w, n in used.items()}
     term, place, impact = [], [], []
     for i, (_, words) in enumerate(items):
-        norm = K1 * (1 - B + B * len(words) / mean)
+        norm = K1 * (1 - B + B * len(words) / whole.mean)
         own = {w: idf[w] * n * (K1 + 1) / (n + norm) for w, n in Counter(words).items()}
         total = sum(own.values())
         term += [terms[w] for w in own]
@@ -87,7 +105,7 @@ def build_index(items: list[tuple[int, list[str]]]) -> dict | None:
         "impact": impact,
         "term_max": block_max.max(axis=1).astype(np.float64),
         "block_max": block_max,
-        "longest": max(len(words) for _, words in items),
+        "longest": whole.longest,
         "runs": [_question_and_answer(words) for _, words in items],
     }
 
@@ -144,6 +162,7 @@ def search(texts: pa.Array, index: dict) -> list[tuple[int, int, float, float, f
             for t in own:
                 s = slice(index["starts"][t], index["starts"][t + 1])
                 scores[index["place"][s]] += index["impact"][s]
+            scores = np.round(scores, 9)  # sums in any order are the same
             inside = np.isin(np.arange(len(scores)) // BLOCK_ITEMS, base + np.flatnonzero(can[p]))
             hits = np.flatnonzero(inside & (scores >= THRESHOLD))
             if not len(hits):
@@ -161,13 +180,28 @@ def search(texts: pa.Array, index: dict) -> list[tuple[int, int, float, float, f
 def _indexes(items: DataFrame, id_col: str, text_col: str):
     """Indexes of at most ITEMS_AT_ONCE items each."""
     held = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull() & F.col("id").isNotNull())
-    rows = []
-    for r in held.toLocalIterator():
-        rows.append((r.id, plain_words_of(pc.utf8_lower(pa.array([r.text])))[1].to_pylist()))
+    kind = held.schema["id"].dataType.simpleString()
+
+    def split(batch: pa.RecordBatch) -> pa.RecordBatch:
+        offsets, words = plain_words_of(pc.utf8_lower(batch.column(1)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words.cast(pa.string()))
+        return pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "words"])
+
+    told = map_texts(held, "text", split, f"id {kind}, words array<string>").where(F.size("words") >= MIN_WORDS)
+    told = staged(told.withColumn("row", F.monotonically_increasing_id()))
+    n, mean, longest = told.agg(F.count("*"), F.avg(F.size("words")), F.max(F.size("words"))).first()
+    each = told.select("row", F.explode(F.array_distinct("words")).alias("word"))
+    used = each.join(each.groupBy("word").agg(F.count("*").alias("n")), "word")
+    used = used.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("used"))
+    rows, counts = [], {}
+    for r in staged(told.join(used, "row")).toLocalIterator():
+        rows.append((r.id, r.words))
+        counts |= r.used
         if len(rows) == ITEMS_AT_ONCE:
-            yield build_index(rows)
-            rows = []
-    yield build_index(rows)
+            yield build_index(rows, counts, Statistics(n, mean, longest))
+            rows, counts = [], {}
+    if rows:
+        yield build_index(rows, counts, Statistics(n, mean, longest))
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import base64
 import itertools
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +197,42 @@ def test_expected_counts_by_enumeration():
     assert np.allclose(langid.expected_counts(["aab"], np.array([3.0]), pieces, p), want)
 
 
+def test_expected_counts_of_long_words_equal_exact_fractions():
+    rng = random.Random(5)
+    names = sorted(["▁", "a", "b", "ab", "▁a", "abba", "bbbbbbbbbbbb"])
+    p = np.array([rng.uniform(1e-4, 0.2) for _ in names])
+    words, weights = ["".join(rng.choice("abbbx") for _ in range(n)) for n in (1, 70, 150, 150)], np.array([1.0, 2.0, 3.0, 4.0])
+    exact = dict(zip(names, map(Fraction, p)))
+    want = np.zeros(len(names))
+    for word, weight in zip(words, weights):
+        text = "▁" + word
+        ends = [(t, t - k, text[t - k : t]) for t in range(1, len(text) + 1) for k in range(1, min(t, 12) + 1)]
+        steps = [(t, s, x, exact.get(x, Fraction(langid._UNKNOWN) if t - s == 1 else 0)) for t, s, x in ends]
+        ahead, behind = [Fraction(1)] + [Fraction(0)] * len(text), [Fraction(0)] * len(text) + [Fraction(1)]
+        for t, s, _, q in steps:
+            ahead[t] += ahead[s] * q
+        for t, s, _, q in reversed(steps):
+            behind[s] += behind[t] * q
+        for t, s, x, q in steps:
+            if x in exact:
+                want[names.index(x)] += weight * float(ahead[s] * q * behind[t] / ahead[-1])
+    assert np.allclose(langid.expected_counts(words, weights, langid.Pieces.of(names), p), want)
+
+
+def test_all_lower_case_pieces_and_words_of_any_length_are_learned(spark):
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    names = langid.vocabulary(PIECES)
+    every = (i for i in range(processor.get_piece_size()) if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)))
+    assert set(names) == {x for x in map(processor.id_to_piece, every) if x == x.lower()}
+    assert len(names) > 20_000 and langid.Pieces.of(names).longest == max(map(len, names))
+    rows = [(1, "aa", "information" * 300), (2, "bb", "waschmaschine" * 300)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"), PIECES, rounds=2)
+    tests = spark.createDataFrame([(1, "informationinformation"), (2, "maschine"), (3, "½ ² Ⅷ"), (4, "7 _ 8")], "doc_id bigint, text string")
+    assert dict(langid.predict(tests, model).select("doc_id", "lang_pred").collect()) == {1: "aa", 2: "bb", 3: "und", 4: "und"}
+
+
 def test_language_of_held_out_and_odd_texts(spark, odd, empty):
     rows = queries.QUERIES["op1_langid"](spark, "/root/testdata/sf0.01")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
@@ -258,6 +295,22 @@ def test_decontamination_on_odd_and_empty_frames(spark, odd, empty):
     assert decontaminate.clean(odd, items.where("false")).count() == len(ODD)
 
 
+def test_matches_do_not_depend_on_the_parts_of_the_index(spark, monkeypatch):
+    rng = random.Random(14)
+    words = lambda n: [f"w{min(400, int(rng.expovariate(0.02)))}" for _ in range(n)]
+    items = [(i, " ".join(words(rng.randrange(6, 40)))) for i in range(60)]
+    texts = [(k, " ".join(words(rng.randrange(0, 300)) + items[rng.randrange(60)][1].split() + words(20))) for k in range(60)]
+    docs, held = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = []
+    for size in (7, 20_000):
+        monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", size)
+        found.append(sorted(map(tuple, decontaminate.matches(docs, held).collect())))
+    assert len(found[0]) >= 60 and found[0] == found[1]
+    plain = decontaminate.build_index([(i, t.split()) for i, t in items])
+    want = decontaminate.search(pa.array([t for _, t in texts]), plain)
+    assert found[1] == sorted((texts[r][0], plain["ids"][i], *rest) for r, i, *rest in want)
+
+
 # --- byte-level BPE
 
 def test_bpe_equals_the_tokenizer_library(spark, odd, empty):
