@@ -38,7 +38,9 @@ from pyspark.sql.column import Column
 
 from martloom.llm.common import coded, slices, text_bytes
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
+# Texts above are split match by match, without a list of all matches.
+LONG_TEXT = 1 << 20
 # Text for each bucket of words and each task.
 TASK_BYTES = 4 << 20
 LONG = 256
@@ -155,7 +157,7 @@ def merged_long(tokens: Column, keys: Column, values: Column) -> Column:
     return F.aggregate(tokens, start, step, lambda state: numbers(state["text"]))
 
 
-_ASK = "bucket int, block bigint, words array<string>"
+_ASK = "bucket int, block bigint, sizes binary, words binary"
 _NAMED = "bucket int, blocks binary, ends binary, codes binary, words array<array<int>>"
 _BLOCK = "block bigint, bucket int, doc_ids array<{}>, ends binary, sizes binary, data binary"
 
@@ -187,9 +189,10 @@ def encode(
                     yield number, doc_ids, codes, places
                     number, doc_ids, places, codes, held = number + 1, [], _Places(), [], 0
                     pa.default_memory_pool().release_unused()
-                found = split.findall(part.column(1)[i].as_py() or "")
+                text = part.column(1)[i].as_py() or ""
+                found = split.findall(text) if size <= LONG_TEXT else (m.group() for m in split.finditer(text))
                 if numbered:
-                    codes.append(np.fromiter(map(places.__getitem__, found), np.int32, len(found)))
+                    codes.append(np.fromiter(map(places.__getitem__, found), np.int32))
                 else:
                     places.update(dict.fromkeys(found))
                 doc_ids.append(names.slice(i, 1))
@@ -199,7 +202,7 @@ def encode(
 
     def unknown(places: dict[str, int]) -> tuple[np.ndarray, list[str], np.ndarray]:
         """Buckets, words and places of the words that are no pieces, by bucket."""
-        words = [w for w in places if w.encode() not in shared.value]
+        words = sorted(w for w in places if w.encode() not in shared.value)
         bucket = np.fromiter((zlib.crc32(w.encode()) % tasks for w in words), np.int32, len(words))
         order = np.argsort(bucket, kind="stable")
         at = np.fromiter((places[w] for w in words), np.int32, len(words))
@@ -209,13 +212,17 @@ def encode(
         for number, _, _, places in blocks(batches, False):
             bucket, words, _ = unknown(dict.fromkeys(places, 0))
             ids, first = np.unique(bucket, return_index=True)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(words)).astype(np.int32)), pa.array(words, pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([number] * len(ids), pa.int64()), lists], names=["bucket", "block", "words"])
+            ends = np.append(first, len(words)).tolist()
+            raw = [[w.encode() for w in words[a:b]] for a, b in zip(ends, ends[1:])]
+            sizes = [_small(np.array([len(w) for w in own], np.int64)) for own in raw]
+            data = [pa.compress(b"".join(own), codec="zstd", asbytes=True) for own in raw]
+            columns = [pa.array(ids, pa.int32()), pa.array([number] * len(ids), pa.int64()), pa.array(sizes, pa.binary()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "sizes", "words"])
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per bucket: its distinct words, and of which of them each block's words are."""
         for bucket, rows in groupby(((b.column(0)[i].as_py(), b, i) for b in batches for i in range(b.num_rows)), key=lambda r: r[0]):
-            numbers, lists = zip(*[(b.column(1)[i].as_py(), b.column(2)[i].values) for _, b, i in rows])
+            numbers, lists = zip(*[(b.column(1)[i].as_py(), _strings(b.column(2)[i].as_py(), b.column(3)[i].as_py())) for _, b, i in rows])
             codes, words = coded(pa.concat_arrays(list(lists)))
             ends = np.cumsum([len(x) for x in lists])
             columns = [np.array(numbers, np.int64), ends.astype(np.int64), codes.astype(np.int32)]
@@ -329,6 +336,12 @@ def _runs(sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return np.arange(own.sum()) + np.repeat(begin[chosen] - (np.cumsum(own) - own), own)
 
 
+def _strings(sizes: bytes, data: bytes) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(_sizes(sizes))]).astype(np.int32)
+    raw = pa.decompress(data, int(offsets[-1]), codec="zstd")
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), raw)
+
+
 def _small(sizes: np.ndarray) -> bytes:
     """Sizes as bytes; those of 255 and more after them, as longs."""
     large = sizes >= 255
