@@ -5,19 +5,21 @@ Symbols. Every word of the learning documents, the end of a text, and one unknow
 there, mixed with b, the add-half unigram probability; unknown words have only the latter. So the
 model is a proper distribution over texts of known words and one unknown word per class.
 
-Where they are. The most frequent words, up to ``HEAD``, and the end are in the broadcast model. The
-others' expected counts stay distributed: texts are encoded once in slices; each round, the counts
-of a slice's words go to the words' buckets, are added up per word, and come back as emissions to
-the slices of the next round (packed, as float32). The model has only their sum per class.
+Where they are. The most frequent words, up to ``HEAD``, and the end are in the broadcast model, which
+has only the sum of the others per class. The others' expected counts stay distributed. Texts are
+encoded once in slices, and each word has a fixed place in the bucket of its hash. A word that
+stands in one slice only keeps its expected counts there. For a word of several slices, each round
+sends its counts to its bucket as numbers by place; there they are added up, and come back to the
+slices of the next round. Counts travel as a sum (float32) and each state's part of it (float16), so
+they are rounded by up to one part in 2,000.
 
 Training. Word counts cover all learning documents. Baum-Welch starts with
-``start_rounds`` rounds, to find the states, each over one of up to ``start_rounds`` hash shares of the
-learning documents, in turn; a share has about ``sample`` documents at least, and all shares
-get their rounds. It ends with ``rounds`` rounds over all learning documents. For training, and only there, texts are cut
-into runs of ``RUN`` tokens.
+``start_rounds`` rounds, to find the states, each over another of as many hash shares of the
+learning documents, which together are all of them. It ends with ``rounds`` rounds over all learning
+documents. For training, and only there, texts are cut into runs of ``RUN`` tokens.
 
-Scoring. The scaled forward recursion runs along each whole text, with emissions and counts of the
-words outside the head brought to its slice in the same way.
+Scoring. The scaled forward recursion runs along each whole text, with expected counts and counts of the
+words outside the head brought to its slice from their buckets.
 
 Edge cases: a NULL or empty text is the end alone. Without learning documents all words are
 unknown and states stay at their start. Repeated rows are scored row by row. Extra columns are
@@ -27,6 +29,7 @@ ignored. Words tied in count are ordered by their text.
 from __future__ import annotations
 
 import gc
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +37,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,8 +154,8 @@ class Model:
     emissions: np.ndarray  # head, end and classes x states
     scale: np.ndarray | None = None  # a word outside the head has the emission count / scale + prior x b
     prior: np.ndarray | None = None
-    counts: DataFrame | None = None  # its expected counts: rows of kind _ADDED and _OWN
-    stored: DataFrame | None = None  # where the former are
+    counts: DataFrame | None = None  # expected counts: rows of kind _ADDED for buckets, _OWN for slices
+    words: DataFrame | None = None  # each bucket's words by place and their counts
 
 
 def symbols(texts: pa.Array, head: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -238,10 +242,12 @@ def _start(unigram: np.ndarray, states: int) -> Model:
     return Model(even, even, moves, emissions / scale, np.ones(states), 1 / scale)
 
 
-# Rows of the encoded texts: a slice's sequence, and per slice and bucket its words outside the head.
-_TEXTS, _ASKED = -1, 1
-# Rows a bucket gets besides: its words' counts, the words of slices with expected counts, and these.
-_COUNTS, _OWN, _ADDED = 0, 2, 3
+# Rows of the encoded texts: a slice's sequence (in bucket -1), and per slice and bucket its words outside the head.
+_TEXTS = -1
+# Kinds of rows that buckets get, in this order; what a slice keeps for itself; sums of a task's symbols.
+_WORDS, _ADDED, _ASKED, _OWN, _TOTAL = range(5)
+# Symbols whose sums are added up in one row.
+_CHUNK = 1024
 _PACKED = "share int, slice bigint, bucket int, ids array<{}>, words array<string>, offsets binary, seen binary, classes binary, buckets binary, sizes binary"
 
 
@@ -309,12 +315,19 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
     return staged(source.mapInArrow(run, _PACKED.format(kind)))
 
 
-_BUCKET_ROW = "bucket int, kind int, slice bigint, words array<string>, data binary"
+_BUCKET_ROW = "bucket int, kind int, slice bigint, words array<string>, n binary, places binary, parts binary, sums binary"
 
 
-def _asked(encoded: DataFrame, kind: int) -> DataFrame:
-    chosen = encoded.where(F.col("bucket") != _TEXTS)
-    return chosen.select("bucket", F.lit(kind).alias("kind"), "slice", "words", F.lit(None).cast("binary").alias("data"))
+def _bucket_rows(df: DataFrame, kind: int, **columns) -> DataFrame:
+    """The frame as rows of a kind that buckets get; columns it has not are NULL."""
+    have = {"kind": F.lit(kind), **columns}
+    names = [c.split(" ") for c in _BUCKET_ROW.split(", ")]
+    return df.select(*[have.get(n, F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in names])
+
+
+def _batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema)], names=[n for n, _ in schema])
 
 
 def _vocabulary(counts: Counts, tasks: int) -> DataFrame:
@@ -329,15 +342,11 @@ def _vocabulary(counts: Counts, tasks: int) -> DataFrame:
             ends = np.append(first, len(order))
             data = [n[a:b].tobytes() for a, b in zip(ends, ends[1:])]
             words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), batch.column(1).take(pa.array(order)))
-            size = len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int32()), pa.array([_COUNTS] * size, pa.int32()), pa.array([None] * size, pa.int64()), words, pa.array(data, pa.binary())],
-                names=["bucket", "kind", "slice", "words", "data"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), words, pa.array(data, pa.binary())], names=["bucket", "words", "n"])
 
     bucket = (F.crc32(F.col("word").cast("binary")) % tasks).cast("int")
     rows = counts.table.where(F.col("word") != END).select(bucket.alias("bucket"), "word", "n")
-    return staged(rows.repartition(tasks, "bucket").mapInArrow(pack, _BUCKET_ROW))
+    return rows.repartition(tasks, "bucket").mapInArrow(pack, "bucket int, words array<string>, n binary")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -346,140 +355,246 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
 
 
-def _replies(vocabulary: DataFrame, asked: DataFrame, counts: Counts, model: Model) -> DataFrame:
-    """(slice, bucket, data, n): emissions (float32, words x states) and counts of the words each slice asks for."""
-    tasks, k, total, whole = counts.tasks, len(model.start), counts.total, counts.unigram.sum()
-    scale, prior = model.scale, model.prior
+def _read(row: dict, name: str, kind) -> np.ndarray:
+    return np.frombuffer(row[name].as_py() or b"", kind)
+
+
+def _joined(rows: list[dict], name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(r[name].as_py() for r in rows), kind)
+
+
+_PLACED = [("share", pa.int32()), ("slice", pa.int64()), ("bucket", pa.int32()), ("words", pa.list_(pa.string())), ("n", pa.binary()), ("places", pa.binary()), ("shared", pa.binary()), ("wanted", pa.binary())]
+
+
+def _placed(encoded: DataFrame, counts: Counts) -> DataFrame:
+    """Places of words in their buckets, by the words' order.
+
+    A row per bucket (slice NULL) with its words and their counts; a row per slice and bucket with the
+    counts and places of the slice's words, whether other slices have them (``shared``), and the
+    places of those (``wanted``).
+    """
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in groupby(_rows(batches), key=lambda r: r["bucket"].as_py()):
             rows = list(rows)
-            lists = [r["words"].values if r["words"].is_valid else pa.array([], pa.string()) for r in rows]
+            lists = [r["words"].values for r in rows]
             codes, distinct = coded(pa.concat_arrays(lists))
+            order = pc.sort_indices(distinct)
+            place = np.empty(len(distinct), np.int64)
+            place[order.to_numpy()] = np.arange(len(distinct))
+            codes = place[codes]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-            n, c, own, added, wanted = np.zeros(len(distinct), np.int64), np.zeros((len(distinct), k)), {}, [], []
+            n, having, asked = np.zeros(len(distinct), "<i8"), np.zeros(len(distinct), np.int32), []
             for row, a, b in zip(rows, ends, ends[1:]):
-                kind, number = row["kind"].as_py(), row["slice"].as_py()
-                if kind == _COUNTS:
-                    n[codes[a:b]] = np.frombuffer(row["data"].as_py(), "<i8")
-                elif kind == _OWN:
-                    own[number] = codes[a:b]
-                elif kind == _ADDED:
-                    added.append((number, row["data"].as_py()))
+                if row["kind"].as_py() == _WORDS:
+                    n[codes[a:b]] = _read(row, "n", "<i8")
                 else:
-                    wanted.append((number, codes[a:b]))
-            for number, data in sorted(added):
-                c[own[number]] += np.frombuffer(data, np.float32).reshape(-1, k)  # words of a slice are distinct
-            emissions = (c / scale + prior * ((n + 0.5) / total / whole)[:, None]).astype(np.float32)
-            for number, at in wanted:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.array([bucket], pa.int32()), pa.array([emissions[at].tobytes()], pa.binary()), pa.array([n[at].tobytes()], pa.binary())],
-                    names=["slice", "bucket", "data", "n"],
-                )
-
-    rows = vocabulary.unionByName(asked)
-    if model.counts is not None:
-        rows = rows.unionByName(model.counts)
-    dealt = rows.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(settle, "slice bigint, bucket int, data binary, n binary")
+                    having[codes[a:b]] += 1  # words of a slice are distinct
+                    asked.append((row["share"].as_py(), row["slice"].as_py(), codes[a:b]))
+            yield _batch(_PLACED, [(None, None, bucket, distinct.take(order).to_pylist(), n.tobytes(), None, None, None)])
+            for share, number, at in asked:
+                at, shared = at.astype("<i4"), having[at] > 1
+                yield _batch(_PLACED, [(share, number, bucket, None, n[at].tobytes(), at.tobytes(), shared.tobytes(), at[shared].tobytes())])
+
+    asked = encoded.where(F.col("bucket") != _TEXTS).select("bucket", F.lit(_ASKED).alias("kind"), "share", "slice", "words")
+    words = _vocabulary(counts, counts.tasks).withColumn("kind", F.lit(_WORDS))
+    rows = words.unionByName(asked, allowMissingColumns=True)
+    dealt = rows.repartition(counts.tasks, "bucket").sortWithinPartitions("bucket", "kind", "slice")
+    return staged(dealt.mapInArrow(settle, "share int, slice bigint, bucket int, words array<string>, n binary, places binary, shared binary, wanted binary"))
 
 
 _SLICE_COLUMNS = ("ids", "offsets", "seen", "classes", "buckets", "sizes")
 
 
-def _with_replies(encoded: DataFrame, replies: DataFrame | None, tasks: int, columns=_SLICE_COLUMNS) -> DataFrame:
-    """Sequences and replies of each slice, together and in order of their buckets."""
-    texts = encoded.where(F.col("bucket") == _TEXTS).select("slice", "bucket", *columns)
-    if replies is None:
-        return texts
-    rows = texts.unionByName(replies, allowMissingColumns=True)
-    return rows.repartition(tasks, "slice").sortWithinPartitions("slice", "bucket")
+def _beside(texts: DataFrame, more: list[DataFrame], tasks: int) -> DataFrame:
+    """Sequences and other rows of each slice, together and in order of their buckets."""
+    for rows in more:
+        texts = texts.unionByName(rows, allowMissingColumns=True)
+    return texts.repartition(tasks, "slice").sortWithinPartitions("slice", "bucket")
 
 
-def _read(row: dict, name: str, kind) -> np.ndarray:
-    return np.frombuffer(row[name].as_py(), kind)
+def _prepared(encoded: DataFrame, placed: DataFrame, counts: Counts) -> DataFrame:
+    """A row per slice: its sequence, and the counts and places of its words outside the head; in a folder per share."""
+    added = ("n", "places", "shared")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
+            text, *more = rows
+            data = [pa.array([b"".join(r[name].as_py() for r in more)], pa.binary()) for name in added]
+            names = ["share", "slice", "bucket", *_SLICE_COLUMNS]
+            yield pa.RecordBatch.from_arrays([pa.array([text[c].as_py()], text[c].type) for c in names] + data, names=[*names, *added])
+
+    texts = encoded.where(F.col("bucket") == _TEXTS).select("share", "slice", "bucket", *_SLICE_COLUMNS)
+    own = placed.where("slice is not null").select("slice", "bucket", *added)
+    kind = encoded.schema["ids"].dataType.simpleString()
+    columns = f"share int, slice bigint, bucket int, ids {kind}, " + ", ".join(f"{c} binary" for c in [*_SLICE_COLUMNS[1:], *added])
+    return staged(_beside(texts, [own], counts.tasks).mapInArrow(join, columns), "share")
+
 
+_REPLY = [("slice", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), ("parts", pa.binary()), ("sums", pa.binary())]
 
-def _round(encoded: DataFrame, replies: DataFrame | None, counts: Counts, model: Model) -> Model:
-    """One round of Baum-Welch over slices: the model from the counts added up per symbol."""
+
+def _split(c: np.ndarray) -> tuple[bytes, bytes]:
+    """Expected counts (words x states) as each state's part of the sum, and the sum."""
+    sums = c.sum(axis=1)
+    return (c / np.maximum(sums, 1e-30)[:, None]).astype("<f2").tobytes(), sums.astype("<f4").tobytes()
+
+
+def _whole(parts: np.ndarray, sums: np.ndarray, k: int) -> np.ndarray:
+    return parts.reshape(-1, k).astype(float) * sums[:, None]
+
+
+def _replies(asked: DataFrame, words: DataFrame | None, model: Model, tasks: int) -> DataFrame:
+    """(slice, bucket, n, parts, sums): expected counts of the words each slice asks for, by place or as strings; counts with the latter."""
+    k, as_strings = len(model.start), words is not None
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in groupby(_rows(batches), key=lambda r: r["bucket"].as_py()):
+            rows, known, n = list(rows), None, None
+            added = [(_read(r, "places", "<i4"), r) for r in rows if r["kind"].as_py() == _ADDED]
+            size = 1 + max((int(at.max()) for at, _ in added if len(at)), default=-1)
+            for r in rows:
+                if r["kind"].as_py() == _WORDS:
+                    known, n = r["words"].values, _read(r, "n", "<i8")
+                    size = max(size, len(known))
+            c = np.zeros((size + 1, k))  # the last one is for words that no learning document has
+            for at, r in added:
+                c[at] += _whole(_read(r, "parts", "<f2"), _read(r, "sums", "<f4"), k)  # words of a slice are distinct
+            for r in rows:
+                if r["kind"].as_py() != _ASKED:
+                    continue
+                if not as_strings:
+                    at, count = _read(r, "places", "<i4"), None
+                    at = np.where(at < size, at, size)
+                else:
+                    at = np.full(len(r["words"].values), size)
+                    if known is not None:
+                        at = pc.fill_null(pc.index_in(r["words"].values, value_set=known), size).to_numpy()
+                    count = np.append(n if n is not None else [], np.zeros(size + 1 - (0 if n is None else len(n)))).astype("<i8")[at].tobytes()
+                yield _batch(_REPLY, [(r["slice"].as_py(), bucket, count, *_split(c[at]))])
+
+    rows = asked
+    if words is not None:
+        rows = rows.unionByName(_bucket_rows(words, _WORDS))
+    if model.counts is not None:
+        rows = rows.unionByName(_bucket_rows(model.counts.where(F.col("kind") == _ADDED), _ADDED))
+    dealt = rows.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind", "slice")
+    return dealt.mapInArrow(settle, "slice bigint, bucket int, n binary, parts binary, sums binary")
+
+
+_DONE = [("kind", pa.int32()), ("bucket", pa.int32()), ("slice", pa.int64()), ("places", pa.binary()), ("parts", pa.binary()), ("sums", pa.binary())]
+
+
+def _round(part: DataFrame, placed: DataFrame, counts: Counts, model: Model, tasks: int, after: str) -> Model:
+    """One round of Baum-Welch over prepared slices: the model from the counts added up per symbol.
+
+    ``after`` says who needs the expected counts outside the head: another "share", the "whole", or the
+    "score", for which all of them go to the buckets.
+    """
     k, unigram, head = len(model.start), counts.unigram, len(counts.head)
-    size = len(unigram)
-    sc = encoded.sparkSession.sparkContext
-    plain = sc.broadcast((model.start, model.middle, model.moves, model.emissions))
-    names, answered = [f"s{i}" for i in range(k)], replies is not None
+    size, whole, beyond = len(unigram), counts.total * unigram.sum(), counts.tasks  # no bucket has the last number
+    sc = part.sparkSession.sparkContext
+    plain = sc.broadcast((model.start, model.middle, model.moves, model.emissions[: head + 1], model.scale, model.prior))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, middle, moved, emissions = plain.value
+        start, middle, moved, emissions, scale, prior = plain.value
         total = np.zeros((size + k + 2, k))
         for number, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
-            row = next(rows)
-            offsets, seen, classes = _read(row, "offsets", np.int64), _read(row, "seen", np.int32), _read(row, "classes", np.uint8)
-            own = emissions[head + 1 + classes.astype(np.int64)]
-            if answered:
-                own = np.frombuffer(b"".join(r["data"].as_py() for r in rows), np.float32).reshape(-1, k)
-            emitted, moves, starts = expected(offsets, seen, Model(start, middle, moved, np.concatenate([emissions[: head + 1], own])))
-            per = np.column_stack([np.bincount(seen, emitted[:, s], minlength=head + 1 + len(classes)) for s in range(k)])
+            row, *more = rows
+            offsets, seen, classes = _read(row, "offsets", np.int64), _read(row, "seen", np.int32), _read(row, "classes", np.uint8).astype(np.int64)
+            n, places, shared = _read(row, "n", "<i8"), _read(row, "places", "<i4"), _read(row, "shared", bool)
+            c = np.zeros((len(n), k))
+            own = [r for r in more if r["bucket"].as_py() == beyond]
+            more = [r for r in more if r["bucket"].as_py() != beyond]
+            for kept, mask in ((own, ~shared), (more, shared)):
+                if kept:
+                    c[mask] = _whole(_joined(kept, "parts", "<f2"), _joined(kept, "sums", "<f4"), k)
+            rare = c / scale + prior * ((n + 0.5) / whole)[:, None]
+            emitted, moves, starts = expected(offsets, seen, Model(start, middle, moved, np.concatenate([emissions, rare])))
+            per = np.column_stack([np.bincount(seen, emitted[:, s], minlength=head + 1 + len(n)) for s in range(k)])
             total[: head + 1] += per[: head + 1]
             per = per[head + 1 :]
-            np.add.at(total, head + 1 + classes.astype(np.int64), per)
+            np.add.at(total, head + 1 + classes, per)
             total[size : size + k] += moves
             total[size + k] += starts
             total[size + k + 1] += emitted.sum(axis=0)
-            buckets, ends = _read(row, "buckets", np.int32), np.concatenate([[0], np.cumsum(_read(row, "sizes", np.int32))])
-            data = [per[a:b].astype(np.float32).tobytes() for a, b in zip(ends, ends[1:])]
-            n = len(buckets)
-            yield _added(pa.array(buckets), pa.array([number] * n, pa.int64()), pa.array(data, pa.binary()), pa.array([None] * n, pa.int32()), pa.nulls(n, pa.list_(pa.float64())))
-        at = np.flatnonzero(total.any(axis=1))
-        n = len(at)
-        yield _added(pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at].tolist(), pa.list_(pa.float64())))
-
-    columns = ("offsets", "seen", "classes", "buckets", "sizes")
-    rows = _with_replies(encoded, replies, counts.tasks, columns)
-    done = staged(rows.mapInArrow(run, "bucket int, slice bigint, data binary, symbol int, total array<double>"))
+            sent = np.ones(len(n), bool) if after == "score" else shared
+            ends = np.concatenate([[0], np.cumsum(_read(row, "sizes", np.int32))])
+            out = []
+            for bucket, a, b in zip(_read(row, "buckets", np.int32).tolist(), ends, ends[1:]):
+                at = a + np.flatnonzero(sent[a:b])
+                if len(at):
+                    out.append((_ADDED, bucket, number, places[at].tobytes(), *_split(per[at])))
+            if after == "whole":
+                out.append((_OWN, beyond, number, None, *_split(per[~shared])))
+            yield _batch(_DONE, out)
+        task = TaskContext.get().partitionId()
+        chunks = [(i, total[i : i + _CHUNK]) for i in range(0, len(total), _CHUNK)]
+        yield _batch(_DONE, [(_TOTAL, i, task, None, None, x.astype("<f4").tobytes()) for i, x in chunks if x.any()])
+
+    rows = part.select("slice", "bucket", "offsets", "seen", "classes", "buckets", "sizes", "n", "places", "shared")
+    if model.counts is not None:
+        wanted = placed.where("slice is not null").select("slice", "bucket", F.col("wanted").alias("places"))
+        replies = _replies(_bucket_rows(wanted, _ASKED), None, model, tasks).drop("n")
+        own = model.counts.where(F.col("kind") == _OWN).select("slice", "bucket", "parts", "sums")
+        rows = _beside(rows, [replies, own], tasks)
+    done = staged(rows.mapInArrow(run, "kind int, bucket int, slice bigint, places binary, parts binary, sums binary"))
     plain.destroy()
-    sums = [F.sum(F.col("total")[i]).alias(n) for i, n in enumerate(names)]
-    added = done.where("symbol is not null").groupBy("symbol").agg(*sums).toArrow()  # at most symbols + states rows
     total = np.zeros((size + k + 2, k))
-    if added.num_rows:
-        total[added["symbol"].to_numpy()] = np.column_stack([added[n].to_numpy() for n in names])
+    for r in _summed(done).collect():  # a row for each chunk of head, classes and states
+        x = np.frombuffer(r.sums, float).reshape(-1, k)
+        total[r.bucket : r.bucket + len(x)] = x
     mixed = _SHARE * total[:size].sum(axis=0) + _PRIOR
     emissions = total[:size] + mixed * (unigram / unigram.sum())[:, None]
     moves = total[size : size + k] + 0.1
     start, middle = total[size + k] + 0.1, total[size + k + 1] + 0.1
     scale = emissions.sum(axis=0)
-    per_word = done.where("symbol is null").select("bucket", F.lit(_ADDED).alias("kind"), "slice", F.lit(None).cast("array<string>").alias("words"), "data")
-    held = per_word.unionByName(_asked(encoded, _OWN))
-    return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / scale, scale, mixed / scale, held, done)
+    return Model(start / start.sum(), middle / middle.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / scale, scale, mixed / scale, done)
+
+
+def _summed(done: DataFrame) -> DataFrame:
+    """Each chunk's sums added up over the tasks, in order of the tasks."""
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, rows in groupby(_rows(batches), key=lambda r: r["bucket"].as_py()):
+            total = 0.0
+            for r in rows:
+                total = total + _read(r, "sums", "<f4").astype(float)
+            yield _batch([("bucket", pa.int32()), ("sums", pa.binary())], [(chunk, total.tobytes())])
 
-def _added(*columns: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns), names=["bucket", "slice", "data", "symbol", "total"])
+    rows = done.where(F.col("kind") == _TOTAL).select("bucket", "slice", "sums")
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "slice").mapInArrow(add, "bucket int, sums binary")
 
 
-def fit(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, sample: int = 3000, start_rounds: int = 10, rounds: int = 2) -> Model:
-    model = _start(counts.unigram, states)
-    head = docs.sparkSession.sparkContext.broadcast(counts.head)
-    n = max(1, int(counts.head_counts[-1]))
-    shares = max(1, min(start_rounds, n // sample))
+def fit(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, start_rounds: int = 10, rounds: int = 2) -> Model:
+    spark = docs.sparkSession
+    model, shares = _start(counts.unigram, states), max(1, start_rounds)
     share = F.pmod(F.xxhash64(F.col(id_col)), F.lit(shares)).cast("int")
-    encoded = _encoded(docs.select(F.col(id_col).alias("doc_id"), share.alias("share"), F.col(text_col).alias("text")), head, counts.tasks)
-    vocabulary = _vocabulary(counts, counts.tasks)
-    starts = [encoded.where(F.col("share") == i % shares) for i in range(start_rounds)]
-    for part in starts + [encoded] * rounds:
-        replies = _replies(vocabulary, _asked(part, _ASKED), counts, model) if model.counts is not None else None
-        last, model = model, _round(part, replies, counts, model)
-        if last.stored is not None:
-            _drop(last.stored)
-        del replies, last
+    source = docs.select(F.col(id_col).alias("doc_id"), share.alias("share"), F.col(text_col).alias("text"))
+    encoded = _encoded(source, spark.sparkContext.broadcast(counts.head), counts.tasks)
+    placed = _placed(encoded, counts)
+    prepared = _prepared(encoded, placed, counts)
+    _drop(encoded)
+    of_share = lambda df, i: df.where(F.col("share") == i)
+    plan = [(of_share(prepared, i), of_share(placed, i)) for i in range(start_rounds)] + [(prepared, placed)] * rounds
+    for i, (part, own) in enumerate(plan):
+        after = "score" if i + 1 == len(plan) else "share" if i + 1 < start_rounds else "whole"
+        tasks = max(16, counts.tasks // shares) if i < start_rounds else counts.tasks
+        last, model = model, _round(part, own, counts, model, tasks, after)
+        if last.counts is not None:
+            _drop(last.counts)
+        del last
         gc.collect()
-        docs.sparkSession._jvm.System.gc()  # Spark removes the shuffle files of frames that are gone
+        spark._jvm.System.gc()  # Spark removes the shuffle files of frames that are gone
+    _drop(prepared)
+    model.words = placed.where("slice is null").select("bucket", "words", "n")
     return model
 
 
 def _drop(df: DataFrame) -> None:
     """Delete the files of a staged frame that is not read again."""
     spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in {re.sub(r"(/share=[^/]*)?/[^/]*$", "", f) for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -490,17 +605,19 @@ def score(docs: DataFrame, counts: Counts, model: Model, id_col: str = "doc_id",
     kind = source.schema["doc_id"].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
     encoded = _encoded(source, sc.broadcast(counts.head), counts.tasks)
-    replies = _replies(_vocabulary(counts, counts.tasks), _asked(encoded, _ASKED), counts, model)
+    asked = _bucket_rows(encoded.where(F.col("bucket") != _TEXTS), _ASKED)
+    replies = _replies(asked, model.words, model, counts.tasks)
     k, head, total, end_known = len(model.start), len(counts.head), counts.total, bool(counts.head_counts[-1] > 0)
-    shared = sc.broadcast((np.log10(counts.unigram[: head + 1]), model.start, model.middle, model.moves, model.emissions[: head + 1]))
+    shared = sc.broadcast((np.log10(counts.unigram[: head + 1]), model.start, model.middle, model.moves, model.emissions[: head + 1], model.scale, model.prior))
+    whole_mass = total * counts.unigram.sum()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, start, middle, moves, emissions = shared.value
+        logs, start, middle, moves, emissions, scale, prior = shared.value
         for _, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
             row, *more = rows
             offsets, seen = _read(row, "offsets", np.int64), _read(row, "seen", np.int32)
-            own = np.frombuffer(b"".join(r["data"].as_py() for r in more), np.float32).reshape(-1, k)
-            n = np.frombuffer(b"".join(r["n"].as_py() for r in more), np.int64)
+            n = _joined(more, "n", "<i8")
+            own = _whole(_joined(more, "parts", "<f2"), _joined(more, "sums", "<f4"), k) / scale + prior * ((n + 0.5) / whole_mass)[:, None]
             whole = likelihood(offsets, seen, Model(start, middle, moves, np.concatenate([emissions, own]))) / np.log(10)
             known = np.concatenate([np.full(head, True), [end_known], n > 0])
             base = np.concatenate([logs, np.log10((n + 0.5) / total)])
@@ -516,5 +633,6 @@ def score(docs: DataFrame, counts: Counts, model: Model, id_col: str = "doc_id",
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    rows = _with_replies(encoded, replies, counts.tasks, ("ids", "offsets", "seen"))
+    texts = encoded.where(F.col("bucket") == _TEXTS).select("slice", "bucket", "ids", "offsets", "seen")
+    rows = _beside(texts, [replies], counts.tasks)
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
