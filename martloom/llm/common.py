@@ -40,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, by: str | None = None, **options: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder, in a folder per value of ``by``, and read it back.
 
     Cuts the lineage like a checkpoint, but compressed and with column
@@ -48,7 +48,7 @@ def staged(df: DataFrame, by: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
+    (df.write if by is None else df.write.partitionBy(by)).options(**options).parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)

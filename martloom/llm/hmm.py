@@ -10,8 +10,8 @@ has only the sum of the others per class. The others' expected counts stay distr
 encoded once in slices, and each word has a fixed place in the bucket of its hash. A word that
 stands in one slice only keeps its expected counts there. For a word of several slices, each round
 sends its counts to its bucket as numbers by place; there they are added up, and come back to the
-slices of the next round. Counts travel as a sum (float32) and each state's part of it (float16), so
-they are rounded by up to one part in 2,000.
+slices of the next round. A word's counts travel as their sum (float32) and each state's part of it in
+255ths, scaled back to the sum on arrival.
 
 Training. Word counts cover all learning documents. Baum-Welch starts with
 ``start_rounds`` rounds, to find the states, each over another of as many hash shares of the
@@ -199,18 +199,19 @@ def expected(offsets: np.ndarray, seen: np.ndarray, model: Model) -> tuple[np.nd
         scale = alpha.sum(axis=1, keepdims=True)
         alphas.append(alpha / scale)
         scales.append(scale)
-    emitted, moves = np.zeros((len(seen), k)), np.zeros((k, k))
-    beta = np.ones((0, k))
+    kind = model.emissions.dtype
+    emitted, moves = np.zeros((len(seen), k), kind), np.zeros((k, k))
+    beta = np.ones((0, k), kind)
     for t in range(longest - 1, -1, -1):
         m, after = live[t], len(beta)
-        grown = np.ones((m, k))
+        grown = np.ones((m, k), kind)
         if after:
             ahead = model.emissions[seen[begin[:after] + t + 1]] * beta / scales[t + 1]
             moves += alphas[t][:after].T @ ahead
             grown[:after] = ahead @ model.moves.T
         beta = grown
         emitted[begin[:m] + t] = alphas[t] * beta
-    return emitted, moves * model.moves, emitted[begin[first]].sum(axis=0) if len(begin) else np.zeros(k)
+    return emitted, moves * model.moves, emitted[begin[first]].sum(axis=0, dtype=float) if len(begin) else np.zeros(k)
 
 
 def likelihood(offsets: np.ndarray, seen: np.ndarray, model: Model) -> np.ndarray:
@@ -251,6 +252,17 @@ _CHUNK = 1024
 _PACKED = "share int, slice bigint, bucket int, ids array<{}>, words array<string>, offsets binary, seen binary, classes binary, buckets binary, sizes binary"
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Small numbers compressed, all their lowest bytes first."""
+    planes = np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd", compression_level=1).compress(planes.tobytes(), asbytes=True)
+
+
+def _loosened(data: bytes, size: int) -> np.ndarray:
+    raw = pa.Codec("zstd").decompress(data, 4 * size, asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def _bucket_of(names: list[str], tasks: int) -> np.ndarray:
     return np.array([zlib.crc32(w.encode()) % tasks for w in names], np.int64)
 
@@ -283,6 +295,7 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
         offsets, seen, places, distinct = symbols(part.column(2), head.value)
         rare = np.flatnonzero(seen > len(head.value))
         used, local = np.unique(places[rare], return_inverse=True)
+        seen_classes = seen[rare] - len(head.value) - 1
         words = distinct.take(pa.array(used)).cast(pa.string())
         names = words.to_pylist()
         bucket = _bucket_of(names, tasks)
@@ -290,7 +303,9 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         seen[rare] = len(head.value) + 1 + back[local]
-        classes = np.array([class_of(w) for w in names], np.uint8)[order]
+        classes = np.empty(len(used), np.uint8)
+        classes[local] = seen_classes
+        classes = classes[order]
         buckets, first, sizes = np.unique(bucket[order], return_index=True, return_counts=True)
         n = len(buckets)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], first, [len(order)]]).astype(np.int32)), words.take(pa.array(order)))
@@ -303,7 +318,7 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
                 pa.array([part.column(0).to_pylist()] + [None] * n, pa.list_(part.column(0).type)),
                 lists,
                 one(offsets, np.int64),
-                one(seen, np.int32),
+                pa.array([_squeezed(seen)] + [None] * n, pa.binary()),
                 one(classes, np.uint8),
                 one(buckets, np.int32),
                 one(sizes, np.int32),
@@ -312,7 +327,7 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
         )
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return staged(source.mapInArrow(run, _PACKED.format(kind)))
+    return staged(source.mapInArrow(run, _PACKED.format(kind)), compression="zstd")
 
 
 _BUCKET_ROW = "bucket int, kind int, slice bigint, words array<string>, n binary, places binary, parts binary, sums binary"
@@ -400,7 +415,7 @@ def _placed(encoded: DataFrame, counts: Counts) -> DataFrame:
     words = _vocabulary(counts, counts.tasks).withColumn("kind", F.lit(_WORDS))
     rows = words.unionByName(asked, allowMissingColumns=True)
     dealt = rows.repartition(counts.tasks, "bucket").sortWithinPartitions("bucket", "kind", "slice")
-    return staged(dealt.mapInArrow(settle, "share int, slice bigint, bucket int, words array<string>, n binary, places binary, shared binary, wanted binary"))
+    return staged(dealt.mapInArrow(settle, "share int, slice bigint, bucket int, words array<string>, n binary, places binary, shared binary, wanted binary"), compression="zstd")
 
 
 _SLICE_COLUMNS = ("ids", "offsets", "seen", "classes", "buckets", "sizes")
@@ -428,7 +443,7 @@ def _prepared(encoded: DataFrame, placed: DataFrame, counts: Counts) -> DataFram
     own = placed.where("slice is not null").select("slice", "bucket", *added)
     kind = encoded.schema["ids"].dataType.simpleString()
     columns = f"share int, slice bigint, bucket int, ids {kind}, " + ", ".join(f"{c} binary" for c in [*_SLICE_COLUMNS[1:], *added])
-    return staged(_beside(texts, [own], counts.tasks).mapInArrow(join, columns), "share")
+    return staged(_beside(texts, [own], counts.tasks).mapInArrow(join, columns), "share", compression="zstd")
 
 
 _REPLY = [("slice", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), ("parts", pa.binary()), ("sums", pa.binary())]
@@ -437,11 +452,12 @@ _REPLY = [("slice", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), ("p
 def _split(c: np.ndarray) -> tuple[bytes, bytes]:
     """Expected counts (words x states) as each state's part of the sum, and the sum."""
     sums = c.sum(axis=1)
-    return (c / np.maximum(sums, 1e-30)[:, None]).astype("<f2").tobytes(), sums.astype("<f4").tobytes()
+    return np.rint(c * (255 / np.maximum(sums, 1e-30))[:, None]).astype(np.uint8).tobytes(), sums.astype("<f4").tobytes()
 
 
 def _whole(parts: np.ndarray, sums: np.ndarray, k: int) -> np.ndarray:
-    return parts.reshape(-1, k).astype(float) * sums[:, None]
+    c = parts.reshape(-1, k).astype(float)
+    return c * (sums / np.maximum(c.sum(axis=1), 1))[:, None]
 
 
 def _replies(asked: DataFrame, words: DataFrame | None, model: Model, tasks: int) -> DataFrame:
@@ -459,7 +475,7 @@ def _replies(asked: DataFrame, words: DataFrame | None, model: Model, tasks: int
                     size = max(size, len(known))
             c = np.zeros((size + 1, k))  # the last one is for words that no learning document has
             for at, r in added:
-                c[at] += _whole(_read(r, "parts", "<f2"), _read(r, "sums", "<f4"), k)  # words of a slice are distinct
+                c[at] += _whole(_read(r, "parts", np.uint8), _read(r, "sums", "<f4"), k)  # words of a slice are distinct
             for r in rows:
                 if r["kind"].as_py() != _ASKED:
                     continue
@@ -485,7 +501,7 @@ def _replies(asked: DataFrame, words: DataFrame | None, model: Model, tasks: int
 _DONE = [("kind", pa.int32()), ("bucket", pa.int32()), ("slice", pa.int64()), ("places", pa.binary()), ("parts", pa.binary()), ("sums", pa.binary())]
 
 
-def _round(part: DataFrame, placed: DataFrame, counts: Counts, model: Model, tasks: int, after: str) -> Model:
+def _round(part: DataFrame, wanted: DataFrame, counts: Counts, model: Model, tasks: int, after: str) -> Model:
     """One round of Baum-Welch over prepared slices: the model from the counts added up per symbol.
 
     ``after`` says who needs the expected counts outside the head: another "share", the "whole", or the
@@ -498,26 +514,28 @@ def _round(part: DataFrame, placed: DataFrame, counts: Counts, model: Model, tas
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, middle, moved, emissions, scale, prior = plain.value
+        small = [x.astype(np.float32) for x in (start, middle, moved)]
         total = np.zeros((size + k + 2, k))
         for number, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
             row, *more = rows
-            offsets, seen, classes = _read(row, "offsets", np.int64), _read(row, "seen", np.int32), _read(row, "classes", np.uint8).astype(np.int64)
+            offsets, classes = _read(row, "offsets", np.int64), _read(row, "classes", np.uint8).astype(np.int64)
+            seen = _loosened(row["seen"].as_py(), int(offsets[-1]))
             n, places, shared = _read(row, "n", "<i8"), _read(row, "places", "<i4"), _read(row, "shared", bool)
             c = np.zeros((len(n), k))
             own = [r for r in more if r["bucket"].as_py() == beyond]
             more = [r for r in more if r["bucket"].as_py() != beyond]
             for kept, mask in ((own, ~shared), (more, shared)):
                 if kept:
-                    c[mask] = _whole(_joined(kept, "parts", "<f2"), _joined(kept, "sums", "<f4"), k)
+                    c[mask] = _whole(_joined(kept, "parts", np.uint8), _joined(kept, "sums", "<f4"), k)
             rare = c / scale + prior * ((n + 0.5) / whole)[:, None]
-            emitted, moves, starts = expected(offsets, seen, Model(start, middle, moved, np.concatenate([emissions, rare])))
+            emitted, moves, starts = expected(offsets, seen, Model(*small, np.concatenate([emissions.astype(np.float32), rare.astype(np.float32)])))
             per = np.column_stack([np.bincount(seen, emitted[:, s], minlength=head + 1 + len(n)) for s in range(k)])
             total[: head + 1] += per[: head + 1]
             per = per[head + 1 :]
             np.add.at(total, head + 1 + classes, per)
             total[size : size + k] += moves
             total[size + k] += starts
-            total[size + k + 1] += emitted.sum(axis=0)
+            total[size + k + 1] += emitted.sum(axis=0, dtype=float)
             sent = np.ones(len(n), bool) if after == "score" else shared
             ends = np.concatenate([[0], np.cumsum(_read(row, "sizes", np.int32))])
             out = []
@@ -534,11 +552,10 @@ def _round(part: DataFrame, placed: DataFrame, counts: Counts, model: Model, tas
 
     rows = part.select("slice", "bucket", "offsets", "seen", "classes", "buckets", "sizes", "n", "places", "shared")
     if model.counts is not None:
-        wanted = placed.where("slice is not null").select("slice", "bucket", F.col("wanted").alias("places"))
         replies = _replies(_bucket_rows(wanted, _ASKED), None, model, tasks).drop("n")
         own = model.counts.where(F.col("kind") == _OWN).select("slice", "bucket", "parts", "sums")
         rows = _beside(rows, [replies, own], tasks)
-    done = staged(rows.mapInArrow(run, "kind int, bucket int, slice bigint, places binary, parts binary, sums binary"))
+    done = staged(rows.mapInArrow(run, "kind int, bucket int, slice bigint, places binary, parts binary, sums binary"), compression="zstd")
     plain.destroy()
     total = np.zeros((size + k + 2, k))
     for r in _summed(done).collect():  # a row for each chunk of head, classes and states
@@ -575,19 +592,23 @@ def fit(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str =
     placed = _placed(encoded, counts)
     prepared = _prepared(encoded, placed, counts)
     _drop(encoded)
+    wanted = staged(placed.where("slice is not null").select("share", "slice", "bucket", F.col("wanted").alias("places")), "share", compression="zstd")
+    words = staged(placed.where("slice is null").select("bucket", "words", "n"), compression="zstd")
+    _drop(placed)
     of_share = lambda df, i: df.where(F.col("share") == i)
-    plan = [(of_share(prepared, i), of_share(placed, i)) for i in range(start_rounds)] + [(prepared, placed)] * rounds
-    for i, (part, own) in enumerate(plan):
+    plan = [(of_share(prepared, i), of_share(wanted, i)) for i in range(start_rounds)] + [(prepared, wanted)] * rounds
+    for i, (part, asked) in enumerate(plan):
         after = "score" if i + 1 == len(plan) else "share" if i + 1 < start_rounds else "whole"
         tasks = max(16, counts.tasks // shares) if i < start_rounds else counts.tasks
-        last, model = model, _round(part, own, counts, model, tasks, after)
+        last, model = model, _round(part, asked, counts, model, tasks, after)
         if last.counts is not None:
             _drop(last.counts)
         del last
         gc.collect()
         spark._jvm.System.gc()  # Spark removes the shuffle files of frames that are gone
     _drop(prepared)
-    model.words = placed.where("slice is null").select("bucket", "words", "n")
+    _drop(wanted)
+    model.words = words
     return model
 
 
@@ -615,9 +636,10 @@ def score(docs: DataFrame, counts: Counts, model: Model, id_col: str = "doc_id",
         logs, start, middle, moves, emissions, scale, prior = shared.value
         for _, rows in groupby(_rows(batches), key=lambda r: r["slice"].as_py()):
             row, *more = rows
-            offsets, seen = _read(row, "offsets", np.int64), _read(row, "seen", np.int32)
+            offsets = _read(row, "offsets", np.int64)
+            seen = _loosened(row["seen"].as_py(), int(offsets[-1]))
             n = _joined(more, "n", "<i8")
-            own = _whole(_joined(more, "parts", "<f2"), _joined(more, "sums", "<f4"), k) / scale + prior * ((n + 0.5) / whole_mass)[:, None]
+            own = _whole(_joined(more, "parts", np.uint8), _joined(more, "sums", "<f4"), k) / scale + prior * ((n + 0.5) / whole_mass)[:, None]
             whole = likelihood(offsets, seen, Model(start, middle, moves, np.concatenate([emissions, own]))) / np.log(10)
             known = np.concatenate([np.full(head, True), [end_known], n > 0])
             base = np.concatenate([logs, np.log10((n + 0.5) / total)])
