@@ -1,16 +1,18 @@
 """Byte-level BPE: higher-order functions fold ranked merges over the bytes of distinct words.
 
 1. Documents are split into the matches of the tokenizer's pattern, in blocks of about ``BLOCK_BYTES`` of text (or one
-   longer text). A match that is a piece itself has that piece's id; a block's other distinct words are sent to
-   the buckets of their hashes.
+   longer text). Where the pattern is known to begin a match at single spaces (``SPACED``), texts are cut there first and
+   each distinct chunk of a block is split once. A match that is a piece itself has that piece's id; a block's other distinct
+   words are sent to the buckets of their hashes.
 2. A bucket has each of its words once for the whole corpus. Spark's ``aggregate`` folds it: the adjacent pair of lowest
    rank is merged until no pair is in the rank map, which is a literal in the plan (two hash positions per pair, so a
    look-up is two array reads). Words of ``LONG`` bytes and more are folded as strings of one character a token, in which all
    places of the pair of lowest rank are replaced at once.
-3. The ids go back to the blocks that asked, packed, and meet the block's matches, as numbers of its words. For these the texts
+3. The ids go back to the blocks that asked, packed, and meet the block's chunks, as numbers of its words. For these the texts
    are split a second time, which costs less than storing all numbers.
 
-Decoding looks every id up in a literal array of pieces and concatenates them. The rank map has the size of the vocabulary file.
+Decoding looks every id up in the array of pieces and concatenates them: ``encode`` does so on request, ``decoded`` for a column
+of ids. The rank map has the size of the vocabulary file.
 
 ``docs`` is read twice and must give its rows in the same order each time, as a stored table does; a block whose words
 differ the second time is an error.
@@ -26,21 +28,29 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from martloom.llm.common import coded, slices, text_bytes
+from martloom.llm.common import coded, rows_of, slices, text_bytes
 
 BLOCK_BYTES = 8 << 20
-# Texts above are split match by match, without a list of all matches.
+# Texts above are split part by part, or match by match, without a list of all matches.
 LONG_TEXT = 1 << 20
+# Its white space begins a match of its own or is the first character of one, so a match begins at every space between two
+# characters that are no white space, and matches beside it are the same without the other side.
+SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Letters of which all versions of Unicode and all libraries agree that they are letters.
+_LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u0391-\u03a1\u03a3-\u03f5\u0400-\u0481\u048a-\u052f\u05d0-\u05ea\u0620-\u064a\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+$"
+# Chunks whose ids are made at once, and more if one document has them.
+CHUNKS = 250_000
 # Text for each bucket of words and each task.
 TASK_BYTES = 4 << 20
 LONG = 256
@@ -105,26 +115,24 @@ def merged(tokens: Column, keys: Column, values: Column) -> Column:
 
     def step(state: Column, _: Column) -> Column:
         ids, next_ranks = state["ids"], state["ranks"]
-        best = F.array_min(next_ranks)
 
         def at(p: Column) -> Column:
-            new_ids = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(best), F.slice(ids, p + 2, F.size(ids)))
-            right = rank(best, F.get(ids, p + 1))
-            new_ranks = F.when(p == 1, F.concat(F.array(right), F.slice(next_ranks, F.lit(3), F.size(ids)))).otherwise(
-                F.concat(
-                    F.slice(next_ranks, F.lit(1), p - 2),
-                    F.array(rank(F.get(ids, p - 2), best), right),
-                    F.slice(next_ranks, p + 2, F.size(ids)),
+            def join(best: Column) -> Column:
+                left, right = rank(F.get(ids, p - 2), best), rank(best, F.get(ids, p + 1))
+                # the left place of the pair is p - 1, from 0; taking out and replacing costs less than joining slices
+                new_ids = F.transform(F.filter(ids, lambda _, i: i != p), lambda x, i: F.when(i == p - 1, best).otherwise(x))
+                new_ranks = F.transform(
+                    F.filter(next_ranks, lambda _, i: i != p), lambda x, i: F.when(i == p - 1, right).when(i == p - 2, left).otherwise(x)
                 )
-            )
-            return F.struct(new_ids.alias("ids"), new_ranks.alias("ranks"))
+                return F.struct(new_ids.alias("ids"), new_ranks.alias("ranks"))
 
-        return F.when(best.isNull(), state).otherwise(_bound(F.array_position(next_ranks, best).cast("int"), at))
+            return F.when(p.isNull(), state).otherwise(_bound(F.get(next_ranks, p - 1), join))
+
+        return _bound(F.array_position(next_ranks, F.array_min(next_ranks)).cast("int"), at)
 
     ranks = F.transform(tokens, lambda a, i: rank(a, F.get(tokens, i + 1)))
     start = F.struct(tokens.alias("ids"), ranks.alias("ranks"))
-    folded = F.aggregate(tokens, start, step, lambda state: state["ids"])
-    return F.when(F.size(tokens) < 2, tokens).otherwise(folded)
+    return F.aggregate(F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(0))), start, step, lambda state: state["ids"])
 
 
 def merged_long(tokens: Column, keys: Column, values: Column) -> Column:
@@ -163,9 +171,15 @@ _BLOCK = "block bigint, bucket int, doc_ids array<{}>, ends binary, sizes binary
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    decode: bool = False,
 ) -> DataFrame:
-    """doc_id and ids, the token ids of its text."""
+    """doc_id and ids, the token ids of its text; with ``decode`` also the bytes that the ids decode to."""
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
     keys, values = pair_table(ranks)
@@ -173,49 +187,47 @@ def encode(
     kind = source.schema["doc_id"].dataType.simpleString()
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     tasks = max(8, size // TASK_BYTES)
-    shared = spark.sparkContext.broadcast(ranks)  # bounded: the vocabulary file
+    table = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        table[rank] = piece
+    shared = spark.sparkContext.broadcast(pa.array(table, pa.large_binary()))  # bounded: the vocabulary file
+    width = np.uint32 if len(table) > 65_536 else np.uint16
     byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
-    def blocks(batches: Iterator[pa.RecordBatch], numbered: bool = True):
-        """(block number, doc ids, numbers of each document's matches, if wanted, and distinct matches with theirs)."""
-        split = regex.compile(pattern)
-        number = TaskContext.get().partitionId() << 32
-        doc_ids, places, codes, held = [], _Places(), [], 0
+    def blocks(batches: Iterator[pa.RecordBatch]):
+        """(block number, doc ids, chunks of its texts)."""
+        number, doc_ids, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
         for part in (p for batch in batches for p in slices(batch, "text", 1 << 20)):
-            sizes = np.diff(text_bytes(part.column(1))[1]).tolist()
-            names = part.column(0).take(pa.array(range(part.num_rows)))  # a copy that does not hold the batch's texts
-            for i, size in enumerate(sizes):
-                if doc_ids and held + size > block_bytes:
-                    yield number, doc_ids, codes, places
-                    number, doc_ids, places, codes, held = number + 1, [], _Places(), [], 0
-                    pa.default_memory_pool().release_unused()
-                text = part.column(1)[i].as_py() or ""
-                found = split.findall(text) if size <= LONG_TEXT else (m.group() for m in split.finditer(text))
-                if numbered:
-                    codes.append(np.fromiter(map(places.__getitem__, found), np.int32))
-                else:
-                    places.update(dict.fromkeys(found))
-                doc_ids.append(names.slice(i, 1))
-                held += size
+            size = int(text_bytes(part.column(1))[1][-1])
+            if doc_ids and held + size > block_bytes:
+                yield number, pa.concat_arrays(doc_ids), _Chunks(pattern, texts)
+                number, doc_ids, texts, held = number + 1, [], [], 0
+                pa.default_memory_pool().release_unused()
+            doc_ids.append(part.column(0))
+            texts.append(part.column(1))
+            held += size
         if doc_ids:
-            yield number, doc_ids, codes, places
-
-    def unknown(places: dict[str, int]) -> tuple[np.ndarray, list[str], np.ndarray]:
-        """Buckets, words and places of the words that are no pieces, by bucket."""
-        words = sorted(w for w in places if w.encode() not in shared.value)
-        bucket = np.fromiter((zlib.crc32(w.encode()) % tasks for w in words), np.int32, len(words))
+            yield number, pa.concat_arrays(doc_ids), _Chunks(pattern, texts)
+
+    def unknown(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Ids of all words (-1 if they are no pieces), and buckets, words and places of those, by bucket."""
+        own = pc.fill_null(pc.index_in(words.cast(pa.large_binary()), value_set=shared.value), -1).to_numpy()
+        at = np.flatnonzero(own < 0)
+        rest = words.take(pa.array(at)).cast(pa.large_binary())
+        order = pc.array_sort_indices(rest).to_numpy()
+        at, raw = at[order], rest.take(pa.array(order)).to_numpy(zero_copy_only=False)
+        bucket = np.fromiter((zlib.crc32(w) % tasks for w in raw), np.int32, len(raw))
         order = np.argsort(bucket, kind="stable")
-        at = np.fromiter((places[w] for w in words), np.int32, len(words))
-        return bucket[order], [words[i] for i in order], at[order]
+        return own, bucket[order], [raw[i] for i in order], at[order]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, _, places in blocks(batches, False):
-            bucket, words, _ = unknown(dict.fromkeys(places, 0))
+        for number, _, chunks in blocks(batches):
+            _, bucket, raw, _ = unknown(chunks.words()[1])
             ids, first = np.unique(bucket, return_index=True)
-            ends = np.append(first, len(words)).tolist()
-            raw = [[w.encode() for w in words[a:b]] for a, b in zip(ends, ends[1:])]
-            sizes = [_small(np.array([len(w) for w in own], np.int64)) for own in raw]
-            data = [pa.compress(b"".join(own), codec="zstd", asbytes=True) for own in raw]
+            ends = np.append(first, len(raw)).tolist()
+            runs = [raw[a:b] for a, b in zip(ends, ends[1:])]
+            sizes = [_small(np.array([len(w) for w in own], np.int64)) for own in runs]
+            data = [pa.compress(b"".join(own), codec="zstd", asbytes=True) for own in runs]
             columns = [pa.array(ids, pa.int32()), pa.array([number] * len(ids), pa.int64()), pa.array(sizes, pa.binary()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "sizes", "words"])
 
@@ -241,23 +253,23 @@ def encode(
                 sizes, flat = _lists(batch.column(4)[row].values)
                 for number, a, b in zip(numbers.tolist(), np.append(0, ends[:-1]), ends):
                     own = codes[a:b]
-                    data = flat[_runs(sizes, own)].astype(np.uint32 if len(shared.value) > 65_536 else np.uint16)
+                    data = flat[_runs(sizes, own)].astype(width)
                     yield _block_row(number, bucket, None, kind_of_id, b"", _small(sizes[own]), data.tobytes())
 
     kind_of_id = _arrow_type(source)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row (bucket -2) of a block's documents, ids of pieces and places of other words, and one (-1) of its matches."""
-        for number, doc_ids, codes, places in blocks(batches):
-            ends = np.cumsum([len(c) for c in codes]).astype(np.int64)
-            numbers = np.concatenate(codes).astype(np.uint32)
+        """A row (bucket -2) of a block's documents, ids of pieces and places of other words, and one (-1) of its chunks."""
+        for number, doc_ids, chunks in blocks(batches):
+            sizes, words, places = chunks.words()
+            own, _, _, at = unknown(words)
+            yield _block_row(number, -2, doc_ids, kind_of_id, chunks.ends().tobytes(), own.astype(np.int32).tobytes(), at.astype(np.int32).tobytes())
+            # places grow by one from word to word where words are new
+            rise = np.diff(places, prepend=-1).astype(np.int32).tobytes()
+            spans = [np.array([len(sizes), len(places)], np.int64).tobytes(), pa.compress(sizes.astype(np.int32).tobytes() + rise, codec="zstd", asbytes=True)]
+            numbers = chunks.codes().astype(np.uint32)
             low, high = (numbers & 0xFFFF).astype(np.uint16).tobytes(), (numbers >> 16).astype(np.uint16).tobytes()
-            _, _, at = unknown(places)
-            own = np.full(len(places), -1, np.int32)
-            for word, i in places.items():
-                own[i] = shared.value.get(word.encode(), -1)
-            yield _block_row(number, -2, pa.concat_arrays(doc_ids), kind_of_id, ends.tobytes(), own.tobytes(), at.tobytes())
-            yield _block_row(number, -1, None, kind_of_id, len(numbers).to_bytes(8, "little"), b"", pa.compress(low + high, codec="zstd", asbytes=True))
+            yield _block_row(number, -1, None, kind_of_id, len(numbers).to_bytes(8, "little"), b"".join(spans), pa.compress(low + high, codec="zstd", asbytes=True))
 
     def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ({n: b.column(j)[i] for j, n in enumerate(b.schema.names)} for b in batches for i in range(b.num_rows))
@@ -265,13 +277,9 @@ def encode(
             names = head["doc_ids"].values
             ends = np.frombuffer(head["ends"].as_py(), np.int64)
             own, at = np.frombuffer(head["sizes"].as_py(), np.int32), np.frombuffer(head["data"].as_py(), np.int32)
-            n = int.from_bytes(body["ends"].as_py(), "little")
-            raw = pa.decompress(body["data"].as_py(), 4 * n, codec="zstd", asbytes=True)
-            codes = np.frombuffer(raw[: 2 * n], np.uint16).astype(np.int64) | (np.frombuffer(raw[2 * n :], np.uint16).astype(np.int64) << 16)
             told = np.concatenate([np.zeros(0, np.int64), *[_sizes(r["sizes"].as_py()) for r in replies]])
             if len(told) != len(at):
                 raise ValueError("the documents were not read in the same order twice; store them before they are encoded")
-            width = np.uint32 if len(shared.value) > 65_536 else np.uint16
             flat = np.concatenate([np.zeros(0, width), *[np.frombuffer(r["data"].as_py(), width) for r in replies]]).astype(np.int32)
             # the ids of all distinct words: pieces first, then the others in the order of the replies
             sizes, begin = np.ones(len(own), np.int64), np.zeros(len(own), np.int64)
@@ -279,16 +287,29 @@ def encode(
             begin[whole] = np.arange(len(whole))
             sizes[at], begin[at] = told, len(whole) + np.cumsum(told) - told
             pool = np.concatenate([own[whole], flat])
+            # the ids of all distinct chunks
+            n, m = np.frombuffer(body["sizes"].as_py()[:16], np.int64).tolist()
+            spans = np.frombuffer(pa.decompress(body["sizes"].as_py()[16:], 4 * (n + m), codec="zstd", asbytes=True), np.int32)
+            words = np.cumsum(spans[n:], dtype=np.int64) - 1
+            pool = pool[_runs(sizes, words, begin)]
+            done = np.concatenate([[0], np.cumsum(sizes[words])])[np.concatenate([[0], np.cumsum(spans[:n])])]
+            begin, sizes = done[:-1], np.diff(done)
+            n = int.from_bytes(body["ends"].as_py(), "little")
+            raw = pa.decompress(body["data"].as_py(), 4 * n, codec="zstd", asbytes=True)
+            low, high = np.frombuffer(raw, np.uint16, n), np.frombuffer(raw, np.uint16, n, 2 * n)
             start = 0
-            while start < len(ends):  # as many documents as have about a million words
-                base = ends[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(ends, base + 1_000_000, side="right")))
-                mine = codes[base : ends[end - 1]]
-                done = np.concatenate([[0], np.cumsum(sizes[mine])])
-                places = np.arange(done[-1]) - np.repeat(done[:-1] - begin[mine], sizes[mine])
-                offsets = done[np.concatenate([[base], ends[start:end]]) - base]
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(pool[places]))
-                yield pa.RecordBatch.from_arrays([names.slice(start, end - start), lists], names=["doc_id", "ids"])
+            while start < len(ends):  # as many documents as have about ``CHUNKS`` chunks
+                base = int(ends[start - 1]) if start else 0
+                end = max(start + 1, int(np.searchsorted(ends, base + CHUNKS, side="right")))
+                to = int(ends[end - 1])
+                mine = low[base:to].astype(np.int64) | (high[base:to].astype(np.int64) << 16)
+                ids = pool[_runs(sizes, mine, begin)]
+                offsets = np.concatenate([[0], np.cumsum(sizes[mine])])[np.concatenate([[base], ends[start:end]]) - base]
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                columns = {"doc_id": names.slice(start, end - start), "ids": lists}
+                if decode:
+                    columns["decoded"] = _joined(shared.value.take(pa.array(ids)), offsets)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
                 start = end
 
     asked = source.mapInArrow(ask, _ASK).repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
@@ -303,7 +324,7 @@ def encode(
     ids = named.select("bucket", "blocks", "ends", "codes", _bound(literals, folded).alias("ids"))
     schema = _BLOCK.format(kind)
     met = source.mapInArrow(texts, schema).union(ids.mapInArrow(reply, schema))
-    return met.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(in_order, f"doc_id {kind}, ids array<int>")
+    return met.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(in_order, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decode)
 
 
 class _Places(dict):
@@ -314,6 +335,121 @@ class _Places(dict):
         return place
 
 
+class _Chunks:
+    """The texts of a block as numbers of distinct chunks: matches of the pattern, or what stands between single spaces."""
+
+    def __init__(self, pattern: str, texts: list[pa.Array]):
+        self._split = regex.compile(pattern)
+        self._values = []  # of each call of ``_add``: distinct words of letters and other chunks, with a space cut off before, and other ones
+        self._n_values = 0
+        self._matches = _Places()  # numbered downwards from -1 until all chunks are known
+        self._codes, self._ends = [], []
+        spaced = pattern == SPACED
+        texts = pc.fill_null(pa.concat_arrays(texts).cast(pa.large_string()), "")
+        sizes = np.diff(text_bytes(texts)[1])
+        start = 0
+        for i in [*np.flatnonzero(sizes > LONG_TEXT).tolist(), len(sizes)]:
+            if start < i:
+                short = texts.slice(start, i - start)
+                self._add(short, np.zeros(len(short), bool)) if spaced else self._add_matches(short.to_pylist())
+            if i < len(sizes):
+                self._add_long(texts[i].as_py(), spaced)
+            start = i + 1
+
+    def codes(self) -> np.ndarray:
+        codes = np.concatenate([np.zeros(0, np.int32), *self._codes])
+        return np.where(codes < 0, self._n_values - 1 - codes, codes)
+
+    def ends(self) -> np.ndarray:
+        """The ends of the documents in ``codes``."""
+        return np.cumsum(np.concatenate([np.zeros(0, np.int64), *self._ends])).astype(np.int64)
+
+    def words(self) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """How many words each distinct chunk has, the distinct words, and the place of each chunk's words in them."""
+        sizes, words = [np.zeros(0, np.int64)], []
+        for plain, values, others in self._values:
+            sizes.append(np.ones(len(plain), np.int64))
+            words.append(pc.binary_join_element_wise(pa.scalar("", plain.type), plain, pa.scalar(" ", plain.type)))
+            for at in range(0, len(values), 1 << 16):
+                # all at once, as a match begins at each of their spaces
+                part = values.slice(at, 1 << 16)
+                matches = self._split.findall("".join(chain.from_iterable(zip(repeat(" "), part.to_numpy(zero_copy_only=False)))))
+                ends = np.cumsum(pc.utf8_length(part).to_numpy() + 1)
+                reach = np.searchsorted(np.cumsum(np.fromiter(map(len, matches), np.int64, len(matches))), ends) + 1
+                sizes.append(np.diff(reach, prepend=0))
+                words.append(pa.array(matches, pa.large_string()))
+            lists = [self._split.findall(v) for v in others]
+            sizes.append(np.array([len(x) for x in lists], np.int64))
+            words.append(pa.array(list(chain.from_iterable(lists)), pa.large_string()))
+        sizes.append(np.ones(len(self._matches), np.int64))
+        words.append(pa.array(list(self._matches), pa.large_string()))
+        places, words = coded(pa.concat_arrays(words))
+        return np.concatenate(sizes), words, places
+
+    def _add_matches(self, texts: list[str]) -> None:
+        for text in texts:
+            found = self._split.findall(text)
+            self._codes.append(-1 - np.fromiter(map(self._matches.__getitem__, found), np.int32, len(found)))
+            self._ends.append([len(found)])
+
+    def _add_long(self, text: str, spaced: bool) -> None:
+        """One document, in parts that end at spaces between two characters that are no white space."""
+        if not spaced:
+            self._codes.append(-1 - np.fromiter((self._matches[m.group()] for m in self._split.finditer(text)), np.int32))
+            self._ends.append([len(self._codes[-1])])
+            return
+        before, start, cut = len(self._ends), 0, regex.compile(r"(?<=\S) (?=\S)")
+        while start < len(text):
+            found = cut.search(text, start + LONG_TEXT)
+            end = found.start() if found else len(text)
+            # the space of a later part comes back as the begin of its first chunk
+            self._add(pa.array([text[start + (start > 0) : end]], pa.large_string()), np.array([start > 0]))
+            start = end
+        self._ends[before:] = [[int(sum(map(sum, self._ends[before:])))]]
+
+    def _add(self, texts: pa.Array, later: np.ndarray) -> None:
+        """Documents cut at spaces; ``later`` says of which a space was cut off before. Those with other white space beside one are split whole."""
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        codes, values = coded(lists.values.slice(offsets[0], offsets[-1] - offsets[0]))
+        offsets -= offsets[0]
+        size = pc.binary_length(values).to_numpy()
+        starts = (pc.binary_length(pc.utf8_ltrim_whitespace(values)).to_numpy() < size) | (size == 0)
+        stops = (pc.binary_length(pc.utf8_rtrim_whitespace(values)).to_numpy() < size) | (size == 0)
+        opens, closes = starts[codes], stops[codes]
+        first, last = offsets[:-1], offsets[1:] - 1
+        empty = size[codes[first]] == 0
+        opens[first[~later]] = closes[last] = False
+        odd, rows = empty, rows_of(offsets)
+        odd[rows[opens | closes]] = True
+        # a distinct chunk is a value with a space before it, or at the begin of a text
+        kinds = codes
+        kinds[first[~later]] += len(values)
+        sizes = np.where(odd, 0, np.diff(offsets))
+        if odd.any():
+            kinds = kinds[~odd[rows]]
+        used = np.zeros(2 * len(values), bool)
+        used[kinds] = True
+        loose = np.concatenate([stops, np.ones(len(values), bool)])
+        tidy, others = np.flatnonzero(used & ~loose), np.flatnonzero(used & loose)
+        letters = pc.match_substring_regex(values.take(pa.array(tidy)), _LETTERS).to_numpy(zero_copy_only=False)
+        tidy, n_plain = np.concatenate([tidy[letters], tidy[~letters]]), int(letters.sum())
+        numbers = np.zeros(2 * len(values), np.int32)
+        numbers[tidy], numbers[others] = np.arange(len(tidy)), np.arange(len(tidy), len(tidy) + len(others))
+        text_of = values.take(pa.array(others % len(values))).to_pylist()
+        values_of = values.take(pa.array(tidy))
+        self._values.append((values_of.slice(0, n_plain), values_of.slice(n_plain), [" " * (k < len(values)) + t for k, t in zip(others.tolist(), text_of)]))
+        numbers = self._n_values + numbers[kinds]
+        self._n_values += len(tidy) + len(others)
+        ends, done = np.cumsum(sizes), 0
+        for i in [*np.flatnonzero(odd).tolist(), len(texts)]:
+            self._codes.append(numbers[ends[done - 1] if done else 0 : ends[i - 1] if i else 0])
+            self._ends.append(sizes[done:i])
+            if i < len(texts):
+                self._add_matches([" " * int(later[i]) + texts[i].as_py()])
+            done = i + 1
+
+
 def _arrow_type(source: DataFrame) -> pa.DataType:
     return source.select("doc_id").limit(0).toArrow().schema.field(0).type
 
@@ -330,9 +466,9 @@ def _lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(offsets), lists.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
 
 
-def _runs(sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Places of the values of the chosen lists, one after another."""
-    begin, own = np.cumsum(sizes) - sizes, sizes[chosen]
+def _runs(sizes: np.ndarray, chosen: np.ndarray, begin: np.ndarray | None = None) -> np.ndarray:
+    """Places of the values of the chosen lists, one after another; lists follow one another if no begins are given."""
+    begin, own = np.cumsum(sizes) - sizes if begin is None else begin, sizes[chosen]
     return np.arange(own.sum()) + np.repeat(begin[chosen] - (np.cumsum(own) - own), own)
 
 
@@ -342,6 +478,14 @@ def _strings(sizes: bytes, data: bytes) -> pa.Array:
     return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), raw)
 
 
+def _joined(pieces: pa.Array, offsets: np.ndarray) -> pa.Array:
+    """The pieces between the offsets, concatenated."""
+    if not len(pieces):
+        return pa.array([b""] * (len(offsets) - 1), pa.binary())
+    ends = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1][offsets].astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pieces.buffers()[2]])
+
+
 def _small(sizes: np.ndarray) -> bytes:
     """Sizes as bytes; those of 255 and more after them, as longs."""
     large = sizes >= 255

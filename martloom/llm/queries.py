@@ -86,13 +86,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    text = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decode=True)
+    text = F.array_join(F.col("ids").cast("array<string>"), ",")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(text, 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

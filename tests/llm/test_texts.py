@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -330,6 +331,28 @@ def test_bpe_equals_the_tokenizer_library(spark, odd, empty):
     assert bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_splits_each_chunk_of_a_block_once_and_as_the_pattern_does(monkeypatch):
+    rng, split = random.Random(3), regex.compile(public_tokenizers.PATTERN)
+    parts = ["a", "b\u00e9", " ", " ", "1", "'s", "'", "!", "\n", "\u3000", "\x1c", "\u65e5", "\t"]
+    texts = ["".join(rng.choices(parts[:k], k=rng.randrange(60))) for k in (3, 4, 6, 8, 13) for _ in range(300)] + [None, "", " ", "  "]
+    for limit in (1 << 20, 20):
+        monkeypatch.setattr(bpe, "LONG_TEXT", limit)
+        for pattern in (public_tokenizers.PATTERN, public_tokenizers.PATTERN + "|x{9}"):
+            chunks = bpe._Chunks(pattern, [pa.array(texts[:100]), pa.array(texts[100:])])
+            sizes, words, places = chunks.words()
+            ends, found, words = np.cumsum(sizes), np.split(chunks.codes(), chunks.ends())[:-1], words.to_pylist()
+            got = [[words[p] for c in codes for p in places[ends[c] - sizes[c] : ends[c]]] for codes in found]
+            assert got == [split.findall(t or "") for t in texts]
+    chunks = bpe._Chunks(public_tokenizers.PATTERN, [pa.array(["one two, three"] + ["two, three two,"] * 1000)])
+    assert len(chunks.codes()) == 3003 and len(chunks.words()[0]) == 4  # one, two, (twice: at a begin and after a space), three
+
+
+def test_bpe_decodes_what_it_encodes(spark, odd):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").union(odd.select(F.col("doc_id") + 10_000, "text"))
+    rows = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decode=True).select("*", bpe.decoded(F.col("ids"), RANKS).alias("plain")).collect()
+    assert len(rows) == docs.count() and all(r.decoded == r.plain for r in rows)
+
+
 def test_bpe_keeps_ids_of_any_type(spark):
     docs = spark.createDataFrame([("a", "Hello unfoldableword"), (None, "x"), ("a", None)], "doc_id string, text string")
     rows = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()
