@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from martloom.llm.common import coded, rows_of, slices, text_bytes
+from martloom.llm.common import coded, release_memory, rows_of, slices, text_bytes
 
 BLOCK_BYTES = 8 << 20
 # Texts above are split part by part, or match by match, without a list of all matches.
@@ -200,14 +200,19 @@ def encode(
         for part in (p for batch in batches for p in slices(batch, "text", 1 << 20)):
             size = int(text_bytes(part.column(1))[1][-1])
             if doc_ids and held + size > block_bytes:
-                yield number, pa.concat_arrays(doc_ids), _Chunks(pattern, texts)
-                number, doc_ids, texts, held = number + 1, [], [], 0
-                pa.default_memory_pool().release_unused()
+                chunks, texts = _Chunks(pattern, texts), []
+                yield number, pa.concat_arrays(doc_ids), chunks
+                number, doc_ids, held, chunks = number + 1, [], 0, None
+                release_memory()
             doc_ids.append(part.column(0))
             texts.append(part.column(1))
             held += size
+        part = None
         if doc_ids:
-            yield number, pa.concat_arrays(doc_ids), _Chunks(pattern, texts)
+            chunks, texts = _Chunks(pattern, texts), []
+            yield number, pa.concat_arrays(doc_ids), chunks
+            doc_ids, chunks = [], None
+        release_memory()
 
     def unknown(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
         """Ids of all words (-1 if they are no pieces), and buckets, words and places of those, by bucket."""
@@ -311,6 +316,7 @@ def encode(
                     columns["decoded"] = _joined(shared.value.take(pa.array(ids)), offsets)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
                 start = end
+            release_memory()
 
     asked = source.mapInArrow(ask, _ASK).repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
     named = asked.mapInArrow(distinct, _NAMED)

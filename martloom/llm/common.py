@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,6 +56,15 @@ def staged(df: DataFrame, by: str | None = None, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Hand memory that is free back to the system; a worker lives on and would keep it beside the next stage's workers."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+        if trim is not None:
+            trim(0)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array and the offset of each text in them; NULL is empty."""
     texts = pc.fill_null(texts, "") if texts.null_count else texts
@@ -89,6 +100,7 @@ def map_texts(
         for batch in batches:
             for part in slices(batch, column, limit):
                 yield fn(part)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from martloom.llm import bpe, decontaminate, langid, licences, pii, quality, queries  # noqa: E402
-from martloom.llm.common import words_of  # noqa: E402
+from martloom.llm.common import slices, words_of  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -312,6 +312,20 @@ def test_matches_do_not_depend_on_the_parts_of_the_index(spark, monkeypatch):
     assert found[1] == sorted((texts[r][0], plain["ids"][i], *rest) for r, i, *rest in want)
 
 
+def test_statistics_of_many_texts_take_little_memory_and_do_not_depend_on_slices():
+    import tracemalloc
+
+    rng = random.Random(4)
+    texts = pa.array([" ".join(rng.choices(["word", "Other", "12|", "x\n", "caf\u00e9"], k=700)) for _ in range(3000)] + [None, ""])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    tracemalloc.start()
+    parts = [quality.statistics(p.column(0)) for p in slices(batch, "text", quality.SLICE)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(parts) > 5 and peak < 60 << 20  # 8 MB at once took over 100 MB
+    assert np.array_equal(np.concatenate(parts), quality.statistics(texts))
+
+
 # --- byte-level BPE
 
 def test_bpe_equals_the_tokenizer_library(spark, odd, empty):
