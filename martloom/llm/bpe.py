@@ -5,8 +5,8 @@
    each distinct chunk of a block is split once. A match that is a piece itself has that piece's id; a block's other distinct
    words are sent to the buckets of their hashes.
 2. A bucket has each of its words once for the whole corpus. Spark's ``aggregate`` folds it: the adjacent pair of lowest
-   rank is merged until no pair is in the rank map, which is a literal in the plan (two hash positions per pair, so a
-   look-up is two array reads). Words of ``LONG`` bytes and more are folded as strings of one character a token, in which all
+   rank is merged until no pair is in the rank map, a broadcast row of two arrays (two hash positions per pair, so a
+   look-up is two array reads); as literals they would stand in every description of the plan. Words of ``LONG`` bytes and more are folded as strings of one character a token, in which all
    places of the pair of lowest rank are replaced at once.
 3. The ids go back to the blocks that asked, packed, and meet the block's chunks, as numbers of its words. For these the texts
    are split a second time, which costs less than storing all numbers.
@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
@@ -64,7 +64,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
 
 
-def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys and merged ranks of every pair of pieces whose bytes together are a piece, at one of two positions."""
     pairs = [
         (ranks[piece[:i]], ranks[piece[i:]], rank)
@@ -85,14 +85,18 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
             prime = _PLACES[1] if key % _PLACES[0] == at else _PLACES[0]
         else:
             raise ValueError("the rank file has too many pairs for the table")
-    return keys, values
+    return np.array(keys, np.int64), np.array(values, np.int32)
 
 
-def _literal(values: list, kind: str) -> Column:
+def _rank_map(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """One row (keys, values): the pair table."""
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in pair_table(ranks)]
+    return spark.createDataFrame(pa.table(lists, names=["keys", "values"]))
+
+
+def _literal(values: list[str]) -> Column:
     """A foldable array; parsed once, when the plan is optimised."""
-    if kind == "string":
-        return F.split(F.lit(",".join(values)), ",")
-    return F.from_json(F.lit("[" + ",".join(map(str, values)) + "]"), f"array<{kind}>")
+    return F.split(F.lit(",".join(values)), ",")
 
 
 def _bound(value: Column, use) -> Column:
@@ -182,7 +186,6 @@ def encode(
     """doc_id and ids, the token ids of its text; with ``decode`` also the bytes that the ids decode to."""
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
-    keys, values = pair_table(ranks)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -320,14 +323,10 @@ def encode(
 
     asked = source.mapInArrow(ask, _ASK).repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
     named = asked.mapInArrow(distinct, _NAMED)
-    # bound once a bucket, so that the plan holds the literals once
-    literals = F.struct(_literal(keys, "bigint").alias("keys"), _literal(values, "int").alias("values"))
-
-    def folded(m: Column) -> Column:
-        short, long = (lambda t: merged(t, m["keys"], m["values"])), (lambda t: merged_long(t, m["keys"], m["values"]))
-        return F.transform("words", lambda t: F.when(F.size(t) < LONG, short(t)).otherwise(long(t)))
-
-    ids = named.select("bucket", "blocks", "ends", "codes", _bound(literals, folded).alias("ids"))
+    keys, values = F.col("keys"), F.col("values")
+    ids = F.transform("words", lambda t: F.when(F.size(t) < LONG, merged(t, keys, values)).otherwise(merged_long(t, keys, values)))
+    # a row per bucket, so the row of the map is met as often
+    ids = named.crossJoin(F.broadcast(_rank_map(spark, ranks))).select("bucket", "blocks", "ends", "codes", ids.alias("ids"))
     schema = _BLOCK.format(kind)
     met = source.mapInArrow(texts, schema).union(ids.mapInArrow(reply, schema))
     return met.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(in_order, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decode)
@@ -510,5 +509,5 @@ def decoded(ids: Column, ranks_path: str) -> Column:
     pieces = sorted(read_ranks(ranks_path).items(), key=lambda x: x[1])
     if [rank for _, rank in pieces] != list(range(len(pieces))):
         raise ValueError("ranks must be 0, 1, 2, ...")
-    table = _literal([piece.hex() for piece, _ in pieces], "string")
+    table = _literal([piece.hex() for piece, _ in pieces])
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))

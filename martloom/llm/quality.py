@@ -193,7 +193,7 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", shrink:
 
 
 def _logistic(rows: DataFrame, model: Model, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic regression of y on the differences, by Newton steps with a small ridge.
+    """Slope and offset of a logistic regression of y on the differences, by Newton steps with a small ridge, halved until the loss falls.
 
     Gradient and Hessian are added up over all rows (y, x), whose differences are stored once.
     """
@@ -204,17 +204,26 @@ def _logistic(rows: DataFrame, model: Model, rounds: int = 50) -> tuple[float, f
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.differences(x))], names=["y", "z"])
 
     held = staged(rows.mapInArrow(differ, "y int, z double"))
-    w = np.zeros(2)
-    for _ in range(rounds):
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Loss, gradient and Hessian, with the ridge."""
         t = F.lit(float(w[0])) * F.col("z") + F.lit(float(w[1]))
         p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), t))))
+        loss = F.greatest(F.lit(0.0), t) + F.log1p(F.exp(-F.abs(t))) - F.col("y") * t
         miss, spread = p - F.col("y"), p * (1 - p)
         z = F.col("z")
-        g0, g1, h00, h01, h11 = held.agg(F.sum(miss * z), F.sum(miss), F.sum(spread * z * z), F.sum(spread * z), F.sum(spread)).first()
-        gradient = np.array([g0, g1]) + 1e-3 * w
-        hessian = np.array([[h00, h01], [h01, h11]]) + 1e-3 * np.eye(2)
-        step = np.clip(np.linalg.solve(hessian, gradient), -2, 2)
-        w = w - step
+        total, g0, g1, h00, h01, h11 = held.agg(F.sum(loss), F.sum(miss * z), F.sum(miss), F.sum(spread * z * z), F.sum(spread * z), F.sum(spread)).first()
+        return total + 0.5e-3 * float(w @ w), np.array([g0, g1]) + 1e-3 * w, np.array([[h00, h01], [h01, h11]]) + 1e-3 * np.eye(2)
+
+    w = np.zeros(2)
+    loss, gradient, hessian = at(w)
+    for _ in range(rounds):
+        step = np.linalg.solve(hessian, gradient)
+        after = at(w - step)
+        while after[0] > loss * (1 + 1e-12) and np.abs(step).max() >= 1e-10:  # a whole step may lead away
+            step = step / 2
+            after = at(w - step)
+        w, (loss, gradient, hessian) = w - step, after
         if np.abs(step).max() < 1e-10:
             break
     return float(w[0]), float(w[1])

@@ -81,6 +81,20 @@ def test_logistic_scale_takes_all_labelled_rows_in_any_order(spark):
     assert math.isclose(quality.score(stats, model).agg(F.avg("score")).first()[0], 0.25, abs_tol=1e-4)
 
 
+def test_logistic_scale_is_the_least_loss_where_whole_steps_lead_away(spark):
+    rng, d = np.random.default_rng(3), len(quality.STATISTICS)
+    y = (rng.random(2000) < 0.86).astype(int)
+    z = np.where(y == 1, -4, -7) + rng.normal(0, 0.6, 2000)
+    model = quality.Model(np.eye(2, d)[::-1] * [[0], [1]], np.array([np.eye(d)] * 2), np.zeros(2), 1.0, 0.0)
+    axis = int(np.flatnonzero(model.means[1])[0])
+    x = np.zeros((2000, d))
+    x[:, axis] = np.sinh(z) + 0.5
+    assert np.allclose(model.differences(x), z)
+    slope, offset = quality._logistic(spark.createDataFrame([(int(a), b) for a, b in zip(y, x.tolist())], "y int, x array<double>"), model)
+    miss = 1 / (1 + np.exp(-slope * z - offset)) - y
+    assert slope > 0 and abs(miss.sum() + 1e-3 * offset) < 1e-4 and abs((miss * z).sum() + 1e-3 * slope) < 1e-4
+
+
 def test_quality_of_held_out_documents(spark):
     rows = queries.QUERIES["op10_quality"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -399,3 +413,8 @@ def test_secrets_need_randomness_and_context():
     assert found == [("secret", 13, 13 + len(value))]
     assert pii.spans_of(f"commit {value} fixed it") == [] and pii.spans_of("token = " + "1a" * 20) == []
     assert pii.masked(f"token = {value} mine") == "token = [SECRET] mine" and pii.masked(f"password:{value}") == "password:[SECRET]"
+
+
+def test_no_plan_of_the_tokenizer_holds_its_rank_map(spark):
+    encoded = bpe.encode(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), RANKS, public_tokenizers.PATTERN, decode=True)
+    assert len(encoded._jdf.queryExecution().toString()) < 200_000  # several MB with the map as literals
