@@ -37,10 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import coded, map_texts, rows_of, slices, staged, words_of
+from martloom.llm.common import coded, release_memory, rows_of, slices, staged, words_of
 from martloom.llm.components import components
 
 SHINGLE = 5
+AT_ONCE = 1 << 20
 PERCENT = 75
 COUNTERS = 1 << 22
 _PARTS = 64
@@ -48,7 +49,9 @@ _PARTS = 64
 LEADERS = 3
 # Prefix entries a task of the join takes, on average.
 ENTRIES = 250_000
-_MARKS = 1 << 20
+# Marks of texts, and how many of them a bitmap of Spark has.
+_MARKS = 1 << 24
+_PART_BITS = 1 << 15
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xBF58476D1CE4E5B9)
 _ENTRY = np.dtype([("shingle", "<u8"), ("key", "<i8"), ("size", "<i4"), ("place", "<i4")])
@@ -67,24 +70,37 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     h = pd.util.hash_array(names, categorize=False).astype(np.uint64)[codes] if len(codes) else np.zeros(0, np.uint64)
     n = np.diff(offsets)
     row = rows_of(offsets)
-    place = np.arange(len(codes)) - offsets[:-1][row]
-    starts = np.flatnonzero(place + SHINGLE <= n[row])
-    full = np.zeros(len(starts), np.uint64)
+    m = max(0, len(h) - SHINGLE + 1)
+    full = np.zeros(m, np.uint64)
     for j in range(SHINGLE):
-        full = full * _BASE + h[starts + j]
+        full = full * _BASE + h[j : j + m]
+    full = full[row[:m] == row[SHINGLE - 1 :]] if m else full
     short = np.flatnonzero((n > 0) & (n < SHINGLE))
     some = n[short].astype(np.uint64)
     for j in range(SHINGLE - 1):
         inside = n[short] > j
         at = np.minimum(offsets[short] + j, max(len(h) - 1, 0))
         some = np.where(inside, some * _BASE + h[at] + np.uint64(1), some) if len(short) else some
-    rows = np.concatenate([row[starts], short])
-    hashes = _mixed(np.concatenate([full, some]))
-    order = np.lexsort((hashes, rows))
-    rows, hashes = rows[order], hashes[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
-    return np.searchsorted(rows[new], np.arange(len(n) + 1)), hashes[new]
+    size = np.maximum(n - SHINGLE + 1, 0)
+    size[short] = 1
+    ends = np.concatenate([[0], np.cumsum(size)])
+    hashes = np.empty(ends[-1], np.uint64)
+    long = np.ones(len(hashes), bool)
+    long[ends[short]] = False
+    hashes[long], hashes[ends[short]] = _mixed(full), _mixed(some)
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):  # text by text costs a tenth of one sort by text and hash
+        hashes[a:b].sort()
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[ends[:-1][size > 0]] = True
+    return np.concatenate([[0], np.cumsum(new)])[ends], hashes[new]
+
+
+def _sets_of(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of the column ``text``, made from ``AT_ONCE`` bytes of it at a time, whose words take many times as much."""
+    parts = [shingle_sets(p.column("text")) for p in slices(piece, "text", AT_ONCE)]
+    sizes = [np.diff(offsets) for offsets, _ in parts]
+    return np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), np.concatenate([hashes for _, hashes in parts])
 
 
 def _keys(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -105,31 +121,46 @@ def prefix_length(n):
     return n - (PERCENT * n + 99) // 100 + need(n)
 
 
+def _rarest(offsets: np.ndarray, hashes: np.ndarray, classes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places in ``hashes`` of the first ``wanted`` of each set, in order of class and hash."""
+    order = (classes[(hashes >> np.uint64(42)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
+    row = rows_of(offsets)
+    if ((hashes[1:] >> np.uint64(8) == hashes[:-1] >> np.uint64(8)) & (row[1:] == row[:-1])).any():  # cut off bits decide
+        ranked = np.lexsort((hashes, order, row))
+        return ranked[np.arange(len(hashes)) - offsets[:-1][row] < wanted[row]]
+    own = [np.zeros(0, np.int64)]
+    for i in np.flatnonzero(wanted).tolist():
+        a, b = offsets[i], offsets[i + 1]
+        own.append(a + np.argsort(order[a:b])[: wanted[i]])
+    return np.concatenate(own)
+
+
 def _counted(source: DataFrame, kind: str) -> DataFrame:
-    """Rows (doc_id, key, size), and per task rows (part, counts) with a part of the counters."""
+    """Rows (doc_id, key, size, mark), and per task rows (part, counts) with a part of the counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(COUNTERS, np.uint16)
         for batch in batches:
             for piece in slices(batch, "text"):
-                offsets, hashes = shingle_sets(piece.column(1))
+                offsets, hashes = _sets_of(piece)
                 seen, times = np.unique((hashes >> np.uint64(42)).astype(np.int64), return_counts=True)
                 counters[seen] = np.minimum(65535, counters[seen].astype(np.int64) + times)
                 n = piece.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(_keys(offsets, hashes)), pa.array(np.diff(offsets).astype(np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                    [piece.column(0), pa.array(_keys(offsets, hashes)), pa.array(np.diff(offsets).astype(np.int32)), piece.column(2), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                     names=names,
                 )
+        release_memory()
         if counters.any():
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counters, _PARTS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(_PARTS, id_type), pa.nulls(_PARTS, pa.int64()), pa.nulls(_PARTS, pa.int32()), pa.array(range(_PARTS), pa.int32()), pa.array(parts)],
+                [pa.nulls(_PARTS, id_type), pa.nulls(_PARTS, pa.int64()), pa.nulls(_PARTS, pa.int32()), pa.nulls(_PARTS, pa.int32()), pa.array(range(_PARTS), pa.int32()), pa.array(parts)],
                 names=names,
             )
 
-    names = ["doc_id", "key", "size", "part", "counts"]
+    names = ["doc_id", "key", "size", "mark", "part", "counts"]
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    return staged(source.mapInArrow(run, f"doc_id {kind}, key bigint, size int, part int, counts binary"))
+    return staged(source.mapInArrow(run, f"doc_id {kind}, key bigint, size int, mark int, part int, counts binary"))
 
 
 def _frequency_classes(counted: DataFrame) -> np.ndarray:
@@ -160,23 +191,23 @@ def _shared_entries(source: DataFrame, classes: np.ndarray, tasks: int) -> DataF
         done: set[int] = set()  # sets of this task, so that copies are sent once a task
         for batch in batches:
             for piece in slices(batch, "text"):
-                offsets, hashes = shingle_sets(piece.column(0))
+                offsets, hashes = _sets_of(piece)
                 keys, n = _keys(offsets, hashes), np.diff(offsets)
                 new = np.array([k not in done and not done.add(k) for k in keys.tolist()], bool) & (n > 0)
-                row = rows_of(offsets)
-                ranked = np.lexsort((hashes, order.value[(hashes >> np.uint64(42)).astype(np.int64)], row))
-                place = np.arange(len(hashes)) - offsets[:-1][row]
-                chosen = (place < prefix_length(n)[row]) & new[row]
-                entries = np.empty(int(chosen.sum()), _ENTRY)
-                entries["shingle"], entries["place"] = hashes[ranked][chosen], place[chosen]
-                entries["key"], entries["size"] = keys[row[chosen]], n[row[chosen]]
+                wanted = np.where(new, prefix_length(n), 0)
+                ranked = _rarest(offsets, hashes, order.value, wanted)
+                row = np.repeat(np.arange(len(n)), wanted)
+                entries = np.empty(len(ranked), _ENTRY)
+                entries["shingle"], entries["place"] = hashes[ranked], np.arange(len(ranked)) - (np.cumsum(wanted) - wanted)[row]
+                entries["key"], entries["size"] = keys[row], n[row]
                 bucket = ((entries["shingle"] * _BASE) >> np.uint64(33)).astype(np.int64) % tasks
-                by = np.argsort(bucket, kind="stable")
+                by = np.argsort(bucket)
                 entries, bucket = entries[by], bucket[by]
-                found, first = np.unique(bucket, return_index=True)
-                ends = np.append(first[1:], len(entries))
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+                found, ends = bucket[first], np.append(first, len(entries))[1:]
                 packed = [entries[a:b].tobytes() for a, b in zip(first, ends)]
                 yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(packed, pa.binary())], names=["bucket", "entries"])
+        release_memory()
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.frombuffer(x, _ENTRY) for batch in batches for x in batch.column(1).to_pylist()]
@@ -318,26 +349,39 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * same >= PERCENT * (len(x) + len(y) - same)
 
 
-def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set keys whose sets link."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    marks = np.zeros(_MARKS, bool)
-    mark = F.col("key").bitwiseAND(_MARKS - 1).cast("int")
-    marks[keys.select(mark.alias("m")).distinct().toArrow()["m"].to_numpy()] = True  # at most _MARKS numbers
-    wanted = source.sparkSession.sparkContext.broadcast(np.packbits(marks))
+def _bitmap(marks: DataFrame) -> np.ndarray:
+    """``_MARKS`` bits, the lowest of a byte first, with those of column ``mark`` set."""
+    bit = F.col("mark") + 1  # Spark's bitmaps begin at 1
+    parts = marks.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = np.zeros((_MARKS // _PART_BITS, _PART_BITS // 8), np.uint8)
+    for r in parts.collect():  # _MARKS bits
+        out[r.part - 1] = np.frombuffer(r.bits, np.uint8)
+    return out.ravel()
+
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, done = np.unpackbits(wanted.value).astype(bool), set()
+def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set keys whose sets link.
+
+    Only texts that may have one of these sets, by the mark of one text of each, are cut into shingles again.
+    """
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    first = sets.groupBy("key").agg(F.min("mark").alias("mark"))
+    wanted = source.sparkSession.sparkContext.broadcast(_bitmap(first.join(keys, "key", "left_semi")))
+
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, done = wanted.value, set()
         for batch in batches:
-            for piece in slices(batch, "text"):
-                offsets, hashes = shingle_sets(piece.column(0))
+            mark = batch.column(1).to_numpy()
+            for piece in slices(batch.filter(pa.array((bits[mark >> 3] >> (mark & 7)) & 1 == 1)), "text"):
+                offsets, hashes = _sets_of(piece)
                 own, raw, n = _keys(offsets, hashes), hashes.tobytes(), np.diff(offsets)
-                rows = [i for i in np.flatnonzero(flags[own & (_MARKS - 1)] & (n > 0)) if own[i] not in done and not done.add(own[i])]
+                rows = [i for i in np.flatnonzero(n > 0) if own[i] not in done and not done.add(own[i])]
                 packed = [raw[8 * offsets[i] : 8 * offsets[i + 1]] for i in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(own[rows]), pa.array(packed, pa.binary())], names=["key", "items"])
+        release_memory()
 
-    held = source.select("text").mapInArrow(sets, "key bigint, items binary")
-    held = staged(held.join(keys.distinct(), "key", "left_semi").groupBy("key").agg(F.first("items").alias("items")))
+    held = source.select("text", "mark").mapInArrow(items, "key bigint, items binary")
+    held = staged(held.join(keys, "key", "left_semi").groupBy("key").agg(F.first("items").alias("items")))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,15 +396,16 @@ def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    mark = F.xxhash64(F.col(text_col)).bitwiseAND(_MARKS - 1).cast("int")
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), mark.alias("mark"))
     kind = source.schema["doc_id"].dataType.simpleString()
     counted = _counted(source, kind)
-    sets = counted.where(F.col("part").isNull()).select("doc_id", "key", "size")
+    sets = counted.where(F.col("part").isNull()).select("doc_id", "key", "size", "mark")
     n = sets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     tasks = max(16, int(0.3 * n / ENTRIES))
     entries = _able(_shared_entries(source, _frequency_classes(counted), tasks))
-    links = _verified(staged(_leader_pairs(entries)), source)
-    more = _verified(staged(_cross_pairs(entries, components(links), tasks)), source)
+    links = _verified(staged(_leader_pairs(entries)), source, sets)
+    more = _verified(staged(_cross_pairs(entries, components(links), tasks)), source, sets)
     roots = components(links.union(more))
     full = sets.where(F.col("size") > 0)
     firsts = full.groupBy("key").agg(F.min("doc_id").alias("first"))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +102,30 @@ def test_jaccard_join_of_repeats_and_nothing(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_rarest_shingles_are_ordered_by_class_and_whole_hash():
+    rng = np.random.default_rng(5)
+    for bits in (64, 10):  # with few bits many hashes agree in all but the lowest eight
+        sets = [np.unique(rng.integers(0, 1 << bits, k, dtype=np.uint64, endpoint=False) if bits < 64 else rng.integers(0, 1 << 63, k, dtype=np.uint64) * 2) for k in (0, 1, 40, 0, 300)]
+        offsets, hashes = np.cumsum([0, *map(len, sets)]), np.concatenate(sets)
+        classes = rng.integers(0, 3, 1 << 22).astype(np.uint8)
+        wanted = np.array([len(x) // 3 + (len(x) > 0) for x in sets])
+        want = [sorted(x.tolist(), key=lambda v: (classes[v >> 42], v))[:k] for x, k in zip(sets, wanted)]
+        assert hashes[jaccard._rarest(offsets, hashes, classes, wanted)].tolist() == [v for x in want for v in x]
+
+
+def test_only_texts_with_a_wanted_mark_are_cut_again(spark):
+    bits = jaccard._bitmap(spark.createDataFrame([(m,) for m in (0, 1, 32767, 32768, jaccard._MARKS - 1, 7, 7)], "mark int"))
+    assert np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist() == [0, 1, 7, 32767, 32768, jaccard._MARKS - 1]
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, text, 5), (2, text + " eight", 9), (3, text, 6)], "doc_id long, text string, mark int")
+    (low, high), (_, hashes) = [int(k) for k in jaccard._keys(*jaccard.shingle_sets(pa.array([text, text + " eight"])))], jaccard.shingle_sets(pa.array([text]))
+    sets = spark.createDataFrame([(low, 5), (high, 9), (low, 6)], "key long, mark int")
+    pairs = spark.createDataFrame([(low, high)], "a long, b long")
+    assert len(hashes) == 3 and [tuple(r) for r in jaccard._verified(pairs, docs, sets).collect()] == [(low, high)]
+    # the text of the least mark stands for its set
+    assert jaccard._verified(pairs, docs.where("mark != 5"), sets).count() == 0
+
+
 def test_set_bounds_and_links():
     rng = np.random.default_rng(3)
     for _ in range(300):
