@@ -86,6 +86,12 @@ def class_of(word: str) -> int:
     return zlib.crc32(word[-2:].encode()) % CLASSES
 
 
+def _classes(words: pa.Array) -> np.ndarray:
+    """``class_of`` each word; few of their last two characters are distinct."""
+    codes, ends = coded(pc.utf8_slice_codeunits(words, -2))
+    return np.array([class_of(w) for w in ends.to_pylist()], np.int64)[codes]
+
+
 def _class_column(word: Column) -> Column:
     return F.crc32(F.right(word, F.lit(2)).cast("binary")) % CLASSES
 
@@ -162,10 +168,10 @@ def symbols(texts: pa.Array, head: dict[str, int]) -> tuple[np.ndarray, np.ndarr
     """(offsets, symbols, places in the distinct words, distinct words); each text ends with the end symbol."""
     offsets, words = words_of(texts)
     codes, distinct = coded(words)
-    names = distinct.to_pylist()
-    of = np.array([head.get(w, -1) for w in names], np.int64)
+    at = pc.fill_null(pc.index_in(distinct, value_set=pa.array(list(head), distinct.type)), -1).to_numpy()
+    of = np.append(np.fromiter(head.values(), np.int64, len(head)), -1)[at]  # the last one is for words that are not found
     rare = np.flatnonzero(of < 0)
-    of[rare] = [len(head) + 1 + class_of(names[i]) for i in rare]
+    of[rare] = len(head) + 1 + _classes(distinct.take(pa.array(rare)))
     n = len(offsets) - 1
     ends = offsets[1:] + np.arange(n)
     out, places = np.empty(len(codes) + n, np.int64), np.full(len(codes) + n, -1, np.int64)
@@ -188,7 +194,7 @@ def expected(offsets: np.ndarray, seen: np.ndarray, model: Model) -> tuple[np.nd
     longest = int(size[0]) if len(size) else 0
     live = [int(np.searchsorted(-size, -t, side="left")) for t in range(longest)]
     k = len(model.start)
-    alphas, scales = [], []
+    alphas, scales, outs = [], [], []
     for t in range(longest):
         m = live[t]
         out = model.emissions[seen[begin[:m] + t]]
@@ -197,6 +203,7 @@ def expected(offsets: np.ndarray, seen: np.ndarray, model: Model) -> tuple[np.nd
         else:
             alpha = np.where(first[:m, None], model.start, model.middle) * out
         scale = alpha.sum(axis=1, keepdims=True)
+        outs.append(out)
         alphas.append(alpha / scale)
         scales.append(scale)
     kind = model.emissions.dtype
@@ -206,7 +213,7 @@ def expected(offsets: np.ndarray, seen: np.ndarray, model: Model) -> tuple[np.nd
         m, after = live[t], len(beta)
         grown = np.ones((m, k), kind)
         if after:
-            ahead = model.emissions[seen[begin[:after] + t + 1]] * beta / scales[t + 1]
+            ahead = outs.pop() * beta / scales[t + 1]
             moves += alphas[t][:after].T @ ahead
             grown[:after] = ahead @ model.moves.T
         beta = grown
@@ -263,8 +270,9 @@ def _loosened(data: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
-def _bucket_of(names: list[str], tasks: int) -> np.ndarray:
-    return np.array([zlib.crc32(w.encode()) % tasks for w in names], np.int64)
+def _bucket_of(words: pa.Array, tasks: int) -> np.ndarray:
+    raw = words.cast(pa.binary()).to_pylist()
+    return np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % tasks
 
 
 def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
@@ -297,8 +305,7 @@ def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
         used, local = np.unique(places[rare], return_inverse=True)
         seen_classes = seen[rare] - len(head.value) - 1
         words = distinct.take(pa.array(used)).cast(pa.string())
-        names = words.to_pylist()
-        bucket = _bucket_of(names, tasks)
+        bucket = _bucket_of(words, tasks)
         order = np.argsort(bucket, kind="stable")
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))

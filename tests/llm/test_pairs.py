@@ -249,6 +249,17 @@ def test_forward_and_expected_counts_by_enumeration():
     assert np.allclose(moves, want_moves) and np.allclose(starts, want_starts) and np.allclose(emitted.sum(axis=1), 1)
 
 
+def test_symbols_are_those_of_each_word():
+    head = {"b": 1, "the": 0, "ü": 2}
+    texts = pa.array(["The b ü été x", None, "", "xyz 日本語 b " + "q" * 300])
+    offsets, seen, _, _ = hmm.symbols(texts, head)
+    want = [[head.get(w, 4 + hmm.class_of(w)) for w in words(t)] + [3] for t in texts.to_pylist()]
+    assert seen.tolist() == [x for row in want for x in row] and np.diff(offsets).tolist() == [len(x) for x in want]
+    rare = pa.array(["été", "x", "", "日本語", "xyz"])
+    assert hmm._classes(rare).tolist() == [hmm.class_of(w) for w in rare.to_pylist()]
+    assert hmm._bucket_of(rare, 7).tolist() == [zlib.crc32(w.encode()) % 7 for w in rare.to_pylist()]
+
+
 def test_long_sequences_are_scored_whole_and_cut_only_for_training():
     rng = np.random.default_rng(4)
     seen = rng.integers(0, 4, 3 * hmm.RUN + 7)
