@@ -41,6 +41,9 @@ SIDE = (LENGTH - GRAM) // 2
 TASK_BYTES = 8 << 20
 # Text hashed at once; the hashes take eight bytes a byte, several times.
 SLICE = 2 << 20
+# Text whose anchors are looked for together, and contexts searched together if their keys allow: little enough for a cache.
+PART = 1 << 18
+CONTEXTS = 2_000
 _MARKS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -170,9 +173,11 @@ def _findings(source: DataFrame, tasks: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
-                raw, offsets = text_bytes(piece.column(1))
-                row, place, gram, context, left, right = anchors(raw, offsets)
-                doc = piece.column(0).to_numpy()[row]
+                parts = []
+                for part in slices(piece, "text", PART):
+                    row, *rest = anchors(*text_bytes(part.column(1)))
+                    parts.append((part.column(0).to_numpy()[row], *rest))
+                doc, place, gram, context, left, right = (np.concatenate(x) for x in zip(*parts))
                 same = _mixed(gram + context * _ODD)  # for the order only
                 order = np.argsort(same)
                 doc, place, gram, context, left, right = (x[order] for x in (doc, place, gram, context, left, right))
@@ -332,17 +337,34 @@ def _searched(held: DataFrame, tasks: int) -> DataFrame:
         if not held:
             return
         rows = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        route = rows["route"].to_numpy()
+        order = np.argsort(route, kind="stable")
+        # contexts with windows in common have one key, so one route
+        begins = np.flatnonzero(np.append(True, np.diff(route[order]) != 0))
+        docs, starts, at = [], [], 0
+        while at < len(route):
+            after = np.searchsorted(begins, at + CONTEXTS)
+            end = int(begins[after]) if after < len(begins) else len(route)
+            doc, start = covered(rows.take(pa.array(order[at:end])).combine_chunks())
+            docs.append(doc)
+            starts.append(start)
+            at = end
+        doc, start = np.concatenate(docs), np.concatenate(starts)
+        found = _packed(_SPANS, doc, np.column_stack([start, start + LENGTH]).astype("<i4")) if len(doc) else []
+        yield _rows([(d, k, _merged(np.frombuffer(x, "<i4").reshape(-1, 2)).tobytes()) for d, k, x in found])
+
+    def covered(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Documents and starts of the windows that an earlier document has too."""
         doc, low = rows["doc"].to_numpy(), rows["low"].to_numpy().astype(np.int64)
         raw, offsets = text_bytes(rows["context"].chunk(0))
         piece, place, group = common_windows(raw, offsets, LENGTH)
-        begins = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, int)
-        if not len(begins):
-            return
-        least = np.minimum.reduceat(doc[piece], begins)[np.cumsum(np.append(False, group[1:] != group[:-1]))]
-        covered = doc[piece] > least
-        start = (low[piece] + place)[covered]
-        found = _packed(_SPANS, doc[piece][covered], np.column_stack([start, start + LENGTH]).astype("<i4"))
-        yield _rows([(d, k, _merged(np.frombuffer(x, "<i4").reshape(-1, 2)).tobytes()) for d, k, x in found])
+        if not len(group):
+            return doc[:0], low[:0]
+        new = np.append(True, group[1:] != group[:-1])
+        least = np.minimum.reduceat(doc[piece], np.flatnonzero(new))[np.cumsum(new) - 1]
+        later = doc[piece] > least
+        return doc[piece][later], (low[piece] + place)[later]
 
     sent = held.select("doc", "text", "wanted").where(F.size("wanted") > 0)
     sent = sent.mapInArrow(send, "route int, doc bigint, low int, context binary")

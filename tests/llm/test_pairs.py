@@ -178,6 +178,16 @@ def test_short_windows_in_unlike_surroundings(spark, monkeypatch, hot):
     assert len(want) > 100 and got == want
 
 
+def test_parts_of_texts_and_of_contexts_change_no_result(corpus, monkeypatch):
+    def found():
+        return {r.doc_id: [tuple(x) for x in r.spans] for r in substrings.find(corpus[0]).collect()}
+
+    whole = found()
+    monkeypatch.setattr(substrings, "PART", 1)
+    monkeypatch.setattr(substrings, "CONTEXTS", 1)
+    assert whole and found() == whole
+
+
 def test_common_windows_are_those_of_the_plain_search():
     rng = random.Random(8)
     pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 40))) for _ in range(30)]
