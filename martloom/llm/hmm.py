@@ -49,6 +49,10 @@ HEAD = 65_536
 CLASSES = 256
 STATES = 12
 RUN = 128
+# Runs whose recursions go side by side: a few MB of numbers.
+SIDE = 1024
+# Tokens whose emissions are gathered at once for scores.
+_AT_ONCE = 1 << 16
 END = "\n"
 SLICE = 4 << 20
 # Learning tokens for each bucket of words and each task of a round.
@@ -191,33 +195,33 @@ def expected(offsets: np.ndarray, seen: np.ndarray, model: Model) -> tuple[np.nd
     size = np.minimum(RUN, offsets[1:][text] - begin)
     order = np.argsort(-size, kind="stable")
     begin, size, first = begin[order], size[order], number[order] == 0
-    longest = int(size[0]) if len(size) else 0
-    live = [int(np.searchsorted(-size, -t, side="left")) for t in range(longest)]
-    k = len(model.start)
-    alphas, scales, outs = [], [], []
-    for t in range(longest):
-        m = live[t]
-        out = model.emissions[seen[begin[:m] + t]]
-        if t:
-            alpha = (alphas[-1][:m] @ model.moves) * out
-        else:
-            alpha = np.where(first[:m, None], model.start, model.middle) * out
-        scale = alpha.sum(axis=1, keepdims=True)
-        outs.append(out)
-        alphas.append(alpha / scale)
-        scales.append(scale)
-    kind = model.emissions.dtype
-    emitted, moves = np.zeros((len(seen), k), kind), np.zeros((k, k))
-    beta = np.ones((0, k), kind)
-    for t in range(longest - 1, -1, -1):
-        m, after = live[t], len(beta)
-        grown = np.ones((m, k), kind)
-        if after:
-            ahead = outs.pop() * beta / scales[t + 1]
-            moves += alphas[t][:after].T @ ahead
-            grown[:after] = ahead @ model.moves.T
-        beta = grown
-        emitted[begin[:m] + t] = alphas[t] * beta
+    k, kind = len(model.start), model.emissions.dtype
+    back = np.ascontiguousarray(model.moves.T)
+    emitted, moves = np.empty((len(seen), k), kind), np.zeros((k, k))
+    for a in range(0, len(begin), SIDE):
+        at, first_here, longest = begin[a : a + SIDE], first[a : a + SIDE, None], int(size[a])
+        live = _live(size[a : a + SIDE], longest)
+        place = _places(at, 0, longest, len(seen))
+        outs = np.take(model.emissions, seen[place], axis=0)
+        alphas = np.empty_like(outs)
+        for t, m in enumerate(live[:-1]):
+            alpha, out = alphas[t, :m], outs[t, :m]
+            if t:
+                np.matmul(alphas[t - 1, :m], model.moves, out=alpha)
+            else:
+                alpha[:] = np.where(first_here, model.start, model.middle)
+            out /= np.einsum("ij,ij->i", alpha, out)[:, None]
+            alpha *= out
+        beta = np.ones((len(at), k), kind)
+        for t in range(longest - 1, -1, -1):
+            m, after = live[t], live[t + 1]
+            if after:
+                ahead = outs[t + 1, :after]
+                ahead *= beta[:after]
+                moves += alphas[t, :after].T @ ahead
+                np.matmul(ahead, back, out=beta[:after])
+            alphas[t, :m] *= beta[:m]
+            emitted[place[t, :m]] = alphas[t, :m]
     return emitted, moves * model.moves, emitted[begin[first]].sum(axis=0, dtype=float) if len(begin) else np.zeros(k)
 
 
@@ -226,20 +230,42 @@ def likelihood(offsets: np.ndarray, seen: np.ndarray, model: Model) -> np.ndarra
     n = np.diff(offsets)
     order = np.argsort(-n, kind="stable")
     begin, size = offsets[:-1][order], n[order]
+    longest = int(size[0]) if len(size) else 0
+    live = _live(size, longest)
+    # A step takes a sum times the least emission at worst; so many steps stay far above the least double.
+    least = float(model.emissions.min()) if longest else 1.0
+    safe = 1 if least <= 0 else int(np.clip(250 / max(-np.log10(least), 1), 1, 32))
     out = np.zeros(len(n))
-    alpha = None
-    for t in range(int(size[0]) if len(size) else 0):
-        m = int(np.searchsorted(-size, -t, side="left"))
-        emitted = model.emissions[seen[begin[:m] + t]]
-        alpha = emitted * model.start if alpha is None else (alpha[:m] @ model.moves) * emitted
+    alpha = np.tile(model.start, (live[0], 1))
+    a = 0
+    while a < longest:
+        steps = max(1, min(safe, longest - a, _AT_ONCE // live[a]))
+        emitted = np.take(model.emissions, seen[_places(begin[: live[a]], a, a + steps, len(seen))], axis=0)
+        for t, (m, after) in enumerate(zip(live[a:], live[a + 1 : a + 1 + len(emitted)])):
+            if a + t:
+                alpha = alpha[:m] @ model.moves
+            alpha *= emitted[t, :m]
+            out[after:m] += np.log(alpha[after:].sum(axis=1))  # of texts that end here
+        alpha = alpha[:after]
         scale = alpha.sum(axis=1)
         alpha /= scale[:, None]
-        out[:m] += np.log(scale)
+        out[:after] += np.log(scale)
+        a += steps
     back = np.empty(len(n))
     back[order] = out
     return back
 
 
+def _live(size: np.ndarray, longest: int) -> list[int]:
+    """How many of the sequences, longest first, have a token at each place, and after the last one."""
+    return np.searchsorted(-size, -np.arange(longest + 1), side="left").tolist()
+
+
+def _places(begin: np.ndarray, start: int, end: int, n: int) -> np.ndarray:
+    """Where the tokens ``start`` to ``end`` of each sequence are, in a row per token; beyond its end anywhere."""
+    return np.minimum(begin + np.arange(start, end)[:, None], n - 1)
+
+
 def _start(unigram: np.ndarray, states: int) -> Model:
     noise = np.random.default_rng(7).uniform(0.5, 1.5, (len(unigram), states))
     noise[-CLASSES:] = 1
@@ -270,9 +296,32 @@ def _loosened(data: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
+# Words of so many bytes are long.
+_LONG = 64
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = (_CRC >> 1) ^ np.where(_CRC & 1, np.uint32(0xEDB88320), np.uint32(0))
+
+
 def _bucket_of(words: pa.Array, tasks: int) -> np.ndarray:
-    raw = words.cast(pa.binary()).to_pylist()
-    return np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % tasks
+    """crc32 of each word's bytes, modulo the tasks: byte after byte for all words side by side, long ones each alone."""
+    raw, ends = text_bytes(words)
+    size = np.minimum(np.diff(ends), _LONG).astype(np.uint8)
+    order = np.argsort(_LONG - size, kind="stable")
+    begin, live = ends[:-1][order], _live(size[order].astype(np.int64), _LONG)
+    long = live[_LONG - 1]
+    crc = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for i, m in enumerate(live[: _LONG - 1]):
+        if m == long:
+            break
+        c = crc[long:m]
+        c[:] = _CRC[(c ^ raw[begin[long:m] + i]) & 255] ^ (c >> 8)
+    crc ^= 0xFFFFFFFF
+    for i, at in enumerate(order[:long].tolist()):
+        crc[i] = zlib.crc32(raw[ends[at] : ends[at + 1]])
+    out = np.empty(len(words), np.int64)
+    out[order] = crc % tasks
+    return out
 
 
 def _encoded(source: DataFrame, head, tasks: int) -> DataFrame:
@@ -413,7 +462,8 @@ def _placed(encoded: DataFrame, counts: Counts) -> DataFrame:
                 else:
                     having[codes[a:b]] += 1  # words of a slice are distinct
                     asked.append((row["share"].as_py(), row["slice"].as_py(), codes[a:b]))
-            yield _batch(_PLACED, [(None, None, bucket, distinct.take(order).to_pylist(), n.tobytes(), None, None, None)])
+            words = pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct.take(order))
+            yield _batch(_PLACED, [(None, None, bucket, None, n.tobytes(), None, None, None)]).set_column(3, "words", words)
             for share, number, at in asked:
                 at, shared = at.astype("<i4"), having[at] > 1
                 yield _batch(_PLACED, [(share, number, bucket, None, n[at].tobytes(), at.tobytes(), shared.tobytes(), at[shared].tobytes())])
@@ -467,6 +517,14 @@ def _whole(parts: np.ndarray, sums: np.ndarray, k: int) -> np.ndarray:
     return c * (sums / np.maximum(c.sum(axis=1), 1))[:, None]
 
 
+def _found(lists: list[pa.Array], known: pa.Array | None, missing: int) -> list[np.ndarray]:
+    """Place in ``known`` of each word of the lists, or ``missing``; the known words are indexed once for all lists."""
+    if known is None or not lists:
+        return [np.full(len(x), missing) for x in lists]
+    at = pc.fill_null(pc.index_in(pa.concat_arrays(lists), value_set=known), missing).to_numpy()
+    return np.split(at, np.cumsum([len(x) for x in lists])[:-1])
+
+
 def _replies(asked: DataFrame, words: DataFrame | None, model: Model, tasks: int) -> DataFrame:
     """(slice, bucket, n, parts, sums): expected counts of the words each slice asks for, by place or as strings; counts with the latter."""
     k, as_strings = len(model.start), words is not None
@@ -483,17 +541,16 @@ def _replies(asked: DataFrame, words: DataFrame | None, model: Model, tasks: int
             c = np.zeros((size + 1, k))  # the last one is for words that no learning document has
             for at, r in added:
                 c[at] += _whole(_read(r, "parts", np.uint8), _read(r, "sums", "<f4"), k)  # words of a slice are distinct
-            for r in rows:
-                if r["kind"].as_py() != _ASKED:
-                    continue
-                if not as_strings:
-                    at, count = _read(r, "places", "<i4"), None
-                    at = np.where(at < size, at, size)
-                else:
-                    at = np.full(len(r["words"].values), size)
-                    if known is not None:
-                        at = pc.fill_null(pc.index_in(r["words"].values, value_set=known), size).to_numpy()
-                    count = np.append(n if n is not None else [], np.zeros(size + 1 - (0 if n is None else len(n)))).astype("<i8")[at].tobytes()
+            asking, counted = [r for r in rows if r["kind"].as_py() == _ASKED], None
+            if as_strings:
+                counted = np.zeros(size + 1, "<i8")
+                if n is not None:
+                    counted[: len(n)] = n
+                places = _found([r["words"].values for r in asking], known, size)
+            else:
+                places = [np.minimum(_read(r, "places", "<i4"), size) for r in asking]
+            for r, at in zip(asking, places):
+                count = counted[at].tobytes() if as_strings else None
                 yield _batch(_REPLY, [(r["slice"].as_py(), bucket, count, *_split(c[at]))])
 
     rows = asked
@@ -539,7 +596,7 @@ def _round(part: DataFrame, wanted: DataFrame, counts: Counts, model: Model, tas
             per = np.column_stack([np.bincount(seen, emitted[:, s], minlength=head + 1 + len(n)) for s in range(k)])
             total[: head + 1] += per[: head + 1]
             per = per[head + 1 :]
-            np.add.at(total, head + 1 + classes, per)
+            total[head + 1 : size] += np.column_stack([np.bincount(classes, per[:, s], minlength=CLASSES) for s in range(k)])
             total[size : size + k] += moves
             total[size + k] += starts
             total[size + k + 1] += emitted.sum(axis=0, dtype=float)

@@ -270,6 +270,49 @@ def test_symbols_are_those_of_each_word():
     assert hmm._bucket_of(rare, 7).tolist() == [zlib.crc32(w.encode()) % 7 for w in rare.to_pylist()]
 
 
+def test_short_words_are_hashed_side_by_side(monkeypatch):
+    few = ["", "a", "été", "日本語" * 7, "q" * 63, "q" * 64, "x" * 70_000, "é" * 40]
+    want, alone, plain = [zlib.crc32(w.encode()) % 97 for w in few * 50], [], zlib.crc32
+    monkeypatch.setattr(hmm.zlib, "crc32", lambda data: alone.append(len(data)) or plain(data))
+    assert hmm._bucket_of(pa.array(["left out", *few * 50]).slice(1), 97).tolist() == want
+    assert set(alone) == {64, 80, 70_000} and len(alone) == 150  # words of 64 bytes and more
+
+
+def test_known_words_are_indexed_once_for_all_slices(monkeypatch):
+    lists, calls, plain = [pa.array(x, pa.string()) for x in (["b", "x"], [], ["a", "c", "b"])], [], hmm.pc.index_in
+    monkeypatch.setattr(hmm.pc, "index_in", lambda *a, **b: calls.append(1) or plain(*a, **b))
+    assert [x.tolist() for x in hmm._found(lists, pa.array(["a", "b", "c"]), 3)] == [[1, 3], [], [0, 2, 1]] and len(calls) == 1
+    assert [x.tolist() for x in hmm._found(lists, None, 3)] == [[3, 3], [], [3, 3, 3]] and hmm._found([], pa.array(["a"]), 1) == []
+
+
+@pytest.mark.parametrize("least", [1e-300, 1e-12, 1e-2])
+def test_scores_scaled_now_and_then_are_those_scaled_at_each_token(least):
+    rng = np.random.default_rng(8)
+    k, n = 4, np.array([0, 1, 700, 33, 1, 32, 31, 0, 64])
+    rows = lambda *shape: (lambda m: m / m.sum(axis=-1, keepdims=True))(rng.uniform(0.1, 1, shape))
+    model = hmm.Model(rows(k), rows(k), rows(k, k), np.append(least * rng.uniform(1, 2, (5, k)), rng.uniform(0.1, 1, (5, k)), axis=0))
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    seen = rng.integers(0, 10, offsets[-1])
+    for got, a, b in zip(hmm.likelihood(offsets, seen, model), offsets, offsets[1:]):
+        alpha, log = model.start, 0.0
+        for i, s in enumerate(seen[a:b]):
+            alpha = (alpha @ model.moves if i else alpha) * model.emissions[s]
+            log, alpha = log + math.log(alpha.sum()), alpha / alpha.sum()
+        assert math.isclose(got, log, rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_runs_beyond_one_group_have_the_same_expected_counts(monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = lambda *shape: (lambda m: m / m.sum(axis=-1, keepdims=True))(rng.uniform(0.1, 1, shape))
+    model = hmm.Model(rows(3), rows(3), rows(3, 3), rows(3, 20).T)
+    offsets = np.concatenate([[0], np.cumsum(rng.integers(0, 400, 40))])
+    seen = rng.integers(0, 20, offsets[-1])
+    want = hmm.expected(offsets, seen, model)
+    monkeypatch.setattr(hmm, "SIDE", 7)
+    got = hmm.expected(offsets, seen, model)
+    assert all(np.allclose(x, y) for x, y in zip(got, want)) and np.allclose(got[0].sum(axis=1), 1)
+
+
 def test_long_sequences_are_scored_whole_and_cut_only_for_training():
     rng = np.random.default_rng(4)
     seen = rng.integers(0, 4, 3 * hmm.RUN + 7)
