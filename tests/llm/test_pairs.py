@@ -236,6 +236,26 @@ def test_embeddings_by_brute_force(spark, monkeypatch):
     assert embeddings.near_duplicates(frame.where("false")).count() == 0
 
 
+def test_tiles_are_compared_without_a_shuffle(spark, monkeypatch):
+    plans, plain = [], embeddings.staged
+    monkeypatch.setattr(embeddings, "staged", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    monkeypatch.setattr(embeddings, "TILE", 16)
+    monkeypatch.setattr(embeddings, "BLOCK", 4)
+    x = np.random.default_rng(7).normal(size=(90, 20))
+    x[60:] = x[:30] + 0.05 * x[30:60]
+    x[89] = -0.0 * x[0]
+    x[88], x[87, 3] = x[0], -0.0
+    x[86] = x[87] + 0.0  # equal but for the sign of a zero
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(frame).collect()}
+    with np.errstate(invalid="ignore"):
+        near = np.argwhere(np.tril(x @ x.T / np.linalg.norm(x, axis=1) / np.linalg.norm(x, axis=1)[:, None], -1) >= 0.9).tolist()
+    n, root = Counter(i for p in near for i in p), rooted(range(90), near)
+    assert got == {i: (n[i], root[i]) for i in range(90)} and len(near) > 25
+    pairs = [p for p in plans if "raw_b" in p]
+    assert len(pairs) == 1 and "Exchange" not in pairs[0]
+
+
 # --- language model
 
 def test_forward_and_expected_counts_by_enumeration():
