@@ -14,7 +14,7 @@ from martloom.plans.legislative import bronze as B
 from martloom.plans.legislative import gold as G
 from martloom.plans.legislative import schemas as S
 from martloom.plans.legislative import silver as L
-from martloom.session import checkpointed
+from martloom.session import checkpointed, release
 from martloom.sinks import error_rows, future_view, load, load_bucketed, load_history, load_indexed
 from martloom.sinks import quarantine, replace, split_once, stamp
 from martloom.sinks.keyed import BUCKETS
@@ -82,6 +82,7 @@ def build_bronze(
             load_indexed(rows, target, table.keys, table.business_date, **options)
         else:
             load_bucketed(rows, target, table.keys, **options)
+        release(good, bad)  # all that was derived from them is written
         record(new, ledger, name, batch_id)
         report[name] = {"files": len(paths), **seen.get}
     return report

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martloom.functions import typed_select
 from martloom.operators import Dim, star_join
 from martloom.sinks import split_once
-from martloom.sources import judge
+from martloom.sources import judge, read_landed_pages
 from martloom.sources.ledger import landed_files, paths_of, record, unread
 from tests.conftest import rows
 
@@ -78,3 +78,14 @@ def test_a_star_join_without_losses_to_count_is_as_before(spark, how):
     fact = spark.createDataFrame([(1,), (2,)], "k int")
     dim = Dim(spark.createDataFrame([(1, "a")], "k int, v string"), [("k", "k")], ["v"], how)
     assert star_join(fact, dim).count() == (1 if how == "inner" else 2)
+
+
+def test_landed_pages_are_compressed_and_read_whole(spark, tmp_path):
+    from catalog.bronze import land
+
+    records = spark.range(3000).select((F.col("id") % 2).alias("parent"), F.to_json(F.struct("id")).alias("record"))
+    land(records, f"{tmp_path}/pages", ["parent"])
+    files = [p for p in (tmp_path / "pages").rglob("part-*")]
+    assert len(files) > 2 and all(p.suffix == ".gz" for p in files)
+    pages = read_landed_pages(spark, f"{tmp_path}/pages", {"parent": (r"/parent=(\d+)", "bigint")})
+    assert pages.select("parent", "raw_payload").exceptAll(records).isEmpty() and pages.count() == 3000

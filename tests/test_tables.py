@@ -1,6 +1,7 @@
 """Ordered writes, keyed tables, range-binned upserts and history tables: what is rewritten and read."""
 
 import datetime as dt
+import os
 import random
 
 import pyarrow.parquet as pq
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators import Within, upsert_where
+from martloom.session import kept, release, shared_folder
 from martloom.sinks import files_of, load_bucketed, load_history, load_indexed, load_where, old_partitions, replace, save
 from tests.conftest import rows
 
@@ -193,3 +195,24 @@ def test_history_of_members_who_all_leave_and_return(spark, database):
     assert spark.table(table).where("is_current").isEmpty() and spark.table(table).count() == 2
     load_history(people((1, "A")), table, "id", "party", DAYS[6])
     assert rows(spark.table(table).where("id = 1"), "valid_from", "valid_to") == [(DAYS[0], DAYS[3]), (DAYS[6], None)]
+
+
+def test_upserts_leave_no_copies_of_their_steps(spark, database):
+    folder = shared_folder(spark).removeprefix("file://").removeprefix("file:")
+    before = set(os.listdir(folder))
+    rows_of = lambda a, b, v: spark.range(a, b).select("id", (F.col("id") % 3).alias("part"), F.lit(v).alias("v"))
+    for loader, name, options in ((load_indexed, "i", {"partition_by": "part"}), (load_bucketed, "b", {})):
+        loader(rows_of(0, 50, "a"), f"{database}.{name}", keys="id", buckets=4, **options)
+        loader(rows_of(40, 60, "b"), f"{database}.{name}", keys="id", **options)
+        assert {r.v: r["count"] for r in spark.table(f"{database}.{name}").groupBy("v").count().collect()} == {"a": 40, "b": 20}
+    assert not set(os.listdir(folder)) - before
+
+
+def test_kept_steps_hold_any_column_and_go_on_release(spark):
+    plain = kept(spark.range(5).select("id", F.lit("x").alias("v")))
+    odd = kept(spark.range(5).select("id", F.lit(None).alias("nothing")))
+    assert rows(odd.where("nothing IS NULL"), "id") == rows(plain, "id") == [(i,) for i in range(5)]
+    folders = {f.removeprefix("file://").rsplit("/", 1)[0] for f in plain.inputFiles()}
+    assert all(os.path.isdir(f) for f in folders)
+    release(plain, odd)
+    assert not any(os.path.isdir(f) for f in folders) and odd.count() == 5
